@@ -1,0 +1,9 @@
+"""Load fitted models (pipeline + label indexer + metadata)."""
+
+from __future__ import annotations
+
+from flowscore.operators.train import FlowModel
+
+
+def load_model(path: str) -> FlowModel:
+    return FlowModel.load(path)
