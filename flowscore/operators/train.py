@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
-from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.feature import StringIndexerModel, VectorSizeHint
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,12 +94,13 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict):
 def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
                    categorical: list[str] = (), kind: str = "rf",
                    index_label: bool = True, params: dict | None = None,
-                   vectors: list[str] = ()) -> FlowModel:
+                   vectors: dict[str, int] | None = None) -> FlowModel:
     """Fit indexers -> imputer -> assembler -> classifier as one pipeline.
 
     ``index_label``: string label indexed by frequency (multi-class); when
     False the label column must already be numeric 0/1 (binary).
-    ``vectors``: ML vector columns appended to the assembled features as-is."""
+    ``vectors``: ML vector columns (name -> size) appended to the assembled
+    features as-is; the size hint lets the assembler keep invalid rows."""
     params = dict(params or {})
     categorical = list(categorical)
     label_indexer = None
@@ -122,6 +123,9 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
         stages.append(cat_model)
     if numeric:
         stages.append(imputer_stage(list(numeric)))
+    vectors = dict(vectors or {})
+    for name, size in vectors.items():
+        stages.append(VectorSizeHint(inputCol=name, size=int(size), handleInvalid="error"))
     stages.append(assembler_stage(list(numeric) + indexed + list(vectors)))
     stages.append(_classifier(kind, target, n_bins, params))
     pipe = Pipeline(stages=stages).fit(data)

@@ -311,12 +311,18 @@ def auc(spark, sf_dir):
 # Models (rows-only checks: outputs of fitted models)
 # ---------------------------------------------------------------------------
 
+EMBEDDING_DIM = 64
+
+
 def _embeddings(spark, sf_dir):
     e = _t(spark, sf_dir, "embeddings")
     return e.select("vec_id", F.col("label").cast("string").alias("label"),
                     array_to_vector(F.col("embedding")).alias("vec"))
 
 
+_VEC = {"vec": EMBEDDING_DIM}
+
+
 def _labelled_docs(spark, sf_dir):
     lab = _t(spark, sf_dir, "labels").select("doc_id", "quality")
     docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
@@ -331,7 +337,7 @@ def _model_output(scored: DataFrame, key: str, label: str) -> DataFrame:
 def train_rf(spark, sf_dir):
     """Random forest with the reference settings; test-split predictions."""
     train, test = train_test_split(_embeddings(spark, sf_dir), "vec_id")
-    model = fit_classifier(train, "label", [], vectors=["vec"], kind="rf")
+    model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf")
     return _model_output(score(test, model), "vec_id", "label")
 
 
@@ -339,14 +345,14 @@ def batch_score(spark, sf_dir):
     """Fit once, score the whole table in batch: label text + confidence."""
     emb = _embeddings(spark, sf_dir)
     train, _ = train_test_split(emb, "vec_id")
-    model = fit_classifier(train, "label", [], vectors=["vec"], kind="rf",
+    model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf",
                            params={"numTrees": 20})
     return _model_output(score(emb, model), "vec_id", "label")
 
 
 def train_gbt_ovr(spark, sf_dir):
     train, test = train_test_split(_embeddings(spark, sf_dir), "vec_id")
-    model = fit_classifier(train, "label", [], vectors=["vec"], kind="ovr",
+    model = fit_classifier(train, "label", [], vectors=_VEC, kind="ovr",
                            params={"maxIter": 5, "maxDepth": 3})
     return _model_output(score(test, model), "vec_id", "label")
 
