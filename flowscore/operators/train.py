@@ -20,11 +20,13 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
                                        RandomForestClassifier)
 from pyspark.ml.feature import StringIndexerModel, VectorSizeHint
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowscore.operators.features import assembler_stage, imputer_stage, index_stage
 from flowscore.schema import UNKNOWN_LABEL
+from flowscore.sources.tables import spread
 
 LABEL_INDEX = "label_index"
 
@@ -85,7 +87,7 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict):
         return GBTClassifier(featuresCol="features", labelCol=label, **p)
     if kind == "ovr":
         p = {"seed": 42, "maxBins": max(32, n_bins), **params}
-        parallelism = p.pop("parallelism", 1)
+        parallelism = p.pop("parallelism", 4)
         return OneVsRest(classifier=GBTClassifier(**p), featuresCol="features",
                          labelCol=label, parallelism=parallelism)
     raise ValueError(f"unknown classifier kind: {kind}")
@@ -103,6 +105,19 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
     features as-is; the size hint lets the assembler keep invalid rows."""
     params = dict(params or {})
     categorical = list(categorical)
+    label_indexer = None
+    labels = None
+    # Every stage fit and every tree level / boosting round scans the input:
+    # materialise it once (spills to disk when it does not fit in memory;
+    # lost blocks are recomputed from lineage if an executor dies).
+    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors)
+    finally:
+        train.unpersist()
+
+
+def _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors):
     label_indexer = None
     labels = None
     data = train

@@ -29,7 +29,7 @@ from flowscore.plans import standins as SI
 from flowscore.schema import STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
 from flowscore.session import fresh_dir
 from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
-from flowscore.sources.tables import read_table
+from flowscore.sources.tables import read_table, spread
 from flowscore.streaming.jobs import run_to_end, windowed_counts
 from flowscore.streaming.sinks import latest_per_key
 
@@ -315,7 +315,7 @@ EMBEDDING_DIM = 64
 
 
 def _embeddings(spark, sf_dir):
-    e = _t(spark, sf_dir, "embeddings")
+    e = spread(_t(spark, sf_dir, "embeddings"))
     return e.select("vec_id", F.col("label").cast("string").alias("label"),
                     array_to_vector(F.col("embedding")).alias("vec"))
 
@@ -396,7 +396,7 @@ def score_conformed(spark, sf_dir):
 # ---------------------------------------------------------------------------
 
 def _docs(spark, sf_dir):
-    return SI.prediction_documents(spark, sf_dir)
+    return SI.stored_predictions(spark, sf_dir)
 
 
 def fetch_first_100(spark, sf_dir):

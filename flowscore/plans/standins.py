@@ -9,6 +9,8 @@ a projection of the tables, so its size grows with them.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,8 @@ from flowscore.operators.features import index_stage
 from flowscore.operators.score import decode_labels, to_documents
 from flowscore.schema import (STANDIN_COUNTER_FACTOR, STANDIN_FIELDS, TOPIC,
                               TOPIC_PARTITIONS, UNKNOWN_LABEL, numeric_wire_columns)
-from flowscore.sources.tables import read_table, table_path
+from flowscore.session import shared_dir
+from flowscore.sources.tables import read_table, spread, table_path
 
 # Stand-in vocabularies for the label operators (the event types play the
 # role of attack categories; "view" plays the normal class).
@@ -59,7 +62,7 @@ def envelope(events: DataFrame, payload: Column | None = None) -> DataFrame:
 
 
 def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(read_table(spark, sf_dir, "events"))
+    return envelope(spread(read_table(spark, sf_dir, "events")))
 
 
 def events_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,5 +104,32 @@ def standin_score(rec: DataFrame) -> DataFrame:
 
 
 def prediction_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prediction documents as the sink stores them (one per event)."""
+    """Prediction documents as the sink produces them (one per event)."""
     return to_documents(standin_score(records(spark, sf_dir)), keep=["event_id"])
+
+
+def _input_signature(spark: SparkSession, path: str) -> str:
+    """Identity of an input file (path, length, modification time)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
+    raw = f"{path}|{st.getLen()}|{st.getModificationTime()}"
+    return hashlib.sha1(raw.encode()).hexdigest()[:16]
+
+
+def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored predictions table the read side queries.
+
+    Written once per input (keyed by the events file identity) into the
+    shared checkpoint folder, partitioned by ``attack_type`` like the sink's
+    output, then read back: serving queries scan the stored table (filters
+    on the attack type prune folders) instead of re-scoring the stream."""
+    src = table_path(sf_dir, "events")
+    path = shared_dir(spark, "flowscore", "predictions", _input_signature(spark, src))
+    jvm = spark.sparkContext._jvm
+    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(done):
+        (prediction_documents(spark, sf_dir).write.mode("overwrite")
+             .partitionBy("attack_type").parquet(path))
+    return spark.read.parquet(path)

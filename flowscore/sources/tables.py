@@ -21,3 +21,15 @@ def read_with_file_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     from pyspark.sql import functions as F
     df = spark.read.parquet(*paths)
     return df.withColumn("file_name", F.col("_metadata.file_name"))
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer
+    partitions than there are cores (small or unsplittable files).  At scale
+    the file splits already give thousands of partitions and this is a no-op,
+    so no shuffle is added there."""
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
