@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from flowscore.operators.windows import running_total
 from flowscore.schema import SPIKE_FACTOR
+from flowscore.session import shared_dir
 
 
 def bucket_counts(df: DataFrame, ts: str, bucket: str = "1 hour") -> DataFrame:
@@ -24,7 +25,11 @@ def throughput(df: DataFrame, ts: str, bucket: str = "1 hour", base: float | Non
     count per non-empty bucket, evaluated as a scalar subquery over the
     bucket counts.  The running total runs over bucket counts, never raw
     rows, block by block (see ``running_total``)."""
-    counts = bucket_counts(df, ts, bucket)
+    # The bucket counts (one row per bucket) feed three branches: cut their
+    # lineage once in the shared checkpoint folder so the raw events are
+    # scanned a single time.
+    shared_dir(df.sparkSession)
+    counts = bucket_counts(df, ts, bucket).checkpoint(eager=True)
     out = running_total(counts, "bucket", "n", F.window(F.col("bucket"), block).start)
     base_col = counts.agg(F.avg("n")).scalar() if base is None else F.lit(float(base))
     spike = F.col("n") > F.lit(factor) * base_col

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from flowscore.functions.json_codec import json_column
 from flowscore.operators.windows import running_total
 from flowscore.schema import PREDICTIONS_CAP_BYTES
+from flowscore.session import shared_dir
 
 BLOCK_BATCHES = 1000
 
@@ -24,6 +25,8 @@ def retain_newest(sizes: DataFrame, batch_col: str, cap_bytes: int = PREDICTIONS
                   block_batches: int = BLOCK_BATCHES) -> DataFrame:
     """Batches to keep: newest first while the cumulative size is <= cap."""
     blk = F.expr(f"`{batch_col}` div {int(block_batches)}")
+    shared_dir(sizes.sparkSession)
+    sizes = sizes.checkpoint(eager=True)  # one row per batch; read twice below
     cum = running_total(sizes, batch_col, "bytes", blk, out="cum_bytes", descending=True)
     return cum.where(F.col("cum_bytes") <= F.lit(cap_bytes))
 
