@@ -219,6 +219,14 @@ def counts_per_source(spark, sf_dir):
     return P.counts_per_source(docs.join(lab, "doc_id"), "source", "toxic")
 
 
+def counts_per_file(spark, sf_dir):
+    """Per input file (``_metadata.file_name``) and overall."""
+    from flowscore.sources.tables import read_with_file_name, table_path
+    docs = read_with_file_name(spark, [table_path(sf_dir, "documents")]).select("doc_id", "file_name")
+    lab = _t(spark, sf_dir, "labels").select("doc_id", "toxic")
+    return P.counts_per_source(docs.join(lab, "doc_id"), "file_name", "toxic")
+
+
 def null_profile(spark, sf_dir):
     return P.null_profile(SI.missing_by_rule(_t(spark, sf_dir, "events")))
 
@@ -520,6 +528,7 @@ QUERIES: dict[str, Query] = {
     "value_counts": value_counts,
     "label_index_pairs": label_index_pairs,
     "counts_per_source": counts_per_source,
+    "counts_per_file": counts_per_file,
     "null_profile": null_profile,
     "dataset_shape": dataset_shape,
     "column_profile": column_profile,

@@ -153,6 +153,10 @@ group by e.event_type, idx.i""",
   count_if(l.toxic = 0)::bigint as n_neg, count(*)::bigint as n_rows
 from documents d join labels l on d.doc_id = l.doc_id
 group by rollup (d.source)""",
+    "counts_per_file": """select 'documents.parquet' as file_name, count_if(l.toxic = 1)::bigint as n_pos,
+  count_if(l.toxic = 0)::bigint as n_neg, count(*)::bigint as n_rows
+from documents d join labels l on d.doc_id = l.doc_id
+group by rollup ('documents.parquet')""",
     "null_profile": _null_profile(),
     "dataset_shape": """select count(*)::bigint as n_rows,
   (select count(*) from information_schema.columns where table_name = 'lineitem')::bigint as n_columns

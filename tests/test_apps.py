@@ -75,3 +75,43 @@ def test_conform_raw_and_publish(spark, tmp_dir):
     assert values.count() == 2
     sample = apps.make_sample(spark, tmp_dir + "/raw", tmp_dir + "/names", tmp_dir + "/sample", n=1)
     assert sample.count() == 1
+
+
+def test_score_stream_end_to_end(spark, tmp_dir):
+    """Training CSV -> model; conformed records -> JSON envelope files ->
+    stream -> decode -> fill -> score -> sink -> serving queries."""
+    from flowscore.operators import serve as S
+    from flowscore.sources.stream import file_stream
+    from flowscore.sources.predictions import read_predictions
+
+    _training_csv(spark, tmp_dir + "/train")
+    apps.train_multiclass(spark, tmp_dir + "/train", tmp_dir + "/rf",
+                          params={"numTrees": 3, "maxDepth": 3})
+    src = spark.read.option("header", True).schema(training_schema()).csv(tmp_dir + "/train")
+    env = apps.encode_json(src.drop("id", "attack_cat", "label")).select(
+        F.col("value").cast("binary").alias("value"), F.lit("demo").alias("topic"),
+        (F.monotonically_increasing_id() % 6).cast("int").alias("partition"),
+        F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"))
+    env.write.mode("overwrite").parquet(tmp_dir + "/in/b0")
+    stream = file_stream(spark, tmp_dir + "/in/*", env.schema)
+    run = apps.score_stream(spark, stream, tmp_dir + "/rf", tmp_dir + "/pred", tmp_dir + "/ckpt",
+                            available_now=True)
+    run.query.awaitTermination(300)
+    assert run.query.exception() is None
+    pred = read_predictions(spark, tmp_dir + "/pred")
+    assert pred.count() == src.count()
+    assert {"attack_type", "confidence", "kafka_metadata", "batch_id", "proto"} <= set(pred.columns)
+    dist = S.attack_distribution(pred).collect()
+    assert sum(r["count"] for r in dist) == src.count()
+    top = S.top_confidence(pred, 5).collect()
+    assert len(top) == 5 and top[0].confidence >= top[-1].confidence
+
+
+def test_console_preview_runs(spark, tmp_dir):
+    from flowscore.streaming.sinks import console_preview
+    from flowscore.sources.stream import file_stream
+    spark.range(3).write.mode("overwrite").parquet(tmp_dir + "/in/a")
+    df = file_stream(spark, tmp_dir + "/in/*", spark.range(1).schema)
+    q = console_preview(df, 5).option("checkpointLocation", tmp_dir + "/ck").trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    assert q.exception() is None
