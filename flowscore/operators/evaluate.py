@@ -17,13 +17,22 @@ def confusion_counts(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def accuracy_f1(df: DataFrame, label: str, prediction: str, digits: int = 9) -> DataFrame:
-    """(accuracy, f1) with f1 = sum_c f1_c * support_c / total (Spark's "f1")."""
+    """(accuracy, f1) with f1 = sum_c f1_c * support_c / total (Spark's "f1").
+
+    One scan of the input: the confusion cells (k^2 rows) are aggregated
+    once more per class -- every cell counts towards the support of its
+    actual class and the predictions of its predicted class."""
     cm = confusion_counts(df, label, prediction)
-    actual = cm.groupBy(F.col("y").alias("c")).agg(
-        F.sum("n").alias("support"),
-        F.sum(F.when(F.col("y") == F.col("z"), F.col("n")).otherwise(0)).alias("tp"))
-    predicted = cm.groupBy(F.col("z").alias("c")).agg(F.sum("n").alias("pred"))
-    per_class = actual.join(predicted, "c", "left")
+    cell = F.explode(F.array(
+        F.struct(F.col("y").alias("c"), F.col("n").alias("support"),
+                 F.when(F.col("y") == F.col("z"), F.col("n")).otherwise(0).alias("tp"),
+                 F.lit(0).cast("bigint").alias("pred")),
+        F.struct(F.col("z").alias("c"), F.lit(0).cast("bigint").alias("support"),
+                 F.lit(0).cast("bigint").alias("tp"), F.col("n").alias("pred"))))
+    per_class = (cm.select(cell.alias("e")).select("e.*")
+                   .groupBy("c").agg(F.sum("support").alias("support"), F.sum("tp").alias("tp"),
+                                     F.sum("pred").alias("pred"))
+                   .where(F.col("support") > 0))
     p = F.col("tp") / F.col("pred")
     r = F.col("tp") / F.col("support")
     f = F.when(F.col("tp") > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
