@@ -26,7 +26,6 @@ from pyspark.sql import functions as F
 
 from flowscore.operators.features import assembler_stage, imputer_stage, index_stage
 from flowscore.schema import UNKNOWN_LABEL
-from flowscore.sources.tables import spread
 
 LABEL_INDEX = "label_index"
 
@@ -114,7 +113,7 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
     # Every stage fit and every tree level / boosting round scans the input:
     # materialise it once (spills to disk when it does not fit in memory;
     # lost blocks are recomputed from lineage if an executor dies).
-    train = spread(train).persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors)
     finally:

@@ -333,7 +333,7 @@ _VEC = {"vec": EMBEDDING_DIM}
 
 def _labelled_docs(spark, sf_dir):
     lab = _t(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source"))
     return lab.join(docs, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double"))
 
 
@@ -382,7 +382,7 @@ def train_gbt(spark, sf_dir):
 def score_conformed(spark, sf_dir):
     """Train on the curated table, evaluate on the raw-file look of the test
     split after conforming and bucketing unseen categories."""
-    li = _t(spark, sf_dir, "lineitem")
+    li = spread(_t(spark, sf_dir, "lineitem"))
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     cols = ["l_orderkey", "l_linenumber", *feats, "l_linestatus", "l_returnflag"]
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
