@@ -6,6 +6,8 @@
   make_sample        raw headerless CSV + names file -> conformed first-n sample CSV
   publish            raw CSV -> conformed JSON records -> Kafka topic (or any sink)
   score_stream       Kafka / file stream -> decode -> fill -> score -> idempotent sink
+  label_counts_per_file   positives / negatives per raw file and overall (one scan)
+  monitor_stream     live records per bucket with a watermark and the spike flag
   serve_*            see ``flowscore.operators.serve`` over ``read_predictions``
 
 Run ``python -m flowscore.apps <job> --help``.
@@ -23,14 +25,15 @@ from flowscore.functions.json_codec import decode_json, decode_json_lenient, enc
 from flowscore.operators.conform import cast_double, conform, fill_zero
 from flowscore.operators.evaluate import accuracy_f1, area_under_roc
 from flowscore.operators.features import train_test_split, vector_as_array
-from flowscore.operators.profile import counts_by
+from flowscore.operators.profile import counts_by, counts_per_source
 from flowscore.operators.score import score, to_documents
 from flowscore.operators.train import FlowModel, fit_classifier
 from flowscore.schema import (CATEGORICAL_COLUMNS, DROPPED_ON_WIRE, EXCLUDED_FROM_FEATURES,
-                              RAW_RENAMES, TRAINING_COLUMNS, WIRE_FIELDS, numeric_wire_columns,
+                              RAW_RENAMES, SPIKE_FACTOR, TRAINING_COLUMNS, WIRE_FIELDS,
+                              numeric_wire_columns,
                               training_schema, wire_v1)
 from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
-from flowscore.streaming.jobs import start_sink
+from flowscore.streaming.jobs import start_sink, windowed_counts
 
 
 def _numeric_features(df: DataFrame, extra_excluded: list[str] = ()) -> list[str]:
@@ -96,9 +99,27 @@ def conform_raw(raw: DataFrame) -> DataFrame:
     return conform(raw, TRAINING_COLUMNS, RAW_RENAMES, nan_columns=["rate"], drop=DROPPED_ON_WIRE)
 
 
-def read_raw(spark: SparkSession, raw_path: str, names_path: str) -> DataFrame:
+def read_raw(spark: SparkSession, raw_path, names_path: str,
+             file_name: str | None = None) -> DataFrame:
     names = [n.strip().lower() for n in read_names(spark, names_path)]
-    return read_headerless_csv(spark, raw_path, names)
+    return read_headerless_csv(spark, raw_path, names, file_name=file_name)
+
+
+def label_counts_per_file(spark: SparkSession, raw_paths, names_path: str,
+                          label: str = "label") -> DataFrame:
+    """Positives / negatives of the 0/1 label per raw file and overall, all
+    files in one scan (the label is the last raw column)."""
+    raw = read_raw(spark, raw_paths, names_path, file_name="file_name")
+    y = raw.select("file_name", F.col(label).try_cast("int").alias(label))
+    return counts_per_source(y, "file_name", label)
+
+
+def monitor_stream(stream: DataFrame, ts: str, base_per_bucket: float, bucket: str = "1 second",
+                   watermark: str = "10 seconds", factor: float = SPIKE_FACTOR) -> DataFrame:
+    """Live throughput: records per bucket (late rows bounded by the
+    watermark) with the spike flag against the configured base rate."""
+    counts = windowed_counts(stream, ts, bucket, watermark)
+    return counts.withColumn("spike", F.col("n") > F.lit(factor * base_per_bucket))
 
 
 def make_sample(spark: SparkSession, raw_path: str, names_path: str, out_path: str,

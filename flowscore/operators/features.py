@@ -5,7 +5,7 @@ bounded by the number of distinct categories / columns, never by rows)."""
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +41,12 @@ def assembler_stage(columns: list[str], out: str = "features",
     return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid=invalid)
 
 
+def drop_stage(input_columns: list[str], drop: list[str]) -> SQLTransformer:
+    """Pipeline stage that drops columns (a projection Catalyst prunes)."""
+    keep = ", ".join(f"`{c}`" for c in input_columns if c not in set(drop))
+    return SQLTransformer(statement=f"SELECT {keep} FROM __THIS__")
+
+
 def vector_as_array(c: str | Column) -> Column:
     """ML vector -> array<double> (JVM function, no Python per row)."""
     return vector_to_array(F.col(c) if isinstance(c, str) else c)

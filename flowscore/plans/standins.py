@@ -65,10 +65,15 @@ def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     return envelope(spread(read_table(spark, sf_dir, "events")))
 
 
+MAX_FILES_PER_TRIGGER = 64
+
+
 def events_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same envelope as a stream over the events file(s)."""
+    """The same envelope as a stream over the events file(s); a backlog is
+    taken in micro-batches of at most ``MAX_FILES_PER_TRIGGER`` files."""
     glob = table_path(sf_dir, "events").replace("events.parquet", "events*.parquet")
-    events = spark.readStream.schema(EVENTS_SCHEMA).parquet(glob)
+    events = (spark.readStream.schema(EVENTS_SCHEMA)
+                   .option("maxFilesPerTrigger", MAX_FILES_PER_TRIGGER).parquet(glob))
     return envelope(events)
 
 

@@ -29,15 +29,21 @@ def read_names(spark: SparkSession, dictionary_path: str, name_column: str = "Na
     return [r[0] for r in d.orderBy("_pos").select(name_column).collect()]
 
 
-def read_headerless_csv(spark: SparkSession, path: str, names: list[str],
+def read_headerless_csv(spark: SparkSession, path: str | list[str], names: list[str],
                         types: dict[str, T.DataType] | None = None,
-                        encoding: str = "UTF-8") -> DataFrame:
-    """Headerless CSV with names from a dictionary; undecodable bytes are
-    replaced by the decoder instead of failing."""
+                        encoding: str = "UTF-8", file_name: str | None = None) -> DataFrame:
+    """Headerless CSV (one path, a glob or a list: several files are read as
+    one table, in parallel) with names from a dictionary; undecodable bytes
+    are replaced by the decoder instead of failing.  ``file_name`` adds the
+    source file of each row under that column name."""
     types = types or {}
     schema = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
-    return (spark.read.option("header", False).option("encoding", encoding)
-                 .option("mode", "PERMISSIVE").schema(schema).csv(path))
+    paths = [path] if isinstance(path, str) else list(path)
+    df = (spark.read.option("header", False).option("encoding", encoding)
+               .option("mode", "PERMISSIVE").schema(schema).csv(paths))
+    if file_name:
+        df = df.withColumn(file_name, F.col("_metadata.file_name"))
+    return df
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:

@@ -115,3 +115,35 @@ def test_console_preview_runs(spark, tmp_dir):
     q = console_preview(df, 5).option("checkpointLocation", tmp_dir + "/ck").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert q.exception() is None
+
+
+def test_label_counts_per_file_and_drop_stage(spark, tmp_dir):
+    from pyspark.ml import Pipeline
+    from flowscore.operators.features import drop_stage
+    names = spark.createDataFrame([("srcip",), ("Label",)], "Name string")
+    names.coalesce(1).write.mode("overwrite").option("header", True).csv(tmp_dir + "/names")
+    for i, rows in enumerate([[("a", "1"), ("b", "0"), ("c", "1")], [("d", "0")]]):
+        spark.createDataFrame(rows, "x string, y string").coalesce(1).write.mode("overwrite") \
+            .option("header", False).csv(f"{tmp_dir}/raw{i}")
+    out = apps.label_counts_per_file(spark, [tmp_dir + "/raw0", tmp_dir + "/raw1"], tmp_dir + "/names")
+    got = sorted((r.n_pos, r.n_neg, r.n_rows) for r in out.collect())
+    assert got == [(0, 1, 1), (2, 1, 3), (2, 2, 4)]
+    df = spark.createDataFrame([(1, 2, 3)], "id int, a int, label int")
+    p = Pipeline(stages=[drop_stage(df.columns, ["id", "label"])]).fit(df)
+    assert p.transform(df).columns == ["a"]
+
+
+def test_monitor_stream_flags_spikes(spark, tmp_dir):
+    from datetime import datetime, timedelta
+    from flowscore.sources.stream import file_stream
+    from flowscore.streaming.jobs import run_to_end
+    t0 = datetime(2024, 1, 1)
+    rows = [(t0 + timedelta(milliseconds=100 * i),) for i in range(50)]  # 10 per second
+    rows += [(t0 + timedelta(seconds=2, milliseconds=i),) for i in range(20)]  # burst in second 2
+    spark.createDataFrame(rows, "ts timestamp").write.mode("overwrite").parquet(tmp_dir + "/in/a")
+    stream = file_stream(spark, tmp_dir + "/in/*", spark.createDataFrame([], "ts timestamp").schema)
+    run = run_to_end(apps.monitor_stream(stream, "ts", base_per_bucket=10), tmp_dir + "/o",
+                     tmp_dir + "/ck", output_mode="update")
+    from flowscore.streaming.sinks import latest_per_key
+    res = {r.bucket.second: (r.n, r.spike) for r in latest_per_key(spark.read.parquet(run.output), ["bucket"]).collect()}
+    assert res[2] == (30, True) and res[0] == (10, False)

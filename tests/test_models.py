@@ -105,3 +105,20 @@ def test_documents_layout(spark, rf_model):
     assert docs.columns == ["l_orderkey", "attack_type", "confidence", "prediction", "timestamp",
                             "kafka_metadata"]
     assert docs.select("kafka_metadata.offset").first()[0] is not None
+
+
+def test_max_bins_grow_with_categories(spark):
+    """D15: 300 categories with the reference's 256 bins still fits."""
+    rows = [(i, f"c{i % 300}", float(i % 7), "a" if i % 2 else "b") for i in range(1200)]
+    df = spark.createDataFrame(rows, "k bigint, cat string, x double, y string")
+    m = fit_classifier(df, "y", ["x"], ["cat"], kind="rf", params={"numTrees": 2, "maxDepth": 2})
+    assert m.pipeline.stages[-1].getMaxBins() >= 301
+
+
+def test_binary_features_exclude_row_id(spark, tmp_dir):
+    """D8: the row id is never a feature."""
+    from flowscore import apps
+    from tests.test_apps import _training_csv
+    _training_csv(spark, tmp_dir + "/train")
+    model, _ = apps.train_binary(spark, tmp_dir + "/train", params={"maxIter": 3})
+    assert "id" not in model.features and "label" not in model.features
