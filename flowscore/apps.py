@@ -8,6 +8,7 @@
   score_stream       Kafka / file stream -> decode -> fill -> score -> idempotent sink
   label_counts_per_file   positives / negatives per raw file and overall (one scan)
   monitor_stream     live records per bucket with a watermark and the spike flag
+  retention          evict the oldest stored micro-batches beyond the size cap
   serve_*            see ``flowscore.operators.serve`` over ``read_predictions``
 
 Run ``python -m flowscore.apps <job> --help``.
@@ -29,11 +30,14 @@ from flowscore.operators.profile import counts_by, counts_per_source
 from flowscore.operators.score import score, to_documents
 from flowscore.operators.train import FlowModel, fit_classifier
 from flowscore.schema import (CATEGORICAL_COLUMNS, DROPPED_ON_WIRE, EXCLUDED_FROM_FEATURES,
-                              RAW_RENAMES, SPIKE_FACTOR, TRAINING_COLUMNS, WIRE_FIELDS,
+                              NORMAL_LABEL, PREDICTIONS_CAP_BYTES, RAW_RENAMES, SPIKE_FACTOR,
+                              TRAINING_COLUMNS, WIRE_FIELDS,
                               numeric_wire_columns,
                               training_schema, wire_v1)
 from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
-from flowscore.streaming.jobs import start_sink, windowed_counts
+from flowscore.operators.retention import evict
+from flowscore.operators.serve import alerts
+from flowscore.streaming.jobs import StreamRun, start_multi_sink, start_sink, windowed_counts
 
 
 def _numeric_features(df: DataFrame, extra_excluded: list[str] = ()) -> list[str]:
@@ -162,15 +166,29 @@ def decode_records(envelope: DataFrame, lenient: bool = True) -> DataFrame:
 
 def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_path: str,
                  checkpoint: str, fill: str = "zero", trigger: str | None = None,
-                 available_now: bool = False, lenient: bool = True):
+                 available_now: bool = False, lenient: bool = True,
+                 alerts_path: str | None = None, normal_label: str = NORMAL_LABEL):
     """The streaming job: decode -> fill -> score -> documents -> Parquet
-    sink partitioned by attack type, exactly once per micro-batch."""
+    sink partitioned by attack type, exactly once per micro-batch.  With
+    ``alerts_path`` the non-normal predictions are also written there (same
+    micro-batch, same batch id)."""
     model = FlowModel.load(model_path)
     rec = decode_records(envelope, lenient)
     keep = [c for c, _ in WIRE_FIELDS]
     docs = to_documents(score(rec, model, fill=fill), keep=keep)
-    return start_sink(docs, out_path, checkpoint, partition_by=["attack_type"],
-                      available_now=available_now, processing_time=trigger)
+    if not alerts_path:
+        return start_sink(docs, out_path, checkpoint, partition_by=["attack_type"],
+                          available_now=available_now, processing_time=trigger)
+    outputs = {out_path: (lambda b: b, ["attack_type"]),
+               alerts_path: (lambda b: alerts(b, normal_label), ["attack_type"])}
+    query = start_multi_sink(docs, outputs, checkpoint, available_now, trigger)
+    return StreamRun(query, out_path, checkpoint)
+
+
+def retention(spark: SparkSession, predictions_path: str,
+              cap_bytes: int = PREDICTIONS_CAP_BYTES) -> list[int]:
+    """Evict the oldest micro-batches of the stored predictions beyond the cap."""
+    return evict(spark, predictions_path, "batch_id", cap_bytes)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -188,6 +206,9 @@ def main(argv: list[str] | None = None) -> None:
     st = sub.add_parser("score_stream"); st.add_argument("bootstrap"); st.add_argument("topic")
     st.add_argument("model"); st.add_argument("out"); st.add_argument("checkpoint")
     st.add_argument("--max-offsets", type=int, default=100000)
+    st.add_argument("--alerts")
+    r = sub.add_parser("retention"); r.add_argument("predictions")
+    r.add_argument("--cap-bytes", type=int, default=PREDICTIONS_CAP_BYTES)
     a = ap.parse_args(argv)
     spark = get_session()
     if a.job == "train_multiclass":
@@ -203,7 +224,10 @@ def main(argv: list[str] | None = None) -> None:
         publish(spark, a.raw, a.names, a.bootstrap, a.topic, a.out)
     elif a.job == "score_stream":
         env = kafka_stream(spark, a.bootstrap, a.topic, max_offsets_per_trigger=a.max_offsets)
-        score_stream(spark, env, a.model, a.out, a.checkpoint).query.awaitTermination()
+        score_stream(spark, env, a.model, a.out, a.checkpoint,
+                     alerts_path=a.alerts).query.awaitTermination()
+    elif a.job == "retention":
+        print(json.dumps({"evicted_batches": retention(spark, a.predictions, a.cap_bytes)}))
 
 
 if __name__ == "__main__":

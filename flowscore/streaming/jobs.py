@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from flowscore.streaming.sinks import ParquetBatchSink
+from flowscore.streaming.sinks import MultiParquetSink, ParquetBatchSink
 
 
 @dataclass
@@ -35,6 +35,18 @@ def start_sink(df: DataFrame, output: str, checkpoint: str, partition_by: list[s
     return StreamRun(writer.start(), output, checkpoint)
 
 
+def start_multi_sink(df: DataFrame, outputs: dict, checkpoint: str, available_now: bool = False,
+                     processing_time: str | None = None) -> StreamingQuery:
+    """Start ``df`` into several idempotent Parquet outputs (one checkpoint)."""
+    writer = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+                .foreachBatch(MultiParquetSink(outputs)))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def run_to_end(df: DataFrame, output: str, checkpoint: str, partition_by: list[str] = (),
                output_mode: str = "append", timeout_s: int = 600) -> StreamRun:
     """Process everything available now, then stop (tests and back-fills)."""

@@ -28,6 +28,25 @@ class ParquetBatchSink:
         w.parquet(f"{self.path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
+@dataclass
+class MultiParquetSink:
+    """Several idempotent outputs from one micro-batch.
+
+    ``outputs`` maps a folder to (derive function, partition columns).  The
+    batch is persisted once so the upstream work (decode, scoring) is not
+    repeated per output, and every output lands in its own ``batch_id=b``
+    folder, overwritten on replay."""
+    outputs: dict
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for path, (derive, partition_by) in self.outputs.items():
+                ParquetBatchSink(path, list(partition_by))(derive(batch), batch_id)
+        finally:
+            batch.unpersist()
+
+
 def latest_per_key(df: DataFrame, keys: list[str], batch_col: str = "batch_id") -> DataFrame:
     """Upsert view of an update-mode sink: for every key the row of the
     newest batch.  A window partitioned by the key (never a global one)."""

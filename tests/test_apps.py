@@ -95,10 +95,13 @@ def test_score_stream_end_to_end(spark, tmp_dir):
     env.write.mode("overwrite").parquet(tmp_dir + "/in/b0")
     stream = file_stream(spark, tmp_dir + "/in/*", env.schema)
     run = apps.score_stream(spark, stream, tmp_dir + "/rf", tmp_dir + "/pred", tmp_dir + "/ckpt",
-                            available_now=True)
+                            available_now=True, alerts_path=tmp_dir + "/alerts")
     run.query.awaitTermination(300)
     assert run.query.exception() is None
     pred = read_predictions(spark, tmp_dir + "/pred")
+    al = read_predictions(spark, tmp_dir + "/alerts")
+    assert al.count() == pred.where(F.col("attack_type") != "Normal").count()
+    assert apps.retention(spark, tmp_dir + "/pred", cap_bytes=1 << 40) == []
     assert pred.count() == src.count()
     assert {"attack_type", "confidence", "kafka_metadata", "batch_id", "proto"} <= set(pred.columns)
     dist = S.attack_distribution(pred).collect()
