@@ -90,7 +90,7 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict):
         return GBTClassifier(featuresCol="features", labelCol=label, **p)
     if kind == "ovr":
         p = {"seed": 42, "maxBins": max(32, n_bins), **TREE_EXEC, **params}
-        parallelism = p.pop("parallelism", 4)
+        parallelism = p.pop("parallelism", 8)  # binary models fitted concurrently
         return OneVsRest(classifier=GBTClassifier(**p), featuresCol="features",
                          labelCol=label, parallelism=parallelism)
     raise ValueError(f"unknown classifier kind: {kind}")
