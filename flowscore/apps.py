@@ -165,11 +165,13 @@ def decode_records(envelope: DataFrame, lenient: bool = True) -> DataFrame:
 
 
 def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_path: str,
-                 checkpoint: str, fill: str = "zero", trigger: str | None = None,
+                 checkpoint: str, fill: str = "model", trigger: str | None = None,
                  available_now: bool = False, lenient: bool = True,
                  alerts_path: str | None = None, normal_label: str = NORMAL_LABEL):
     """The streaming job: decode -> fill -> score -> documents -> Parquet
-    sink partitioned by attack type, exactly once per micro-batch.  With
+    sink partitioned by attack type, exactly once per micro-batch.
+    ``fill="model"`` (default) leaves missing numerics to the fitted imputer,
+    as batch scoring does; ``fill="zero"`` zero-fills first.  With
     ``alerts_path`` the non-normal predictions are also written there (same
     micro-batch, same batch id)."""
     model = FlowModel.load(model_path)

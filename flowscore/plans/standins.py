@@ -118,7 +118,8 @@ def _input_signature(spark: SparkSession, path: str) -> str:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    raw = f"{path}|{st.getLen()}|{st.getModificationTime()}"
+    from flowscore import __version__
+    raw = f"{__version__}|{path}|{st.getLen()}|{st.getModificationTime()}"
     return hashlib.sha1(raw.encode()).hexdigest()[:16]
 
 
