@@ -60,7 +60,7 @@ def document_writer(make_client, database: str, collection: str,
     """foreachBatch function writing JSON documents to a document store from
     the executors (``foreachPartition``), upserting on the source position so
     a replayed batch does not duplicate.  ``make_client`` builds a client on
-    the executor (e.g. ``lambda: pymongo.MongoClient(url)``)."""
+    the executor (any client with ``[db][collection].replace_one`` and ``close``)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = batch.select(*key_columns, F.to_json(F.struct("*")).alias("_doc"))
 

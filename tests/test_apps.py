@@ -1,4 +1,4 @@
-"""The application jobs on a small UNSW-shaped fixture derived from lineitem."""
+"""The application jobs on a small fixture shaped like the training table, derived from lineitem."""
 
 import math
 
