@@ -6,6 +6,7 @@
   make_sample        raw headerless CSV + names file -> conformed first-n sample CSV
   publish            raw CSV -> conformed JSON records -> Kafka topic (or any sink)
   score_stream       Kafka / file stream -> decode -> fill -> score -> idempotent sink
+  score_stream_quarantined   same, bad payloads to a quarantine table (one decode pass)
   label_counts_per_file   positives / negatives per raw file and overall (one scan)
   monitor_stream     live records per bucket with a watermark and the spike flag
   retention          evict the oldest stored micro-batches beyond the size cap
@@ -22,7 +23,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowscore.functions.json_codec import decode_json, decode_json_lenient, encode_json
+from flowscore.functions.json_codec import (CORRUPT_COLUMN, decode_flagged, decode_json,
+                                            decode_json_lenient, encode_json)
 from flowscore.operators.conform import cast_double, conform, fill_zero
 from flowscore.operators.evaluate import accuracy_f1, area_under_roc
 from flowscore.operators.features import train_test_split, vector_as_array
@@ -33,7 +35,7 @@ from flowscore.schema import (CATEGORICAL_COLUMNS, DROPPED_ON_WIRE, EXCLUDED_FRO
                               NORMAL_LABEL, PREDICTIONS_CAP_BYTES, RAW_RENAMES, SPIKE_FACTOR,
                               TRAINING_COLUMNS, WIRE_FIELDS,
                               numeric_wire_columns,
-                              training_schema, wire_v1)
+                              training_schema, wire_v1, wire_v2)
 from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
 from flowscore.operators.retention import evict
 from flowscore.operators.serve import alerts
@@ -187,6 +189,61 @@ def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_
     return StreamRun(query, out_path, checkpoint)
 
 
+class ScoringBatchWriter:
+    """foreachBatch body of the quarantining stream job.
+
+    The micro-batch (decoded once, rows flagged ``_bad``) is persisted; bad
+    rows go to the quarantine folder, good rows are zero-filled / scored and
+    written as documents (and alerts).  Every output is idempotent per
+    ``batch_id``; an error fails the batch so it is re-delivered."""
+
+    def __init__(self, model: FlowModel, out_path: str, quarantine_path: str,
+                 alerts_path: str | None, fill: str, normal_label: str):
+        self.model, self.fill, self.normal = model, fill, normal_label
+        self.out, self.quarantine, self.alerts = out_path, quarantine_path, alerts_path
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        from flowscore.schema import ENVELOPE_COLUMNS
+        from flowscore.streaming.sinks import ParquetBatchSink
+        batch = batch.persist()
+        try:
+            bad = batch.where(F.col("_bad")).select(CORRUPT_COLUMN, *ENVELOPE_COLUMNS)
+            ParquetBatchSink(self.quarantine)(bad, batch_id)
+            good = batch.where(~F.col("_bad")).drop("_bad", CORRUPT_COLUMN)
+            if self.fill == "zero":
+                good = fill_zero(good, numeric_wire_columns())
+            keep = [c for c, _ in WIRE_FIELDS]
+            docs = to_documents(score(good, self.model, fill="model"), keep=keep).persist()
+            try:
+                ParquetBatchSink(self.out, ["attack_type"])(docs, batch_id)
+                if self.alerts:
+                    ParquetBatchSink(self.alerts, ["attack_type"])(alerts(docs, self.normal), batch_id)
+            finally:
+                docs.unpersist()
+        finally:
+            batch.unpersist()
+
+
+def score_stream_quarantined(spark: SparkSession, envelope: DataFrame, model_path: str,
+                             out_path: str, quarantine_path: str, checkpoint: str,
+                             fill: str = "model", alerts_path: str | None = None,
+                             normal_label: str = NORMAL_LABEL, available_now: bool = False,
+                             trigger: str | None = None) -> StreamRun:
+    """The streaming job with bad payloads routed to a quarantine table
+    instead of being scored as rows of zeros (widened wire schema, so an
+    int32 overflow is a value, not a bad row)."""
+    model = FlowModel.load(model_path)
+    flagged = decode_flagged(envelope, wire_v2())
+    writer = (flagged.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+                     .foreachBatch(ScoringBatchWriter(model, out_path, quarantine_path,
+                                                      alerts_path, fill, normal_label)))
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif trigger:
+        writer = writer.trigger(processingTime=trigger)
+    return StreamRun(writer.start(), out_path, checkpoint)
+
+
 def retention(spark: SparkSession, predictions_path: str,
               cap_bytes: int = PREDICTIONS_CAP_BYTES) -> list[int]:
     """Evict the oldest micro-batches of the stored predictions beyond the cap."""

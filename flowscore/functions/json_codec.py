@@ -62,6 +62,26 @@ def decode_json_lenient(df: DataFrame, fields: list[tuple[str, str]],
     return raw.select(*out, *extra)
 
 
+def decode_flagged(df: DataFrame, schema: T.StructType, value_col: str = "value",
+                   keep: list[str] | None = None) -> DataFrame:
+    """One decode pass that keeps every row: the record fields, the envelope,
+    ``_corrupt_record`` (raw text of a bad payload) and ``_bad`` (payload null
+    or not valid for the schema).  Split it later with ``where(_bad)``."""
+    keep = list(ENVELOPE_COLUMNS if keep is None else keep)
+    keep = [c for c in keep if c in df.columns]
+    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
+    text = F.col(value_col).cast("string")
+    parsed = df.select(
+        F.from_json(text, with_corrupt,
+                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("data"),
+        text.alias("_payload"), *keep)
+    bad = F.col("_payload").isNull() | F.col(f"data.{CORRUPT_COLUMN}").isNotNull()
+    return parsed.select(
+        *[F.col(f"data.{f.name}") for f in schema.fields], *keep,
+        F.coalesce(F.col(f"data.{CORRUPT_COLUMN}"), F.col("_payload")).alias(CORRUPT_COLUMN),
+        bad.alias("_bad"))
+
+
 def decode_with_quarantine(df: DataFrame, schema: T.StructType, value_col: str = "value",
                            keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Split a decoded stream into (good rows, quarantined rows).

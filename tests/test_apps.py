@@ -150,3 +150,28 @@ def test_monitor_stream_flags_spikes(spark, tmp_dir):
     from flowscore.streaming.sinks import latest_per_key
     res = {r.bucket.second: (r.n, r.spike) for r in latest_per_key(spark.read.parquet(run.output), ["bucket"]).collect()}
     assert res[2] == (30, True) and res[0] == (10, False)
+
+
+def test_stream_job_quarantines_bad_payloads(spark, tmp_dir):
+    from flowscore.sources.stream import file_stream
+    _training_csv(spark, tmp_dir + "/train")
+    apps.train_multiclass(spark, tmp_dir + "/train", tmp_dir + "/rf",
+                          params={"numTrees": 3, "maxDepth": 3})
+    src = spark.read.option("header", True).schema(training_schema()).csv(tmp_dir + "/train")
+    good = apps.encode_json(src.drop("id", "attack_cat", "label").limit(40))
+    bad = spark.createDataFrame([("not json",), (None,), ('{"sbytes": 1',)], "value string")
+    env = good.unionByName(bad).select(
+        F.col("value").cast("binary").alias("value"), F.lit("demo").alias("topic"),
+        F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset"),
+        F.current_timestamp().alias("timestamp"))
+    env.write.mode("overwrite").parquet(tmp_dir + "/in/b0")
+    run = apps.score_stream_quarantined(
+        spark, file_stream(spark, tmp_dir + "/in/*", env.schema), tmp_dir + "/rf",
+        tmp_dir + "/pred", tmp_dir + "/quarantine", tmp_dir + "/ckpt",
+        alerts_path=tmp_dir + "/alerts", available_now=True)
+    run.query.awaitTermination(300)
+    assert run.query.exception() is None
+    assert spark.read.parquet(tmp_dir + "/pred").count() == 40
+    q = spark.read.parquet(tmp_dir + "/quarantine")
+    assert q.count() == 3
+    assert sorted(str(r._corrupt_record) for r in q.collect()) == ['None', 'not json', '{"sbytes": 1']
