@@ -42,6 +42,11 @@ from flowscore.operators.serve import alerts
 from flowscore.streaming.jobs import StreamRun, start_multi_sink, start_sink, windowed_counts
 
 
+# Stored predictions: batch_id=<b>/event_date=<d>/attack_type=<t>/  (a
+# micro-batch usually spans one or two dates, so this adds few folders).
+SINK_PARTITIONS = ["event_date", "attack_type"]
+
+
 def _numeric_features(df: DataFrame, extra_excluded: list[str] = ()) -> list[str]:
     from flowscore.functions.columns import numeric_columns
     return numeric_columns(df, exclude=list(EXCLUDED_FROM_FEATURES) + list(extra_excluded))
@@ -181,9 +186,9 @@ def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_
     keep = [c for c, _ in WIRE_FIELDS]
     docs = to_documents(score(rec, model, fill=fill), keep=keep)
     if not alerts_path:
-        return start_sink(docs, out_path, checkpoint, partition_by=["attack_type"],
+        return start_sink(docs, out_path, checkpoint, partition_by=SINK_PARTITIONS,
                           available_now=available_now, processing_time=trigger)
-    outputs = {out_path: (lambda b: b, ["attack_type"]),
+    outputs = {out_path: (lambda b: b, SINK_PARTITIONS),
                alerts_path: (lambda b: alerts(b, normal_label), ["attack_type"])}
     query = start_multi_sink(docs, outputs, checkpoint, available_now, trigger)
     return StreamRun(query, out_path, checkpoint)
@@ -215,7 +220,7 @@ class ScoringBatchWriter:
             keep = [c for c, _ in WIRE_FIELDS]
             docs = to_documents(score(good, self.model, fill="model"), keep=keep).persist()
             try:
-                ParquetBatchSink(self.out, ["attack_type"])(docs, batch_id)
+                ParquetBatchSink(self.out, SINK_PARTITIONS)(docs, batch_id)
                 if self.alerts:
                     ParquetBatchSink(self.alerts, ["attack_type"])(alerts(docs, self.normal), batch_id)
             finally:

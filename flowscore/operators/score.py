@@ -49,14 +49,16 @@ def score(df: DataFrame, model: FlowModel, fill: str = "model") -> DataFrame:
     return with_confidence(pred)
 
 
-DOCUMENT_COLUMNS = ["attack_type", "confidence", "prediction", "timestamp", "kafka_metadata"]
+DOCUMENT_COLUMNS = ["attack_type", "confidence", "prediction", "timestamp", "event_date",
+                    "kafka_metadata"]
 
 
 def to_documents(scored: DataFrame, keep: list[str] = ()) -> DataFrame:
     """Prediction document: ``attack_type`` = decoded label, ``confidence`` =
     max probability, ``kafka_metadata`` = struct(topic, partition, offset,
-    timestamp); ``keep`` lists extra record columns to publish.  Vectors are
-    not published."""
+    timestamp); ``event_date`` = date of the timestamp (a partition column of
+    the stored table, so time-bounded reads prune folders); ``keep`` lists
+    extra record columns to publish.  Vectors are not published."""
     meta = F.struct(*[F.col(c) for c in ("topic", "partition", "offset", "timestamp")])
     return scored.select(
         *[F.col(c) for c in keep],
@@ -64,5 +66,6 @@ def to_documents(scored: DataFrame, keep: list[str] = ()) -> DataFrame:
         F.col("confidence"),
         F.col("prediction"),
         F.col("timestamp"),
+        F.to_date(F.col("timestamp")).alias("event_date"),
         meta.alias("kafka_metadata"),
     )

@@ -33,12 +33,23 @@ def fetch_first(pred: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
     return flat(pred.orderBy(F.col("timestamp").asc(), _part().asc(), _off().asc()).limit(n))
 
 
-def latest(pred: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
-    return flat(pred.orderBy(F.col("timestamp").desc(), _part().desc(), _off().desc()).limit(n))
+def _since(pred: DataFrame, since) -> DataFrame:
+    """Optional time bound: prunes ``event_date`` folders and, through the
+    Parquet min/max statistics, row groups of the timestamp column."""
+    if since is None:
+        return pred
+    bound = F.lit(since).cast("timestamp_ntz")
+    return pred.where((F.col("event_date") >= F.to_date(bound)) & (F.col("timestamp") >= bound))
 
 
-def top_confidence(pred: DataFrame, n: int = PAGE_SIZE) -> DataFrame:
-    return flat(pred.orderBy(F.col("confidence").desc_nulls_last(), F.col("timestamp").desc(),
+def latest(pred: DataFrame, n: int = PAGE_SIZE, since=None) -> DataFrame:
+    """Newest ``n`` documents; with ``since`` only recent folders are read."""
+    return flat(_since(pred, since).orderBy(F.col("timestamp").desc(), _part().desc(),
+                                            _off().desc()).limit(n))
+
+
+def top_confidence(pred: DataFrame, n: int = PAGE_SIZE, since=None) -> DataFrame:
+    return flat(_since(pred, since).orderBy(F.col("confidence").desc_nulls_last(), F.col("timestamp").desc(),
                              _part().desc(), _off().desc()).limit(n))
 
 
@@ -53,9 +64,9 @@ def by_offset(pred: DataFrame, n: int = PAGE_SIZE, partition: int | None = None)
     return flat(q.orderBy(_off().desc(), _part().desc()).limit(n))
 
 
-def alerts(pred: DataFrame, normal_label: str) -> DataFrame:
+def alerts(pred: DataFrame, normal_label: str, since=None) -> DataFrame:
     """Every non-normal prediction as an alert row."""
-    return pred.where(F.col("attack_type") != F.lit(normal_label)).select(
+    return _since(pred, since).where(F.col("attack_type") != F.lit(normal_label)).select(
         F.col("timestamp").alias("created_at"), "attack_type", "confidence",
         _part().alias("partition"), _off().alias("offset"))
 

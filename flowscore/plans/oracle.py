@@ -39,7 +39,7 @@ DOCS = EVENT_INDEX + """,
 docs as (
   select e.event_id, e.event_type as attack_type,
          round(e.value / (1 + e.value), 6) as confidence, idx.i as prediction,
-         e.ts as "timestamp", (e.event_id % 6)::int as "partition",
+         e.ts as "timestamp", e.ts::date as event_date, (e.event_id % 6)::int as "partition",
          (e.event_id // 6)::bigint as "offset"
   from events e join idx on e.event_type = idx.event_type)"""
 

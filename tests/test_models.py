@@ -103,7 +103,7 @@ def test_documents_layout(spark, rf_model):
                .withColumn("offset", F.col("l_orderkey")).withColumn("timestamp", F.current_timestamp()))
     docs = to_documents(score(env, rf_model), keep=["l_orderkey"])
     assert docs.columns == ["l_orderkey", "attack_type", "confidence", "prediction", "timestamp",
-                            "kafka_metadata"]
+                            "event_date", "kafka_metadata"]
     assert docs.select("kafka_metadata.offset").first()[0] is not None
 
 

@@ -99,3 +99,19 @@ def test_query_matches_oracle(spark, name):
     got = sorted("|".join(_norm(r[c]) for c in order) for r in df.collect())
     exp = sorted("|".join(_norm(row[ocols.index(c)]) for c in order) for row in cur.fetchall())
     assert got == exp
+
+
+def test_since_prunes_date_folders(spark, tmp_dir):
+    from datetime import datetime
+    rows = [("DoS", 0.5, datetime(2024, 1, d, 12), ("demo", 0, d)) for d in range(1, 11)]
+    df = spark.createDataFrame(
+        rows, "attack_type string, confidence double, timestamp timestamp_ntz, "
+              "kafka_metadata struct<topic:string,partition:int,offset:bigint>")
+    df = df.withColumn("event_date", F.to_date("timestamp"))
+    df.write.partitionBy("event_date").parquet(tmp_dir + "/p")
+    pred = spark.read.parquet(tmp_dir + "/p")
+    q = S.latest(pred, 3, since="2024-01-08 00:00:00")
+    assert [r.offset for r in q.collect()] == [10, 9, 8]
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan or "event_date" in plan
+    assert [r.offset for r in S.latest(pred, 3).collect()] == [10, 9, 8]
