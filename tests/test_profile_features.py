@@ -1,6 +1,5 @@
 """Profiling, features, evaluation, running totals: Spark vs brute force."""
 
-import math
 import random
 
 import pandas as pd

@@ -2,7 +2,6 @@
 oracle comparison of the registered queries on sf0.001."""
 
 import math
-import os
 
 import duckdb
 import pytest
