@@ -468,10 +468,24 @@ def stream_append(spark, sf_dir):
 
 
 def stream_restart(spark, sf_dir):
-    """Same stream started twice on one checkpoint: nothing is written twice."""
+    """Restart on one checkpoint while new data arrives: the events table
+    lands in two parts (hash split of the key, together the whole table);
+    the stream runs after the first, stops, and resumes after the second.
+    Every event must come out exactly once."""
+    ev = _t(spark, sf_dir, "events")
+    src = fresh_dir(spark, "stream_src")
     out, ckpt = fresh_dir(spark, "stream_out"), fresh_dir(spark, "stream_ckpt")
-    run_to_end(_stream_decoded(spark, sf_dir), out, ckpt)
-    run = run_to_end(_stream_decoded(spark, sf_dir), out, ckpt)
+    first = train_flag(F.col("event_id"))
+    ev.where(first).write.parquet(src + "/arrival=1")
+
+    def decoded():
+        stream = spark.readStream.schema(SI.EVENTS_SCHEMA).parquet(src + "/*")
+        rec = decode_json(SI.envelope(stream), wire_v1(STANDIN_FIELDS))
+        return C.fill_zero(rec, SI.RECORD_NUMERIC)
+
+    run_to_end(decoded(), out, ckpt)
+    ev.where(~first).write.parquet(src + "/arrival=2")
+    run = run_to_end(decoded(), out, ckpt)
     return spark.read.parquet(run.output).drop("batch_id")
 
 
