@@ -395,6 +395,7 @@ def score_conformed(spark, sf_dir):
                      LINEITEM_RAW_RENAMES)
     test = test.withColumn("l_returnflag", clean_label(F.col("l_returnflag"), {"A": 0, "N": 1, "R": 2},
                                                         default="N"))
+    test = bucket_unseen_join(test, "l_linestatus", train)
     scored = score(test, model)
     return accuracy_f1(scored.withColumn("y", F.col("l_returnflag")), "y", "prediction_label")
 
