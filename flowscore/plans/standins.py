@@ -22,6 +22,7 @@ from flowscore.operators.score import decode_labels, to_documents
 from flowscore.schema import (STANDIN_COUNTER_FACTOR, STANDIN_FIELDS, TOPIC,
                               TOPIC_PARTITIONS, UNKNOWN_LABEL, numeric_wire_columns)
 from flowscore.session import shared_dir
+from flowscore.sources.predictions import read_predictions
 from flowscore.sources.tables import read_table, spread, table_path
 
 # Stand-in vocabularies for the label operators (the event types play the
@@ -138,4 +139,4 @@ def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     if not fs.exists(done):
         (prediction_documents(spark, sf_dir).write.mode("overwrite")
              .partitionBy("attack_type").parquet(path))
-    return spark.read.parquet(path)
+    return read_predictions(spark, path)

@@ -114,3 +114,12 @@ def test_since_prunes_date_folders(spark, tmp_dir):
     plan = q._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "event_date" in plan
     assert [r.offset for r in S.latest(pred, 3).collect()] == [10, 9, 8]
+
+
+def test_numeric_looking_attack_types_stay_text(spark, tmp_dir):
+    from flowscore.sources.predictions import read_predictions
+    df = spark.createDataFrame([("0", 1.0), ("1", 0.5)], "attack_type string, confidence double")
+    ParquetBatchSink(tmp_dir + "/p", ["attack_type"])(df, 0)
+    pred = read_predictions(spark, tmp_dir + "/p")
+    assert dict(pred.dtypes)["attack_type"] == "string"
+    assert sorted(r.attack_type for r in pred.collect()) == ["0", "1"]
