@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from flowscore.operators.features import assembler_stage, imputer_stage, index_stage
 from flowscore.schema import UNKNOWN_LABEL
+from flowscore.session import shared_dir
 
 LABEL_INDEX = "label_index"
 
@@ -107,6 +108,10 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
     features as-is; the size hint lets the assembler keep invalid rows."""
     params = dict(params or {})
     categorical = list(categorical)
+    # Tree learners checkpoint their node ids every ``checkpointInterval``
+    # iterations, but only when a checkpoint folder is set: make sure the
+    # shared one is, so a lost executor does not replay the whole fit.
+    shared_dir(train.sparkSession)
     # Every stage fit and every tree level / boosting round scans the input:
     # materialise it once (spills to disk when it does not fit in memory;
     # lost blocks are recomputed from lineage if an executor dies).

@@ -24,6 +24,7 @@ from flowscore.schema import (STANDIN_COUNTER_FACTOR, STANDIN_FIELDS, TOPIC,
 from flowscore.session import shared_dir
 from flowscore.sources.predictions import read_predictions
 from flowscore.sources.tables import read_table, spread, table_path
+from flowscore.streaming.sinks import rebalanced
 
 # Stand-in vocabularies for the label operators (the event types play the
 # role of attack categories; "view" plays the normal class).
@@ -137,6 +138,6 @@ def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
     fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(done):
-        (prediction_documents(spark, sf_dir).write.mode("overwrite")
-             .partitionBy("attack_type").parquet(path))
+        (rebalanced(prediction_documents(spark, sf_dir), ["attack_type"])
+             .write.mode("overwrite").partitionBy("attack_type").parquet(path))
     return read_predictions(spark, path)

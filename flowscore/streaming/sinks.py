@@ -16,12 +16,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 
+def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Group rows by the output folder before a partitioned write.
+
+    Without it every task writes one file into every folder it has rows for
+    (tasks x folders small files per batch).  The rebalance is planned by
+    AQE: small folders are coalesced into one task, and a folder holding a
+    large share of the rows (one attack type) is split into files of the
+    advisory size instead of landing in a single task."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 @dataclass
 class ParquetBatchSink:
     path: str
     partition_by: list[str] = field(default_factory=list)
+    rebalance: bool = True
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.rebalance:
+            batch = rebalanced(batch, self.partition_by)
         w = batch.write.mode("overwrite")
         if self.partition_by:
             w = w.partitionBy(*self.partition_by)
@@ -56,11 +70,17 @@ def latest_per_key(df: DataFrame, keys: list[str], batch_col: str = "batch_id")
 
 
 def document_writer(make_client, database: str, collection: str,
-                    key_columns: tuple[str, ...] = ("topic", "partition", "offset")):
+                    key_columns: tuple[str, ...] = ("topic", "partition", "offset"),
+                    chunk_rows: int = 1000, replace_op=None):
     """foreachBatch function writing JSON documents to a document store from
     the executors (``foreachPartition``), upserting on the source position so
     a replayed batch does not duplicate.  ``make_client`` builds a client on
-    the executor (any client with ``[db][collection].replace_one`` and ``close``)."""
+    the executor (any client with ``[db][collection]`` and ``close``).
+
+    Upserts go out in bulk, ``chunk_rows`` per round trip, when the collection
+    has ``bulk_write``: ``replace_op(key, doc)`` builds one operation (by
+    default the client library's ``ReplaceOne`` with upsert).  Otherwise one
+    ``replace_one`` per row.  A partition holds at most one chunk in memory."""
     def write(batch: DataFrame, batch_id: int) -> None:
         docs = batch.select(*key_columns, F.to_json(F.struct("*")).alias("_doc"))
 
@@ -69,10 +89,27 @@ def document_writer(make_client, database: str, collection: str,
             client = make_client()
             try:
                 coll = client[database][collection]
+                op = replace_op
+                if op is None and hasattr(coll, "bulk_write"):
+                    try:
+                        from pymongo import ReplaceOne
+                        op = lambda key, doc: ReplaceOne(key, doc, upsert=True)
+                    except ImportError:
+                        op = None
+                bulk = op is not None and hasattr(coll, "bulk_write")
+                pending = []
                 for r in rows:
-                    doc = json.loads(r["_doc"])
                     key = {k: r[k] for k in key_columns}
-                    coll.replace_one(key, doc, upsert=True)
+                    doc = json.loads(r["_doc"])
+                    if not bulk:
+                        coll.replace_one(key, doc, upsert=True)
+                        continue
+                    pending.append(op(key, doc))
+                    if len(pending) >= chunk_rows:
+                        coll.bulk_write(pending, ordered=False)
+                        pending = []
+                if pending:
+                    coll.bulk_write(pending, ordered=False)
             finally:
                 client.close()
 
