@@ -28,6 +28,10 @@ DEFAULT_CONF = {
 }
 
 
+# Initial shuffle partitions per core (see ``initial_shuffle_partitions``).
+SHUFFLE_PARTITIONS_PER_CORE = 4
+
+
 def get_session(master: str | None = None, app_name: str = "flowscore",
                 shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
@@ -41,9 +45,25 @@ def get_session(master: str | None = None, app_name: str = "flowscore",
         builder = builder.config(k.replace("__", "."), v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not shuffle_partitions and not spark.sparkContext.getConf().contains(
+            "spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       str(initial_shuffle_partitions(spark.sparkContext.defaultParallelism)))
     return spark
 
 
+def initial_shuffle_partitions(cores: int, per_core: int = SHUFFLE_PARTITIONS_PER_CORE,
+                               floor: int = 200) -> int:
+    """Shuffle partitions when neither the caller nor the cluster set them.
+
+    AQE can only merge shuffle partitions, never split them (except skewed
+    join / rebalance partitions), so the initial count must be large enough
+    for the biggest shuffle: a few waves per core.  Small shuffles (most of
+    ours follow a partial aggregation) are coalesced back to
+    ``advisoryPartitionSizeInBytes`` at run time."""
+    return max(floor, per_core * int(cores))
+
+
 def _configured_checkpoint_dir(spark: SparkSession) -> str | None:
     value = spark.conf.get("spark.checkpoint.dir", None)
     if value:
