@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowscore.streaming.sinks import MultiParquetSink, ParquetBatchSink
@@ -61,14 +62,36 @@ def run_to_end(df: DataFrame, output: str, checkpoint: str, partition_by: list[s
     return run
 
 
+_NTZ_EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+
+
+def ntz_as_utc_instant(c: str) -> F.Column:
+    """``timestamp_ntz`` wall time -> the ``timestamp`` instant of that wall
+    time in UTC, whatever the session time zone (a plain cast reads it in the
+    session zone: hour windows would start at :30 in a +5:30 zone and the
+    skipped hour of a daylight-saving change would move)."""
+    return F.expr(f"timestamp_micros(timestampdiff(MICROSECOND, {_NTZ_EPOCH}, `{c}`))")
+
+
+def utc_instant_as_ntz(c: F.Column) -> F.Column:
+    """Inverse of ``ntz_as_utc_instant``."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), F.expr(_NTZ_EPOCH))
+
+
 def windowed_counts(stream: DataFrame, ts: str, bucket: str = "1 hour",
                     watermark: str = "1 hour") -> DataFrame:
     """Per-bucket counts on a stream, late data bounded by the watermark.
-    ``timestamp_ntz`` is cast to ``timestamp`` (watermarks need the latter)."""
-    t = stream.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", watermark)
+
+    Watermarks need a ``timestamp``: a ``timestamp_ntz`` column is read as
+    UTC wall time (independent of the session zone) and the bucket start is
+    returned as ``timestamp_ntz`` again."""
+    ntz = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    event_time = ntz_as_utc_instant(ts) if ntz else F.col(ts)
+    t = stream.withColumn("_ts", event_time).withWatermark("_ts", watermark)
+    start = utc_instant_as_ntz(F.col("w.start")) if ntz else F.col("w.start")
     return (t.groupBy(F.window("_ts", bucket).alias("w"))
              .agg(F.count(F.lit(1)).alias("n"))
-             .select(F.col("w.start").alias("bucket"), "n"))
+             .select(start.alias("bucket"), "n"))
 
 
 def read_output(spark: SparkSession, run: StreamRun) -> DataFrame:

@@ -167,3 +167,24 @@ def test_partitioned_sink_writes_few_files_per_folder(spark, tmp_dir):
             assert all(len(f) == 1 for f in files.values())
         else:
             assert max(len(f) for f in files.values()) == 6
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Kolkata", "America/New_York"])
+def test_windowed_counts_ignore_session_time_zone(spark, tmp_dir, zone):
+    """timestamp_ntz buckets equal the hour of the wall time in any session
+    zone (a +5:30 zone, a daylight-saving zone)."""
+    from flowscore.streaming.jobs import windowed_counts
+    ev = read_table(spark, SF, "events")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        stream = file_stream(spark, SF + "/events*.parquet", ev.schema)
+        run = run_to_end(windowed_counts(stream, "ts"), tmp_dir + "/out", tmp_dir + "/ckpt",
+                         output_mode="update")
+        got = latest_per_key(spark.read.parquet(run.output), ["bucket"])
+        want = (ev.groupBy(F.window("ts", "1 hour").start.alias("bucket"))
+                  .agg(F.count(F.lit(1)).alias("n")))
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema]
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
