@@ -25,12 +25,14 @@ def json_column(columns: list[str | Column]) -> Column:
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
                 keep: list[str] | None = None) -> DataFrame:
     """Parse a binary / string JSON payload with a fixed schema and flatten it
-    beside the envelope columns.  PERMISSIVE: a malformed payload gives a row
-    of nulls, a missing field gives null, an extra field is ignored."""
+    beside the envelope columns.  PERMISSIVE (the default mode): a malformed
+    payload gives a row of nulls, a missing field gives null, an extra field
+    is ignored.  No options are passed on purpose: Catalyst prunes the parse
+    to the one field a query uses only when ``from_json`` has no options."""
     keep = list(ENVELOPE_COLUMNS if keep is None else keep)
     keep = [c for c in keep if c in df.columns]
     parsed = df.select(
-        F.from_json(F.col(value_col).cast("string"), schema, {"mode": "PERMISSIVE"}).alias("data"),
+        F.from_json(F.col(value_col).cast("string"), schema).alias("data"),
         *keep,
     )
     return parsed.select("data.*", *keep)
@@ -88,17 +90,8 @@ def decode_with_quarantine(df: DataFrame, schema: T.StructType, value_col: str =
 
     A row is quarantined when its payload is null or not valid JSON for the
     schema; the raw text is kept in ``_corrupt_record``."""
-    keep = list(ENVELOPE_COLUMNS if keep is None else keep)
-    keep = [c for c in keep if c in df.columns]
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    text = F.col(value_col).cast("string")
-    parsed = df.select(
-        F.from_json(text, with_corrupt,
-                    {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN}).alias("data"),
-        text.alias("_payload"),
-        *keep,
-    )
-    bad_cond = F.col("_payload").isNull() | F.col(f"data.{CORRUPT_COLUMN}").isNotNull()
-    good = parsed.where(~bad_cond).select(*[F.col(f"data.{f.name}") for f in schema.fields], *keep)
-    bad = parsed.where(bad_cond).select(F.col("_payload").alias(CORRUPT_COLUMN), *keep)
+    flagged = decode_flagged(df, schema, value_col, keep)
+    keep = [c for c in (ENVELOPE_COLUMNS if keep is None else keep) if c in df.columns]
+    good = flagged.where(~F.col("_bad")).select(*[f.name for f in schema.fields], *keep)
+    bad = flagged.where(F.col("_bad")).select(CORRUPT_COLUMN, *keep)
     return good, bad

@@ -85,3 +85,13 @@ def test_all_wire_fields_decode(spark):
                               for n, c in WIRE_FIELDS if n != "id") + "}"
     r = decode_json(_env(spark, [payload]), wire_v1()).first()
     assert r.id is None and r.proto == "x" and r.ct_dst_src_ltm == 1
+
+
+def test_decode_of_one_field_parses_only_that_field(spark):
+    """Catalyst prunes from_json to the used field (it never does when
+    from_json carries an options map)."""
+    df = decode_json(_env(spark, ['{"stcpb": 7, "proto": "tcp"}']), wire_v1())
+    plan = df.select("proto")._jdf.queryExecution().optimizedPlan().toString()
+    parse = next(line for line in plan.splitlines() if "from_json" in line)
+    assert parse.count("StructField(") == 1 and "StructField(proto," in parse
+    assert df.select("proto").first().proto == "tcp"
