@@ -25,6 +25,9 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.forceDeleteTempCheckpointLocation": "true",
+    # Reliable checkpoints (bucket counts, batch sizes, tree node ids) are
+    # removed from the shared folder once their DataFrame is out of scope.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
