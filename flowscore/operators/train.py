@@ -47,6 +47,17 @@ class FlowModel:
     features: list[str] = field(default_factory=list)
     categorical: list[str] = field(default_factory=list)
 
+    def vocabulary(self, column: str) -> list[str]:
+        """Categories of ``column`` seen at fit time, read from the fitted
+        indexer (model metadata bounded by the category count, no scan)."""
+        for stage in self.pipeline.stages:
+            if isinstance(stage, StringIndexerModel):
+                inputs = (stage.getInputCols() if stage.isSet("inputCols")
+                          else [stage.getInputCol()])
+                if column in inputs:
+                    return list(stage.labelsArray[inputs.index(column)])
+        raise KeyError(f"no fitted indexer for column {column!r}")
+
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(path + "/pipeline")
         if self.label_indexer is not None:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from flowscore.functions.columns import numeric_columns, schema_diff
 from flowscore.functions.json_codec import (decode_json, decode_json_lenient,
                                             decode_with_quarantine, json_column)
-from flowscore.functions.labels import bucket_unseen_join, clean_label, code_of
+from flowscore.functions.labels import bucket_unseen, bucket_unseen_join, clean_label, code_of
 from flowscore.operators import conform as C
 from flowscore.operators import profile as P
 from flowscore.operators import serve as S
@@ -395,7 +395,10 @@ def score_conformed(spark, sf_dir):
                      LINEITEM_RAW_RENAMES)
     test = test.withColumn("l_returnflag", clean_label(F.col("l_returnflag"), {"A": 0, "N": 1, "R": 2},
                                                         default="N"))
-    test = bucket_unseen_join(test, "l_linestatus", train)
+    # unseen categories -> Unknown with the vocabulary the fitted indexer
+    # holds: no second scan of the training split, no join
+    test = test.withColumn("l_linestatus",
+                           bucket_unseen(F.col("l_linestatus"), model.vocabulary("l_linestatus")))
     scored = score(test, model)
     return accuracy_f1(scored.withColumn("y", F.col("l_returnflag")), "y", "prediction_label")
 

@@ -122,3 +122,11 @@ def test_binary_features_exclude_row_id(spark, tmp_dir):
     _training_csv(spark, tmp_dir + "/train")
     model, _ = apps.train_binary(spark, tmp_dir + "/train", params={"maxIter": 3})
     assert "id" not in model.features and "label" not in model.features
+
+
+def test_vocabulary_is_the_fitted_indexer_labels(spark, rf_model):
+    train, _ = train_test_split(_lineitem(spark), "l_orderkey")
+    seen = sorted(r[0] for r in train.select("l_linestatus").distinct().collect())
+    assert sorted(rf_model.vocabulary("l_linestatus")) == seen
+    with pytest.raises(KeyError):
+        rf_model.vocabulary("l_tax")
