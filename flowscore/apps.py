@@ -36,7 +36,8 @@ from flowscore.schema import (CATEGORICAL_COLUMNS, DROPPED_ON_WIRE, EXCLUDED_FRO
                               TRAINING_COLUMNS, WIRE_FIELDS,
                               numeric_wire_columns,
                               training_schema, wire_v1, wire_v2)
-from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
+from flowscore.sources.files import (first_n_in_file_order, read_csv, read_headerless_csv,
+                                     read_names, write_csv)
 from flowscore.operators.retention import evict
 from flowscore.operators.serve import alerts
 from flowscore.streaming.jobs import StreamRun, start_multi_sink, start_sink, windowed_counts
@@ -134,14 +135,12 @@ def monitor_stream(stream: DataFrame, ts: str, base_per_bucket: float, bucket: s
 
 
 def make_sample(spark: SparkSession, raw_path: str, names_path: str, out_path: str,
-                n: int = 2000, order: tuple[str, ...] = ("srcip", "sport", "stime")) -> DataFrame:
-    """First ``n`` raw rows, conformed, written as CSV with a header.
-
-    "First" is made deterministic by an explicit order (top-n, not a scan of
-    whatever partition arrives first)."""
+                n: int = 2000) -> DataFrame:
+    """First ``n`` rows of the raw file(s) in file order, conformed, written
+    as CSV with a header.  A top-n on the rows' file positions, not a scan of
+    whatever partition arrives first."""
     raw = read_raw(spark, raw_path, names_path)
-    keys = [c for c in order if c in raw.columns] or raw.columns[:1]
-    sample = conform_raw(first_n(raw, n, *keys))
+    sample = conform_raw(first_n_in_file_order(raw, n))
     write_csv(sample.coalesce(1), out_path, header=True)
     return sample
 

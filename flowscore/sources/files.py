@@ -54,3 +54,22 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 def first_n(df: DataFrame, n: int, *order: str) -> DataFrame:
     """Deterministic first-n: top-n by the given key (TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)
+
+
+def with_file_position(df: DataFrame) -> DataFrame:
+    """Tag each row of a FILE SCAN with its position in the input files:
+    (file path, start of the split, increasing id within the task).  Call it
+    directly on the scan, before any shuffle: a task reads each split from
+    start to end, so within one (file, split) the id follows the file."""
+    return df.withColumns({
+        "_file": F.col("_metadata.file_path"),
+        "_split": F.col("_metadata.file_block_start"),
+        "_row": F.monotonically_increasing_id(),
+    })
+
+
+def first_n_in_file_order(df: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of the input files in file order (files by path),
+    as a top-n: every task keeps its own first n, only those are merged."""
+    return (with_file_position(df).orderBy("_file", "_split", "_row").limit(n)
+            .drop("_file", "_split", "_row"))

@@ -175,3 +175,26 @@ def test_stream_job_quarantines_bad_payloads(spark, tmp_dir):
     q = spark.read.parquet(tmp_dir + "/quarantine")
     assert q.count() == 3
     assert sorted(str(r._corrupt_record) for r in q.collect()) == ['None', 'not json', '{"sbytes": 1']
+
+
+def test_first_n_in_file_order_across_splits(spark, tmp_dir):
+    """A file cut into many splits (and a second file): the first n rows
+    are the first n lines of the files, in path order."""
+    import glob
+    from pyspark.sql import types as T
+    from flowscore.sources.files import first_n_in_file_order, read_headerless_csv
+    scrambled = spark.range(10000).select(((F.col("id") * 7919) % 10000).alias("k"))
+    scrambled.coalesce(1).write.option("header", False).csv(tmp_dir + "/a")
+    scrambled.limit(10).coalesce(1).write.option("header", False).csv(tmp_dir + "/b")
+    files = sorted(glob.glob(tmp_dir + "/a/*.csv")) + sorted(glob.glob(tmp_dir + "/b/*.csv"))
+    lines = [int(x) for f in files for x in open(f).read().split()]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = read_headerless_csv(spark, [tmp_dir + "/a", tmp_dir + "/b"], ["k"], {"k": T.LongType()})
+        assert df.rdd.getNumPartitions() > 5
+        for n in (1, 2000, 10005):
+            got = [r.k for r in first_n_in_file_order(df, n).collect()]
+            assert got == lines[:n]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
