@@ -58,9 +58,11 @@ def null_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Type and non-null count per column, one pass."""
+    """Type and non-missing count per column, one pass.  Like a pandas
+    ``info()``, NaN in a floating column counts as missing (the same rule
+    as ``null_profile``; Spark's ``count(col)`` alone would count it)."""
     fields = df.schema.fields
-    aggs = [F.count(F.col(f.name)).alias(f"_v{i}") for i, f in enumerate(fields)]
+    aggs = [F.count_if(~_missing(f)).alias(f"_v{i}") for i, f in enumerate(fields)]
     return _stack(df.agg(*aggs), [f.name for f in fields],
                   extra={"data_type": [f.dataType.simpleString() for f in fields]},
                   value_name="non_null")

@@ -65,8 +65,10 @@ def _vocab_case(expr: str, vocab: list[str]) -> str:
 
 
 def _column_profile() -> str:
-    parts = [f"select '{c}' as column_name, '{t}' as data_type, count({c})::bigint as non_null from lineitem"
-             for c, t in LINEITEM_TYPES]
+    def present(c, t):
+        return f"count_if({c} is not null and not isnan({c}))" if t == "double" else f"count({c})"
+    parts = [f"select '{c}' as column_name, '{t}' as data_type, {present(c, t)}::bigint as non_null "
+             f"from lineitem" for c, t in LINEITEM_TYPES]
     return "\nunion all ".join(parts)
 
 

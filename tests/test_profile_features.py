@@ -29,9 +29,11 @@ def test_null_and_column_profile_one_pass(spark):
     nulls = {r.column_name: r.n_missing for r in P.null_profile(df).collect()}
     assert nulls == {"a": 1, "b": 2, "c": 1}
     prof = {r.column_name: (r.data_type, r.non_null) for r in P.column_profile(df).collect()}
-    assert prof == {"a": ("int", 2), "b": ("double", 2), "c": ("string", 2)}
+    # NaN is missing in both profiles (pandas info() semantics)
+    assert prof == {"a": ("int", 2), "b": ("double", 1), "c": ("string", 2)}
     shape = P.dataset_shape(df).first()
     assert (shape.n_rows, shape.n_columns) == (3, 3)
+    assert all(prof[c][1] + nulls[c] == shape.n_rows for c in df.columns)
 
 
 def test_counts_per_source_rollup(spark):
