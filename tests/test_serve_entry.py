@@ -84,6 +84,28 @@ FAST = ["decode_kafka_json", "decode_lenient", "quarantine", "encode_json", "fil
         "top_confidence", "alerts", "counts_per_source", "stream_append"]
 
 
+# Queries whose results involve event time: they must not depend on the
+# session zone, the partition count or adaptive execution (a cluster's
+# session may differ from ours).
+TIME_QUERIES = ["throughput", "stream_throughput", "latest_predictions", "fetch_first_100",
+                "alerts", "first_n_rows"]
+OTHER_SESSION = {"spark.sql.session.timeZone": "Asia/Kolkata",
+                 "spark.sql.shuffle.partitions": "37",
+                 "spark.sql.adaptive.enabled": "false"}
+
+
+@pytest.mark.parametrize("name", TIME_QUERIES)
+def test_query_matches_oracle_in_another_session(spark, name):
+    before = {k: spark.conf.get(k) for k in OTHER_SESSION}
+    for k, v in OTHER_SESSION.items():
+        spark.conf.set(k, v)
+    try:
+        test_query_matches_oracle(spark, name)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, name):
     from __spark_entry__ import oracle_sql, queries
