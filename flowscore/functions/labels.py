@@ -17,11 +17,16 @@ def code_of(c: Column, mapping: dict[str, int] = LABEL_CODES) -> Column:
 
 
 def clean_label(c: Column, mapping: dict[str, int] = LABEL_CODES,
-                default: str = NORMAL_LABEL, unknown: str = UNKNOWN_LABEL) -> Column:
-    """Missing label -> default; trimmed; known spelling kept, otherwise ``unknown``.
+                default: str = NORMAL_LABEL, unknown: str = UNKNOWN_LABEL,
+                aliases: dict[str, str] | None = None) -> Column:
+    """Missing label -> default; trimmed; ``aliases`` (spelling variant ->
+    label, after trimming) applied; known label kept, otherwise ``unknown``.
 
     (The reference maps unmapped labels to class 0; we keep them apart.)"""
     t = F.coalesce(F.trim(c), F.lit(default))
+    if aliases:
+        lookup = F.create_map(*[F.lit(x) for x in chain.from_iterable(aliases.items())])
+        t = F.coalesce(lookup[t], t)
     return F.when(t.isin(list(mapping)), t).otherwise(F.lit(unknown))
 
 

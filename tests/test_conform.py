@@ -76,6 +76,13 @@ def test_label_code_cleanup_unknown(spark):
     assert LABEL_CODES["Normal"] == 0 and len(LABEL_CODES) == 10
 
 
+def test_label_aliases_fold_spelling_variants(spark):
+    df = spark.createDataFrame([(" Backdoors",), ("Backdoor",), ("Backdors",), (None,)], "l string")
+    lab = clean_label(F.col("l"), aliases={"Backdoors": "Backdoor"})
+    assert [r.c for r in df.select(lab.alias("c")).collect()] == \
+        ["Backdoor", "Backdoor", "__unknown__", "Normal"]
+
+
 def test_unseen_bucket_both_forms(spark):
     df = spark.createDataFrame([("tcp",), ("udp",), ("sctp",)], "proto string")
     small = [r.p for r in df.select(bucket_unseen(F.col("proto"), ["tcp", "udp"]).alias("p")).collect()]
