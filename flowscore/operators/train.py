@@ -32,10 +32,18 @@ LABEL_INDEX = "label_index"
 # Reference model settings (random forest).
 RF_PARAMS = dict(numTrees=50, maxDepth=6, maxBins=256, featureSubsetStrategy="sqrt",
                  subsamplingRate=0.7, seed=42)
-# Execution settings (same model, fewer passes): keep each row's node id
-# between levels instead of re-walking the trees; the node-id RDD is
-# checkpointed to the shared checkpoint folder every 10 iterations.
-TREE_EXEC = dict(cacheNodeIds=True, checkpointInterval=10)
+# Execution settings (same model): deep trees keep each row's node id
+# between levels instead of re-walking the trees, the node-id RDD
+# checkpointed to the shared checkpoint folder every 10 iterations.  Shallow
+# trees (boosting) re-walk: a few comparisons per row cost less than
+# persisting and checkpointing a node id for every row.
+DEEP_TREE = 5
+TREE_EXEC = dict(checkpointInterval=10)
+
+
+def _tree_exec(params: dict, default_depth: int = 5) -> dict:
+    depth = params.get("maxDepth", default_depth)
+    return {**TREE_EXEC, "cacheNodeIds": depth >= DEEP_TREE}
 
 
 @dataclass
@@ -91,16 +99,17 @@ def _read_text(path: str) -> str:
 
 def _classifier(kind: str, label: str, n_bins: int, params: dict):
     if kind == "rf":
-        p = {**RF_PARAMS, **TREE_EXEC, **params}
+        p = {**RF_PARAMS, **params}
+        p = {**_tree_exec(p), **p}
         p["maxBins"] = max(p["maxBins"], n_bins)
         return RandomForestClassifier(featuresCol="features", labelCol=label, **p)
     if kind == "lr":
         return LogisticRegression(featuresCol="features", labelCol=label, **params)
     if kind == "gbt":
-        p = {"seed": 42, "maxBins": max(32, n_bins), **TREE_EXEC, **params}
+        p = {"seed": 42, "maxBins": max(32, n_bins), **_tree_exec(params), **params}
         return GBTClassifier(featuresCol="features", labelCol=label, **p)
     if kind == "ovr":
-        p = {"seed": 42, "maxBins": max(32, n_bins), **TREE_EXEC, **params}
+        p = {"seed": 42, "maxBins": max(32, n_bins), **_tree_exec(params), **params}
         parallelism = p.pop("parallelism", 8)  # binary models fitted concurrently
         return OneVsRest(classifier=GBTClassifier(**p), featuresCol="features",
                          labelCol=label, parallelism=parallelism)

@@ -130,3 +130,13 @@ def test_vocabulary_is_the_fitted_indexer_labels(spark, rf_model):
     assert sorted(rf_model.vocabulary("l_linestatus")) == seen
     with pytest.raises(KeyError):
         rf_model.vocabulary("l_tax")
+
+
+def test_node_id_cache_only_for_deep_trees():
+    from flowscore.operators.train import _classifier
+    assert _classifier("rf", "y", 32, {}).getCacheNodeIds()            # depth 6
+    assert _classifier("gbt", "y", 32, {}).getCacheNodeIds()           # default depth 5
+    assert not _classifier("gbt", "y", 32, {"maxDepth": 3}).getCacheNodeIds()
+    ovr = _classifier("ovr", "y", 32, {"maxDepth": 3})
+    assert not ovr.getClassifier().getCacheNodeIds()
+    assert _classifier("rf", "y", 32, {"cacheNodeIds": False}).getCacheNodeIds() is False
