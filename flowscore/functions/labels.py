@@ -41,9 +41,18 @@ def bucket_unseen_join(df: DataFrame, column: str, vocabulary: DataFrame,
 
     Both sides are shuffled on the category key (no broadcast of a vocabulary
     that grows with the data); AQE turns it into a broadcast when the
-    distinct vocabulary is small at run time."""
+    distinct vocabulary is small at run time.
+
+    The vocabulary is deduplicated on (hash of the key, key): still one row
+    per key, but hash-partitioned differently from the join, so the join
+    shuffles it again (one row per key, cheap).  A plain ``distinct()``
+    would be reused as the join's partitioning, and AQE can only split a
+    skewed partition -- a key holding a third of the rows of ``df`` -- when
+    both join sides come straight from a shuffle."""
     out = out or column
-    vocab = vocabulary.select(F.col(column).alias("_seen")).distinct()
+    seen = F.col(column)
+    vocab = (vocabulary.select(F.xxhash64(seen).alias("_h"), seen.alias("_seen"))
+                       .distinct().select("_seen"))
     joined = df.join(vocab, df[column] == vocab["_seen"], "left")
     return joined.withColumn(
         out, F.when(F.col("_seen").isNotNull(), F.col(column)).otherwise(F.lit(unknown))
