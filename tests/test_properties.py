@@ -52,3 +52,9 @@ def test_index_then_label_is_identity(spark, vals):
     out = decode_labels(m.transform(df), list(m.labels) + [UNKNOWN_LABEL], prediction="y_index", out="back")
     for r in out.collect():
         assert r.back == (r.y if r.y is not None else UNKNOWN_LABEL)
+
+
+def test_initial_shuffle_partitions_scale_with_cores():
+    from flowscore.session import initial_shuffle_partitions
+    assert initial_shuffle_partitions(8) == 200              # floor on small machines
+    assert initial_shuffle_partitions(8000) == 32000         # 1,000 executors x 8 cores
