@@ -161,16 +161,34 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
     # iterations, but only when a checkpoint folder is set: make sure the
     # shared one is, so a lost executor does not replay the whole fit.
     shared_dir(train.sparkSession)
-    # Every stage fit and every tree level / boosting round scans the input:
-    # materialise it once (spills to disk when it does not fit in memory;
-    # lost blocks are recomputed from lineage if an executor dies).
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = fit_input(train)
     try:
         return _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors)
     finally:
         train.unpersist()
 
 
+def fit_input(train: DataFrame) -> DataFrame:
+    """The training input, persisted, with at least one partition per core.
+
+    Every stage fit and every tree level / boosting round scans the input,
+    so it is materialised once (spilling to disk when it does not fit in
+    memory; lost blocks are recomputed from lineage if an executor dies).
+    An input coming out of a shuffle may have been coalesced by AQE into
+    fewer partitions than cores (a few hundred MB in one 128 MB-target
+    partition), and Spark ML would then train on a few cores: such an input
+    is spread round-robin and the spread copy kept instead.  Reading the
+    partition count runs only the upstream stages the fit needs anyway."""
+    cached = train.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if cached.rdd.getNumPartitions() >= cores:
+        return cached
+    spread = cached.repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
+    spread.count()          # materialise from the first cache, then drop it
+    cached.unpersist()
+    return spread
+
+
 def _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors):
     label_indexer = None
     labels = None
