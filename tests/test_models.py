@@ -148,17 +148,3 @@ def test_tree_memory_fits_the_heap_per_task(spark):
     assert 16 <= mb <= 256 and mb <= max(16, _heap_per_task_mb(spark) / 4)
     assert _classifier("rf", "y", 32, {}).getMaxMemoryInMB() == mb
     assert _classifier("rf", "y", 32, {"maxMemoryInMB": 64}).getMaxMemoryInMB() == 64
-
-
-def test_fit_input_has_a_partition_per_core(spark):
-    from flowscore.operators.train import fit_input
-    cores = spark.sparkContext.defaultParallelism
-    narrow = _lineitem(spark).coalesce(1)
-    wide = _lineitem(spark).repartition(cores + 2)
-    for df, want in ((narrow, cores), (wide, cores + 2)):
-        got = fit_input(df)
-        try:
-            assert got.rdd.getNumPartitions() == want and got.is_cached
-            assert got.count() == _lineitem(spark).count()
-        finally:
-            got.unpersist()
