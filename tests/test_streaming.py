@@ -188,3 +188,19 @@ def test_windowed_counts_ignore_session_time_zone(spark, tmp_dir, zone):
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_document_writer_falls_back_without_client_library(spark, tmp_dir):
+    """bulk_write available but no operation builder and no client library
+    installed: per-row upserts, every row once."""
+    import glob
+    import importlib.util
+    import json
+    from flowscore.streaming.sinks import document_writer
+    if importlib.util.find_spec("pymongo") is not None:
+        pytest.skip("client library installed: the default bulk operation is used")
+    ev = read_table(spark, SF, "events")
+    env = SI.envelope(ev).select("topic", "partition", "offset")
+    document_writer(_file_store(tmp_dir, bulk=True), "db", "predictions")(env, 0)
+    calls = [json.loads(line) for p in glob.glob(tmp_dir + "/*.jsonl") for line in open(p)]
+    assert {c["kind"] for c in calls} == {"one"} and len(calls) == ev.count()
