@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from __spark_entry__ import queries  # noqa: E402
+from flowscore.plans.catalog import QUERIES  # noqa: E402
 from flowscore.session import get_session  # noqa: E402
 
 SKIP = {"train_rf", "train_lr", "train_gbt", "train_gbt_ovr", "batch_score", "score_conformed",
@@ -67,7 +67,7 @@ def main():
     names = sys.argv[2:]
     spark = get_session("local[8]", shuffle_partitions=8)
     spark.conf.set("spark.sql.adaptive.enabled", "false")  # show the static plan
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         if (names and name not in names) or (not names and name in SKIP):
             continue
         print(report(name, fn(spark, sf_dir)))

@@ -11,10 +11,10 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 from plan_report import SKIP, _single_partition_consumers, plan_text  # noqa: E402
 
-from __spark_entry__ import queries  # noqa: E402
+from flowscore.plans.catalog import QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-PLAN_QUERIES = sorted(n for n in queries() if n not in SKIP)
+PLAN_QUERIES = sorted(n for n in QUERIES if n not in SKIP)
 
 # Running totals: the only single-partition step is the prefix over block
 # totals (one row per day / per 1,000 batches), never over raw rows.
@@ -28,8 +28,7 @@ def static_plans(spark):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        qs = queries()
-        yield {n: plan_text(qs[n](spark, SF)) for n in PLAN_QUERIES}
+        yield {n: plan_text(QUERIES[n](spark, SF)) for n in PLAN_QUERIES}
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowscore.operators import serve as S
 from flowscore.operators.retention import evict
+from flowscore.plans.catalog import QUERIES
 from flowscore.sources.tables import TABLES
 from flowscore.streaming.sinks import ParquetBatchSink
 
@@ -61,7 +62,7 @@ def test_contract_shapes():
     from __spark_entry__ import oracle_sql, queries
     q, o = queries(), oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == MODEL_QUERIES
+    assert set(QUERIES) - set(o) == MODEL_QUERIES
 
 
 def test_entry_runs(spark):
