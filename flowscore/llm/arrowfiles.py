@@ -52,8 +52,8 @@ class PartWriter:
         self._n = self.written = 0
         self._rows: list[tuple] = []
 
-    def add(self, doc, ids: bytes) -> None:
-        ids = np.frombuffer(ids, dtype="<u4").astype(self._dtype)
+    def add(self, doc, ids: np.ndarray) -> None:
+        ids = ids.astype(self._dtype)
         self._rows.append((doc, self.written, len(ids)))
         self.written += len(ids)
         self._held.append(ids)
@@ -137,15 +137,17 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
 
     def run(batches):
         task, encoder, writer, count = TaskContext.get(), tokens.encoder(path), None, 0
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                if writer is None:
-                    writer = PartWriter(folder, task.partitionId(), task.taskAttemptId(), batch.schema.field(0).type,
-                                        encoder.vocabulary > 1 << 16, sequence)
-                writer.add(doc.as_py(), encoder.encode(text.as_py() or "") + end)
-                count += 1
-        if writer is not None:
+            if writer is None:
+                writer = PartWriter(folder, task.partitionId(), task.taskAttemptId(), batch.schema.field(0).type,
+                                    encoder.vocabulary > 1 << 16, sequence)
+            for i in range(0, batch.num_rows, 512):
+                part = batch.slice(i, 512)
+                for doc, ids in zip(part.column(0).to_pylist(), encoder.encode_many(part.column(1)), strict=True):
+                    writer.add(doc, np.concatenate([ids, end]))
+            count += batch.num_rows
+        if count:
             yield pa.RecordBatch.from_arrays(
                 [pa.array([task.partitionId()], pa.int32()), pa.array([writer.close()]),
                  pa.array([writer.written], pa.int64()), pa.array([count], pa.int64())],

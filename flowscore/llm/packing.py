@@ -36,19 +36,19 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
         width = "<u2" if encoder.vocabulary <= 1 << 16 else "<u4"
         frequency = np.zeros(encoder.vocabulary, dtype=np.int64)
         seen, total, total_tokens = np.zeros(encoder.vocabulary, dtype=bool), 0, 0
-        end, kind = np.array([end_id], dtype="<u4").tobytes(), None
+        end, kind = np.array([end_id], dtype=width), None
         for batch in batches:
             kind = batch.schema.field(0).type
-            for i in range(0, batch.num_rows, 256):
-                part, out = batch.slice(i, 256), []
-                for text in part.column(1):
-                    ids = np.frombuffer(encoder.encode(text.as_py() or "") + end, dtype="<u4")
+            for i in range(0, batch.num_rows, 512):
+                part, out = batch.slice(i, 512), []
+                for ids in encoder.encode_many(part.column(1)):
+                    ids = np.concatenate([ids.astype(width), end])
                     seen[ids] = True
                     here = np.flatnonzero(seen)
                     frequency[here] += 1
                     seen[here] = False
                     total, total_tokens = total + 1, total_tokens + len(ids)
-                    out.append(ids.astype(width).tobytes())
+                    out.append(ids.tobytes())
                 none = pa.nulls(len(out))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(out, pa.binary()), none.cast(pa.list_(pa.int32())),

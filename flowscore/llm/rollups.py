@@ -26,7 +26,8 @@ def token_counts(docs: DataFrame, text_col: str = "text", path: str | None = Non
     def run(batches):
         encoder = tokens.encoder(path)
         for batch in batches:
-            counts = [len(encoder.encode(t.as_py() or "")) // 4 for t in batch.column(batch.num_columns - 1)]
+            texts = batch.column(batch.num_columns - 1)
+            counts = [len(ids) for i in range(0, len(texts), 512) for ids in encoder.encode_many(texts.slice(i, 512))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())],
                                              names=[*batch.schema.names[:-1], out_col])
 

@@ -1,9 +1,11 @@
 """Encoding of whole texts with the public tokenizers, as little-endian unsigned 32-bit ids.
 
-White space ends a token in both vocabularies, so a text is cut at plain single spaces, each cut piece is encoded
-once by the tokenizers library and its ids are kept (as bytes) for the next time the piece comes up.  The ids are
-those of the whole text: a single space between two characters that are not white space always starts a new
-pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
+White space ends a token in both vocabularies, so a text is cut at plain single spaces and line ends, each cut piece is
+encoded once by the tokenizers library and its ids are kept (as bytes) for the next time the piece comes up.  The ids
+are those of the whole text: a single space or line end between two characters that are not white space always starts a
+new pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
+Pieces that are one Latin word, alone or before a comma or full stop, go to the library's merge model directly, and
+only the word is kept.
 The memo holds two generations of ``memo_size`` pieces at most, so a worker's memory is bounded.
 """
 
@@ -11,15 +13,25 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 #: Longer pieces (no spaces for a long stretch) are encoded but not kept.
 MEMO_PIECE = 64
+#: Bytes of text cut into pieces at once; a longer text is encoded in parts of that size.
+SLICE = 4 << 20
 # A single space between two characters that are not white space, as a zero-width cut before it.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+# Byte-level vocabularies spell each byte as a character: printable ones as themselves, the others from 256 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+# Letters below this code point are the same in every Unicode version.
+_LATIN_END = "\u0250"
 
 
 def tokenizer_path(name: str) -> str:
@@ -30,56 +42,155 @@ def tokenizer_path(name: str) -> str:
 class Encoder:
     """Texts to id bytes.  ``path`` is a tokenizers JSON file; special-token strings in a text are ordinary text."""
 
-    def __init__(self, path: str, memo_size: int = 400_000):
+    def __init__(self, path: str, memo_size: int = 700_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True
+        self._model = self._tok.model
         self.vocabulary = self._tok.get_vocab_size()
-        # Piece without the space before it -> ids with that space; the generation in use and the one before.
+        # Piece -> ids.  A piece is what follows a space (not part of the key) or begins a line ("\n" and the piece).
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._memo_size = memo_size
+        self._newline, self._comma, self._stop = self._encode(["\n", ",", "."])
+        self._lower = self._tok.normalizer is not None
+        self._space = self._spelled_space()
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
                 for e in self._tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        if _odd(first):
-            return self._plain(text)
-        out = list(map(self._memo.get, rest))
-        if None in out:
-            older = self._older
-            unseen = {}
-            for i, ids in enumerate(out):
-                if ids is None:
-                    piece = rest[i]
-                    ids = older.get(piece)
+    def _merge(self, spelled: str) -> bytes:
+        return array("I", [t.id for t in self._model.tokenize(spelled)]).tobytes()
+
+    def _spelled_space(self) -> str | None:
+        """What the space before a word is to the merge model; None if words can't be handed to it alone."""
+        probes = ["the", "Word", "\u00c9lan", "stra\u00dfe", "\u00f1and\u00fa"]
+        for space in (chr(_SPELLED[32]), ""):
+            self._space = space
+            if [self._word(p, space) for p in probes] == self._encode([" " + p for p in probes]) and \
+                    self._encode([" the,", " the."]) == [self._word("the", space) + x for x in (self._comma, self._stop)]:
+                return space
+        return None
+
+    def _word(self, word: str, space: str) -> bytes | None:
+        """Ids of a Latin word after a space (or none), None if it is not one."""
+        if not word.isalpha():
+            return None
+        if word.isascii():
+            return self._merge(space + (word.lower() if self._lower else word))
+        if max(word) >= _LATIN_END:
+            return None
+        if self._lower:  # composed letters stay what they are when composed and lower-cased
+            word = word.lower()
+            if not word.isalpha():
+                return None
+        return self._merge(space + word.encode().decode("latin-1").translate(_SPELLED))
+
+    def _piece(self, piece: str) -> bytes | None:
+        """Ids of a piece that is a word, a comma or full stop after it or not; None if it is anything else."""
+        space, first, last = self._space, piece[0] == "\n", piece[-1]
+        if space is None:
+            return None
+        if first:
+            end = self._comma if last == "," else self._stop if last == "." else b""
+            ids = self._word(piece[1:-1] if end else piece[1:], "")
+            return None if ids is None else self._newline + ids + end
+        if last not in ",.":
+            ids = self._word(piece, space)
+            if ids is not None and len(piece) <= MEMO_PIECE:
+                self._memo[piece] = ids
+            return ids
+        word = piece[:-1]
+        ids = self._memo.get(word) or self._older.get(word) or self._word(word, space)
+        if ids is None:
+            return None
+        if len(word) <= MEMO_PIECE:
+            self._memo[word] = ids
+        return ids + (self._comma if last == "," else self._stop)
+
+    def _pieces(self, pieces: list[str]) -> list[bytes | None]:
+        """Ids of each distinct piece, None for one beside other white space (which is never kept)."""
+        memo, older, rest = self._memo, self._older, []
+        out = list(map(memo.get, pieces))
+        for i, ids in enumerate(out):
+            if ids is None:
+                piece = pieces[i]
+                if not piece or piece == "\n" or piece[-1].isspace() or piece[piece[0] == "\n"].isspace():
+                    continue
+                ids = older.get(piece)
+                if ids is not None:
+                    memo[piece] = out[i] = ids
+                else:
+                    out[i] = ids = self._piece(piece)
                     if ids is None:
-                        unseen[piece] = b""
-                    else:
-                        out[i] = self._memo[piece] = ids
-            if unseen:
-                # A piece beside other white space is never kept, so it always comes by here.
-                if any(map(_odd, unseen)):
-                    return self._plain(text)
-                pieces = list(unseen)
-                unseen.update(zip(pieces, self._encode([" " + p for p in pieces]), strict=True))
-                out = [unseen[p] if ids is None else ids for p, ids in zip(rest, out, strict=True)]
-                self._memo.update((p, ids) for p, ids in unseen.items() if len(p) <= MEMO_PIECE)
-            if len(self._memo) > self._memo_size:
-                self._memo, self._older = {}, self._memo
-        return b"".join([*self._encode([first]), *out])
-
-    def _plain(self, text: str) -> bytes:
-        return b"".join(self._encode(_CUT.split(text)))
+                        rest.append(i)
+        if rest:
+            unseen = [pieces[i] for i in rest]
+            for i, piece, ids in zip(rest, unseen, self._encode([p if p[0] == "\n" else " " + p for p in unseen]),
+                                     strict=True):
+                out[i] = ids
+                if len(piece) <= MEMO_PIECE:
+                    memo[piece] = ids
+        if len(memo) > self._memo_size:
+            self._memo, self._older = {}, memo
+        return out
+
+    def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a string array (null: none), a few MB of text at a time."""
+        texts = texts.cast(pa.string()).fill_null("")
+        ends, out = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), []
+        at = 0
+        while at < len(texts):
+            done = ends[at - 1] if at else 0
+            to = max(int(np.searchsorted(ends, done + SLICE, side="right")), at + 1)
+            if ends[to - 1] - done > SLICE:
+                out.append(np.frombuffer(self._plain(texts[at].as_py()), dtype="<u4"))
+            else:
+                out += self._slice(texts.slice(at, to - at))
+            at = to
+        return out
+
+    def _slice(self, texts: pa.Array) -> list[np.ndarray]:
+        """Each distinct piece of the texts is looked up once; ids are then laid out by arithmetic on their lengths."""
+        lined = pc.replace_substring(pc.binary_join_element_wise("\n", texts, ""), "\n", " \n")
+        split = pc.split_pattern(lined, " ")
+        # The text's own start is a space and a line end, so its first piece is empty.
+        firsts = split.offsets.to_numpy() - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.zeros(len(found), dtype=bool)
+        if None in found:
+            odd[[i for i, x in enumerate(found) if x is None]] = True
+            found = [x or b"" for x in found]
+        lengths = np.array(list(map(len, found)), dtype=np.int64) >> 2
+        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        index = coded.indices.to_numpy()
+        index_odd = odd[index]
+        index_odd[firsts[:-1]] = False
+        sizes = lengths[index]
+        stops = np.concatenate(([0], np.cumsum(sizes)))
+        ids = flat[np.repeat((np.cumsum(lengths) - lengths)[index] - stops[:-1], sizes) + np.arange(stops[-1])]
+        starts, ends = stops[firsts[:-1]] + (len(self._newline) >> 2), stops[firsts[1:]]
+        out = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+        for i in np.unique(np.searchsorted(firsts, np.flatnonzero(index_odd), side="right") - 1).tolist():
+            out[i] = np.frombuffer(self._plain(texts[i].as_py()), dtype="<u4")
+        return out
 
+    def encode(self, text: str) -> bytes:
+        return self.encode_many(pa.array([text], pa.string()))[0].tobytes()
 
-def _odd(piece: str) -> bool:
-    """Whether the spaces around the piece stand beside other white space."""
-    return not piece or piece[0].isspace() or piece[-1].isspace()
+    def _plain(self, text: str) -> bytes:
+        """Whole parts of a text, cut at single spaces only where it is very long."""
+        out, at = [], 0
+        while len(text) - at > SLICE:
+            cut = _CUT.search(text, at + SLICE // 2)
+            if cut is None:
+                break
+            out.append(text[at:cut.start()])
+            at = cut.start()
+        return b"".join(self._encode([*out, text[at:]]))
 
 
 _ENCODERS: dict[str, Encoder] = {}
