@@ -18,10 +18,9 @@ LEAST_COSINE = 1 / math.sqrt(langid.DIMENSIONS)
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the languages of the corpus; texts without a letter, or no nearer to any language than
     chance, go."""
-    columns = docs.columns
-    named = docs.select(F.struct(*columns).alias("row"), "text")
-    found = langid.predict(named, langid.train(docs))
-    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") > LEAST_COSINE)).select("row.*")
+    found = langid.predict(docs, langid.train(docs), pred_col="__lang", score_col="__score")
+    kept = found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") > LEAST_COSINE))
+    return kept.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

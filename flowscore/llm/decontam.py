@@ -108,9 +108,12 @@ def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
 def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, want: bool) -> DataFrame:
     """Rows that may share a seed, with those seeds (``want``), or the other rows as they are."""
 
+    plain = docs.schema[text_col].dataType.simpleString() == "string"
+    text_at = text_col if plain else "__text"
+
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index("__text")
+            at = batch.schema.get_field_index(text_at)
             for k in range(0, batch.num_rows, 512):
                 part, chosen, hits = batch.slice(k, 512), [], []
                 for row, text in enumerate(part.column(at)):
@@ -121,7 +124,8 @@ def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, w
                         chosen.append(row)
                         hits.append(np.unique(hit).view(np.int64))
                 if chosen:
-                    out = part.take(pa.array(chosen)).drop_columns(["__text"])
+                    out = part.take(pa.array(chosen))
+                    out = out if plain else out.drop_columns([text_at])
                     columns, names = [*out.columns], [*out.schema.names]
                     if want:
                         columns.append(pa.array(hits, pa.list_(pa.int64())))
@@ -129,7 +133,7 @@ def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, w
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return docs.withColumn("__text", F.col(text_col).cast("string")).mapInArrow(
+    return (docs if plain else docs.withColumn(text_at, F.col(text_col).cast("string"))).mapInArrow(
         run, ", ".join(schema + ["__seeds array<bigint>"] * want))
 
 

@@ -174,13 +174,15 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
 
     A null text, one without a letter, or no prototypes at all gives ``und`` and score 0.  Equal cosines go to the
     first language in alphabetical order.  Columns of ``docs`` with the two new names are replaced."""
+    rest = docs.drop(pred_col, score_col)
+    text_at = text_col if text_col in rest.columns and docs.schema[text_col].dataType.simpleString() == "string" else "__text"
     names, matrix = list(prototypes), np.array(list(prototypes.values())).reshape(-1, dimensions)
 
     def run(batches):
         book = codebook(dimensions, n, seed)
         for batch in batches:
             found, scores = [], []
-            for text in batch.column(batch.schema.get_field_index("__text")):
+            for text in batch.column(batch.schema.get_field_index(text_at)):
                 vector = book.bundle(text.as_py() or "") if names else None
                 norm = np.linalg.norm(vector) if vector is not None else 0
                 if not norm:
@@ -191,11 +193,10 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
                 best = int(np.argmax(cosines))
                 found.append(names[best])
                 scores.append(float(min(max(cosines[best], 0.0), 1.0)))
-            kept = batch.drop_columns(["__text"])
+            kept = batch if text_at == text_col else batch.drop_columns([text_at])
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                                              names=[*kept.schema.names, pred_col, score_col])
 
-    rest = docs.drop(pred_col, score_col)
     schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema],
                         f"`{pred_col}` string", f"`{score_col}` double"])
-    return rest.withColumn("__text", docs[text_col].cast("string")).mapInArrow(run, schema)
+    return (rest if text_at == text_col else rest.withColumn(text_at, docs[text_col].cast("string"))).mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from flowscore.llm.scratch import keep
 WINDOW = 2048
 END_ID = 1
 #: Tokens a shard's index covers.
-SHARD_TOKENS = 1 << 21
+SHARD_TOKENS = 1 << 20
 #: A seed asks with its terms of highest weight, so many at most.
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75

@@ -24,7 +24,7 @@ WORD_BPE = "word_bpe_49k.json"
 #: Longer pieces (no spaces for a long stretch) are encoded but not kept.
 MEMO_PIECE = 64
 #: Bytes of text cut into pieces at once; a longer text is encoded in parts of that size.
-SLICE = 4 << 20
+SLICE = 2 << 20
 # A single space between two characters that are not white space, as a zero-width cut before it.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 # Byte-level vocabularies spell each byte as a character: printable ones as themselves, the others from 256 on.
@@ -42,7 +42,7 @@ def tokenizer_path(name: str) -> str:
 class Encoder:
     """Texts to id bytes.  ``path`` is a tokenizers JSON file; special-token strings in a text are ordinary text."""
 
-    def __init__(self, path: str, memo_size: int = 700_000):
+    def __init__(self, path: str, memo_size: int = 450_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
@@ -164,14 +164,15 @@ class Encoder:
         if None in found:
             odd[[i for i, x in enumerate(found) if x is None]] = True
             found = [x or b"" for x in found]
-        lengths = np.array(list(map(len, found)), dtype=np.int64) >> 2
+        lengths = np.array(list(map(len, found)), dtype=np.int32) >> 2
         flat = np.frombuffer(b"".join(found), dtype="<u4")
         index = coded.indices.to_numpy()
         index_odd = odd[index]
         index_odd[firsts[:-1]] = False
         sizes = lengths[index]
-        stops = np.concatenate(([0], np.cumsum(sizes)))
-        ids = flat[np.repeat((np.cumsum(lengths) - lengths)[index] - stops[:-1], sizes) + np.arange(stops[-1])]
+        stops = np.concatenate((np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)))
+        places = (np.cumsum(lengths, dtype=np.int32) - lengths)[index] - stops[:-1]
+        ids = flat[np.repeat(places, sizes) + np.arange(stops[-1], dtype=np.int32)]
         starts, ends = stops[firsts[:-1]] + (len(self._newline) >> 2), stops[firsts[1:]]
         out = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         for i in np.unique(np.searchsorted(firsts, np.flatnonzero(index_odd), side="right") - 1).tolist():
