@@ -103,6 +103,8 @@ class Encoder:
                 self._memo[piece] = ids
             return ids
         word = piece[:-1]
+        if not word.isalpha() or not word.isascii() and max(word) >= _LATIN_END:
+            return None  # other signs merge with the last one
         ids = self._memo.get(word) or self._older.get(word) or self._word(word, space)
         if ids is None:
             return None

@@ -1,7 +1,7 @@
 """URL rules by a sort-merge range join, with DataFrame functions only.
 
 A rule (host, path) fits its host and all subdomains where the URL's path starts with the rule's.  The canonical key of
-a rule is its host's labels reversed, a blank, and its path; a URL has one key for each of its host's suffixes that
+a rule is its host's labels reversed, a gap, and its path; a URL has one key for each of its host's suffixes that
 could be a rule's host.  The URLs a rule fits are then those with a key in the interval of texts that begin with the
 rule's key.  Such intervals are nested or apart, so one sweep over their sorted ends with a stack of the rules that are
 open gives, for every stretch between two ends, the innermost rule.  Keys are dealt to ranges, each range starts with the
@@ -21,6 +21,7 @@ DEFAULT_VERDICT = "allow"
 #: Rules are swept in one row, so their number is checked against this bound.
 MOST_RULES = 200_000
 _LAST = "\U0010FFFF"
+_GAP = "\x01"  # between host and path in a key
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -97,11 +98,11 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     near = F.split("near", r"\.")
     keyed = kinds.select("near", "start", F.explode(F.transform(
         F.sequence(F.lit(1), F.size(near)), lambda k: F.concat(
-            _reversed(F.slice(near, -k, k)), F.lit(" "), F.col("start")))).alias("key"))
+            _reversed(F.slice(near, -k, k)), F.lit(_GAP), F.col("start")))).alias("key"))
     keys = keep(keyed.repartitionByRange("key").withColumn("range", F.spark_partition_id()), "urlfilter")
     marks = keys.groupBy("range").agg(F.min("key").alias("key")).select("key", "range")
     ruled = known.select(
-        F.concat(_reversed(F.split("host", r"\.")), F.lit(" "), "path").alias("key"),
+        F.concat(_reversed(F.split("host", r"\.")), F.lit(_GAP), "path").alias("key"),
         F.concat("host", "path").alias("text"), "verdict",
         F.length(F.concat("host", "path")).alias("size")).withColumn(
         "rule", F.struct("text", "verdict", "size", "key"))
@@ -114,7 +115,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     order = Window.partitionBy("range").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
     swept = both.withColumn("rule", F.last("open", ignorenulls=True).over(order)["r"]).filter("turn = 3")
     best = swept.groupBy("near", "start").agg(F.max(F.when(F.col("rule").isNotNull(), F.struct(
-        F.col("rule.size").alias("size"), F.length("rule.key").alias("deep"), F.col("rule.text").alias("text"),
+        F.col("rule.size").alias("size"), F.position(F.lit(_GAP), F.col("rule.key")).alias("deep"), F.col("rule.text").alias("text"),
         F.col("rule.verdict").alias("verdict")))).alias("best"))
     return signed.join(best, ["near", "start"]).select(
         F.col("id").alias(id_col), "host", "path", F.col("best.text").alias("rule"),

@@ -10,7 +10,7 @@ from flowscore.llm import tokens
 NAMES = [tokens.BYTE_BPE, tokens.WORD_BPE]
 ODD = ["", " ", "\n", "a", " a", "a ", "a  b", "a\n\nb", "a \n b", "a\tb c", "\ta b", "Don't, stop. Now...", "é́ x",
        "ΑΣ Σ ς", "İstanbul ISTANBUL ı", "<|endoftext|> a<|endoftext|>b", "名前 は 何 ですか", "x y z", "a\r\nb c", "1234 5,6 7.",
-       "word, word. Word,word. ,a .b", "\x1c a\x1cb", "straße Ñandú, ÉLAN.", "ªº ²³ Ⅷ", "a" * 300 + " b"]
+       "word, word. Word,word. ,a .b", "\x1c a\x1cb", "straße Ñandú, ÉLAN.", "ªº ²³ Ⅷ", ". .. ... , ,, ,.", "中 中. 中, é. é.. .é", "a" * 300 + " b"]
 
 
 @pytest.fixture(scope="module", params=NAMES)
@@ -38,7 +38,7 @@ def test_words_go_to_the_merge_model(both):
     assert both[0]._space is not None
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.text(alphabet=st.sampled_from("abcé ßÑ\n\t.,'s1 İσΣ́ 中"), max_size=40))
 def test_any_text(both, text):
     assert same(both, text)
