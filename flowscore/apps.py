@@ -163,11 +163,12 @@ def publish(spark: SparkSession, raw_path: str, names_path: str, bootstrap: str
     return values
 
 
-def decode_records(envelope: DataFrame, lenient: bool = True) -> DataFrame:
-    """Kafka envelope -> flat record + envelope columns, numerics zero-filled."""
+def decode_records(envelope: DataFrame, lenient: bool = True, fill: str = "zero") -> DataFrame:
+    """Kafka envelope -> flat record + envelope columns; numerics zero-filled
+    with ``fill="zero"``, left missing for the fitted imputer with ``"model"``."""
     rec = (decode_json_lenient(envelope, WIRE_FIELDS) if lenient
            else decode_json(envelope, wire_v1()))
-    return fill_zero(rec, numeric_wire_columns())
+    return fill_zero(rec, numeric_wire_columns()) if fill == "zero" else rec
 
 
 def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_path: str,
@@ -181,7 +182,7 @@ def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_
     ``alerts_path`` the non-normal predictions are also written there (same
     micro-batch, same batch id)."""
     model = FlowModel.load(model_path)
-    rec = decode_records(envelope, lenient)
+    rec = decode_records(envelope, lenient, fill)
     keep = [c for c, _ in WIRE_FIELDS]
     docs = to_documents(score(rec, model, fill=fill), keep=keep)
     if not alerts_path:

@@ -75,8 +75,10 @@ def dataset_shape(df: DataFrame) -> DataFrame:
 
 
 def counts_per_source(df: DataFrame, source: str, label: str) -> DataFrame:
-    """Positives / negatives per source and overall (source = null row)."""
+    """Positives / negatives per source and overall (``is_total`` = 1; a null
+    source is a group of its own with ``is_total`` = 0)."""
     return (df.rollup(source)
-              .agg(F.count_if(F.col(label) == 1).alias("n_pos"),
+              .agg(F.grouping(source).cast("bigint").alias("is_total"),
+                   F.count_if(F.col(label) == 1).alias("n_pos"),
                    F.count_if(F.col(label) == 0).alias("n_neg"),
                    F.count(F.lit(1)).alias("n_rows")))

@@ -23,18 +23,21 @@ def batch_sizes(df: DataFrame, batch_col: str, columns: list[str] | None = None)
 
 def retain_newest(sizes: DataFrame, batch_col: str, cap_bytes: int = PREDICTIONS_CAP_BYTES,
                   block_batches: int = BLOCK_BATCHES) -> DataFrame:
-    """Batches to keep: newest first while the cumulative size is <= cap."""
+    """Batches to keep: newest first while the cumulative size is <= cap; the
+    newest one always, even if it alone exceeds the cap."""
     blk = F.expr(f"`{batch_col}` div {int(block_batches)}")
     shared_dir(sizes.sparkSession)
     sizes = sizes.checkpoint(eager=True)  # one row per batch; read twice below
     cum = running_total(sizes, batch_col, "bytes", blk, out="cum_bytes", descending=True)
-    return cum.where(F.col("cum_bytes") <= F.lit(cap_bytes))
+    return cum.where((F.col("cum_bytes") <= F.lit(cap_bytes)) | (F.col("cum_bytes") == F.col("bytes")))
 
 
 def evict(spark: SparkSession, table_path: str, batch_col: str = "batch_id",
           cap_bytes: int = PREDICTIONS_CAP_BYTES) -> list[int]:
     """Delete the partition folders of batches beyond the cap; returns them.
 
+    The newest batch always stays.
+
     Sizes come from the files themselves (Hadoop file lengths), so this reads
     metadata only.  The list of batch folders is bounded by the number of
     micro-batches kept, not by rows."""
@@ -52,7 +55,7 @@ def evict(spark: SparkSession, table_path: str, batch_col: str = "batch_id",
     kept, acc, dropped = True, 0, []
     for bid, size in sizes:
         acc += size
-        if kept and acc <= cap_bytes:
+        if kept and (acc <= cap_bytes or bid == sizes[0][0]):
             continue
         kept = False
         dropped.append(bid)

@@ -39,40 +39,17 @@ RF_PARAMS = dict(numTrees=50, maxDepth=6, maxBins=256, featureSubsetStrategy="sq
 # persisting and checkpointing a node id for every row.
 DEEP_TREE = 5
 TREE_EXEC = dict(checkpointInterval=10)
+# Split statistics a task aggregates per pass (features x bins x classes per
+# node).  It sets how many nodes are split per pass, which also orders the
+# forest's random feature draws, so it is one fixed value on every machine;
+# executors need this much heap per concurrent task beside the data.
+TREE_MEMORY_MB = 64
 
 
 def _tree_exec(params: dict, default_depth: int = 5) -> dict:
     depth = params.get("maxDepth", default_depth)
     return {**TREE_EXEC, "cacheNodeIds": depth >= DEEP_TREE,
-            "maxMemoryInMB": tree_memory_mb()}
-
-
-def _heap_per_task_mb(spark) -> float:
-    """Heap one concurrent task can count on: the JVM heap over the cores in
-    local mode (one JVM runs every task), else executor memory over
-    executor cores."""
-    sc = spark.sparkContext
-    if sc.master.startswith("local"):
-        heap = sc._jvm.java.lang.Runtime.getRuntime().maxMemory() / 2**20
-        return heap / max(1, sc.defaultParallelism)
-    mem = sc._jvm.org.apache.spark.util.Utils.memoryStringToMb(
-        spark.conf.get("spark.executor.memory", "1g"))
-    return mem / max(1, int(spark.conf.get("spark.executor.cores", "1")))
-
-
-def tree_memory_mb(cap: int = 256, floor: int = 16) -> int:
-    """``maxMemoryInMB`` of the tree learners: the split statistics a task
-    aggregates per pass (features x bins x classes per node).  Spark's 256 MB
-    on every one of 8 concurrent tasks does not fit a 1 GB heap, and an
-    OutOfMemoryError kills the executor; a quarter of the per-task heap
-    keeps it safe.  It sets how many nodes are split per pass, which also
-    orders the forest's random feature-subset draws: the same seed gives
-    the same forest only with the same per-task memory (and partitioning)."""
-    from pyspark.sql import SparkSession
-    spark = SparkSession.getActiveSession()
-    if spark is None:
-        return cap
-    return int(min(cap, max(floor, _heap_per_task_mb(spark) / 4)))
+            "maxMemoryInMB": TREE_MEMORY_MB}
 
 
 @dataclass

@@ -29,7 +29,7 @@ from flowscore.plans import standins as SI
 from flowscore.schema import STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
 from flowscore.session import fresh_dir
 from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
-from flowscore.sources.tables import read_table, spread
+from flowscore.sources.tables import for_fit, read_table
 from flowscore.streaming.jobs import run_to_end, windowed_counts
 from flowscore.streaming.sinks import latest_per_key
 
@@ -92,7 +92,7 @@ def first_n_rows(spark, sf_dir):
 
 def csv_roundtrip(spark, sf_dir):
     """Write with header, read back with a declared schema (no inference pass)."""
-    li = spread(_t(spark, sf_dir, "lineitem"))
+    li = _t(spark, sf_dir, "lineitem")
     path = fresh_dir(spark, "csv")
     write_csv(li, path, header=True)
     return read_csv(spark, path, schema=li.schema, header=True)
@@ -101,7 +101,7 @@ def csv_roundtrip(spark, sf_dir):
 def headerless_csv(spark, sf_dir):
     """Headerless CSV + a names dictionary (raw upper-case names) -> lower-case
     names, declared types."""
-    li = spread(_t(spark, sf_dir, "lineitem"))
+    li = _t(spark, sf_dir, "lineitem")
     base = fresh_dir(spark, "rawcsv")
     write_csv(li, base + "/data", header=False)
     names = spark.createDataFrame([(c.upper(),) for c in li.columns], "Name string")
@@ -323,7 +323,7 @@ EMBEDDING_DIM = 64
 
 
 def _embeddings(spark, sf_dir):
-    e = spread(_t(spark, sf_dir, "embeddings"))
+    e = for_fit(_t(spark, sf_dir, "embeddings"), "vec_id")
     return e.select("vec_id", F.col("label").cast("string").alias("label"),
                     array_to_vector(F.col("embedding")).alias("vec"))
 
@@ -333,8 +333,9 @@ _VEC = {"vec": EMBEDDING_DIM}
 
 def _labelled_docs(spark, sf_dir):
     lab = _t(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = spread(_t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source"))
-    return lab.join(docs, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    joined = lab.join(docs, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double"))
+    return for_fit(joined, "doc_id")
 
 
 def _model_output(scored: DataFrame, key: str, label: str) -> DataFrame:
@@ -353,8 +354,7 @@ def batch_score(spark, sf_dir):
     """Fit once, score the whole table in batch: label text + confidence."""
     emb = _embeddings(spark, sf_dir)
     train, _ = train_test_split(emb, "vec_id")
-    model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf",
-                           params={"numTrees": 20})
+    model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf")
     return _model_output(score(emb, model), "vec_id", "label")
 
 
@@ -382,14 +382,13 @@ def train_gbt(spark, sf_dir):
 def score_conformed(spark, sf_dir):
     """Train on the curated table, evaluate on the raw-file look of the test
     split after conforming and bucketing unseen categories."""
-    li = spread(_t(spark, sf_dir, "lineitem"))
+    li = _t(spark, sf_dir, "lineitem")
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     cols = ["l_orderkey", "l_linenumber", *feats, "l_linestatus", "l_returnflag"]
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     curated = li.select(*cols).withColumn("_k", key)
-    train = curated.where(train_flag(F.col("_k")))
-    model = fit_classifier(train, "l_returnflag", feats, ["l_linestatus"], kind="rf",
-                           params={"numTrees": 10, "maxDepth": 5})
+    train = for_fit(curated.where(train_flag(F.col("_k"))), "_k")
+    model = fit_classifier(train, "l_returnflag", feats, ["l_linestatus"], kind="rf")
     raw_test = raw_lineitem(li.where(~train_flag(key)))
     test = C.conform(raw_test, ["l_orderkey", "l_linenumber", *feats, "l_linestatus", "l_returnflag"],
                      LINEITEM_RAW_RENAMES)
@@ -497,8 +496,7 @@ def stream_score(spark, sf_dir):
     """A fitted pipeline applied to the stream; documents partitioned by type."""
     rec = SI.records(spark, sf_dir)
     train, _ = train_test_split(rec, "event_id")
-    model = fit_classifier(train, "event_type", ["user_id", "value"], kind="rf",
-                           params={"numTrees": 10, "maxDepth": 4})
+    model = fit_classifier(for_fit(train, "event_id"), "event_type", ["user_id", "value"], kind="rf")
     env = SI.events_envelope_stream(spark, sf_dir)
     srec = C.fill_zero(decode_json_lenient(env, STANDIN_FIELDS), SI.RECORD_NUMERIC)
     docs = to_documents(score(srec, model, fill="zero"), keep=["event_id"])
@@ -508,10 +506,11 @@ def stream_score(spark, sf_dir):
 
 
 def stream_throughput(spark, sf_dir):
-    """Hourly counts on the stream with a watermark, update mode, upserted."""
+    """Hourly counts on the stream, update mode, upserted; a back-fill has no
+    watermark, so late files count too."""
     ev = spark.readStream.schema(SI.EVENTS_SCHEMA).parquet(
         f"{sf_dir.rstrip('/')}/events*.parquet")
-    counts = windowed_counts(ev, "ts", "1 hour", "1 hour")
+    counts = windowed_counts(ev, "ts", "1 hour", None)
     out, ckpt = fresh_dir(spark, "tput"), fresh_dir(spark, "tput_ckpt")
     run = run_to_end(counts, out, ckpt, output_mode="update")
     res = latest_per_key(spark.read.parquet(run.output), ["bucket"])

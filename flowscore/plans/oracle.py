@@ -151,14 +151,14 @@ where event_type is not null group by event_type""",
 select e.event_type as label, idx.i as label_index, count(*)::bigint as "count"
 from events e join idx on e.event_type = idx.event_type
 group by e.event_type, idx.i""",
-    "counts_per_source": """select d.source, count_if(l.toxic = 1)::bigint as n_pos,
+    "counts_per_source": """select d.source, grouping(d.source)::bigint as is_total, count_if(l.toxic = 1)::bigint as n_pos,
   count_if(l.toxic = 0)::bigint as n_neg, count(*)::bigint as n_rows
 from documents d join labels l on d.doc_id = l.doc_id
 group by rollup (d.source)""",
-    "counts_per_file": """select 'documents.parquet' as file_name, count_if(l.toxic = 1)::bigint as n_pos,
+    "counts_per_file": """select f.file_name, grouping(f.file_name)::bigint as is_total, count_if(l.toxic = 1)::bigint as n_pos,
   count_if(l.toxic = 0)::bigint as n_neg, count(*)::bigint as n_rows
-from documents d join labels l on d.doc_id = l.doc_id
-group by rollup ('documents.parquet')""",
+from (select 'documents.parquet' as file_name, doc_id from documents) f join labels l on f.doc_id = l.doc_id
+group by rollup (f.file_name)""",
     "null_profile": _null_profile(),
     "dataset_shape": """select count(*)::bigint as n_rows,
   (select count(*) from information_schema.columns where table_name = 'lineitem')::bigint as n_columns

@@ -23,7 +23,7 @@ from flowscore.schema import (STANDIN_COUNTER_FACTOR, STANDIN_FIELDS, TOPIC,
                               TOPIC_PARTITIONS, UNKNOWN_LABEL, numeric_wire_columns)
 from flowscore.session import shared_dir
 from flowscore.sources.predictions import read_predictions
-from flowscore.sources.tables import read_table, spread, table_path
+from flowscore.sources.tables import read_table, table_path
 from flowscore.streaming.sinks import rebalanced
 
 # Stand-in vocabularies for the label operators (the event types play the
@@ -64,7 +64,7 @@ def envelope(events: DataFrame, payload: Column | None = None) -> DataFrame:
 
 
 def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return envelope(spread(read_table(spark, sf_dir, "events")))
+    return envelope(read_table(spark, sf_dir, "events"))
 
 
 MAX_FILES_PER_TRIGGER = 64
@@ -116,20 +116,23 @@ def prediction_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _input_signature(spark: SparkSession, path: str) -> str:
-    """Identity of an input file (path, length, modification time)."""
+    """Identity of an input within this session: path, length and modification
+    time of every file of the table."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
-    st = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p)
-    from flowscore import __version__
-    raw = f"{__version__}|{path}|{st.getLen()}|{st.getModificationTime()}"
-    return hashlib.sha1(raw.encode()).hexdigest()[:16]
+    files = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(p, True)
+    raw = [spark.sparkContext.applicationId]
+    while files.hasNext():
+        st = files.next()
+        raw.append(f"{st.getPath()}|{st.getLen()}|{st.getModificationTime()}")
+    return hashlib.sha1("\n".join([raw[0], *sorted(raw[1:])]).encode()).hexdigest()[:16]
 
 
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored predictions table the read side queries.
 
-    Written once per input (keyed by the events file identity) into the
-    shared checkpoint folder, partitioned by ``attack_type`` like the sink's
+    Written once per input and session (keyed by the identity of all events
+    files) into the shared checkpoint folder, partitioned by ``attack_type`` like the sink's
     output, then read back: serving queries scan the stored table (filters
     on the attack type prune folders) instead of re-scoring the stream."""
     src = table_path(sf_dir, "events")

@@ -83,10 +83,13 @@ def shared_dir(spark: SparkSession, *parts: str) -> str:
     """Path under the cluster's shared checkpoint folder.
 
     Reads ``spark.checkpoint.dir`` from the session; sets a local one only
-    when it is unset (tests, local runs).
+    when it is unset on a local master (tests).  On a cluster an unset folder
+    is an error: executors would each write to their own disk.
     """
     base = _configured_checkpoint_dir(spark)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="flowscore-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)

@@ -10,10 +10,11 @@ from pyspark.sql import types as T
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
              header: bool = True, encoding: str = "UTF-8") -> DataFrame:
     """CSV with header.  Pass ``schema`` at scale: inference costs a full
-    extra scan.  Without one, every column is read as text."""
+    extra scan.  Without one, every column is read as text.  A header whose
+    names don't stand in the schema's order is an error, not swapped columns."""
     reader = spark.read.option("header", header).option("encoding", encoding).option("mode", "PERMISSIVE")
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema).option("enforceSchema", not header)
     return reader.csv(path)
 
 
@@ -22,11 +23,13 @@ def read_names(spark: SparkSession, dictionary_path: str, name_column: str = "Na
     """Column names from the ``Name`` column of a dictionary CSV, in file order.
 
     The dictionary has one row per column of the raw table (tens of rows), so
-    bringing it to the driver is bounded by the schema width, not the data."""
+    bringing it to the driver is bounded by the schema width, not the data.
+    Undecodable bytes are ignored."""
     d = (spark.read.option("header", True).option("encoding", encoding)
               .csv(dictionary_path)
               .withColumn("_pos", F.monotonically_increasing_id()))
-    return [r[0] for r in d.orderBy("_pos").select(name_column).collect()]
+    name = F.regexp_replace(F.col(name_column), "\uFFFD", "")
+    return [r[0] for r in d.orderBy("_pos").select(name).collect()]
 
 
 def read_headerless_csv(spark: SparkSession, path: str | list[str], names: list[str],

@@ -23,17 +23,12 @@ def read_with_file_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
 
-def spread(scan: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin the rows of a SCAN over the cluster when it yields fewer
-    partitions than there are cores (small or single-row-group files).
-
-    Call it on a plain scan (optionally projected / filtered): there the
-    partition count comes from the file splits without running anything.
-    (On a plan that already shuffles, adaptive execution would have to run
-    the upstream stages to report a count -- and the shuffle already gives
-    parallelism.)  At scale the splits give thousands of partitions and
-    this is a no-op, so no shuffle is added there."""
-    target = min_partitions or scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= target:
-        return scan
-    return scan.repartition(target)
+#: Partitions of a model's training input (a fixed count, so the same data
+#: and seed give the same model on every cluster).
+FIT_PARTITIONS = 64
+
+
+def for_fit(df: DataFrame, *keys: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+    """Training rows dealt by a hash of their key and ordered by it, so a fit
+    doesn't depend on files, splits or cores."""
+    return df.repartition(partitions, *keys).sortWithinPartitions(*keys)

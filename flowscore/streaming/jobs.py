@@ -49,12 +49,15 @@ def start_multi_sink(df: DataFrame, outputs: dict, checkpoint: str, available_no
 
 
 def run_to_end(df: DataFrame, output: str, checkpoint: str, partition_by: list[str] = (),
-               output_mode: str = "append", timeout_s: int = 600) -> StreamRun:
-    """Process everything available now, then stop (tests and back-fills)."""
+               output_mode: str = "append", timeout_s: int | None = None) -> StreamRun:
+    """Process everything available now, then stop (tests and back-fills).
+
+    Waits however long that takes, unless the caller sets ``timeout_s``."""
     run = start_sink(df, output, checkpoint, partition_by, available_now=True,
                      output_mode=output_mode)
-    run.query.awaitTermination(timeout_s)
-    if run.query.isActive:
+    if timeout_s is None:
+        run.query.awaitTermination()
+    elif not run.query.awaitTermination(timeout_s):
         run.query.stop()
         raise TimeoutError(f"stream did not finish within {timeout_s}s")
     if run.query.exception() is not None:
@@ -79,15 +82,18 @@ def utc_instant_as_ntz(c: F.Column) -> F.Column:
 
 
 def windowed_counts(stream: DataFrame, ts: str, bucket: str = "1 hour",
-                    watermark: str = "1 hour") -> DataFrame:
+                    watermark: str | None = "1 hour") -> DataFrame:
     """Per-bucket counts on a stream, late data bounded by the watermark.
 
-    Watermarks need a ``timestamp``: a ``timestamp_ntz`` column is read as
+    Without a watermark (back-fills) every row counts whatever the order of
+    arrival, and the state is one row per bucket.  Event time needs a
+    ``timestamp``: a ``timestamp_ntz`` column is read as
     UTC wall time (independent of the session zone) and the bucket start is
     returned as ``timestamp_ntz`` again."""
     ntz = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
     event_time = ntz_as_utc_instant(ts) if ntz else F.col(ts)
-    t = stream.withColumn("_ts", event_time).withWatermark("_ts", watermark)
+    t = stream.withColumn("_ts", event_time)
+    t = t.withWatermark("_ts", watermark) if watermark else t
     start = utc_instant_as_ntz(F.col("w.start")) if ntz else F.col("w.start")
     return (t.groupBy(F.window("_ts", bucket).alias("w"))
              .agg(F.count(F.lit(1)).alias("n"))

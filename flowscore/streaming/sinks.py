@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -63,10 +63,10 @@ class MultiParquetSink:
 
 def latest_per_key(df: DataFrame, keys: list[str], batch_col: str = "batch_id") -> DataFrame:
     """Upsert view of an update-mode sink: for every key the row of the
-    newest batch.  A window partitioned by the key (never a global one)."""
-    w = Window.partitionBy(*keys).orderBy(F.col(batch_col).desc())
-    return (df.withColumn("_rn", F.row_number().over(w))
-              .where(F.col("_rn") == 1).drop("_rn", batch_col))
+    newest batch, by a grouped maximum that is combined before the shuffle."""
+    rest = [c for c in df.columns if c not in (*keys, batch_col)]
+    newest = F.max_by(F.struct(*rest), F.col(batch_col)).alias("_newest")
+    return df.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
 def document_writer(make_client, database: str, collection: str,

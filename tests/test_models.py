@@ -142,9 +142,7 @@ def test_node_id_cache_only_for_deep_trees():
     assert _classifier("rf", "y", 32, {"cacheNodeIds": False}).getCacheNodeIds() is False
 
 
-def test_tree_memory_fits_the_heap_per_task(spark):
-    from flowscore.operators.train import _classifier, _heap_per_task_mb, tree_memory_mb
-    mb = tree_memory_mb()
-    assert 16 <= mb <= 256 and mb <= max(16, _heap_per_task_mb(spark) / 4)
-    assert _classifier("rf", "y", 32, {}).getMaxMemoryInMB() == mb
-    assert _classifier("rf", "y", 32, {"maxMemoryInMB": 64}).getMaxMemoryInMB() == 64
+def test_tree_memory_is_one_fixed_value():
+    from flowscore.operators.train import TREE_MEMORY_MB, _tree_exec
+    assert _tree_exec({"maxDepth": 6})["maxMemoryInMB"] == TREE_MEMORY_MB
+    assert _tree_exec({})["maxMemoryInMB"] == TREE_MEMORY_MB
