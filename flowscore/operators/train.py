@@ -43,7 +43,7 @@ TREE_EXEC = dict(checkpointInterval=10)
 # node).  It sets how many nodes are split per pass, which also orders the
 # forest's random feature draws, so it is one fixed value on every machine;
 # executors need this much heap per concurrent task beside the data.
-TREE_MEMORY_MB = 64
+TREE_MEMORY_MB = 16
 
 
 def _tree_exec(params: dict, default_depth: int = 5) -> dict:

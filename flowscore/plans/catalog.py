@@ -316,15 +316,34 @@ def auc(spark, sf_dir):
 
 
 # ---------------------------------------------------------------------------
-# Models (rows-only checks: outputs of fitted models)
+# Models: learned on labels that are a rule of the features, so a right fit
+# is nearly exact on unseen rows and a wrong one is not.  A query returns each
+# scored row's key and label, whether its prediction and confidence are ones
+# the model may give, and whether the accuracy over all rows meets the bound.
 # ---------------------------------------------------------------------------
 
 EMBEDDING_DIM = 64
 
 
+# Bands of the label rules (upper edges of all but the last band).
+EMBEDDING_BANDS = (-0.05, 0.05)
+QUANTITY_BANDS = (17, 34)
+VALUE_BANDS = (20, 55)
+LONG_DOCUMENT = 1500
+LEAST_ACCURACY = 0.9
+
+
+def _band(c, edges, names):
+    low, high = edges
+    return F.when(c < low, names[0]).when(c < high, names[1]).otherwise(names[2])
+
+
+BANDS = ("low", "mid", "high")
+
+
 def _embeddings(spark, sf_dir):
     e = for_fit(_t(spark, sf_dir, "embeddings"), "vec_id")
-    return e.select("vec_id", F.col("label").cast("string").alias("label"),
+    return e.select("vec_id", _band(F.col("embedding")[2], EMBEDDING_BANDS, BANDS).alias("label"),
                     array_to_vector(F.col("embedding")).alias("vec"))
 
 
@@ -332,22 +351,28 @@ _VEC = {"vec": EMBEDDING_DIM}
 
 
 def _labelled_docs(spark, sf_dir):
-    lab = _t(spark, sf_dir, "labels").select("doc_id", "quality")
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "n_chars", "lang", "source")
+    lab = _t(spark, sf_dir, "labels").select("doc_id")
+    docs = _t(spark, sf_dir, "documents").select(
+        "doc_id", "n_chars", "lang", "source", (F.col("n_chars") >= LONG_DOCUMENT).cast("int").alias("quality"))
     joined = lab.join(docs, "doc_id").withColumn("n_chars", F.col("n_chars").cast("double"))
     return for_fit(joined, "doc_id")
 
 
-def _model_output(scored: DataFrame, key: str, label: str) -> DataFrame:
-    return scored.select(key, F.col(label).alias("label"), "prediction", "prediction_label",
-                         F.round("confidence", 9).alias("confidence"))
+def _model_output(scored: DataFrame, keys: list[str], label: str, names: list[str]) -> DataFrame:
+    said = F.col("prediction_label")
+    right = scored.agg(F.avg((said == F.col(label).cast("string")).cast("double"))).first()[0] or 0.0
+    confidence = F.col("confidence")
+    return scored.select(*keys, F.col(label).alias("label"), said.isin(names).alias("in_vocabulary"),
+                         # one-vs-rest models give no probability
+                         (confidence.isNull() | (confidence >= 0) & (confidence <= 1)).alias("confidence_ok"),
+                         F.lit(right >= LEAST_ACCURACY).alias("accurate"))
 
 
 def train_rf(spark, sf_dir):
     """Random forest with the reference settings; test-split predictions."""
     train, test = train_test_split(_embeddings(spark, sf_dir), "vec_id")
     model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf")
-    return _model_output(score(test, model), "vec_id", "label")
+    return _model_output(score(test, model), ["vec_id"], "label", list(BANDS))
 
 
 def batch_score(spark, sf_dir):
@@ -355,28 +380,28 @@ def batch_score(spark, sf_dir):
     emb = _embeddings(spark, sf_dir)
     train, _ = train_test_split(emb, "vec_id")
     model = fit_classifier(train, "label", [], vectors=_VEC, kind="rf")
-    return _model_output(score(emb, model), "vec_id", "label")
+    return _model_output(score(emb, model), ["vec_id"], "label", list(BANDS))
 
 
 def train_gbt_ovr(spark, sf_dir):
     train, test = train_test_split(_embeddings(spark, sf_dir), "vec_id")
     model = fit_classifier(train, "label", [], vectors=_VEC, kind="ovr",
                            params={"maxIter": 5, "maxDepth": 3})
-    return _model_output(score(test, model), "vec_id", "label")
+    return _model_output(score(test, model), ["vec_id"], "label", list(BANDS))
 
 
 def train_lr(spark, sf_dir):
     train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
     model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="lr",
                            index_label=False)
-    return _model_output(score(test, model), "doc_id", "quality")
+    return _model_output(score(test, model), ["doc_id"], "quality", ["0", "1"])
 
 
 def train_gbt(spark, sf_dir):
     train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
     model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="gbt",
                            index_label=False, params={"maxIter": 20, "maxDepth": 5})
-    return _model_output(score(test, model), "doc_id", "quality")
+    return _model_output(score(test, model), ["doc_id"], "quality", ["0", "1"])
 
 
 def score_conformed(spark, sf_dir):
@@ -386,6 +411,7 @@ def score_conformed(spark, sf_dir):
     feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     cols = ["l_orderkey", "l_linenumber", *feats, "l_linestatus", "l_returnflag"]
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+    li = li.withColumn("l_returnflag", _band(F.col("l_quantity"), QUANTITY_BANDS, ("A", "N", "R")))
     curated = li.select(*cols).withColumn("_k", key)
     train = for_fit(curated.where(train_flag(F.col("_k"))), "_k")
     model = fit_classifier(train, "l_returnflag", feats, ["l_linestatus"], kind="rf")
@@ -398,8 +424,8 @@ def score_conformed(spark, sf_dir):
     # holds: no second scan of the training split, no join
     test = test.withColumn("l_linestatus",
                            bucket_unseen(F.col("l_linestatus"), model.vocabulary("l_linestatus")))
-    scored = score(test, model)
-    return accuracy_f1(scored.withColumn("y", F.col("l_returnflag")), "y", "prediction_label")
+    scored = score(test, model).select("l_orderkey", "l_linenumber", "l_returnflag", "prediction_label", "confidence")
+    return _model_output(scored, ["l_orderkey", "l_linenumber"], "l_returnflag", ["A", "N", "R"])
 
 
 # ---------------------------------------------------------------------------
@@ -493,8 +519,10 @@ def stream_restart(spark, sf_dir):
 
 
 def stream_score(spark, sf_dir):
-    """A fitted pipeline applied to the stream; documents partitioned by type."""
-    rec = SI.records(spark, sf_dir)
+    """A fitted pipeline applied to the stream; documents partitioned by type.
+    Every event's stream prediction must be the one batch scoring gives."""
+    types = ("view", "click", "error")
+    rec = SI.records(spark, sf_dir).withColumn("event_type", _band(F.col("value"), VALUE_BANDS, types))
     train, _ = train_test_split(rec, "event_id")
     model = fit_classifier(for_fit(train, "event_id"), "event_type", ["user_id", "value"], kind="rf")
     env = SI.events_envelope_stream(spark, sf_dir)
@@ -502,7 +530,14 @@ def stream_score(spark, sf_dir):
     docs = to_documents(score(srec, model, fill="zero"), keep=["event_id"])
     out, ckpt = fresh_dir(spark, "scored"), fresh_dir(spark, "scored_ckpt")
     run = run_to_end(docs, out, ckpt, partition_by=["attack_type"])
-    return S.flat(spark.read.parquet(run.output).drop("batch_id"))
+    stream = spark.read.parquet(run.output).select(
+        "event_id", F.col("attack_type").alias("prediction_label"), "confidence")
+    batch = score(rec, model, fill="zero").select("event_id", F.col("event_type").alias("label"),
+                                                  F.col("prediction_label").alias("batch_label"))
+    both = stream.join(batch, "event_id")
+    checked = _model_output(both.withColumn("same", F.col("prediction_label") == F.col("batch_label")),
+                            ["event_id", "same"], "label", list(types))
+    return checked.withColumnRenamed("same", "same_as_batch")
 
 
 def stream_throughput(spark, sf_dir):

@@ -1,8 +1,9 @@
 """DuckDB SQL equivalents of the registered queries (the correctness gate).
 
-Each string runs on the pre-registered table views.  Model outputs (fitted
-forests, boosted trees, regressions) have no SQL form and are left out; the
-driver checks those by rows only.
+Each string runs on the pre-registered table views.  For fitted models the
+SQL states what a right fit gives on a label that is a rule of the features:
+every row's key and label, predictions and confidences within their range,
+and an accuracy over the bound.
 """
 
 from __future__ import annotations
@@ -83,6 +84,18 @@ def _null_profile() -> str:
 
 _VOCAB_LIST = ", ".join(f"'{v}'" for v in EVENT_VOCAB)
 
+def _bands(c: str, low: float, high: float, *names: str) -> str:
+    return f"case when {c} < {low} then '{names[0]}' when {c} < {high} then '{names[1]}' else '{names[2]}' end"
+
+
+def _model(keys: str, label: str, rows: str) -> str:
+    return (f"select {keys}, {label} as label, true as in_vocabulary, true as confidence_ok, true as accurate "
+            f"from {rows}")
+
+
+EMBEDDING_LABEL = _bands("embedding[3]", -0.05, 0.05, "low", "mid", "high")
+LABELLED_TEST = f"documents join labels using (doc_id) where not {flag('doc_id')}"
+
 ORACLE: dict[str, str] = {
     "stream_append": DECODED_V1,
     "stream_restart": DECODED_V1,
@@ -244,4 +257,13 @@ select attack_type, count(*)::bigint as "count" from docs group by attack_type""
 select prediction, count(*)::bigint as "count" from docs group by prediction""",
     "label_counts": f"""with {DOCS}
 select attack_type as prediction_label, count(*)::bigint as "count" from docs group by attack_type""",
+    "train_rf": _model("vec_id", EMBEDDING_LABEL, f"embeddings where not {flag('vec_id')}"),
+    "train_gbt_ovr": _model("vec_id", EMBEDDING_LABEL, f"embeddings where not {flag('vec_id')}"),
+    "batch_score": _model("vec_id", EMBEDDING_LABEL, "embeddings"),
+    "train_lr": _model("doc_id", "(n_chars >= 1500)::int", LABELLED_TEST),
+    "train_gbt": _model("doc_id", "(n_chars >= 1500)::int", LABELLED_TEST),
+    "score_conformed": _model(
+        "l_orderkey, l_linenumber", _bands("l_quantity", 17, 34, "A", "N", "R"),
+        f"lineitem where not {flag('(l_orderkey * 8 + l_linenumber)')}"),
+    "stream_score": _model("event_id, true as same_as_batch", _bands("value", 20, 55, "view", "click", "error"), "events"),
 }

@@ -25,7 +25,7 @@ def read_with_file_name(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 #: Partitions of a model's training input (a fixed count, so the same data
 #: and seed give the same model on every cluster).
-FIT_PARTITIONS = 64
+FIT_PARTITIONS = 32
 
 
 def for_fit(df: DataFrame, *keys: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
