@@ -2,10 +2,11 @@
 
 A rule (host, path) fits its host and all subdomains where the URL's path starts with the rule's.  The canonical key of
 a rule is its host's labels reversed, a gap, and its path; a URL has one key for each of its host's suffixes that
-could be a rule's host.  The URLs a rule fits are then those with a key in the interval of texts that begin with the
-rule's key.  Such intervals are nested or apart, so one sweep over their sorted ends with a stack of the rules that are
-open gives, for every stretch between two ends, the innermost rule.  Keys are dealt to ranges, each range starts with the
-rule open at its first key, and a sorted pass over stretches and keys carries the last rule seen.
+could be a rule's host.  The URLs a rule fits are then those with a key in the interval of keys that begin with the
+rule's key.  Such intervals are nested or apart.  Rule ends and URL keys are sorted together and dealt to ranges; a range
+begins with the rules that are open at its first key.  The sweep over a range keeps a stack of open rules as two running
+columns: its height, and for each height the last rule opened at it, which is the innermost open one.  So neither rules
+nor keys are held in one row or task.
 """
 
 from __future__ import annotations
@@ -18,10 +19,11 @@ from pyspark.sql import functions as F
 from flowscore.llm.scratch import keep
 
 DEFAULT_VERDICT = "allow"
-#: Rules are swept in one row, so their number is checked against this bound.
-MOST_RULES = 200_000
-_LAST = "\U0010FFFF"
-_GAP = "\x01"  # between host and path in a key
+# Bytes that UTF-8 never has: between host and path of a key, and after all keys that begin alike.
+_GAP, _AFTER = "X'FE'", "X'FF'"
+# Order of events at one key.
+_CLOSE, _OPEN, _ASK = 0, 1, 2
+_RULE = "struct<size:int,deep:int,text:string,verdict:string>"
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -36,39 +38,39 @@ def parts(url: Column) -> tuple[Column, Column]:
     return F.coalesce(lower, F.lit("")), F.coalesce(path, F.lit(""))
 
 
-def _reversed(labels: Column) -> Column:
-    return F.array_join(F.reverse(labels), ".")
+def _key(labels: Column, path: Column) -> Column:
+    return F.concat(F.array_join(F.reverse(labels), ".").cast("binary"), F.expr(_GAP), path.cast("binary"))
 
 
-def _sweep(rules: DataFrame, marks: DataFrame) -> DataFrame:
-    """(key, range, rule) stretches in key order: where each begins, in which range of keys, its innermost rule.
+def _events(rules: DataFrame, keys: DataFrame) -> DataFrame:
+    """(key, turn, rule, near, start, range): where rules open and close and what is asked, dealt to ranges of keys."""
+    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    asks = [null("string", "near"), null("string", "start")]
+    opened = rules.select("key", F.lit(_OPEN).alias("turn"), F.col("rule").cast(_RULE).alias("rule"), *asks)
+    closed = rules.select(F.concat("key", F.expr(_AFTER)), F.lit(_CLOSE), null(_RULE, "rule"), *asks)
+    asked = keys.select("key", F.lit(_ASK), null(_RULE, "rule"), "near", "start")
+    # Near and start split the rows of a key that many hosts share.
+    order = ["key", "turn", "near", "start"]
+    return opened.union(closed).union(asked).repartitionByRange(*order).withColumn("range", F.spark_partition_id())
 
-    ``marks`` (key, range) are the first keys of the ranges; they cut stretches as a rule's ends do.  The fold over the
-    sorted events keeps the stack of open rules; there are two events for each rule and one for each range."""
-    event = "struct<key:string,turn:int,rule:struct<text:string,verdict:string,size:int,key:string>,range:int>"
-    ends = rules.select(F.explode(F.array(
-        F.struct("key", F.lit(1).alias("turn"), "rule", F.lit(None).cast("int").alias("range")),
-        F.struct(F.concat("key", F.lit(_LAST)).alias("key"), F.lit(0).alias("turn"), "rule",
-                 F.lit(None).cast("int").alias("range")))).alias("e"))
-    starts = marks.select(F.struct(
-        "key", F.lit(2).alias("turn"),
-        F.lit(None).cast("struct<text:string,verdict:string,size:int,key:string>").alias("rule"), "range").alias("e"))
-    row = ends.select(F.col("e").cast(event)).union(starts.select(F.col("e").cast(event))).agg(
-        F.sort_array(F.collect_list("e")).alias("events"))
 
-    def step(state, e):
-        stack = F.when(e["turn"] == 1, F.array_append(state["stack"], e["rule"])).when(
-            e["turn"] == 0, F.slice(state["stack"], 1, F.size(state["stack"]) - 1)).otherwise(state["stack"])
-        here = F.coalesce(e["range"], state["range"])
-        return F.struct(stack.alias("stack"), here.alias("range"), F.array_append(state["out"], F.struct(
-            e["key"].alias("key"), here.alias("range"), F.try_element_at(stack, F.lit(-1)).alias("rule"),
-            e["turn"].alias("turn"))).alias("out"))
+def _carried(events: DataFrame) -> DataFrame:
+    """Rules opened in an earlier range that are still open where a range begins: their keys begin its first key."""
+    firsts = events.groupBy("range").agg(F.min("key").alias("first")).select("range", F.explode(F.transform(
+        F.sequence(F.lit(1), F.length("first")), lambda n: F.substring("first", F.lit(1), n))).alias("key"))
+    opened = events.filter(F.col("turn") == _OPEN).withColumnRenamed("range", "__opened")
+    return opened.join(firsts, "key").filter("__opened < range").select(*events.columns)
 
-    none = "cast(array() as array<{}>)"
-    kind = "struct<text:string,verdict:string,size:int,key:string>"
-    first = F.struct(F.expr(none.format(kind)).alias("stack"), F.lit(0).alias("range"),
-                     F.expr(none.format(f"struct<key:string,range:int,rule:{kind},turn:int>")).alias("out"))
-    return row.select(F.explode(F.aggregate("events", first, step, lambda s: s["out"])).alias("s")).select("s.*")
+
+def _sweep(events: DataFrame) -> DataFrame:
+    """(near, start, rule) of all that is asked, with the innermost rule open at each key."""
+    rows = events.union(_carried(events))
+    change = F.when(F.col("turn") == _OPEN, 1).when(F.col("turn") == _CLOSE, -1).otherwise(0)
+    order = Window.partitionBy("range").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    height = Window.partitionBy("range", "height").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumn("height", F.sum(change).over(order)).withColumn(
+        "rule", F.last("rule", ignorenulls=True).over(height)).filter(F.col("turn") == _ASK).select(
+        "near", "start", "rule")
 
 
 def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col: str = "url",
@@ -82,10 +84,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     known = rules.filter("host is not null and path is not null and verdict is not null").select(
         F.translate("host", string.ascii_uppercase, string.ascii_lowercase).alias("host"), "path", "verdict").groupBy(
         "host", "path").agg(F.max("verdict").alias("verdict"))  # "block" is after "allow"
-    bounds = known.agg(F.count("*").alias("n"), F.max(F.size(F.split("host", r"\."))).alias("labels"),
-                       F.max(F.length("path")).alias("path")).first()
-    if bounds.n > MOST_RULES:
-        raise ValueError(f"{bounds.n} rules; the sweep takes {MOST_RULES} at most")
+    bounds = known.agg(F.max(F.size(F.split("host", r"\."))).alias("labels"), F.max(F.length("path")).alias("path")).first()
     host, path = parts(F.col(url_col).cast("string"))
     split = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     # What decides is the last labels of the host and the first characters of the path, as many as any rule has.
@@ -94,29 +93,14 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     signed = split.withColumn("near", F.array_join(F.slice(
         labels, F.greatest(F.size(labels) - some + 1, F.lit(1)), some), ".")).withColumn(
         "start", F.substring("path", 1, deep))
-    kinds = signed.select("near", "start").distinct()
     near = F.split("near", r"\.")
-    keyed = kinds.select("near", "start", F.explode(F.transform(
-        F.sequence(F.lit(1), F.size(near)), lambda k: F.concat(
-            _reversed(F.slice(near, -k, k)), F.lit(_GAP), F.col("start")))).alias("key"))
-    keys = keep(keyed.repartitionByRange("key").withColumn("range", F.spark_partition_id()), "urlfilter")
-    marks = keys.groupBy("range").agg(F.min("key").alias("key")).select("key", "range")
-    ruled = known.select(
-        F.concat(_reversed(F.split("host", r"\.")), F.lit(_GAP), "path").alias("key"),
-        F.concat("host", "path").alias("text"), "verdict",
-        F.length(F.concat("host", "path")).alias("size")).withColumn(
-        "rule", F.struct("text", "verdict", "size", "key"))
-    stretches = keep(_sweep(ruled.select("key", "rule"), marks), "urlfilter")
-    # One sorted pass over each range: stretches come before the keys they begin at, later ones replace earlier ones.
-    both = stretches.select("range", "key", "turn", F.struct(F.col("rule").alias("r")).alias("open"),
-                            F.lit(None).cast("string").alias("near"), F.lit(None).cast("string").alias("start")).union(
-        keys.select("range", "key", F.lit(3), F.lit(None).cast(f"struct<r:{stretches.schema['rule'].dataType.simpleString()}>"),
-                    "near", "start"))
-    order = Window.partitionBy("range").orderBy("key", "turn").rowsBetween(Window.unboundedPreceding, 0)
-    swept = both.withColumn("rule", F.last("open", ignorenulls=True).over(order)["r"]).filter("turn = 3")
-    best = swept.groupBy("near", "start").agg(F.max(F.when(F.col("rule").isNotNull(), F.struct(
-        F.col("rule.size").alias("size"), F.position(F.lit(_GAP), F.col("rule.key")).alias("deep"), F.col("rule.text").alias("text"),
-        F.col("rule.verdict").alias("verdict")))).alias("best"))
+    keys = signed.select("near", "start").distinct().select("near", "start", F.explode(F.transform(
+        F.sequence(F.lit(1), F.size(near)), lambda k: _key(F.slice(near, -k, k), F.col("start")))).alias("key"))
+    text = F.concat("host", "path")
+    ruled = known.select(_key(F.split("host", r"\."), F.col("path")).alias("key"), F.struct(
+        F.length(text).alias("size"), F.length("host").alias("deep"), text.alias("text"), "verdict").alias("rule"))
+    swept = _sweep(keep(_events(ruled, keys), "urlfilter"))
+    best = swept.groupBy("near", "start").agg(F.max("rule").alias("best"))
     return signed.join(best, ["near", "start"]).select(
         F.col("id").alias(id_col), "host", "path", F.col("best.text").alias("rule"),
         F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
