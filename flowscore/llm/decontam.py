@@ -80,18 +80,20 @@ def tiles(doc: np.ndarray, item: np.ndarray, min_match: int = MIN_MATCH) -> list
 
 
 def _seed_rows(table: DataFrame, id_col: str, text_col: str, min_match: int) -> DataFrame:
-    """(item, seed) of every benchmark item, each seed once."""
+    """(item, seed, times, words) of every benchmark item: each seed once, how often it has it, the item's words."""
 
     def run(batches):
         for batch in batches:
             for item, text in zip(batch.column(0), batch.column(1), strict=True):
-                seeds = np.unique(rolling(words(text.as_py() or ""), min_match)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.repeat(item, len(seeds)), pa.array(seeds, pa.int64())],
-                                                 names=["item", "seed"])
+                hashes = words(text.as_py() or "")
+                seeds, times = np.unique(rolling(hashes, min_match), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(item, len(seeds)), pa.array(seeds.view(np.int64), pa.int64()), pa.array(times, pa.int64()),
+                     pa.repeat(pa.scalar(len(hashes), pa.int64()), len(seeds))], names=["item", "seed", "times", "words"])
 
     kind = table.schema[id_col].dataType.simpleString()
     return table.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"item {kind}, seed bigint")
+        run, f"item {kind}, seed bigint, times bigint, words bigint")
 
 
 def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -155,8 +157,11 @@ class Decontamination:
         # The row number is fixed once the table is written.
         self._maybe = keep(_tagged(docs, shared, text_col, min_match, filter_bits, True).withColumn(
             "__row", F.monotonically_increasing_id()), "decontam")
-        met = self._maybe.select("__row", F.explode("__seeds").alias("seed")).join(seeds, "seed").select(
-            "__row", "item").distinct()
+        # A tile of n words has n - min_match + 1 seeds of the item, so no more than min_match words for each of them: what
+        # can't reach the coverage by that count is not tiled.
+        met = self._maybe.select("__row", F.explode("__seeds").alias("seed")).join(seeds, "seed").groupBy(
+            "__row", "item").agg(F.sum("times").alias("times"), F.min("words").alias("words")).filter(
+            F.col("times") * min_match >= F.col("words") * coverage - 1e-6).select("__row", "item")
         texts = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("item_text"))
         rows = self._maybe.select("__row", F.col(text_col).cast("string").alias("text")).join(met, "__row").join(
             texts.filter("item is not null"), "item").select("__row", "item", "text", "item_text")

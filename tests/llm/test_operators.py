@@ -181,6 +181,23 @@ def test_decontamination(spark, odd, empty):
     assert decontam.Decontamination(empty, bench).pairs().count() == 0
 
 
+def test_pairs_that_cannot_reach_the_coverage_are_not_tiled(spark):
+    """The count of shared seeds only spares work: pairs are those of tiling every document with every item."""
+    rng = random.Random(8)
+    item = lambda: " ".join(rng.choice("abcd") for _ in range(rng.randrange(5, 30)))
+    items = [item() for _ in range(15)]
+    texts = [item() + " " + " ".join(rng.choice(items).split()[rng.randrange(4):]) for _ in range(60)]
+    found = decontam.Decontamination(spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string"),
+                                     spark.createDataFrame(list(enumerate(items)), "item_id int, text string"))
+    want = set()
+    for d, text in enumerate(texts):
+        for i, x in enumerate(items):
+            marked = greedy_tiles(text.split(), x.split(), decontam.MIN_MATCH)
+            if sum(t[2] for t in marked) >= decontam.COVERAGE * len(x.split()):
+                want.add((d, i))
+    assert {(r.doc_id, r.item_id) for r in found.pairs().collect()} == want
+
+
 # 4 rollups
 
 def test_rollup(spark, tmp_dir, empty):
@@ -304,6 +321,25 @@ def test_url_rules(spark):
             assert (r.rule, r.verdict) == ((best[3], best[2]) if best else (None, "allow")), (url, some)
 
 
+def test_url_rules_open_across_ranges(spark):
+    """Nested rules that begin before a range of keys and end after it, with all ranges kept apart."""
+    deep = ["/" + "a/" * n for n in range(40)]
+    rules = [("org", p, "block" if n % 3 else "allow") for n, p in enumerate(deep)] + [("x.org", deep[7], "block")]
+    urls = [f"http://{h}{p}{t}" for h in ("org", "x.org", "y.x.org", "com") for p in deep for t in ("", "b", "a", "~")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = urlfilter.judge(pages, spark.createDataFrame(rules, "host string, path string, verdict string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(urls)
+    for r in got:
+        fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules
+                if (r.host == h or r.host.endswith("." + h)) and r.path.startswith(p)]
+        best = max(fits, default=(0, 0, None, "allow"))
+        assert (r.rule, r.verdict) == best[2:]
+
+
 def test_url_oracle(spark):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{SF}/pages.parquet'")
