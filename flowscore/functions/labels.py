@@ -30,6 +30,18 @@ def clean_label(c: Column, mapping: dict[str, int] = LABEL_CODES,
     return F.when(t.isin(list(mapping)), t).otherwise(F.lit(unknown))
 
 
+def label_report(df: DataFrame, column: str, mapping: dict[str, int] = LABEL_CODES,
+                 default: str = NORMAL_LABEL, aliases: dict[str, str] | None = None) -> DataFrame:
+    """One row: how many labels ``clean_label`` takes as they are, fills
+    because they are missing, and keeps apart because they are unmapped."""
+    raw = F.col(column)
+    known = clean_label(raw, mapping, default, aliases=aliases) != UNKNOWN_LABEL
+    return df.agg(F.count(F.lit(1)).alias("n_rows"),
+                  F.count_if(raw.isNull()).alias("n_missing"),
+                  F.count_if(raw.isNotNull() & known).alias("n_mapped"),
+                  F.count_if(raw.isNotNull() & ~known).alias("n_unmapped"))
+
+
 def bucket_unseen(c: Column, vocabulary: list[str], unknown: str = UNKNOWN_CATEGORY) -> Column:
     """Small fixed vocabulary: value kept when seen, else ``unknown``."""
     return F.when(c.isin(vocabulary), c).otherwise(F.lit(unknown))

@@ -116,7 +116,8 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict):
         return GBTClassifier(featuresCol="features", labelCol=label, **p)
     if kind == "ovr":
         p = {"seed": 42, "maxBins": max(32, n_bins), **_tree_exec(params), **params}
-        parallelism = p.pop("parallelism", 8)  # binary models fitted concurrently
+        # Binary models fitted at once; each holds a converted copy of the training rows.
+        parallelism = p.pop("parallelism", 1)
         return OneVsRest(classifier=GBTClassifier(**p), featuresCol="features",
                          labelCol=label, parallelism=parallelism)
     raise ValueError(f"unknown classifier kind: {kind}")

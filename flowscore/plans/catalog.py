@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,17 +15,18 @@ from pyspark.sql import types as T
 from flowscore.functions.columns import numeric_columns, schema_diff
 from flowscore.functions.json_codec import (decode_json, decode_json_lenient,
                                             decode_with_quarantine, json_column)
-from flowscore.functions.labels import bucket_unseen, bucket_unseen_join, clean_label, code_of
+from flowscore.functions.labels import (bucket_unseen, bucket_unseen_join, clean_label, code_of,
+                                         label_report)
 from flowscore.operators import conform as C
 from flowscore.operators import profile as P
 from flowscore.operators import serve as S
 from flowscore.operators.evaluate import accuracy_f1, auc_frame
-from flowscore.operators.features import (assembler_stage, imputer_stage, index_stage,
+from flowscore.operators.features import (assembler_stage, drop_stage, imputer_stage, index_stage,
                                           train_flag, train_test_split, vector_as_array)
 from flowscore.operators.monitor import throughput
 from flowscore.operators.retention import batch_sizes, retain_newest
 from flowscore.operators.score import decode_labels, score, to_documents
-from flowscore.operators.train import fit_classifier
+from flowscore.operators.train import FlowModel, fit_classifier
 from flowscore.plans import standins as SI
 from flowscore.schema import STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
 from flowscore.session import fresh_dir
@@ -41,6 +43,7 @@ PAGE = 100
 RETENTION_CAP = 262144           # bytes kept by the retention query
 RETENTION_BATCH_ROWS = 100       # events per stand-in micro-batch
 ALERT_TYPE = "error"             # attack type looked up by by_attack_type
+UNSEEN_TYPE = "click"            # category left out of the fit by index_unseen
 
 
 def _t(spark, sf_dir, name):
@@ -64,15 +67,24 @@ def decode_lenient(spark, sf_dir):
     return C.fill_zero(rec, SI.RECORD_NUMERIC)
 
 
-def quarantine(spark, sf_dir):
-    """Malformed (event_id mod 10 = 7) and null (= 8) payloads are routed apart."""
+def _partly_bad(spark, sf_dir):
+    """(good, bad) records where event_id mod 10 = 7 is malformed and 8 null."""
     ev = _t(spark, sf_dir, "events")
     r = F.pmod(F.col("event_id"), F.lit(10))
     payload = (F.when(r == 7, F.lit("not json {"))
                 .when(r == 8, F.lit(None).cast("string"))
                 .otherwise(json_column(SI.payload_columns())))
-    _, bad = decode_with_quarantine(SI.envelope(ev, payload), wire_v2(STANDIN_FIELDS))
-    return bad
+    return decode_with_quarantine(SI.envelope(ev, payload), wire_v2(STANDIN_FIELDS))
+
+
+def quarantine(spark, sf_dir):
+    """Malformed and null payloads are routed apart."""
+    return _partly_bad(spark, sf_dir)[1]
+
+
+def quarantine_good(spark, sf_dir):
+    """The other half: every valid payload, decoded."""
+    return _partly_bad(spark, sf_dir)[0]
 
 
 def decode_props(spark, sf_dir):
@@ -185,6 +197,16 @@ def label_cleanup(spark, sf_dir):
     return out.withColumn("code", code_of(F.col("label"), SI.EVENT_TYPE_VOCAB))
 
 
+def label_missing_counts(spark, sf_dir):
+    return label_report(_messy_event_type(_t(spark, sf_dir, "events")), "raw_label",
+                        SI.EVENT_TYPE_VOCAB, SI.NORMAL_EVENT)
+
+
+def shared_columns(spark, sf_dir):
+    """The columns of lineitem that its conformed form has too."""
+    return C.shared_columns(_t(spark, sf_dir, "lineitem"), conform_schema(spark, sf_dir))
+
+
 def unknown_bucket(spark, sf_dir):
     """Customers never seen in the training split become 'Unknown' at test time."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("customer"))
@@ -278,6 +300,20 @@ def alphabetical_index(spark, sf_dir):
     return m.transform(ev).select("event_id", "event_type_index")
 
 
+def index_unseen(spark, sf_dir):
+    """Alphabetical index fitted without one category, which then gets the extra index."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "event_type")
+    m = index_stage("event_type", order="alphabetAsc").fit(ev.where(F.col("event_type") != UNSEEN_TYPE))
+    return m.transform(ev).select("event_id", "event_type_index")
+
+
+def drop_stage_q(spark, sf_dir):
+    """A fitted pipeline of an index stage and a drop-columns stage."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate")
+    drop = drop_stage([*li.columns, "l_returnflag_index"], ["l_returnflag", "l_shipdate"])
+    return Pipeline(stages=[index_stage("l_returnflag"), drop]).fit(li).transform(li)
+
+
 def assemble_features(spark, sf_dir):
     ev = SI.missing_by_rule(_t(spark, sf_dir, "events")).select(
         "event_id", "value", F.col("user_id").cast("double").alias("user"),
@@ -397,6 +433,36 @@ def train_lr(spark, sf_dir):
     return _model_output(score(test, model), ["doc_id"], "quality", ["0", "1"])
 
 
+def model_roundtrip(spark, sf_dir):
+    """Fit, save, load and score: a loaded model says what the fitted one does."""
+    train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
+    model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="lr",
+                           index_label=False)
+    folder = fresh_dir(spark, "model")
+    model.save(folder)
+    # Both models score the same rows one after the other, so no join is needed.
+    fitted = score(test, model).select(
+        *test.columns, F.col("prediction").alias("was"), F.col("confidence").alias("was_confidence"))
+    loaded = score(fitted, FlowModel.load(folder))
+    same = (F.col("prediction") == F.col("was")) & (F.col("confidence") == F.col("was_confidence"))
+    out = _model_output(loaded.withColumn("same", same), ["doc_id", "same"], "quality", ["0", "1"])
+    return out.withColumnRenamed("same", "same_after_load")
+
+
+def scored_columns(spark, sf_dir):
+    """The columns of a scored row fit each other: the probabilities sum to 1, the prediction is the class of
+    the largest one, and that is the confidence."""
+    train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
+    model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="lr",
+                           index_label=False)
+    p = vector_as_array("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    return score(test, model).select(
+        "doc_id", F.size(vector_as_array("features")).alias("n_features"), F.size(p).alias("n_classes"),
+        (F.abs(total - 1) < 1e-9).alias("sums_to_one"), (F.array_max(p) == F.col("confidence")).alias("confidence_is_max"),
+        (F.element_at(p, F.col("prediction").cast("int") + 1) == F.col("confidence")).alias("prediction_is_likeliest"))
+
+
 def train_gbt(spark, sf_dir):
     train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
     model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="gbt",
@@ -559,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "decode_kafka_json": decode_kafka_json,
     "decode_lenient": decode_lenient,
     "quarantine": quarantine,
+    "quarantine_good": quarantine_good,
     "decode_props": decode_props,
     "encode_json": encode_json,
     "first_n_rows": first_n_rows,
@@ -574,6 +641,8 @@ QUERIES: dict[str, Query] = {
     "schema_diff": schema_diff_q,
     "label_code_map": label_code_map,
     "label_cleanup": label_cleanup,
+    "label_missing_counts": label_missing_counts,
+    "shared_columns": shared_columns,
     "unknown_bucket": unknown_bucket,
     "union_by_name": union_by_name,
     # profiling
@@ -592,6 +661,8 @@ QUERIES: dict[str, Query] = {
     "string_index": string_index,
     "string_index_multi": string_index_multi,
     "alphabetical_index": alphabetical_index,
+    "index_unseen": index_unseen,
+    "drop_stage": drop_stage_q,
     "assemble_features": assemble_features,
     "train_test_split": train_test_split_q,
     "index_to_label": index_to_label,
@@ -601,6 +672,8 @@ QUERIES: dict[str, Query] = {
     # models
     "train_rf": train_rf,
     "train_lr": train_lr,
+    "model_roundtrip": model_roundtrip,
+    "scored_columns": scored_columns,
     "train_gbt": train_gbt,
     "train_gbt_ovr": train_gbt_ovr,
     "batch_score": batch_score,

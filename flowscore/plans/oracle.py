@@ -82,6 +82,15 @@ def _null_profile() -> str:
     return f"with {MISSING}\n{body}"
 
 
+# Labels as standing in raw files: missing, padded or in capitals by rule.
+MESSY = """r as (
+  select event_id,
+    case when event_id % 10 = 3 then null
+         when event_id % 10 = 6 then '  ' || event_type || ' '
+         when event_id % 10 = 9 then upper(event_type)
+         else event_type end as raw_label
+  from events)"""
+
 _VOCAB_LIST = ", ".join(f"'{v}'" for v in EVENT_VOCAB)
 
 def _bands(c: str, low: float, high: float, *names: str) -> str:
@@ -105,6 +114,9 @@ ORACLE: dict[str, str] = {
 from events""",
     "quarantine": f"""select case when event_id % 10 = 7 then 'not json {{' end as _corrupt_record, {ENVELOPE}
 from events where event_id % 10 in (7, 8)""",
+    "quarantine_good": f"""select null::bigint as id, event_id, user_id, event_type, value,
+  event_id * 1000003 as stcpb, {ENVELOPE}
+from events where event_id % 10 not in (7, 8)""",
     "decode_props": "select event_id, json_extract_string(props, '$.k')::bigint as k from events",
     "encode_json": """select event_id,
   to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type})::varchar as value
@@ -138,16 +150,15 @@ select coalesce(l.c, r.c) as column_name,
 from l full outer join r on l.c = r.c""",
     "label_code_map": f"""select event_id, event_type,
   {_vocab_case('event_type', EVENT_VOCAB[:4])} as code from events""",
-    "label_cleanup": f"""with r as (
-  select event_id,
-    case when event_id % 10 = 3 then null
-         when event_id % 10 = 6 then '  ' || event_type || ' '
-         when event_id % 10 = 9 then upper(event_type)
-         else event_type end as raw_label
-  from events),
+    "label_cleanup": f"""with {MESSY},
 c as (select event_id, coalesce(trim(raw_label), 'view') as t from r),
 l as (select event_id, case when t in ({_VOCAB_LIST}) then t else '__unknown__' end as label from c)
 select event_id, label, {_vocab_case('label', EVENT_VOCAB)} as code from l""",
+    "label_missing_counts": f"""with {MESSY}
+select count(*)::bigint as n_rows, count_if(raw_label is null)::bigint as n_missing,
+  count_if(trim(raw_label) in ({_VOCAB_LIST}))::bigint as n_mapped,
+  count_if(trim(raw_label) not in ({_VOCAB_LIST}))::bigint as n_unmapped from r""",
+    "shared_columns": "select l_orderkey, l_quantity, l_extendedprice, l_discount, l_returnflag from lineitem",
     "unknown_bucket": f"""with o as (select o_orderkey, o_custkey::varchar as customer,
                   {flag('o_orderkey')} as tr from orders),
      seen as (select distinct customer from o where tr)
@@ -209,6 +220,16 @@ from lineitem l join rf on l.l_returnflag = rf.l_returnflag
                join ls on l.l_linestatus = ls.l_linestatus""",
     "alphabetical_index": """select event_id, (dense_rank() over (order by event_type) - 1)::double
   as event_type_index from events""",
+    "index_unseen": """with seen as (
+  select event_type, (row_number() over (order by event_type) - 1)::double as i
+  from (select distinct event_type from events where event_type <> 'click'))
+select e.event_id, coalesce(seen.i, (select count(*) from seen)::double) as event_type_index
+from events e left join seen on e.event_type = seen.event_type""",
+    "drop_stage": """with rf as (
+  select l_returnflag, (row_number() over (order by n desc, l_returnflag) - 1)::double as i
+  from (select l_returnflag, count(*) as n from lineitem group by 1))
+select l.l_orderkey, l.l_linenumber, rf.i as l_returnflag_index
+from lineitem l join rf on l.l_returnflag = rf.l_returnflag""",
     "assemble_features": f"""with {MISSING}
 select event_id, coalesce(value, 'nan'::double) as f0,
   coalesce(user_id::double, 'nan'::double) as f1, event_id::double as f2, 3::bigint as n_features
@@ -261,6 +282,10 @@ select attack_type as prediction_label, count(*)::bigint as "count" from docs gr
     "train_gbt_ovr": _model("vec_id", EMBEDDING_LABEL, f"embeddings where not {flag('vec_id')}"),
     "batch_score": _model("vec_id", EMBEDDING_LABEL, "embeddings"),
     "train_lr": _model("doc_id", "(n_chars >= 1500)::int", LABELLED_TEST),
+    "model_roundtrip": _model("doc_id, true as same_after_load", "(n_chars >= 1500)::int", LABELLED_TEST),
+    "scored_columns": f"""select doc_id, 3 as n_features, 2 as n_classes, true as sums_to_one,
+  true as confidence_is_max, true as prediction_is_likeliest
+from {LABELLED_TEST}""",
     "train_gbt": _model("doc_id", "(n_chars >= 1500)::int", LABELLED_TEST),
     "score_conformed": _model(
         "l_orderkey, l_linenumber", _bands("l_quantity", 17, 34, "A", "N", "R"),

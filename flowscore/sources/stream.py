@@ -31,12 +31,6 @@ def kafka_stream(spark: SparkSession, bootstrap: str, topic: str, **kw) -> DataF
     return spark.readStream.format("kafka").options(**kafka_options(bootstrap, topic, **kw)).load()
 
 
-def kafka_batch(spark: SparkSession, bootstrap: str, topic: str, **kw) -> DataFrame:
-    opts = kafka_options(bootstrap, topic, **kw)
-    opts.pop("maxOffsetsPerTrigger", None)
-    return spark.read.format("kafka").options(**opts).load()
-
-
 def file_stream(spark: SparkSession, glob: str, schema: T.StructType, fmt: str = "parquet",
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """A directory / glob of files as a stream (the path must be a folder or

@@ -98,7 +98,3 @@ def windowed_counts(stream: DataFrame, ts: str, bucket: str = "1 hour",
     return (t.groupBy(F.window("_ts", bucket).alias("w"))
              .agg(F.count(F.lit(1)).alias("n"))
              .select(start.alias("bucket"), "n"))
-
-
-def read_output(spark: SparkSession, run: StreamRun) -> DataFrame:
-    return spark.read.parquet(run.output)

@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from flowscore.plans.catalog import QUERIES  # noqa: E402
 from flowscore.session import get_session  # noqa: E402
 
-SKIP = {"train_rf", "train_lr", "train_gbt", "train_gbt_ovr", "batch_score", "score_conformed",
+SKIP = {"model_roundtrip", "scored_columns", "train_rf", "train_lr", "train_gbt", "train_gbt_ovr", "batch_score", "score_conformed",
         "stream_score", "stream_append", "stream_restart", "stream_throughput", "csv_roundtrip",
         "headerless_csv", "auc"}
 
