@@ -77,6 +77,17 @@ def _list_parts(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
     return offsets - offsets[0], column.flatten()
 
 
+def _best_of_each(nodes: np.ndarray, sims: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, pa.Array]:
+    """Different nodes and the best distinct (sim, id) of each, ties to the larger id as in ``_merge``."""
+    order = np.lexsort((-ids, -sims, nodes))
+    nodes, sims, ids = nodes[order], sims[order], ids[order]
+    first = np.concatenate(([True], (nodes[1:] != nodes[:-1]) | (ids[1:] != ids[:-1])))[:len(nodes)]
+    nodes, sims, ids = nodes[first], sims[first], ids[first]
+    here, at, sizes = np.unique(nodes, return_index=True, return_counts=True)
+    few = np.arange(len(nodes)) - np.repeat(at, sizes) < most
+    return here, _lists(np.minimum(sizes, most).tolist(), sims[few], ids[few])
+
+
 def _merge(candidates: DataFrame, most: int) -> DataFrame:
     """(node, near): the best distinct neighbours of each node from all its (node, near) rows."""
     return candidates.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")).select(
@@ -178,6 +189,7 @@ class Index:
         least = F.when(F.size("near") >= self.neighbours, F.element_at("near", -1)["sim"]).otherwise(F.lit(-2.0))
         who = self.points.select(F.col("node").alias("who"), "vector").join(
             self.graph.select(F.col("node").alias("who"), least.cast("float").alias("least")), "who")
+        most = self.neighbours
         met = links.union(back).join(who, "who").groupBy("at").agg(
             F.collect_list(F.struct("who", "vector", "least")).alias("met"))
 
@@ -186,7 +198,7 @@ class Index:
                 offsets, entries = _list_parts(batch.column(0))
                 nodes, least = entries.field("who").to_numpy(), entries.field("least").to_numpy()
                 codes, scales = _unpack(entries.field("vector"))
-                out_nodes, rows, sims_out, ids_out = [], [], [], []
+                out_nodes, sims_out, ids_out = [np.empty(0, np.int64)], [np.empty(0, np.float32)], [np.empty(0, np.int64)]
                 for a, b in zip(offsets, offsets[1:], strict=False):
                     here, at = np.unique(nodes[a:b], return_index=True)
                     at = at + a
@@ -195,14 +207,12 @@ class Index:
                     best = _best(sims, REPORTED)
                     found = np.take_along_axis(sims, best, axis=1)
                     better = found > least[at][:, None]
-                    some = better.any(axis=1)
-                    out_nodes.append(here[some])
-                    rows += better[some].sum(axis=1).tolist()
+                    out_nodes.append(np.repeat(here, better.sum(axis=1)))
                     sims_out.append(found[better])
                     ids_out.append(here[best][better])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(out_nodes)), _lists(rows, np.concatenate(sims_out), np.concatenate(ids_out))],
-                    names=["node", "near"])
+                # A node that many others name is met at each of them: one row of a batch for it, not one a meeting.
+                reached, near = _best_of_each(*map(np.concatenate, (out_nodes, sims_out, ids_out)), most)
+                yield pa.RecordBatch.from_arrays([pa.array(reached), near], names=["node", "near"])
 
         found = met.select("met").mapInArrow(run, f"node bigint, near {_PAIR}")
         return _merge(self.graph.union(found), self.neighbours)

@@ -444,6 +444,19 @@ def test_nearest_recall(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_reports_of_a_batch_are_merged_by_node():
+    rng = np.random.default_rng(1)
+    for n in (0, 1, 500):
+        nodes, ids = rng.integers(0, 9, n), rng.integers(0, 40, n)
+        sims = (nodes * ids * 7 % 13 / 13).astype(np.float32)
+        want = {}
+        for node, sim, i in zip(nodes.tolist(), sims.tolist(), ids.tolist(), strict=True):
+            want.setdefault(node, set()).add((sim, i))
+        here, near = nndescent._best_of_each(nodes, sims, ids, 5)
+        got = {a: [(x["sim"], x["id"]) for x in b] for a, b in zip(here.tolist(), near.to_pylist(), strict=True)}
+        assert got == {a: sorted(b, reverse=True)[:5] for a, b in want.items()}
+
+
 def test_nearest_odd_vectors(spark):
     rng = np.random.default_rng(2)
     rows = [(i, rng.standard_normal(4).tolist()) for i in range(30)] + [(100 + i, [1.0, 2.0, 3.0, 4.0]) for i in range(40)]
