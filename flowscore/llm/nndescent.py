@@ -10,6 +10,7 @@ Vectors travel as bytes (one a component and a scale); only final scores use the
 
 from __future__ import annotations
 
+import itertools
 import math
 
 import numpy as np
@@ -20,12 +21,12 @@ from pyspark.sql import functions as F
 from flowscore.llm.scratch import drop, keep
 
 NEIGHBOURS = 20
-#: Nodes that name a node as neighbour: so many of them, chosen at random each round, join its round.
-REVERSE = 12
-#: Pairs a node reports for each of its neighbours in a round.
-REPORTED = 6
+#: Nodes that name a node as neighbour: about so many of them, dealt by chance each round, join one of its meetings.
+REVERSE = 40
+#: Pairs a task holds before it merges them by node.
+HELD_PAIRS = 1 << 20
 ORDERS, BLOCK, PLANES = 6, 256, 24
-ROUNDS, SETTLED = 6, 0.02
+SETTLED = 0.02
 BEAM = 100
 SEED = 7
 _PAIR = "array<struct<sim:float,id:bigint>>"
@@ -77,6 +78,16 @@ def _list_parts(column: pa.Array) -> tuple[np.ndarray, pa.StructArray]:
     return offsets - offsets[0], column.flatten()
 
 
+def _better(here: np.ndarray, least: np.ndarray, sims: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
+    """(node, sim, id) of every pair of a meeting that is better than the node's worst neighbour.  Where these are
+    more than ``most`` a node, the best ``most``: its list holds no more, whatever it holds now."""
+    np.fill_diagonal(sims, -np.inf)
+    best = _best(sims, most)
+    found = np.take_along_axis(sims, best, axis=1)
+    better = found > least[:, None]
+    return np.repeat(here, better.sum(axis=1)), found[better], here[best][better]
+
+
 def _best_of_each(nodes: np.ndarray, sims: np.ndarray, ids: np.ndarray, most: int) -> tuple[np.ndarray, pa.Array]:
     """Different nodes and the best distinct (sim, id) of each, ties to the larger id as in ``_merge``."""
     order = np.lexsort((-ids, -sims, nodes))
@@ -98,10 +109,11 @@ class Index:
     """Nodes (one for each different vector) and their neighbour graph.
 
     ``vectors`` is (id, embedding); rows with a null id or an invalid vector, or of another length than most, take no
-    part.  ``members`` has the least ``copies`` ids of each node, enough for any answer of fewer."""
+    part.  ``members`` has the least ``copies`` ids of each node, enough for any answer of fewer.  Rounds go on until
+    few neighbours change, or for ``rounds`` at most."""
 
     def __init__(self, vectors: DataFrame, id_col: str = "vec_id", embedding_col: str = "embedding",
-                 neighbours: int = NEIGHBOURS, rounds: int = ROUNDS, copies: int = 21):
+                 neighbours: int = NEIGHBOURS, rounds: int | None = None, copies: int = 21):
         self.neighbours = neighbours
         rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(embedding_col).alias("embedding")).filter(
             F.col("id").isNotNull() & valid(F.col("embedding")))
@@ -118,7 +130,8 @@ class Index:
         self.length, self.size = top[0] or 1.0, top[1]
         self.points = keep(self._points(), "nn")
         self.graph = keep(self._start(), "nn")
-        for number in range(rounds if self.size > BLOCK else 0):
+        # Lists only get better, so rounds come to an end by themselves.
+        for number in (itertools.count() if rounds is None else range(rounds)) if self.size > BLOCK else ():
             after = keep(self._round(number), "nn")
             changed = self.graph.withColumnRenamed("near", "was").join(after, "node").agg(F.sum(F.size(F.array_except(
                 F.transform("near", lambda x: x["id"]), F.transform("was", lambda x: x["id"]))))).first()[0]
@@ -181,38 +194,40 @@ class Index:
             run, f"node bigint, near {_PAIR}"), most)
 
     def _round(self, number: int) -> DataFrame:
-        """One round: neighbours of a node, both ways, are compared with each other at that node."""
+        """One round: neighbours of a node, both ways, are compared with each other at that node.
+
+        All nodes that name it take part: if they are many, they are dealt to several meetings of bounded size, each
+        with the node's own neighbours."""
         links = self.graph.select(F.col("node").alias("at"), F.explode("near.id").alias("who"))
-        by_chance = Window.partitionBy("at").orderBy(F.xxhash64("who", F.lit(number)), "who")
-        back = links.select(F.col("who").alias("at"), F.col("at").alias("who")).withColumn(
-            "n", F.row_number().over(by_chance)).filter(F.col("n") <= REVERSE).drop("n")
+        named = links.groupBy(F.col("who").alias("at")).agg(F.ceil(F.count("*") / F.lit(REVERSE)).alias("meetings"))
+        back = links.select(F.col("who").alias("at"), F.col("at").alias("who")).join(named, "at").select(
+            "at", F.pmod(F.xxhash64("who", F.lit(number)), F.col("meetings")).alias("meeting"), "who")
+        # The node's own neighbours come to each of its meetings.
+        forth = self.graph.select(F.col("node").alias("at"), "near").join(named, "at", "left").select(
+            "at", "near", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("meetings", F.lit(1)) - 1)).alias("meeting"))
         least = F.when(F.size("near") >= self.neighbours, F.element_at("near", -1)["sim"]).otherwise(F.lit(-2.0))
         who = self.points.select(F.col("node").alias("who"), "vector").join(
             self.graph.select(F.col("node").alias("who"), least.cast("float").alias("least")), "who")
         most = self.neighbours
-        met = links.union(back).join(who, "who").groupBy("at").agg(
-            F.collect_list(F.struct("who", "vector", "least")).alias("met"))
+        met = forth.select("at", "meeting", F.explode("near.id").alias("who")).union(back).join(who, "who").groupBy(
+            "at", "meeting").agg(F.collect_list(F.struct("who", "vector", "least")).alias("met"))
 
         def run(batches):
             for batch in batches:
                 offsets, entries = _list_parts(batch.column(0))
                 nodes, least = entries.field("who").to_numpy(), entries.field("least").to_numpy()
                 codes, scales = _unpack(entries.field("vector"))
-                out_nodes, sims_out, ids_out = [np.empty(0, np.int64)], [np.empty(0, np.float32)], [np.empty(0, np.int64)]
+                out, held = [], 0
                 for a, b in zip(offsets, offsets[1:], strict=False):
                     here, at = np.unique(nodes[a:b], return_index=True)
                     at = at + a
-                    sims = _products(codes[at], scales[at])
-                    np.fill_diagonal(sims, -np.inf)
-                    best = _best(sims, REPORTED)
-                    found = np.take_along_axis(sims, best, axis=1)
-                    better = found > least[at][:, None]
-                    out_nodes.append(np.repeat(here, better.sum(axis=1)))
-                    sims_out.append(found[better])
-                    ids_out.append(here[best][better])
-                # A node that many others name is met at each of them: one row of a batch for it, not one a meeting.
-                reached, near = _best_of_each(*map(np.concatenate, (out_nodes, sims_out, ids_out)), most)
-                yield pa.RecordBatch.from_arrays([pa.array(reached), near], names=["node", "near"])
+                    out.append(_better(here, least[at], _products(codes[at], scales[at]), most))
+                    held += len(out[-1][0])
+                    # A node that many others name is met at each of them: one row for many meetings, not one a meeting.
+                    if held >= HELD_PAIRS or b == offsets[-1]:
+                        reached, near = _best_of_each(*map(np.concatenate, zip(*out, strict=True)), most)
+                        yield pa.RecordBatch.from_arrays([pa.array(reached), near], names=["node", "near"])
+                        out, held = [], 0
 
         found = met.select("met").mapInArrow(run, f"node bigint, near {_PAIR}")
         return _merge(self.graph.union(found), self.neighbours)
