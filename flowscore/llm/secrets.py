@@ -24,7 +24,11 @@ HEX = "[0-9a-f]+"
 KINDS = ["assign", "access", "hex", "random"]
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 
-CANDIDATE = "[A-Za-z0-9+/=_-]{20,}"
+LEAST_RANDOM = 20
+CANDIDATE = f"[A-Za-z0-9+/=_-]{{{LEAST_RANDOM},}}"
+#: Parts of a run that fits no alphabet: what stands between '=', then what stands between signs of one alphabet or both.
+BETWEEN_EQUALS = ["[A-Za-z0-9+/_-]+(?:={1,2}$)?"]
+BETWEEN_SIGNS = ["[A-Za-z0-9_-]+(?:={1,2}$)?", "[A-Za-z0-9+/]+(?:={1,2}$)?", "[A-Za-z0-9]+"]
 LENGTH_BANDS = [32, 64]
 #: Share of generated strings tolerated among those the battery lets go.
 FALSE_DISCOVERY = 0.05
@@ -101,10 +105,25 @@ def _add(rows: Column, name: str, f) -> Column:
     return F.transform(rows, lambda r: r.withField(name, f(r)))
 
 
+def _parted(runs: Column, patterns: list[str]) -> Column:
+    """Runs (start, end, value) that fit an alphabet; of the others, all different matches that are long enough."""
+
+    def parts(run, pattern):
+        found = F.transform(_found(run["value"], pattern, 0), lambda m: F.struct(
+            (m["start"] + run["start"]).alias("start"), (m["end"] + run["start"]).alias("end"), m["value"].alias("value")))
+        return F.filter(found, lambda m: F.length(m["value"]) >= LEAST_RANDOM)
+
+    return F.flatten(F.transform(runs, lambda r: F.when(encoding(r["value"]).isNotNull(), F.array(r)).otherwise(
+        F.array_distinct(F.concat(*[parts(r, p) for p in patterns])))))
+
+
 def battery(candidates: Column) -> Column:
-    """Candidates (start, end, value) with their encoding and the joint p-value of the three tests."""
+    """Candidates (start, end, value) with their encoding and the joint p-value of the three tests.
+
+    A run that fits no alphabet as a whole (NAME=key, a path that ends in a key) is tested in parts."""
     spelled = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
-    rows = _add(candidates, "encoding", lambda r: encoding(r["value"]))
+    rows = _parted(_parted(candidates, BETWEEN_EQUALS), BETWEEN_SIGNS)
+    rows = _add(rows, "encoding", lambda r: encoding(r["value"]))
     rows = F.filter(rows, lambda r: r["encoding"].isNotNull() & ~r["encoding"].isin(NEVER))
     rows = _add(rows, "alphabet", lambda r: spelled[r["encoding"]])
     rows = _add(rows, "x", lambda r: F.transform(
@@ -193,7 +212,21 @@ def spans(scanned: DataFrame, least: dict[tuple[str, int], int]) -> Column:
         return F.array_sort(base)
     kept = F.filter("candidates", lambda c: c["bin"] < limit[F.concat_ws(":", c["encoding"], c["band"])])
     alone = F.filter(kept, lambda c: ~F.exists(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    return F.array_sort(F.concat(base, _ranked(alone, 3)))
+    return F.array_sort(F.concat(base, _ranked(_joined(alone), 3)))
+
+
+def _joined(found: Column) -> Column:
+    """Spans with those that overlap made one: parts of a run may."""
+    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+
+    def step(out, s):
+        last = F.try_element_at(out, F.lit(-1))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
+        return F.when(s["start"] < last["end"], F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(longer))).otherwise(
+            F.array_append(out, s))
+
+    rows = F.array_sort(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
+    return F.aggregate(rows, empty, step)
 
 
 def _ranked(found: Column, rank: int) -> Column:

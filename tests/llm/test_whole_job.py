@@ -1,9 +1,11 @@
 """What an earlier version cut short."""
 
+import random
+
 import numpy as np
 import pyarrow as pa
 
-from flowscore.llm import nndescent
+from flowscore.llm import nndescent, secrets
 
 
 def one_round(spark, x, lists, neighbours):
@@ -36,3 +38,16 @@ def test_all_nodes_that_name_a_hub_meet(spark):
     x = circle(rng.uniform(0, 6.28, 300))
     got, _ = one_round(spark, x, {0: [1], **{i: [0] for i in range(1, 300)}}, 5)
     assert all(len(near) == 5 for node, near in got.items() if node)
+
+
+def test_keys_after_a_name_and_at_the_end_of_a_path(spark):
+    rng = random.Random(5)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    plain, signed = "".join(rng.choices(letters, k=40)), "".join(rng.choices(letters + "+/", k=42)) + "+="
+    cases = [("DB_KEY=", plain, ""), ("run with sig=", signed, " now"), ("at srv/app_data/", plain, ""),
+             ("at my-files/", signed, ""), ("/a_b/", plain, "_x/y"), ("A=", plain, "=b_c/d")]
+    docs = spark.createDataFrame([(i, "".join(c)) for i, c in enumerate(cases)], "doc_id int, text string")
+    for r in secrets.redact(docs).collect():
+        assert cases[r.doc_id][1].rstrip("=") not in r.text and "[SECRET]" in r.text
+    names = spark.createDataFrame([(1, "some_file_name_with_words/and_more/parts_of_an_ordinary_path=yes")], docs.schema)
+    assert [r.spans for r in secrets.find(names).collect()] == [""]
