@@ -99,6 +99,19 @@ def links(distinct: DataFrame, max_distance: int = MAX_DISTANCE, segments: int =
     return split(probe, "a").join(split(table, "b"), ["segment", "value"]).filter(near).select("a", "b").distinct()
 
 
+def _rooted(docs: DataFrame, id_col: str, text_col: str, shingle_words: int = SHINGLE_WORDS,
+            max_distance: int = MAX_DISTANCE, segments: int = SEGMENTS) -> tuple[DataFrame, DataFrame]:
+    """(id, fingerprint) of every document and (fingerprint, least id, root of its component) of every fingerprint."""
+    prints = keep(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
+    distinct = keep(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "simhash")
+    found = keep(components(links(distinct, max_distance, segments)), "simhash")
+    rooted = keep(distinct.join(found.withColumnRenamed("vertex", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")), "simhash")
+    drop(found)
+    drop(distinct)
+    return prints, rooted
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     shingle_words: int = SHINGLE_WORDS, max_distance: int = MAX_DISTANCE,
                     segments: int = SEGMENTS) -> DataFrame:
@@ -107,27 +120,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null and empty texts have fingerprint 0 and are linked like any other.  Repeated rows stay rows.  A null id takes
     no part in the minimum; a component of null ids only has a null component_id.  Other columns are not read.  An
     empty table gives no rows."""
-    prints = keep(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
-    distinct = keep(prints.groupBy("fingerprint").agg(F.min("id").alias("least")), "simhash")
-    found = keep(components(links(distinct, max_distance, segments)), "simhash")
-    rooted = distinct.join(found.withColumnRenamed("vertex", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
+    prints, rooted = _rooted(docs, id_col, text_col, shingle_words, max_distance, segments)
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = keep(rooted.join(ids, "root").select("fingerprint", "component_id"), "simhash")
-    drop(found)
-    drop(distinct)
+    drop(rooted)
     return prints.join(classes, "fingerprint").select(F.col("id").alias(id_col), "fingerprint", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **parameters) -> DataFrame:
-    """The documents with one row left of each component, the one of least id.
-
-    Rows that repeat that id within the component leave one row.  Rows without an id are not grouped and stay."""
-    known = docs.filter(F.col(id_col).isNotNull())
-    classes = near_duplicates(known, id_col, text_col, **parameters)
-    first = classes.filter(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(
-        F.count("*").alias("__copies"))
-    chosen = known.join(first, id_col).select(*[known[c] for c in docs.columns], "__copies")
-    single = chosen.filter("__copies = 1").drop("__copies")
-    repeated = chosen.filter("__copies > 1").drop("__copies").dropDuplicates([id_col])
-    return single.unionByName(repeated).unionByName(docs.filter(F.col(id_col).isNull()))
+    """The documents with one row left of each component, one of least id.
+
+    Rows that repeat that id within the component leave one row; those in other components are judged there.  Rows
+    without an id are not grouped and stay."""
+    # The row number is fixed once the table is written.
+    known = keep(docs.filter(F.col(id_col).isNotNull()).withColumn("__row", F.monotonically_increasing_id()), "simhash")
+    prints, rooted = _rooted(known, "__row", text_col, **parameters)
+    ids = known.select(F.col("__row").alias("id"), F.col(id_col).alias("__id"))
+    first = prints.join(rooted, "fingerprint").join(ids, "id").groupBy("root").agg(
+        F.min(F.struct("__id", "id"))["id"].alias("__row"))
+    chosen = known.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
+    return chosen.unionByName(docs.filter(F.col(id_col).isNull()))

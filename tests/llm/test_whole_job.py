@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from flowscore.llm import nndescent, secrets
+from flowscore.llm import nndescent, secrets, simhash
 
 
 def one_round(spark, x, lists, neighbours):
@@ -51,3 +51,12 @@ def test_keys_after_a_name_and_at_the_end_of_a_path(spark):
         assert cases[r.doc_id][1].rstrip("=") not in r.text and "[SECRET]" in r.text
     names = spark.createDataFrame([(1, "some_file_name_with_words/and_more/parts_of_an_ordinary_path=yes")], docs.schema)
     assert [r.spans for r in secrets.find(names).collect()] == [""]
+
+
+def test_rows_of_one_id_with_different_texts_are_kept(spark):
+    a, b = (" ".join(f"{w}{i}" for i in range(60)) for w in ("alpha", "stone"))
+    rows = [(1, a), (5, b), (5, a), (5, b), (7, b), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted([(1, a), (5, b), (None, a)], key=str)
+    docs = spark.createDataFrame([(5, a), (5, b)], docs.schema)
+    assert simhash.keep_one(docs).count() == 2
