@@ -481,7 +481,7 @@ def scored_columns(spark, sf_dir):
 def train_gbt(spark, sf_dir):
     train, test = train_test_split(_labelled_docs(spark, sf_dir), "doc_id")
     model = fit_classifier(train, "quality", ["n_chars"], ["lang", "source"], kind="gbt",
-                           index_label=False, params={"maxIter": 20, "maxDepth": 5})
+                           index_label=False, params=GBT_PARAMS)
     return _model_output(score(test, model), ["doc_id"], "quality", ["0", "1"])
 
 

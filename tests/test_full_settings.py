@@ -28,3 +28,8 @@ def test_one_vs_rest_has_ten_classes_and_all_rounds(spark, monkeypatch):
     assert options["kind"] == "ovr" and options["params"] == {"maxIter": 100, "maxDepth": 6}
     assert train.select(label).distinct().count() == 10
     assert train.select("band", label).distinct().count() == 10  # a class lies within one band
+
+
+def test_boosted_trees_have_all_rounds(spark, monkeypatch):
+    _, _, options = asked(monkeypatch, spark, catalog.train_gbt)
+    assert options["kind"] == "gbt" and options["params"] == {"maxIter": 100, "maxDepth": 6}
