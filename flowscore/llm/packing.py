@@ -1,7 +1,8 @@
 """Packing of whole documents into fixed windows of token ids, next to lexical neighbours.
 
 Texts are encoded once into a table of ids, with document frequencies counted over all documents in the same pass.
-Tasks then read that table shard by shard (a bounded number of tokens), build an inverted index of BM25 weights over
+Documents are dealt to tasks, and ordered within them, by a min-hash of their terms of highest weight, so likely
+neighbours follow each other whatever file they came from.  Tasks read them shard by shard (a bounded number of tokens), build an inverted index of BM25 weights over
 the shard's documents, and fill one window after the other: a seed document, then its unused neighbours in order of
 their BM25 score as far as they fit whole, then the best one left, cut to the room that remains; what is cut off is the
 next seed.  So every window is full, and the last tokens of a partition make sequences of power-of-two lengths.
@@ -25,6 +26,7 @@ SHARD_TOKENS = 1 << 20
 #: A seed asks with its terms of highest weight, so many at most.
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
+SEED = 29
 
 
 def encode(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
@@ -80,6 +82,34 @@ def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray,
     return frequency, size[0] or 0, (size[1] or 0) / (size[0] or 1)
 
 
+def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int) -> DataFrame:
+    """(id, ids) dealt by the two least of a random order of each document's terms of highest weight.
+
+    Rows of one key are told apart by their number, so a key of many documents goes to several tasks."""
+    width = "<u2" if vocabulary <= 1 << 16 else "<u4"
+
+    def run(batches):
+        idf, order = shared.value, np.random.default_rng(SEED).permutation(vocabulary).astype(np.int64)
+        for batch in batches:
+            keys = []
+            for data in batch.column(1):
+                kinds, counts = np.unique(np.frombuffer(data.as_py(), dtype=width), return_counts=True)
+                weight = idf[kinds] * counts / (counts + K1)
+                told = weight > 0
+                kinds, weight = kinds[told], weight[told]
+                if len(kinds) > query_terms:
+                    kinds = kinds[np.argpartition(-weight, query_terms)[:query_terms]]
+                least = np.sort(order[kinds])[:2].tolist() + [0, 0]
+                keys.append((least[0] << 32) + least[1])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())],
+                                             names=["id", "ids", "row", "key"])
+
+    kind = encoded.schema["id"].dataType.simpleString()
+    rows = encoded.filter("ids is not null").select("id", "ids", F.monotonically_increasing_id().alias("row"))
+    keyed = rows.mapInArrow(run, f"id {kind}, ids binary, row bigint, key bigint")
+    return keyed.repartitionByRange("key", "row").sortWithinPartitions("key", "row").select("id", "ids")
+
+
 class Shard:
     """An inverted index over some units (uncut tails of documents) and the windows filled from them."""
 
@@ -227,6 +257,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             yield batch_out()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return encoded.filter("ids is not null").select("id", "ids").mapInArrow(
+    return by_content(encoded, shared, vocabulary, query_terms).mapInArrow(
         run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, "
              "offset bigint").withColumnRenamed("id", id_col)

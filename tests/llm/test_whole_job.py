@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from flowscore.llm import nndescent, secrets, simhash
+from flowscore.llm import nndescent, packing, secrets, simhash
 
 
 def one_round(spark, x, lists, neighbours):
@@ -60,3 +60,16 @@ def test_rows_of_one_id_with_different_texts_are_kept(spark):
     assert sorted(map(tuple, simhash.keep_one(docs).collect()), key=str) == sorted([(1, a), (5, b), (None, a)], key=str)
     docs = spark.createDataFrame([(5, a), (5, b)], docs.schema)
     assert simhash.keep_one(docs).count() == 2
+
+
+def test_packing_finds_neighbours_in_other_partitions_and_shards(spark):
+    rng = random.Random(1)
+    topics = [[f"{a}{b}word{i}" for i in range(40)] for a in ("red", "blue", "green", "grey", "pink") for b in "klmnprst"]
+    rows = [(i, " ".join(rng.choices(topics[i % 40], k=120))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id int, text string").repartition(20, "doc_id")
+    pieces = packing.pack(docs, shard_tokens=1 << 14).collect()
+    together = {}
+    for p in pieces:
+        together.setdefault(p.sequence_id, set()).add(p.doc_id % 40)
+    assert {p.doc_id for p in pieces} == set(range(400))
+    assert np.mean([len(t) for t in together.values()]) < 2.5
