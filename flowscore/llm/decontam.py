@@ -23,11 +23,14 @@ COVERAGE = 0.5
 #: Bits of the seed filter, a power of two (the driver and each worker hold a byte for each).
 FILTER_BITS = 1 << 24
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_WORD = re.compile(r"\w+")
+#: Scripts written without spaces: Thai, Lao, Burmese, Khmer, kana, Chinese characters.
+_UNSPACED = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD = re.compile(rf"[^\W{_UNSPACED}]+|[{_UNSPACED}]")
 
 
 def words(text: str) -> np.ndarray:
-    """Hashes of the text's words: lower-cased runs of letters, digits and underscores."""
+    """Hashes of the text's words: lower-cased runs of letters, digits and underscores; each letter of a script
+    without spaces."""
     from xxhash import xxh64_intdigest
     found = _WORD.findall(text.lower())
     return np.array([xxh64_intdigest(w) for w in found], dtype=np.uint64)

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from flowscore.llm import nndescent, packing, secrets, simhash
+from flowscore.llm import decontam, nndescent, packing, secrets, simhash
 
 
 def one_round(spark, x, lists, neighbours):
@@ -73,3 +73,12 @@ def test_packing_finds_neighbours_in_other_partitions_and_shards(spark):
         together.setdefault(p.sequence_id, set()).add(p.doc_id % 40)
     assert {p.doc_id for p in pieces} == set(range(400))
     assert np.mean([len(t) for t in together.values()]) < 2.5
+
+
+def test_items_in_scripts_without_spaces_are_found(spark):
+    items = ["日本の首都は東京であり人口が多い", "ประเทศไทยมีเมืองหลวงคือกรุงเทพ"]
+    rows = [(1, "昨日は" + items[0] + "と聞いた"), (2, "ว่า" + items[1] + "และ"), (3, "今日は良い天気です"), (4, "snake_case 1a é")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    assert [r.doc_id for r in decontam.Decontamination(docs, bench).clean().orderBy("doc_id").collect()] == [3, 4]
+    assert len(decontam.words("snake_case 1a é")) == 3
