@@ -1,5 +1,5 @@
 """Classification pipelines: random forest, logistic regression, boosted trees,
-one-vs-rest boosted trees.  Fit, save and load.
+one-vs-rest boosted trees, softmax boosted trees.  Fit, save and load.
 
 Layout of a fitted model (``FlowModel``):
   * the label indexer is kept OUT of the scoring pipeline (the label column is
@@ -23,6 +23,7 @@ from pyspark.ml.feature import StringIndexerModel, VectorSizeHint
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowscore.operators.boosting import SoftmaxBoost
 from flowscore.operators.features import assembler_stage, imputer_stage, index_stage
 from flowscore.schema import UNKNOWN_LABEL
 from flowscore.session import shared_dir
@@ -103,7 +104,7 @@ def _read_text(path: str) -> str:
     return "".join(r.value for r in spark.read.text(path).collect())
 
 
-def _classifier(kind: str, label: str, n_bins: int, params: dict):
+def _classifier(kind: str, label: str, n_bins: int, params: dict, n_classes: int = 2):
     if kind == "rf":
         p = {**RF_PARAMS, **params}
         p = {**_tree_exec(p), **p}
@@ -120,6 +121,8 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict):
         parallelism = p.pop("parallelism", 1)
         return OneVsRest(classifier=GBTClassifier(**p), featuresCol="features",
                          labelCol=label, parallelism=parallelism)
+    if kind == "softmax":
+        return SoftmaxBoost(featuresCol="features", labelCol=label, classes=n_classes, settings=params)
     raise ValueError(f"unknown classifier kind: {kind}")
 
 
@@ -174,6 +177,6 @@ def _fit(train, label_col, numeric, categorical, kind, index_label, params, vect
     for name, size in vectors.items():
         stages.append(VectorSizeHint(inputCol=name, size=int(size), handleInvalid="error"))
     stages.append(assembler_stage(list(numeric) + indexed + list(vectors)))
-    stages.append(_classifier(kind, target, n_bins, params))
+    stages.append(_classifier(kind, target, n_bins, params, max(len(labels) - 1, 1) if labels else 2))
     pipe = Pipeline(stages=stages).fit(data)
     return FlowModel(pipe, label_col, labels, label_indexer, list(numeric), categorical)

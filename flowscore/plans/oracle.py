@@ -103,6 +103,8 @@ def _model(keys: str, label: str, rows: str) -> str:
 
 
 EMBEDDING_LABEL = _bands("embedding[3]", -0.05, 0.05, "low", "mid", "high")
+EMBEDDING_CLASS = "'class_' || (" + " + ".join(
+    f"(embedding[3] >= {x})::int" for x in (-0.16, -0.11, -0.08, -0.05, 0.0, 0.05, 0.08, 0.11, 0.16)) + ")"
 LABELLED_TEST = f"documents join labels using (doc_id) where not {flag('doc_id')}"
 
 ORACLE: dict[str, str] = {
@@ -279,7 +281,7 @@ select prediction, count(*)::bigint as "count" from docs group by prediction""",
     "label_counts": f"""with {DOCS}
 select attack_type as prediction_label, count(*)::bigint as "count" from docs group by attack_type""",
     "train_rf": _model("vec_id", EMBEDDING_LABEL, f"embeddings where not {flag('vec_id')}"),
-    "train_gbt_ovr": _model("vec_id", EMBEDDING_LABEL, f"embeddings where not {flag('vec_id')}"),
+    "train_gbt_ovr": _model("vec_id, true as has_confidence", EMBEDDING_CLASS, f"embeddings where not {flag('vec_id')}"),
     "batch_score": _model("vec_id", EMBEDDING_LABEL, "embeddings"),
     "train_lr": _model("doc_id", "(n_chars >= 1500)::int", LABELLED_TEST),
     "model_roundtrip": _model("doc_id, true as same_after_load", "(n_chars >= 1500)::int", LABELLED_TEST),
