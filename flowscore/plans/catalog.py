@@ -24,7 +24,8 @@ from flowscore.operators.evaluate import accuracy_f1, auc_frame
 from flowscore.operators.features import (assembler_stage, drop_stage, imputer_stage, index_stage,
                                           train_flag, train_test_split, vector_as_array)
 from flowscore.operators.monitor import throughput
-from flowscore.operators.retention import batch_sizes, retain_newest
+from flowscore.operators.retention import (batch_sizes, document_bytes, retain_newest,
+                                           retain_newest_documents)
 from flowscore.operators.score import decode_labels, score, to_documents
 from flowscore.operators.train import FlowModel, fit_classifier
 from flowscore.plans import standins as SI
@@ -279,6 +280,14 @@ def retain_newest_bytes(spark, sf_dir):
     return retain_newest(sizes, "batch_id", RETENTION_CAP)
 
 
+def retain_newest_documents_q(spark, sf_dir):
+    """The newest documents within the cap: the border lies inside an hour."""
+    ev = _t(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts")
+    size = document_bytes(["event_id", "user_id", "event_type"])
+    kept = retain_newest_documents(ev, size, ["ts", "event_id"], F.window("ts", "1 hour").start, RETENTION_CAP)
+    return kept.select("event_id", "ts", size.alias("bytes"))
+
+
 # ---------------------------------------------------------------------------
 # Features
 # ---------------------------------------------------------------------------
@@ -674,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "throughput": throughput_q,
     "stream_throughput": stream_throughput,
     "retain_newest_bytes": retain_newest_bytes,
+    "retain_newest_documents": retain_newest_documents_q,
     # features
     "string_index": string_index,
     "string_index_multi": string_index_multi,

@@ -209,6 +209,11 @@ from events group by 1""",
   from events group by 1),
 c as (select batch_id, bytes, (sum(bytes) over (order by batch_id desc))::bigint as cum_bytes from s)
 select batch_id, bytes, cum_bytes from c where cum_bytes <= 262144""",
+    "retain_newest_documents": """with s as (
+  select event_id, ts, strlen(to_json({'event_id': event_id, 'user_id': user_id,
+                                       'event_type': event_type})::varchar)::bigint as bytes from events),
+c as (select *, sum(bytes) over (order by ts desc, event_id desc) as upto from s)
+select event_id, ts, bytes from c where upto <= 262144""",
     "string_index": f"""with {EVENT_INDEX}
 select e.event_id, idx.i as event_type_index from events e join idx on e.event_type = idx.event_type""",
     "string_index_multi": """with rf as (
