@@ -28,6 +28,7 @@ from flowscore.operators.retention import (batch_sizes, document_bytes, retain_n
                                            retain_newest_documents)
 from flowscore.operators.score import decode_labels, score, to_documents
 from flowscore.operators.train import FlowModel, fit_classifier
+from flowscore.operators.zones import lookup, top_k
 from flowscore.plans import standins as SI
 from flowscore.schema import STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
 from flowscore.session import fresh_dir
@@ -44,6 +45,7 @@ PAGE = 100
 RETENTION_CAP = 262144           # bytes kept by the retention query
 RETENTION_BATCH_ROWS = 100       # events per stand-in micro-batch
 ALERT_TYPE = "error"             # attack type looked up by by_attack_type
+LOOKUP_PARTITION, LOOKUP_OFFSET = 3, 100   # source position asked for by lookup_offset
 UNSEEN_TYPE = "click"            # category left out of the fit by index_unseen
 
 
@@ -528,18 +530,27 @@ def _docs(spark, sf_dir):
     return SI.stored_predictions(spark, sf_dir)
 
 
+def _top(spark, sf_dir, by, descending, *ties):
+    """An exact page through the zone map: only files that may hold one of its rows are opened."""
+    found = top_k(_docs(spark, sf_dir), SI.prediction_zones(spark, sf_dir), PAGE, by, descending, ties)
+    return S.flat(found.rows)
+
+
+_PLACE = ("kafka_metadata.partition", "kafka_metadata.offset")
+
+
 def fetch_first_100(spark, sf_dir):
-    out = S.fetch_first(_docs(spark, sf_dir), PAGE)
+    out = _top(spark, sf_dir, "timestamp", False, *_PLACE)
     doc_id = F.concat_ws(":", F.lit("demo"), F.col("partition").cast("string"), F.col("offset").cast("string"))
     return out.withColumn("doc_id", doc_id)
 
 
 def latest_predictions(spark, sf_dir):
-    return S.latest(_docs(spark, sf_dir), PAGE)
+    return _top(spark, sf_dir, "timestamp", True, *_PLACE)
 
 
 def top_confidence(spark, sf_dir):
-    return S.top_confidence(_docs(spark, sf_dir), PAGE)
+    return _top(spark, sf_dir, "confidence", True, "timestamp", *_PLACE)
 
 
 def by_attack_type(spark, sf_dir):
@@ -547,7 +558,12 @@ def by_attack_type(spark, sf_dir):
 
 
 def by_offset(spark, sf_dir):
-    return S.by_offset(_docs(spark, sf_dir), PAGE)
+    return _top(spark, sf_dir, "kafka_metadata.offset", True, "kafka_metadata.partition")
+
+
+def lookup_offset(spark, sf_dir):
+    """One document by its place in the source."""
+    return S.flat(lookup(_docs(spark, sf_dir), partition=LOOKUP_PARTITION, offset=LOOKUP_OFFSET))
 
 
 def alerts(spark, sf_dir):
@@ -712,6 +728,7 @@ QUERIES: dict[str, Query] = {
     "top_confidence": top_confidence,
     "by_attack_type": by_attack_type,
     "by_offset": by_offset,
+    "lookup_offset": lookup_offset,
     "alerts": alerts,
     "attack_distribution": attack_distribution,
     "total_predictions": total_predictions,

@@ -275,6 +275,8 @@ order by confidence desc nulls last, "timestamp" desc, "partition" desc, "offset
     "by_attack_type": f"with {DOCS}\nselect * from docs where attack_type = 'error'",
     "by_offset": f"""with {DOCS}
 select * from docs order by "offset" desc, "partition" desc limit 100""",
+    "lookup_offset": f"""with {DOCS}
+select * from docs where "partition" = 3 and "offset" = 100""",
     "alerts": f"""with {DOCS}
 select "timestamp" as created_at, attack_type, confidence, "partition", "offset"
 from docs where attack_type <> 'view'""",

@@ -19,6 +19,7 @@ from flowscore.functions.json_codec import decode_json_lenient, json_column
 from flowscore.operators.conform import fill_zero
 from flowscore.operators.features import index_stage
 from flowscore.operators.score import decode_labels, to_documents
+from flowscore.operators.zones import with_blooms, zones_of
 from flowscore.schema import (STANDIN_COUNTER_FACTOR, STANDIN_FIELDS, TOPIC,
                               TOPIC_PARTITIONS, UNKNOWN_LABEL, numeric_wire_columns)
 from flowscore.session import shared_dir
@@ -68,6 +69,10 @@ def events_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MAX_FILES_PER_TRIGGER = 64
+PREDICTION_FOLDERS = ["event_date", "attack_type"]
+#: Columns the read side asks by, and positions of a file that point reads may ask for.
+ZONE_COLUMNS = ["timestamp", "confidence", "kafka_metadata.offset"]
+POSITION_BLOOMS = {"kafka_metadata.offset": 1_000_000}
 
 
 def events_envelope_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,19 +133,33 @@ def _input_signature(spark: SparkSession, path: str) -> str:
     return hashlib.sha1("\n".join([raw[0], *sorted(raw[1:])]).encode()).hexdigest()[:16]
 
 
+def _written(spark: SparkSession, path: str) -> bool:
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+
+
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored predictions table the read side queries.
 
     Written once per input and session (keyed by the identity of all events
-    files) into the shared checkpoint folder, partitioned by ``attack_type`` like the sink's
-    output, then read back: serving queries scan the stored table (filters
-    on the attack type prune folders) instead of re-scoring the stream."""
+    files) into the shared checkpoint folder, partitioned by date and attack type like the sink's
+    output and sorted by time within a file, with Bloom filters on the source position and a zone map beside it; then
+    read back: serving queries scan the stored table (filters on the attack type prune folders) instead of re-scoring
+    the stream."""
     src = table_path(sf_dir, "events")
     path = shared_dir(spark, "flowscore", "predictions", _input_signature(spark, src))
-    jvm = spark.sparkContext._jvm
-    done = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(done):
-        (rebalanced(prediction_documents(spark, sf_dir), ["attack_type"])
-             .write.mode("overwrite").partitionBy("attack_type").parquet(path))
+    if not _written(spark, path):
+        docs = rebalanced(prediction_documents(spark, sf_dir), PREDICTION_FOLDERS).sortWithinPartitions(
+            *PREDICTION_FOLDERS, "timestamp")
+        with_blooms(docs.write.mode("overwrite").partitionBy(*PREDICTION_FOLDERS), POSITION_BLOOMS).parquet(path)
     return read_predictions(spark, path)
+
+
+def prediction_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The zone map of ``stored_predictions``, written once after it."""
+    table = stored_predictions(spark, sf_dir)
+    src = table_path(sf_dir, "events")
+    path = shared_dir(spark, "flowscore", "prediction-zones", _input_signature(spark, src))
+    if not _written(spark, path):
+        zones_of(table, ZONE_COLUMNS).hint("rebalance").write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
