@@ -9,13 +9,21 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowscore.llm.rows import named, with_computed
+from flowscore.llm.scratch import keep
 
 DIMENSIONS = 1024
 NGRAM = 3
 SEED = 20240
 UNKNOWN = "und"
+#: Texts that the limit of a length band needs, the quantile of their cosines and the share of their median it is.
+LEAST_ROWS = 30
+LOW = 0.005
+HALF = 0.5
 #: Code points looked at together; a longer text is bundled chunk by chunk.
 _CHUNK = 1 << 16
 #: Bounds of a worker's tables: letters with an index, n-gram vectors held.  Beyond them the tables start anew.
@@ -169,20 +177,19 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
 
 def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str = "text",
             dimensions: int = DIMENSIONS, n: int = NGRAM, seed: int = SEED,
-            pred_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
-    """``docs`` with the language of the largest cosine and that cosine (negative ones as 0).
+            pred_col: str = "lang_pred", score_col: str = "score", columns: list[str] | None = None) -> DataFrame:
+    """``columns`` (default: all) of ``docs`` with the language of the largest cosine and that cosine (negative ones as 0).
 
     A null text, one without a letter, or no prototypes at all gives ``und`` and score 0.  Equal cosines go to the
     first language in alphabetical order.  Columns of ``docs`` with the two new names are replaced."""
-    rest = docs.drop(pred_col, score_col)
-    text_at = text_col if text_col in rest.columns and docs.schema[text_col].dataType.simpleString() == "string" else "__text"
     names, matrix = list(prototypes), np.array(list(prototypes.values())).reshape(-1, dimensions)
 
-    def run(batches):
+    def make():
         book = codebook(dimensions, n, seed)
-        for batch in batches:
+
+        def compute(columns):
             found, scores = [], []
-            for text in batch.column(batch.schema.get_field_index(text_at)):
+            for text in columns[0]:
                 vector = book.bundle(text.as_py() or "") if names else None
                 norm = np.linalg.norm(vector) if vector is not None else 0
                 if not norm:
@@ -193,10 +200,61 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
                 best = int(np.argmax(cosines))
                 found.append(names[best])
                 scores.append(float(min(max(cosines[best], 0.0), 1.0)))
-            kept = batch if text_at == text_col else batch.drop_columns([text_at])
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())],
-                                             names=[*kept.schema.names, pred_col, score_col])
+            return [pa.array(found, pa.string()), pa.array(scores, pa.float64())]
+        return compute
+
+    return with_computed(docs, [named(text_col).cast("string")], {pred_col: T.StringType(), score_col: T.DoubleType()},
+                         make, columns)
+
+
+def length_band(text: Column) -> Column:
+    """Texts of about one length: each band doubles the code points (null: -1)."""
+    return F.when(F.length(text) > 0, F.floor(F.log2(F.length(text).cast("double")))).otherwise(-1).cast("int")
+
+
+def limits(judged: DataFrame, lang_col: str, pred_col: str, score_col: str, band_col: str) -> dict[tuple[str, int], float]:
+    """The least cosine that still counts as a language, by language and length band.
+
+    Counted over all texts that are labelled with a language and predicted as it: the ``LOW`` quantile of their cosines,
+    or ``HALF`` of their median if that is less, so a clean corpus loses nothing.  A band of fewer than ``LEAST_ROWS``
+    texts of a language takes that of all languages together, in the nearest longer band that has them; texts shorter
+    than any band with enough of them have no limit, longer ones that of the longest.  At most (languages + 1) x 32 groups."""
+    own = judged.filter(named(lang_col).cast("string") == named(pred_col)).select(
+        named(pred_col).alias("lang"), named(band_col).alias("band"), named(score_col).alias("score"))
+    quantiles = [F.count(F.lit(1)).alias("n"), F.percentile_approx("score", [LOW, 0.5], 10_000).alias("q")]
+    rows = own.groupBy("lang", "band").agg(*quantiles).unionByName(
+        own.groupBy("band").agg(*quantiles).withColumn("lang", F.lit(None).cast("string"))).collect()
+    known = {(r.lang, r.band): min(r.q[0], HALF * r.q[1]) for r in rows if r.n >= LEAST_ROWS}
+    out = {}
+    for lang in {r.lang for r in rows if r.lang is not None}:
+        for band in range(32):
+            found = known.get((lang, band))
+            longer = [known[None, b] for b in range(band, 32) if (None, b) in known]
+            # Texts shorter than any measured ones stay; the longest ones are judged as the longest measured.
+            if found is None and any((None, b) in known for b in range(band + 1)):
+                found = longer[0] if longer else known[max((k for k in known if k[0] is None), key=lambda k: k[1])]
+            if found is not None:
+                out[lang, band] = found
+    return out
+
+
+def in_language(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", **parameters) -> DataFrame:
+    """The documents in a language of the corpus.
 
-    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema],
-                        f"`{pred_col}` string", f"`{score_col}` double"])
-    return (rest if text_at == text_col else rest.withColumn(text_at, docs[text_col].cast("string"))).mapInArrow(run, schema)
+    A text goes if it has no letter, or if its best cosine is below the limit of that language and length (see
+    ``limits``).  Languages with too few labelled texts for a limit let all their texts stay, and where no text has a
+    label, nothing is learned and all documents stay, those without a text too.  Columns of any names stay as they are;
+    an empty table gives an empty table."""
+    row = F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc")
+    text = named(text_col).cast("string")
+    plain = docs.select(row, text.alias("text"), named(lang_col).cast("string").alias("lang"), length_band(text).alias("band"))
+    prototypes = train(plain, **parameters)
+    if not prototypes:
+        return docs
+    judged = keep(predict(plain, prototypes, pred_col="pred", columns=["doc", "lang", "band"], **parameters), "langid")
+    found = limits(judged, "lang", "pred", "score", "band")
+    stays = F.col("pred") != UNKNOWN
+    if found:
+        least = F.create_map(*[x for (lang, band), v in sorted(found.items()) for x in (F.lit(f"{lang}:{band}"), F.lit(v))])
+        stays = stays & (F.col("score") >= F.coalesce(least[F.concat_ws(":", "pred", "band")], F.lit(0.0)))
+    return judged.filter(stays).select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])

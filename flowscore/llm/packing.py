@@ -1,8 +1,9 @@
 """Packing of whole documents into fixed windows of token ids, next to lexical neighbours.
 
 Texts are encoded once into a table of ids, with document frequencies counted over all documents in the same pass.
-Documents are dealt to tasks, and ordered within them, by a min-hash of their terms of highest weight, so likely
-neighbours follow each other whatever file they came from.  Tasks read them shard by shard (a bounded number of tokens), build an inverted index of BM25 weights over
+Documents are dealt to tasks by the hash of the least of their terms of highest weight in a random order (a min-hash),
+and ordered within them by the two least, so likely neighbours follow each other whatever file they came from; a term of
+many documents is dealt to several tasks.  Tasks read them shard by shard (a bounded number of tokens), build an inverted index of BM25 weights over
 the shard's documents, and fill one window after the other: a seed document, then its unused neighbours in order of
 their BM25 score as far as they fit whole, then the best one left, cut to the room that remains; what is cut off is the
 next seed.  So every window is full, and the last tokens of a partition make sequences of power-of-two lengths.
@@ -27,6 +28,11 @@ SHARD_TOKENS = 1 << 20
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 SEED = 29
+#: Shards' worth of tokens that the documents of one term make in a part, and parts of documents without a telling term.
+SHARDS_A_DEAL = 4
+LOOSE_PARTS = 1 << 16
+#: An odd number that mixes row numbers.
+MIX = 2654435761
 
 
 def encode(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int) -> DataFrame:
@@ -82,32 +88,51 @@ def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray,
     return frequency, size[0] or 0, (size[1] or 0) / (size[0] or 1)
 
 
-def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int) -> DataFrame:
-    """(id, ids) dealt by the two least of a random order of each document's terms of highest weight.
+def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids in order and how often each comes; 16-bit ids are sorted by radix."""
+    if not len(ids):
+        return ids, np.zeros(0, dtype=np.int64)
+    ids = np.sort(ids, kind="stable")
+    starts = np.concatenate(([0], np.flatnonzero(ids[1:] != ids[:-1]) + 1))
+    return ids[starts], np.diff(starts, append=len(ids))
 
-    Rows of one key are told apart by their number, so a key of many documents goes to several tasks."""
+
+def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int, mean: float, frequency: np.ndarray,
+               deal_tokens: int) -> DataFrame:
+    """(id, ids) dealt by the least of a random order of each document's terms of highest weight, sorted by the two least.
+
+    The documents of a term may hold any share of all tokens: as many as its document frequency tells are spread by
+    their number over parts of about ``deal_tokens`` tokens."""
+    parts = encoded.sparkSession.sparkContext.broadcast(  # one number for each vocabulary entry
+        np.ceil(np.maximum(frequency, 1) * max(mean, 1.0) / deal_tokens).astype(np.int64))
     width = "<u2" if vocabulary <= 1 << 16 else "<u4"
 
     def run(batches):
         idf, order = shared.value, np.random.default_rng(SEED).permutation(vocabulary).astype(np.int64)
+        spread, term_at = parts.value, np.argsort(order)
         for batch in batches:
-            keys = []
-            for data in batch.column(1):
-                kinds, counts = np.unique(np.frombuffer(data.as_py(), dtype=width), return_counts=True)
+            keys, deals = [], []
+            for data, row in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+                kinds, counts = terms_of(np.frombuffer(data.as_py(), dtype=width))
                 weight = idf[kinds] * counts / (counts + K1)
                 told = weight > 0
                 kinds, weight = kinds[told], weight[told]
                 if len(kinds) > query_terms:
                     kinds = kinds[np.argpartition(-weight, query_terms)[:query_terms]]
-                least = np.sort(order[kinds])[:2].tolist() + [0, 0]
+                least = np.sort(order[kinds])[:2].tolist()
+                # Documents without a telling term are dealt by their number.
+                into = int(spread[term_at[least[0]]]) if least else LOOSE_PARTS
+                least += [0, 0]
                 keys.append((least[0] << 32) + least[1])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())],
-                                             names=["id", "ids", "row", "key"])
+                deals.append((least[0] << 32) + row * MIX % (1 << 31) % into)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64()), pa.array(deals, pa.int64())],
+                                             names=["id", "ids", "row", "key", "deal"])
 
     kind = encoded.schema["id"].dataType.simpleString()
     rows = encoded.filter("ids is not null").select("id", "ids", F.monotonically_increasing_id().alias("row"))
-    keyed = rows.mapInArrow(run, f"id {kind}, ids binary, row bigint, key bigint")
-    return keyed.repartitionByRange("key", "row").sortWithinPartitions("key", "row").select("id", "ids")
+    keyed = rows.mapInArrow(run, f"id {kind}, ids binary, row bigint, key bigint, deal bigint")
+    # A hash of the deal needs no sampling pass over the keys.
+    return keyed.repartition("deal").sortWithinPartitions("key", "row").select("id", "ids")
 
 
 class Shard:
@@ -123,7 +148,7 @@ class Shard:
     def _index(self) -> None:
         terms, docs, weights, self.queries = [], [], [], []
         for unit, (_, _, ids) in enumerate(self.units):
-            kinds, counts = np.unique(ids, return_counts=True)
+            kinds, counts = terms_of(ids)
             told = self.idf[kinds] > 0
             kinds, counts = kinds[told], counts[told]
             weight = self.idf[kinds] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * len(ids) / self.mean))
@@ -257,6 +282,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             yield batch_out()
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return by_content(encoded, shared, vocabulary, query_terms).mapInArrow(
+    dealt = by_content(encoded, shared, vocabulary, query_terms, mean, frequency, SHARDS_A_DEAL * shard_tokens)
+    return dealt.mapInArrow(
         run, f"id {kind}, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, "
              "offset bigint").withColumnRenamed("id", id_col)

@@ -32,7 +32,8 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     prototypes = langid.train(docs.filter(~held_out()))
-    return langid.predict(docs.select("doc_id", "text", held_out().alias("held_out")), prototypes).drop("text")
+    return langid.predict(docs.select("doc_id", "text", held_out().alias("held_out")), prototypes,
+                          columns=["doc_id", "held_out"])
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

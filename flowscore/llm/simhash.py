@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowscore.llm.components import components
+from flowscore.llm.rows import named
 from flowscore.llm.scratch import drop, keep
 
 SHINGLE_WORDS = 3
@@ -132,11 +133,14 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Rows that repeat that id within the component leave one row; those in other components are judged there.  Rows
     without an id are not grouped and stay."""
-    # The row number is fixed once the table is written.
-    known = keep(docs.filter(F.col(id_col).isNotNull()).withColumn("__row", F.monotonically_increasing_id()), "simhash")
-    prints, rooted = _rooted(known, "__row", text_col, **parameters)
-    ids = known.select(F.col("__row").alias("id"), F.col(id_col).alias("__id"))
+    # The row number is fixed once the table is written.  Rows travel as a struct, so their columns may have any names.
+    known = keep(docs.filter(named(id_col).isNotNull()).select(
+        F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc"), named(id_col).alias("doc_id"),
+        named(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "simhash")
+    prints, rooted = _rooted(known, "row", "text", **parameters)
+    ids = known.select(F.col("row").alias("id"), "doc_id")
     first = prints.join(rooted, "fingerprint").join(ids, "id").groupBy("root").agg(
-        F.min(F.struct("__id", "id"))["id"].alias("__row"))
-    chosen = known.join(first.select("__row"), "__row", "left_semi").select(*docs.columns)
-    return chosen.unionByName(docs.filter(F.col(id_col).isNull()))
+        F.min(F.struct("doc_id", "id"))["id"].alias("row"))
+    chosen = known.join(first.select("row"), "row", "left_semi")
+    chosen = chosen.select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+    return chosen.unionByName(docs.filter(named(id_col).isNull()))
