@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,16 +9,11 @@ from flowscore.llm import decontam, langid, packing, secrets, simhash
 from flowscore.llm.scratch import keep
 from flowscore.sources.tables import read_table
 
-#: Cosine that chance alone reaches between a text and a language prototype (one standard deviation).
-LEAST_COSINE = 1 / math.sqrt(langid.DIMENSIONS)
-
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the languages of the corpus; texts without a letter, or no nearer to any language than
-    chance, go."""
-    found = langid.predict(docs, langid.train(docs), pred_col="__lang", score_col="__score")
-    kept = found.filter((F.col("__lang") != langid.UNKNOWN) & (F.col("__score") > LEAST_COSINE))
-    return kept.select(*docs.columns)
+    """Documents in one of the languages of the corpus; texts without a letter, or farther from their language than its
+    own texts of that length are, go."""
+    return langid.in_language(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
