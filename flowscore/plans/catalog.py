@@ -28,14 +28,17 @@ from flowscore.operators.retention import (batch_sizes, document_bytes, retain_n
                                            retain_newest_documents)
 from flowscore.operators.score import decode_labels, score, to_documents
 from flowscore.operators.train import FlowModel, fit_classifier
+from flowscore.operators.vocabulary import encode_by_join, vocabulary
 from flowscore.operators.zones import lookup, top_k
 from flowscore.plans import standins as SI
-from flowscore.schema import STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
+from flowscore.schema import SPIKE_FACTOR, STANDIN_FIELDS, UNKNOWN_LABEL, wire_v1, wire_v2
 from flowscore.session import fresh_dir
-from flowscore.sources.files import first_n, read_csv, read_headerless_csv, read_names, write_csv
+from flowscore.sources.files import (first_n, read_csv, read_headerless_csv, read_headerless_lines, read_names,
+                                     write_csv)
 from flowscore.sources.tables import for_fit, read_table
-from flowscore.streaming.jobs import run_to_end, windowed_counts
-from flowscore.streaming.sinks import latest_per_key
+from flowscore.streaming.jobs import (live_throughput, live_totals, run_to_end, windowed_counts,
+                                      without_repeats)
+from flowscore.streaming.sinks import CommittedSink, latest_per_key
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,6 +48,7 @@ PAGE = 100
 RETENTION_CAP = 262144           # bytes kept by the retention query
 RETENTION_BATCH_ROWS = 100       # events per stand-in micro-batch
 ALERT_TYPE = "error"             # attack type looked up by by_attack_type
+ONCE_WATERMARK = "36500 days"    # the arrivals of stream_once may lie any time apart
 LOOKUP_PARTITION, LOOKUP_OFFSET = 3, 100   # source position asked for by lookup_offset
 UNSEEN_TYPE = "click"            # category left out of the fit by index_unseen
 
@@ -224,6 +228,18 @@ def union_by_name(spark, sf_dir):
     return train.unionByName(test, allowMissingColumns=True)
 
 
+def headerless_bad_bytes(spark, sf_dir):
+    """Headerless CSV with bytes that are no UTF-8 in every line: they are ignored, the rest is as without them."""
+    li = _t(spark, sf_dir, "lineitem")
+    base = fresh_dir(spark, "badcsv")
+    text = [F.col(c).cast("string") for c in li.columns]
+    at = li.columns.index("l_returnflag")
+    head, tail = (F.to_binary(F.concat_ws(",", *part), F.lit("utf-8")) for part in (text[:at + 1], text[at + 1:]))
+    line = F.concat(head, F.unhex(F.lit("FFC3")), F.to_binary(F.lit(","), F.lit("utf-8")), F.unhex(F.lit("E282")), tail)
+    li.select(line.cast("string").alias("value")).write.text(base)
+    return read_headerless_lines(spark, base, li.columns, {f.name: f.dataType for f in li.schema.fields})
+
+
 # ---------------------------------------------------------------------------
 # Profiling and counts
 # ---------------------------------------------------------------------------
@@ -305,6 +321,12 @@ def string_index_multi(spark, sf_dir):
     return m.transform(li).select("l_orderkey", "l_linenumber", "l_returnflag_index", "l_linestatus_index")
 
 
+def string_index_join(spark, sf_dir):
+    """An index of a vocabulary that grows with the table, as a table."""
+    li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey").cast("string").alias("part"))
+    return encode_by_join(li, "part", vocabulary(li, "part")).select("l_orderkey", "l_linenumber", "part_index")
+
+
 def alphabetical_index(spark, sf_dir):
     ev = _t(spark, sf_dir, "events").select("event_id", "event_type")
     m = index_stage("event_type", order="alphabetAsc").fit(ev)
@@ -660,6 +682,48 @@ def stream_throughput(spark, sf_dir):
     return res.select("bucket", "n")
 
 
+def _arrivals(spark, sf_dir, kind):
+    """The events table landing in two parts by a hash of the key; in the second, a third of the first comes again."""
+    ev = _t(spark, sf_dir, "events")
+    src = fresh_dir(spark, kind)
+    first = train_flag(F.col("event_id"))
+    return (src, lambda: ev.where(first).write.parquet(src + "/arrival=1"),
+            lambda again: (ev.where(~first).unionByName(ev.where(first & (F.col("event_id") % 3 == 0))) if again
+                           else ev.where(~first)).write.parquet(src + "/arrival=2"))
+
+
+def stream_running_total(spark, sf_dir):
+    """Live totals over arrivals out of order, with a restart between: the same as in batch."""
+    src, first, second = _arrivals(spark, sf_dir, "totals_src")
+    out, ckpt = fresh_dir(spark, "totals"), fresh_dir(spark, "totals_ckpt")
+    for arrive in (first, lambda: second(False)):
+        arrive()
+        events = spark.readStream.schema(SI.EVENTS_SCHEMA).parquet(src + "/*")
+        run = run_to_end(live_totals(events, "ts"), out, ckpt, output_mode="update")
+    return live_throughput(spark.read.parquet(run.output), SPIKE_FACTOR)
+
+
+def stream_once(spark, sf_dir):
+    """Events that are sent again after a restart come out once."""
+    src, first, second = _arrivals(spark, sf_dir, "once_src")
+    out, ckpt = fresh_dir(spark, "once"), fresh_dir(spark, "once_ckpt")
+    for arrive in (first, lambda: second(True)):
+        arrive()
+        stream = SI.envelope(spark.readStream.schema(SI.EVENTS_SCHEMA).parquet(src + "/*"))
+        decoded = decode_json_lenient(without_repeats(stream, "timestamp", ONCE_WATERMARK), STANDIN_FIELDS)
+        run = run_to_end(decoded, out, ckpt)
+    return spark.read.parquet(run.output).select("event_id", "event_type", "topic", "partition", "offset")
+
+
+def stream_committed(spark, sf_dir):
+    """Decoded events in a folder that one checkpoint owns, each batch committed once."""
+    out, ckpt = fresh_dir(spark, "committed"), fresh_dir(spark, "committed_ckpt")
+    writer = _stream_decoded(spark, sf_dir).writeStream.option("checkpointLocation", ckpt).trigger(availableNow=True)
+    query = writer.foreachBatch(CommittedSink(out, ckpt)).start()
+    query.awaitTermination()
+    return spark.read.parquet(out).drop("batch_id")
+
+
 QUERIES: dict[str, Query] = {
     # sources / decode / encode
     "stream_append": stream_append,
@@ -673,6 +737,9 @@ QUERIES: dict[str, Query] = {
     "first_n_rows": first_n_rows,
     "csv_roundtrip": csv_roundtrip,
     "headerless_csv": headerless_csv,
+    "headerless_bad_bytes": headerless_bad_bytes,
+    "stream_once": stream_once,
+    "stream_committed": stream_committed,
     # cleaning / conforming
     "fill_missing_zero": fill_missing_zero,
     "cast_rate": cast_rate,
@@ -698,11 +765,13 @@ QUERIES: dict[str, Query] = {
     "impute_mean": impute_mean,
     "throughput": throughput_q,
     "stream_throughput": stream_throughput,
+    "stream_running_total": stream_running_total,
     "retain_newest_bytes": retain_newest_bytes,
     "retain_newest_documents": retain_newest_documents_q,
     # features
     "string_index": string_index,
     "string_index_multi": string_index_multi,
+    "string_index_join": string_index_join,
     "alphabetical_index": alphabetical_index,
     "index_unseen": index_unseen,
     "drop_stage": drop_stage_q,

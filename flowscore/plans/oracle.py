@@ -225,6 +225,10 @@ ls as (
 select l.l_orderkey, l.l_linenumber, rf.i as l_returnflag_index, ls.i as l_linestatus_index
 from lineitem l join rf on l.l_returnflag = rf.l_returnflag
                join ls on l.l_linestatus = ls.l_linestatus""",
+    "string_index_join": """with idx as (
+  select part, (row_number() over (order by n desc, part) - 1)::double as i
+  from (select l_partkey::varchar as part, count(*) as n from lineitem group by 1))
+select l_orderkey, l_linenumber, i as part_index from lineitem join idx on l_partkey::varchar = part""",
     "alphabetical_index": """select event_id, (dense_rank() over (order by event_type) - 1)::double
   as event_type_index from events""",
     "index_unseen": """with seen as (
@@ -301,3 +305,10 @@ from {LABELLED_TEST}""",
         f"lineitem where not {flag('(l_orderkey * 8 + l_linenumber)')}"),
     "stream_score": _model("event_id, true as same_as_batch", _bands("value", 20, 55, "view", "click", "error"), "events"),
 }
+
+# The same rows by another way.
+ORACLE["headerless_bad_bytes"] = ORACLE["headerless_csv"]
+ORACLE["stream_running_total"] = ORACLE["throughput"]
+ORACLE["stream_committed"] = DECODED_V1
+ORACLE["stream_once"] = """select event_id, event_type, 'demo' as topic, (event_id % 6)::int as "partition",
+  (event_id // 6)::bigint as "offset" from events"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -49,6 +49,31 @@ def read_headerless_csv(spark: SparkSession, path: str | list[str], names: list[
     return df
 
 
+#: Stands for a replacement character of the data itself while bad bytes are taken out (noncharacters, never in text).
+_REAL_MARK = "\ufdd0\ufdd1"
+
+
+def without_bad_bytes(line: Column) -> Column:
+    """Text without the byte sequences that are no UTF-8 (raw bytes in a string column); all else stays."""
+    shielded = F.replace(line, F.lit("\ufffd"), F.lit(_REAL_MARK))
+    valid = F.replace(F.make_valid_utf8(shielded), F.lit("\ufffd"), F.lit(""))
+    return F.replace(valid, F.lit(_REAL_MARK), F.lit("\ufffd"))
+
+
+def read_headerless_lines(spark: SparkSession, path: str | list[str], names: list[str],
+                          types: dict[str, T.DataType] | None = None, file_name: str | None = None) -> DataFrame:
+    """Headerless CSV like ``read_headerless_csv``, but bytes that can't be decoded are ignored: lines are read raw, bad
+    sequences are taken out, then the fields are parsed.  A record is one line (no line ends within quotes)."""
+    types = types or {}
+    schema = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
+    lines = spark.read.text([path] if isinstance(path, str) else list(path))
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    parsed = lines.select(F.from_csv(without_bad_bytes(F.col("value")), ddl, {"mode": "PERMISSIVE"}).alias("record"),
+                          F.col("_metadata.file_name").alias("file"))
+    extra = [F.col("file").alias(file_name)] if file_name else []
+    return parsed.select(*[F.col("record").getField(n).alias(n) for n in names], *extra)
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
     """CSV without an index column (one file per partition)."""
     df.write.mode(mode).option("header", header).csv(path)

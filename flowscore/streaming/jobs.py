@@ -3,8 +3,11 @@ windowed throughput with a watermark."""
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,3 +101,74 @@ def windowed_counts(stream: DataFrame, ts: str, bucket: str = "1 hour",
     return (t.groupBy(F.window("_ts", bucket).alias("w"))
              .agg(F.count(F.lit(1)).alias("n"))
              .select(start.alias("bucket"), "n"))
+
+
+_TOTALS = T.StructType([T.StructField(c, T.LongType()) for c in ("block", "bucket", "n", "in_block")])
+_HELD = T.StructType([T.StructField(c, T.ArrayType(T.LongType())) for c in ("buckets", "counts")])
+
+
+def _add_up(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+    """Counts of a block's buckets go on from the state; every bucket from the first changed one on comes out."""
+    counts = dict(zip(*state.get, strict=True)) if state.exists else {}
+    first = None
+    for frame in frames:
+        for bucket, n in frame["bucket"].value_counts().items():
+            counts[int(bucket)] = counts.get(int(bucket), 0) + int(n)
+            first = int(bucket) if first is None else min(first, int(bucket))
+    order = sorted(counts)
+    state.update((order, [counts[b] for b in order]))
+    total, rows = 0, []
+    for bucket in order:
+        total += counts[bucket]
+        if first is not None and bucket >= first:
+            rows.append((key[0], bucket, counts[bucket], total))
+    yield pd.DataFrame(rows, columns=_TOTALS.names)
+
+
+def live_totals(stream: DataFrame, ts: str, bucket_seconds: int = 3600, buckets_per_block: int = 24) -> DataFrame:
+    """(block, bucket, n, in_block) in update mode: each bucket's count so far and the running total within its block.
+
+    State is kept across batches for each block (so many counts as it has buckets), not for the stream as a whole, so
+    blocks are counted apart; arrivals may come in any order, an early bucket that grows sends its block's later ones
+    again.  ``bucket`` is seconds since 1970 of the bucket's start."""
+    ntz = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    seconds = F.unix_micros(ntz_as_utc_instant(ts) if ntz else F.col(ts)) / 1_000_000
+    start = (F.floor(seconds / bucket_seconds) * bucket_seconds).cast("bigint")
+    block = F.floor(start / (bucket_seconds * buckets_per_block)).cast("bigint")
+    timed = stream.filter(F.col(ts).isNotNull()).select(block.alias("block"), start.alias("bucket"))
+    return timed.groupBy("block").applyInPandasWithState(_add_up, _TOTALS, _HELD, "update", "NoTimeout")
+
+
+def live_throughput(emitted: DataFrame, factor: float) -> DataFrame:
+    """(bucket, n, running_total, spike) as of now, from the rows ``live_totals`` has sent to a sink with batch numbers.
+
+    The newest row of each bucket counts; totals of earlier blocks are a running sum over one row per block.  A spike is
+    more than ``factor`` times the mean count of the buckets so far."""
+    from flowscore.operators.positions import stored, with_running_sum
+    from flowscore.streaming.sinks import latest_per_key
+    now = stored(latest_per_key(emitted, ["block", "bucket"]), "live-totals")
+    blocks = now.groupBy("block").agg(F.sum("n").alias("total"))
+    before = with_running_sum(blocks, F.col("total"), F.col("block").asc(), out="upto").select(
+        "block", (F.col("upto") - F.col("total")).alias("before"))
+    base = now.agg(F.avg("n")).scalar()
+    return now.join(before, "block").select(
+        F.timestamp_add("SECOND", F.col("bucket"), F.expr(_NTZ_EPOCH)).alias("bucket"), "n",
+        (F.col("in_block") + F.col("before")).alias("running_total"), (F.col("n") > F.lit(factor) * base).alias("spike"))
+
+
+def without_repeats(stream: DataFrame, ts: str, watermark: str, position: tuple[str, ...] = ("topic", "partition", "offset")
+                    ) -> DataFrame:
+    """Rows of an at-least-once source once each, by their position in it.
+
+    Positions are remembered until the watermark has passed their time, also over a restart; a row that comes again
+    later than that, or late beyond the watermark, is dropped.  The number of surplus rows is in the progress of the
+    query (see ``surplus_rows``)."""
+    ntz = isinstance(stream.schema[ts].dataType, T.TimestampNTZType)
+    timed = stream.withColumn("__time", ntz_as_utc_instant(ts) if ntz else F.col(ts)).withWatermark("__time", watermark)
+    return timed.dropDuplicatesWithinWatermark(list(position)).drop("__time")
+
+
+def surplus_rows(query: StreamingQuery) -> int:
+    """Repeated rows that the batches in the query's progress have dropped."""
+    return sum(int(op.get("customMetrics", {}).get("numDroppedDuplicateRows", 0))
+               for p in query.recentProgress for op in json.loads(p.json).get("stateOperators", []))

@@ -9,6 +9,8 @@ runs on the executors; nothing is collected to the driver.
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -61,6 +63,46 @@ class MultiParquetSink:
             batch.unpersist()
 
 
+@dataclass
+class CommittedSink:
+    """Documents of a stream, one folder per batch, committed by a marker and owned by one checkpoint.
+
+    A batch is written to a staging folder, moved into place and then marked as committed: a batch that comes again
+    after its mark is not written again, one that was stopped before it replaces what lies there.  An empty batch writes
+    nothing.  The first batch notes the id of the stream's checkpoint; a stream with another checkpoint, whose batch
+    numbers start anew, is refused instead of overwriting the folder."""
+    path: str
+    checkpoint: str
+    partition_by: list[str] = field(default_factory=list)
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        root = hadoop(self.path)
+        fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._own(spark, fs, hadoop)
+        mark = hadoop(root, f"_commits/{int(batch_id)}")
+        if fs.exists(mark) or batch.isEmpty():
+            return
+        staged, place = hadoop(root, f"_staging/{uuid.uuid4().hex}"), hadoop(root, f"batch_id={int(batch_id)}")
+        writer = rebalanced(batch, self.partition_by).write
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(str(staged))
+        fs.delete(place, True)
+        if not fs.rename(staged, place):
+            raise OSError(f"could not move batch {batch_id} into {place}")
+        fs.create(mark, True).close()
+
+    def _own(self, spark, fs, hadoop) -> None:
+        metadata = spark.read.text(f"{self.checkpoint.rstrip('/')}/metadata").collect()
+        mine = json.loads("".join(r.value for r in metadata))["id"]
+        owners = hadoop(self.path, "_owner")
+        if not fs.exists(owners):
+            fs.mkdirs(hadoop(owners, mine))
+        found = [s.getPath().getName() for s in fs.listStatus(owners)]
+        if found != [mine]:
+            raise ValueError(f"{self.path} belongs to the stream of another checkpoint")
+
+
 def latest_per_key(df: DataFrame, keys: list[str], batch_col: str = "batch_id") -> DataFrame:
     """Upsert view of an update-mode sink: for every key the row of the
     newest batch, by a grouped maximum that is combined before the shuffle."""
