@@ -90,11 +90,18 @@ def corpus_statistics(encoded: DataFrame, vocabulary: int) -> tuple[np.ndarray,
 
 def terms_of(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct ids in order and how often each comes; 16-bit ids are sorted by radix."""
-    if not len(ids):
+    size = len(ids)
+    if not size:
         return ids, np.zeros(0, dtype=np.int64)
     ids = np.sort(ids, kind="stable")
-    starts = np.concatenate(([0], np.flatnonzero(ids[1:] != ids[:-1]) + 1))
-    return ids[starts], np.diff(starts, append=len(ids))
+    new = np.empty(size, dtype=bool)
+    new[0] = True
+    np.not_equal(ids[1:], ids[:-1], out=new[1:])
+    starts = new.nonzero()[0]
+    counts = np.empty(len(starts), dtype=np.int64)
+    np.subtract(starts[1:], starts[:-1], out=counts[:-1])
+    counts[-1] = size - starts[-1]
+    return ids[starts], counts
 
 
 def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int, mean: float, frequency: np.ndarray,
@@ -115,11 +122,12 @@ def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int, me
             for data, row in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 kinds, counts = terms_of(np.frombuffer(data.as_py(), dtype=width))
                 weight = idf[kinds] * counts / (counts + K1)
-                told = weight > 0
-                kinds, weight = kinds[told], weight[told]
                 if len(kinds) > query_terms:
-                    kinds = kinds[np.argpartition(-weight, query_terms)[:query_terms]]
-                least = np.sort(order[kinds])[:2].tolist()
+                    best = np.argpartition(weight, len(weight) - query_terms)[len(weight) - query_terms:]
+                    kinds, weight = kinds[best], weight[best]
+                told = order[kinds[weight > 0]]
+                told.sort()
+                least = told[:2].tolist()
                 # Documents without a telling term are dealt by their number.
                 into = int(spread[term_at[least[0]]]) if least else LOOSE_PARTS
                 least += [0, 0]
@@ -156,7 +164,7 @@ class Shard:
             docs.append(np.full(len(kinds), unit, dtype=np.int32))
             weights.append(weight)
             if len(kinds) > self.query_terms:
-                kinds = kinds[np.argpartition(-weight, self.query_terms)[:self.query_terms]]
+                kinds = kinds[np.argpartition(weight, len(weight) - self.query_terms)[len(weight) - self.query_terms:]]
             self.queries.append(kinds)
         terms, docs, weights = np.concatenate(terms), np.concatenate(docs), np.concatenate(weights)
         order = np.argsort(terms, kind="stable")
