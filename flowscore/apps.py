@@ -174,9 +174,12 @@ def decode_records(envelope: DataFrame, lenient: bool = True, fill: str = "zero"
 def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_path: str,
                  checkpoint: str, fill: str = "model", trigger: str | None = None,
                  available_now: bool = False, lenient: bool = True,
-                 alerts_path: str | None = None, normal_label: str = NORMAL_LABEL):
+                 alerts_path: str | None = None, normal_label: str = NORMAL_LABEL,
+                 whole_row: bool = False, committed: bool = False):
     """The streaming job: decode -> fill -> score -> documents -> Parquet
     sink partitioned by attack type, exactly once per micro-batch.
+    ``whole_row`` publishes indexes, features and probabilities too; ``committed``
+    writes into a folder that this checkpoint owns, without empty batches.
     ``fill="model"`` (default) leaves missing numerics to the fitted imputer,
     as batch scoring does; ``fill="zero"`` zero-fills first.  With
     ``alerts_path`` the non-normal predictions are also written there (same
@@ -184,10 +187,12 @@ def score_stream(spark: SparkSession, envelope: DataFrame, model_path: str, out_
     model = FlowModel.load(model_path)
     rec = decode_records(envelope, lenient, fill)
     keep = [c for c, _ in WIRE_FIELDS]
-    docs = to_documents(score(rec, model, fill=fill), keep=keep)
+    docs = to_documents(score(rec, model, fill=fill), keep=keep, whole=whole_row)
     if not alerts_path:
         return start_sink(docs, out_path, checkpoint, partition_by=SINK_PARTITIONS,
-                          available_now=available_now, processing_time=trigger)
+                          available_now=available_now, processing_time=trigger, committed=committed)
+    if committed:
+        raise ValueError("a committed sink has one output; write alerts by a job of their own")
     outputs = {out_path: (lambda b: b, SINK_PARTITIONS),
                alerts_path: (lambda b: alerts(b, normal_label), ["attack_type"])}
     query = start_multi_sink(docs, outputs, checkpoint, available_now, trigger)

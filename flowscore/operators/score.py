@@ -53,12 +53,23 @@ DOCUMENT_COLUMNS = ["attack_type", "confidence", "prediction", "timestamp", "eve
                     "kafka_metadata"]
 
 
-def to_documents(scored: DataFrame, keep: list[str] = ()) -> DataFrame:
+#: Columns of a scored row that hold vectors; published as arrays of numbers.
+VECTOR_COLUMNS = ["features", "rawPrediction", "probability"]
+
+
+def scored_row(scored: DataFrame) -> list:
+    """The model's own columns of a scored row, fit for a document: category indexes, and vectors as arrays."""
+    own = [F.col(c) for c in scored.columns if c.endswith("_index")]
+    return own + [vector_as_array(c).alias(c) for c in VECTOR_COLUMNS if c in scored.columns]
+
+
+def to_documents(scored: DataFrame, keep: list[str] = (), whole: bool = False) -> DataFrame:
     """Prediction document: ``attack_type`` = decoded label, ``confidence`` =
     max probability, ``kafka_metadata`` = struct(topic, partition, offset,
     timestamp); ``event_date`` = date of the timestamp (a partition column of
     the stored table, so time-bounded reads prune folders); ``keep`` lists
-    extra record columns to publish.  Vectors are not published."""
+    extra record columns to publish.  ``whole`` publishes the scored row as well:
+    indexes, features, raw predictions and probabilities (arrays)."""
     meta = F.struct(*[F.col(c) for c in ("topic", "partition", "offset", "timestamp")])
     return scored.select(
         *[F.col(c) for c in keep],
@@ -68,4 +79,5 @@ def to_documents(scored: DataFrame, keep: list[str] = ()) -> DataFrame:
         F.col("timestamp"),
         F.to_date(F.col("timestamp")).alias("event_date"),
         meta.alias("kafka_metadata"),
+        *(scored_row(scored) if whole else []),
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from flowscore.streaming.sinks import MultiParquetSink, ParquetBatchSink
+from flowscore.streaming.sinks import CommittedSink, MultiParquetSink, ParquetBatchSink
 
 
 @dataclass
@@ -25,11 +25,13 @@ class StreamRun:
 
 def start_sink(df: DataFrame, output: str, checkpoint: str, partition_by: list[str] = (),
                available_now: bool = False, processing_time: str | None = None,
-               output_mode: str = "append", name: str | None = None) -> StreamRun:
-    """Start ``df`` into an idempotent Parquet sink with a durable checkpoint."""
+               output_mode: str = "append", name: str | None = None, committed: bool = False) -> StreamRun:
+    """Start ``df`` into an idempotent Parquet sink with a durable checkpoint; ``committed``: into one that this
+    checkpoint owns and that marks its batches (``CommittedSink``)."""
+    sink = CommittedSink(output, checkpoint, list(partition_by)) if committed else ParquetBatchSink(output, list(partition_by))
     writer = (df.writeStream.outputMode(output_mode)
                 .option("checkpointLocation", checkpoint)
-                .foreachBatch(ParquetBatchSink(output, list(partition_by))))
+                .foreachBatch(sink))
     if name:
         writer = writer.queryName(name)
     if available_now:

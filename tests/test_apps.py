@@ -1,7 +1,9 @@
 """The application jobs on a small fixture shaped like the training table, derived from lineitem."""
 
+import json
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from flowscore import apps
@@ -136,6 +138,34 @@ def test_label_counts_per_file_and_drop_stage(spark, tmp_dir):
     assert p.transform(df).columns == ["a"]
 
 
+def test_score_stream_publishes_the_whole_row_into_an_owned_folder(spark, tmp_dir):
+    """Indexes, features and probabilities are in the document; another checkpoint may not write there."""
+    from flowscore.sources.stream import file_stream
+    _training_csv(spark, tmp_dir + "/train")
+    model, _ = apps.train_multiclass(spark, tmp_dir + "/train", tmp_dir + "/rf", params={"numTrees": 3, "maxDepth": 3})
+    src = spark.read.option("header", True).schema(training_schema()).csv(tmp_dir + "/train")
+    env = apps.encode_json(src.drop("id", "attack_cat", "label")).select(
+        F.col("value").cast("binary").alias("value"), F.lit("demo").alias("topic"), F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"), F.current_timestamp().alias("timestamp"))
+    env.write.parquet(tmp_dir + "/in/b0")
+
+    def run(checkpoint):
+        stream = file_stream(spark, tmp_dir + "/in/*", env.schema)
+        found = apps.score_stream(spark, stream, tmp_dir + "/rf", tmp_dir + "/pred", checkpoint, available_now=True,
+                                  whole_row=True, committed=True)
+        found.query.awaitTermination(300)
+
+    run(tmp_dir + "/c1")
+    rows = spark.read.parquet(tmp_dir + "/pred").collect()
+    assert len(rows) == src.count()
+    for r in rows[:20]:
+        assert abs(sum(r.probability) - 1) < 1e-9 and max(r.probability) == r.confidence
+        assert len(r.features) == len(model.features) + len(model.categorical) and r.proto_index is not None
+    assert json.loads(spark.read.parquet(tmp_dir + "/pred").toJSON().first())["probability"]
+    with pytest.raises(Exception, match="another checkpoint"):
+        run(tmp_dir + "/c2")
+
+
 def test_monitor_stream_flags_spikes(spark, tmp_dir):
     from datetime import datetime, timedelta
     from flowscore.sources.stream import file_stream
