@@ -1,11 +1,15 @@
 """Secret scan with DataFrame functions only: fixed patterns, and a battery of randomness tests.
 
 A candidate is a long run of key characters.  Its encoding (the smallest alphabet that holds all its characters) turns
-it into numbers, which three tests compare with independent uniform draws: chi-squared over four equal parts of the
+it into numbers, which three tests compare with independent uniform draws: chi-squared over classes of the
 alphabet, the number of runs above and below its middle, and the serial correlation of neighbours.  Fisher's method
-joins them.  Ordinary words and identifiers fail; what passes is taken for generated.  Failing is the discovery here, so
-within each encoding and length band the Benjamini-Hochberg rule bounds the share of generated strings among those
-let go, whatever the number of candidates and however little power short strings have.
+joins them into a measure of how random a run looks.
+
+Whether that is more than an ordinary run shows is judged against ordinary runs: words of the corpus (those that occur
+at least twice) and a few fixed ones are joined as identifiers and paths are, and go through the same battery.  The
+p-value of a candidate is the share of the ordinary runs of its encoding and length band that look at least as random.
+Within each encoding and length band the Benjamini-Hochberg rule then bounds the share of ordinary runs among those
+reported, whatever their number and however little power short strings have.
 
 Positions are code points, ends are exclusive.
 """
@@ -30,8 +34,22 @@ CANDIDATE = f"[A-Za-z0-9+/=_-]{{{LEAST_RANDOM},}}"
 BETWEEN_EQUALS = ["[A-Za-z0-9+/_-]+(?:={1,2}$)?"]
 BETWEEN_SIGNS = ["[A-Za-z0-9_-]+(?:={1,2}$)?", "[A-Za-z0-9+/]+(?:={1,2}$)?", "[A-Za-z0-9]+"]
 LENGTH_BANDS = [32, 64]
-#: Share of generated strings tolerated among those the battery lets go.
+#: Share of ordinary runs tolerated among those reported.
 FALSE_DISCOVERY = 0.05
+# Letters frequent in prose, and words of which ordinary runs are made beside those of the corpus.
+FREQUENT = "etaoinsrhldu"
+WORDS = """
+about access account action active address after alert array average backup balance bank before between block body
+buffer button cache call center change channel check child class client close cluster code color column command
+comment common config connect content context copy count create current customer data date debug default delete depth
+detail device display document domain download driver element email enable entry error event example export factory
+field file filter final first folder format frame function general global graph group handler header height history
+image import index inner input instance internal item kernel label language last layer layout length level limit line
+"""
+HEX_WORDS = "add bad bed bee beef cab cafe dad dead deaf decade deed facade face fade feed"
+WORD = "^[A-Za-z][a-z]{2,11}$"
+#: Words of an ordinary run, one length for each band, and words dealt together.
+RUN_WORDS, GROUP_WORDS = [4, 7, 13], 12
 # Alphabets by inferred encoding, smallest first; the place of a character is its number.
 ALPHABETS = {
     "decimal": "0123456789",
@@ -52,6 +70,9 @@ PATTERNS = {
 }
 #: Numbers alone are identifiers and letters of one case are words: of 20 drawn from 36, all are letters once in 670.
 NEVER = ["decimal", "word"]
+#: Classes of characters compared by chi-squared; all other characters are the last class.
+CLASSES = [FREQUENT, "".join(c for c in ALPHABETS["word"] if c not in FREQUENT)]
+CLASSES += [c.upper() for c in CLASSES]
 _P_STEPS = 20.0  # p-values are binned by this many steps of their negative logarithm
 _P_LEAST = 1e-12
 
@@ -94,6 +115,12 @@ def _tail(z: Column) -> Column:
     return F.least(F.greatest(poly * F.exp(-x * x), F.lit(_P_LEAST)), F.lit(1.0))
 
 
+def class_weights(alphabet: str) -> list[float]:
+    """Shares of the classes of characters in an alphabet."""
+    shares = [sum(c in letters for c in alphabet) / len(alphabet) for letters in CLASSES]
+    return [*shares, sum(all(c not in letters for letters in CLASSES) for c in alphabet) / len(alphabet)]
+
+
 def encoding(value: Column) -> Column:
     out = F.lit(None).cast("string")
     for name in reversed(list(PATTERNS)):
@@ -131,14 +158,19 @@ def battery(candidates: Column) -> Column:
         lambda c: F.position(c, r["alphabet"]) - 1))
     rows = _add(rows, "n", lambda r: F.size(r["x"]).cast("double"))
     rows = _add(rows, "size", lambda r: F.length(r["alphabet"]).cast("double"))
-    part = lambda r, k: F.size(F.filter(r["x"], lambda v: F.floor(v * 4 / r["size"]) == k)).cast("double")
-    # An alphabet of 62 has parts of 16, 15, 16 and 15, so parts weigh by their letters.
-    weigh = lambda r, k: (F.ceil((k + 1) * r["size"] / 4) - F.ceil(k * r["size"] / 4)) / r["size"]
-    rows = _add(rows, "chi", lambda r: sum(
-        (F.pow(part(r, k) - r["n"] * weigh(r, k), 2) / (r["n"] * weigh(r, k)) for k in range(1, 4)),
-        F.pow(part(r, 0) - r["n"] * weigh(r, 0), 2) / (r["n"] * weigh(r, 0))))
-    # Chi-squared with 3 degrees of freedom as a one-sided normal deviate (Wilson and Hilferty).
-    rows = _add(rows, "p_chi", lambda r: _one_sided((F.pow(r["chi"] / 3, 1 / 3) - (1 - 2 / 27)) / (2 / 27) ** 0.5))
+    weights = F.create_map(*[x for name, a in ALPHABETS.items()
+                             for x in (F.lit(name), F.array(*[F.lit(w) for w in class_weights(a)]))])
+    rows = _add(rows, "weights", lambda r: weights[r["encoding"]])
+    rows = _add(rows, "classes", lambda r: F.array(*[
+        r["n"] - F.length(F.translate(F.rtrim(r["value"], F.lit("=")), c, "")) for c in CLASSES]))
+    rows = _add(rows, "classes", lambda r: F.concat(r["classes"], F.array(
+        r["n"] - F.aggregate(r["classes"], F.lit(0.0), lambda a, c: a + c))))
+    rows = _add(rows, "chi", lambda r: F.aggregate(F.zip_with(r["classes"], r["weights"], lambda c, w: F.when(
+        w > 0, F.pow(c - r["n"] * w, 2) / (r["n"] * w)).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, v: a + v))
+    rows = _add(rows, "free", lambda r: F.size(F.filter(r["weights"], lambda w: w > 0)) - 1)
+    # Chi-squared as a one-sided normal deviate (Wilson and Hilferty).
+    rows = _add(rows, "p_chi", lambda r: _one_sided((F.pow(r["chi"] / r["free"], 1 / 3) - (1 - 2 / (9 * r["free"])))
+                                                    / F.sqrt(2 / (9 * r["free"]))))
     rows = _add(rows, "above", lambda r: F.transform(r["x"], lambda v: (v * 2 >= r["size"]).cast("int")))
     rows = _add(rows, "n1", lambda r: F.aggregate(r["above"], F.lit(0), lambda a, v: a + v).cast("double"))
     rows = _add(rows, "changes", lambda r: F.aggregate(
@@ -183,36 +215,113 @@ def scan(text: Column) -> dict[str, Column]:
     return out
 
 
-def thresholds(tested: DataFrame, level: float = FALSE_DISCOVERY) -> dict[tuple[str, int], int]:
-    """Benjamini-Hochberg over (encoding, band) groups of ``candidates``: the least bin of -log p that is let go.
+def ordinary(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Ordinary runs with their encoding, length band and bin: a row per word of the corpus, column ``candidates``.
+
+    Words that occur at least twice in the corpus, and the fixed ones, are dealt to groups by a hash; each begins one
+    run of every length and style, going on with the words after it in its group."""
+    spark = docs.sparkSession
+    listed = lambda words: F.explode(F.split(F.lit(" ".join(words.split())), " ")).alias("word")
+    said = docs.select(F.explode(F.split(F.col(text_col).cast("string"), r"[\s\p{Punct}]+")).alias("word")).filter(
+        F.col("word").rlike(WORD)).groupBy(F.lower("word").alias("word")).count().filter("count > 1").select("word")
+    words = keep(said.union(spark.range(1).select(listed(WORDS))).distinct(), "secrets")
+    groups = max(words.count() // GROUP_WORDS, 1)
+    grouped = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(groups)).alias("g")).agg(
+        F.sort_array(F.collect_list("word")).alias("words"))
+    hexes = spark.range(1).select(listed(HEX_WORDS)).agg(F.collect_list("word").alias("words"))
+    long = F.filter("made", lambda v: F.length(v) >= LEAST_RANDOM)
+    return _runs_of(grouped, _styles()).union(_runs_of(hexes, _hex_styles())).select(battery(F.transform(
+        long, lambda v: F.struct(F.lit(0).alias("start"), F.length(v).alias("end"), v.alias("value")))).alias("candidates"))
+
+
+def _runs_of(groups: DataFrame, styles: list) -> DataFrame:
+    """Runs of words made from each group, in all styles: an array ``made`` for each word and length."""
+    ring = F.flatten(F.array_repeat("words", max(RUN_WORDS) + 1))
+    begun = F.transform("words", lambda w, i: F.array(*[F.slice(ring, i + 1, n) for n in RUN_WORDS]))
+    runs = groups.select(F.explode(F.flatten(begun)).alias("run"))
+    return runs.select(F.array(*[style(F.col("run")) for style in styles]).alias("made"))
+
+
+def _number(word: Column, salt: int = 0) -> Column:
+    return F.pmod(F.hash(word, F.lit(salt)), F.lit(100)).cast("string")
+
+
+def _styles() -> list:
+    """Ways to join words: camel case, the same with numbers, with signs, paths, one case with numbers."""
+    every_other = lambda w, i: F.concat(w, F.when(i % 2 == 1, _number(w)).otherwise(F.lit("")))
+    join = lambda run, f, between="": F.array_join(F.transform(run, f), between)
+    return [
+        lambda run: join(run, lambda w, i: F.when(i > 0, F.initcap(w)).otherwise(w)),
+        lambda run: join(run, lambda w, i: every_other(F.initcap(w), i)),
+        lambda run: join(run, lambda w, i: w, "_"),
+        lambda run: join(run, lambda w, i: every_other(F.initcap(w), i), "-"),
+        lambda run: join(run, lambda w, i: every_other(w, i), "/"),
+        lambda run: join(run, lambda w, i: F.initcap(w), "/"),
+        lambda run: join(run, lambda w, i: every_other(w, i)),
+        lambda run: join(run, lambda w, i: F.upper(every_other(w, i))),
+        # Numbers of the digits that base 32 has.
+        lambda run: F.upper(F.translate(join(run, lambda w, i: every_other(w, i)), "0189", "2345")),
+    ]
+
+
+def _hex_styles() -> list:
+    """Words of a to f with numbers, in either case."""
+    join = lambda run, salt: F.array_join(F.transform(run, lambda w: F.concat(w, _number(w, salt))), "")
+    styles = [lambda run, salt=salt: join(run, salt) for salt in range(8)]
+    return styles + [lambda run, salt=salt: F.upper(join(run, salt)) for salt in range(8)]
+
+
+def thresholds(tested: DataFrame, plain: DataFrame, level: float = FALSE_DISCOVERY) -> dict[tuple[str, int], int]:
+    """Benjamini-Hochberg over (encoding, band) groups of ``candidates``: the greatest bin of -log p that is reported.
+
+    A candidate's p-value is the share of ``plain`` runs of its group whose bin is no greater, itself counted with
+    them; a group without plain runs reports nothing.  The groups are histograms (at most 10 encodings x 3 bands x 553
+    bins), whatever the number of candidates."""
+    seen, null = _histograms(tested), _histograms(plain)
+    out = {}
+    for key, bins in seen.items():
+        total, rank, greatest = sum(bins.values()), 0, -1
+        usual = null.get(key, {})
+        runs = sum(usual.values())
+        for b in sorted(bins):
+            rank += bins[b]
+            p = (1 + sum(n for c, n in usual.items() if c <= b)) / (1 + runs)
+            if p <= level * rank / total:
+                greatest = b
+        out[key] = greatest
+    return out
 
-    The groups are histograms (at most 10 encodings x 3 bands x 553 bins), whatever the number of candidates."""
-    import math
+
+def _histograms(tested: DataFrame) -> dict[tuple[str, int], dict[int, int]]:
     rows = tested.select(F.explode("candidates").alias("c")).groupBy("c.encoding", "c.band", "c.bin").count().collect()
-    groups: dict[tuple[str, int], list[tuple[int, int]]] = {}
+    out: dict[tuple[str, int], dict[int, int]] = {}
     for r in rows:
-        groups.setdefault((r.encoding, r.band), []).append((r.bin, r["count"]))
-    out = {}
-    for key, bins in groups.items():
-        total, rank, least = sum(n for _, n in bins), 0, 1 << 30
-        for b, n in sorted(bins, reverse=True):
-            rank += n
-            if math.exp(-b / _P_STEPS) <= level * rank / total:  # the largest p of the bin
-                least = b
-        out[key] = least
+        out.setdefault((r.encoding, r.band), {})[r.bin] = r["count"]
     return out
 
 
-def spans(scanned: DataFrame, least: dict[tuple[str, int], int]) -> Column:
-    """All spans of a row, in order: (start, rank of the kind, end)."""
-    limit = F.create_map(*[x for (name, band), b in sorted(least.items())
-                           for x in (F.lit(f"{name}:{band}"), F.lit(b))]) if least else None
+def spans(scanned: DataFrame, greatest: dict[tuple[str, int], int]) -> Column:
+    """All spans of a row, in order: (start, rank of the kind, end).
+
+    Of a reported candidate that meets base spans what they leave of it is a span."""
+    limit = F.create_map(*[x for (name, band), b in sorted(greatest.items())
+                           for x in (F.lit(f"{name}:{band}"), F.lit(b))]) if greatest else None
     base = F.concat(*[_ranked(F.col(kind), i) for i, kind in enumerate(KINDS[:3])])
     if limit is None:
         return F.array_sort(base)
-    kept = F.filter("candidates", lambda c: c["bin"] < limit[F.concat_ws(":", c["encoding"], c["band"])])
-    alone = F.filter(kept, lambda c: ~F.exists(base, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))
-    return F.array_sort(F.concat(base, _ranked(_joined(alone), 3)))
+    kept = F.filter("candidates", lambda c: c["bin"] <= limit[F.concat_ws(":", c["encoding"], c["band"])])
+    taken = _joined(base)
+    left = F.flatten(F.transform(_joined(kept), lambda c: _without(c, F.filter(
+        taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))))
+    return F.array_sort(F.concat(base, _ranked(left, 3)))
+
+
+def _without(span: Column, taken: Column) -> Column:
+    """Parts of a span outside the spans ``taken``, which are in order and don't overlap."""
+    starts = F.concat(F.array(span["start"]), F.transform(taken, lambda s: s["end"]))
+    ends = F.concat(F.transform(taken, lambda s: s["start"]), F.array(span["end"]))
+    return F.filter(F.zip_with(starts, ends, lambda a, b: F.struct(a.alias("start"), b.alias("end"))),
+                    lambda s: s["start"] < s["end"])
 
 
 def _joined(found: Column) -> Column:
@@ -244,12 +353,12 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          level: float = FALSE_DISCOVERY) -> DataFrame:
     """One row per document: id, n_assign, n_access, n_hex, base_sha256, spans (as text), found (as array).
 
-    The battery only adds spans (kind ``random``), where no base span is.  Null and empty texts have none, and the
+    The battery only adds spans (kind ``random``), beside the base spans.  Null and empty texts have none, and the
     hash of the empty string; null ids and repeated rows stay rows; other columns are not read."""
     tested = keep(docs.select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in scan(F.col(text_col)).items()])
                   .withColumns({k: F.transform(k, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
                                 for k in KINDS[:3]}), "secrets")
-    found = tested.withColumn("found", spans(tested, thresholds(tested, level)))
+    found = tested.withColumn("found", spans(tested, thresholds(tested, ordinary(docs, text_col), level)))
     base = F.filter("found", lambda s: s["rank"] < 3)
     return found.select(
         F.col("id").alias(id_col), *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS[:3]],
@@ -261,11 +370,12 @@ def redact(docs: DataFrame, text_col: str = "text", level: float = FALSE_DISCOVE
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one); a null text stays null.
 
     Thresholds come from all rows; the second pass finds the spans again, so no text is shuffled."""
-    least = thresholds(docs.select(scan(F.col(text_col))["candidates"].alias("candidates")), level)
+    greatest = thresholds(docs.select(scan(F.col(text_col))["candidates"].alias("candidates")),
+                          ordinary(docs, text_col), level)
     # The documents' own columns are kept in a struct, so theirs may have any names.
     scanned = docs.select(F.struct(*docs.columns).alias("__row"),
                           *[c.alias(n) for n, c in scan(F.col(text_col)).items()])
-    found = scanned.withColumn("__found", spans(scanned, least))
+    found = scanned.withColumn("__found", spans(scanned, greatest))
     text = F.col("__row")[text_col]
 
     def step(state, s):
