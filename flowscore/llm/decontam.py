@@ -15,7 +15,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flowscore.llm.rows import named
 from flowscore.llm.scratch import keep
 
 MIN_MATCH = 5
@@ -94,9 +96,9 @@ def _seed_rows(table: DataFrame, id_col: str, text_col: str, min_match: int) ->
                     [pa.repeat(item, len(seeds)), pa.array(seeds.view(np.int64), pa.int64()), pa.array(times, pa.int64()),
                      pa.repeat(pa.scalar(len(hashes), pa.int64()), len(seeds))], names=["item", "seed", "times", "words"])
 
-    kind = table.schema[id_col].dataType.simpleString()
-    return table.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        run, f"item {kind}, seed bigint, times bigint, words bigint")
+    schema = T.StructType([T.StructField("item", table.schema[id_col].dataType),
+                           *[T.StructField(c, T.LongType()) for c in ("seed", "times", "words")]])
+    return table.select(named(id_col).alias("item"), named(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
@@ -110,36 +112,30 @@ def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, want: bool) -> DataFrame:
-    """Rows that may share a seed, with those seeds (``want``), or the other rows as they are."""
+def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, rest: bool) -> DataFrame:
+    """(row, seeds): rows that may share a seed, with those seeds; with ``rest`` the other rows too, without any.
 
-    plain = docs.schema[text_col].dataType.simpleString() == "string"
-    text_at = text_col if plain else "__text"
+    The documents' own columns are kept in a struct, so theirs may have any names."""
+    packed = docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("row"),
+                         named(text_col).cast("string").alias("text"))
+    schema = T.StructType([packed.schema["row"], T.StructField("seeds", T.ArrayType(T.LongType()))])
 
     def run(batches):
         for batch in batches:
-            at = batch.schema.get_field_index(text_at)
             for k in range(0, batch.num_rows, 512):
                 part, chosen, hits = batch.slice(k, 512), [], []
-                for row, text in enumerate(part.column(at)):
+                for row, text in enumerate(part.column(1)):
                     seeds = rolling(words(text.as_py() or ""), min_match)
                     hit = seeds[shared.value[(seeds % np.uint64(bits)).astype(np.int64)]]
                     hit = hit[shared.value[(hit >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64)]]
-                    if (len(hit) > 0) == want:
+                    if len(hit) or rest:
                         chosen.append(row)
                         hits.append(np.unique(hit).view(np.int64))
                 if chosen:
-                    out = part.take(pa.array(chosen))
-                    out = out if plain else out.drop_columns([text_at])
-                    columns, names = [*out.columns], [*out.schema.names]
-                    if want:
-                        columns.append(pa.array(hits, pa.list_(pa.int64())))
-                        names.append("__seeds")
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column(0).take(pa.array(chosen)), pa.array(hits, pa.list_(pa.int64()))], names=schema.names)
 
-    schema = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-    return (docs if plain else docs.withColumn(text_at, F.col(text_col).cast("string"))).mapInArrow(
-        run, ", ".join(schema + ["__seeds array<bigint>"] * want))
+    return packed.mapInArrow(run, schema)
 
 
 class Decontamination:
@@ -148,26 +144,27 @@ class Decontamination:
     ``pairs()`` has a row per document row and item whose tiles cover at least ``coverage`` of the item's words;
     ``clean()`` the documents without such a pair, unchanged.  Items of fewer than ``min_match`` words prove nothing
     and never match; null texts count as empty; a null id stays null in the pairs; repeated rows are each judged;
-    with an empty benchmark all documents are clean.  Names that begin with two underscores are reserved."""
+    with an empty benchmark all documents are clean.  Columns may have any names.  The texts are tokenized once; without
+    ``rest`` only the rows that may share a seed are kept, which is enough for ``pairs()``."""
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE,
-                 filter_bits: int = FILTER_BITS):
-        self.docs = docs
+                 filter_bits: int = FILTER_BITS, rest: bool = True):
+        self.docs, self._has_rest = docs, rest
         seeds = keep(_seed_rows(benchmark, item_col, item_text_col, min_match), "decontam")
         shared = docs.sparkSession.sparkContext.broadcast(seed_filter(seeds, filter_bits))
-        self._rest = _tagged(docs, shared, text_col, min_match, filter_bits, False)
         # The row number is fixed once the table is written.
-        self._maybe = keep(_tagged(docs, shared, text_col, min_match, filter_bits, True).withColumn(
-            "__row", F.monotonically_increasing_id()), "decontam")
+        self._kept = keep(_tagged(docs, shared, text_col, min_match, filter_bits, rest).withColumn(
+            "n", F.monotonically_increasing_id()), "decontam")
+        self._maybe = self._kept.filter(F.size("seeds") > 0)
         # A tile of n words has n - min_match + 1 seeds of the item, so no more than min_match words for each of them: what
         # can't reach the coverage by that count is not tiled.
-        met = self._maybe.select("__row", F.explode("__seeds").alias("seed")).join(seeds, "seed").groupBy(
-            "__row", "item").agg(F.sum("times").alias("times"), F.min("words").alias("words")).filter(
-            F.col("times") * min_match >= F.col("words") * coverage - 1e-6).select("__row", "item")
-        texts = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).cast("string").alias("item_text"))
-        rows = self._maybe.select("__row", F.col(text_col).cast("string").alias("text")).join(met, "__row").join(
-            texts.filter("item is not null"), "item").select("__row", "item", "text", "item_text")
+        met = self._maybe.select("n", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy(
+            "n", "item").agg(F.sum("times").alias("times"), F.min("words").alias("words")).filter(
+            F.col("times") * min_match >= F.col("words") * coverage - 1e-6).select("n", "item")
+        texts = benchmark.select(named(item_col).alias("item"), named(item_text_col).cast("string").alias("item_text"))
+        rows = self._maybe.select("n", F.col("row").getField(text_col).cast("string").alias("text")).join(met, "n").join(
+            texts.filter("item is not null"), "item").select("n", "item", "text", "item_text")
 
         def run(batches):
             for batch in batches:
@@ -184,17 +181,19 @@ class Decontamination:
                     kinds = [pa.int64(), batch.schema.field(1).type, pa.float64(), pa.list_(tile)]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)],
-                        names=["__row", "item", "coverage", "tiles"])
+                        names=["n", "item", "coverage", "tiles"])
 
-        kind = benchmark.schema[item_col].dataType.simpleString()
-        self._found = keep(rows.mapInArrow(
-            run, f"__row bigint, item {kind}, coverage double, "
-                 "tiles array<struct<doc_word:int,item_word:int,words:int>>"), "decontam")
+        found = T.StructType.fromDDL("n bigint, coverage double, tiles array<struct<doc_word:int,item_word:int,words:int>>")
+        found = T.StructType([found["n"], T.StructField("item", benchmark.schema[item_col].dataType), *found[1:]])
+        self._found = keep(rows.mapInArrow(run, found), "decontam")
 
     def pairs(self, id_col: str = "doc_id") -> DataFrame:
-        ids = self._maybe.select("__row", F.col(id_col).alias("doc_id"))
-        return self._found.join(ids, "__row").select("doc_id", F.col("item").alias("item_id"), "coverage", "tiles")
+        ids = self._maybe.select("n", F.col("row").getField(id_col).alias("doc_id"))
+        return self._found.join(ids, "n").select("doc_id", F.col("item").alias("item_id"), "coverage", "tiles")
 
     def clean(self) -> DataFrame:
-        left = self._maybe.join(self._found.select("__row").distinct(), "__row", "left_anti")
-        return self._rest.unionByName(left.select(*self.docs.columns))
+        if not self._has_rest:
+            raise ValueError("the rows without a shared seed were not kept (rest=False)")
+        met = self._maybe.join(self._found.select("n").distinct(), "n", "left_anti").select("row")
+        left = self._kept.filter(F.size("seeds") == 0).select("row").union(met)
+        return left.select(*[F.col("row").getField(c).alias(c) for c in self.docs.columns])

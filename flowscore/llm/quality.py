@@ -14,6 +14,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from flowscore.llm.rows import named, with_computed
 
 #: Upper edges of each feature's bins.
 BINS = {
@@ -57,15 +60,12 @@ def features(text: bytes) -> list[int]:
 def with_features(docs: DataFrame, text_col: str = "text", out_col: str = "bins") -> DataFrame:
     """The other columns and the array of feature bins; a null text counts as empty."""
 
-    def run(batches):
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1).cast(pa.binary())
-            bins = pa.array([features(t.as_py() or b"") for t in texts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], bins], names=[*batch.schema.names[:-1], out_col])
+    def make():
+        return lambda texts: [pa.array([features(t.as_py() or b"") for t in texts[0].cast(pa.binary())],
+                                       pa.list_(pa.int32()))]
 
-    rest = [c for c in docs.columns if c not in (text_col, out_col)]
-    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest] + [f"`{out_col}` array<int>"]
-    return docs.select(*rest, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, ", ".join(schema))
+    rest = [c for c in docs.columns if c != text_col]
+    return with_computed(docs, [named(text_col).cast("string")], {out_col: T.ArrayType(T.IntegerType())}, make, rest)
 
 
 def evidence_table(labelled: DataFrame) -> list[list[float]]:
@@ -117,16 +117,18 @@ class SitePriors:
 
     def add_to(self, rows: DataFrame) -> DataFrame:
         """``rows`` with ``prior``: the path's, else the host's, else the share of all labels."""
-        hosts = self.hosts.withColumnRenamed("host", "__h")
-        paths = self.paths.withColumnsRenamed({"host": "__ph", "path": "__pp"})
-        return rows.join(hosts, F.col("host").eqNullSafe(F.col("__h")), "left").join(
-            paths, F.col("host").eqNullSafe(F.col("__ph")) & F.col("path").eqNullSafe(F.col("__pp")), "left").withColumn(
-            "prior", F.coalesce("path_prior", "host_prior", F.lit(self.share))).drop(
-            "__h", "__ph", "__pp", "path_prior", "host_prior")
+        packed = rows.select(F.struct(*[named(c).alias(c) for c in rows.columns]).alias("row"))
+        host, path = F.col("row").getField("host"), F.col("row").getField("path")
+        hosts = self.hosts.withColumnRenamed("host", "h")
+        paths = self.paths.withColumnsRenamed({"host": "ph", "path": "pp"})
+        met = packed.join(hosts, host.eqNullSafe(F.col("h")), "left").join(
+            paths, host.eqNullSafe(F.col("ph")) & path.eqNullSafe(F.col("pp")), "left")
+        return met.select(*[F.col("row").getField(c).alias(c) for c in rows.columns if c != "prior"],
+                          F.coalesce("path_prior", "host_prior", F.lit(self.share)).alias("prior"))
 
 
 def classify(rows: DataFrame, labelled: DataFrame, keep_from: float = 0.5) -> DataFrame:
-    """(id, host, path, bins) rows with evidence, prior, quality (posterior of a good label) and keep.
+    """Rows with host, path and bins (and any other columns) with evidence, prior, quality (posterior of a good label) and keep.
 
     ``labelled`` is (host, path, bins, good 0 or 1); a document with several labels counts with each.  Without labels
     every posterior is one half.  Null hosts and paths are groups of their own."""

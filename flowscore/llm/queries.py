@@ -38,7 +38,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.Decontamination(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
-                                     read_table(spark, sf_dir, "benchmark"))
+                                     read_table(spark, sf_dir, "benchmark"), rest=False)
     return found.pairs().select("doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"),
                                 F.to_json("tiles").alias("tiles"))
 

@@ -12,8 +12,10 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flowscore.llm import tokens
+from flowscore.llm.rows import named, with_computed
 
 KEYS = ["source", "lang", "tokenizer"]
 
@@ -23,17 +25,12 @@ def token_counts(docs: DataFrame, text_col: str = "text", path: str | None = Non
     """The other columns of ``docs`` and the number of the text's ids; a null text has none."""
     path = path or tokens.tokenizer_path(tokens.BYTE_BPE)
 
-    def run(batches):
+    def make():
         encoder = tokens.encoder(path)
-        for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            counts = [len(ids) for i in range(0, len(texts), 512) for ids in encoder.encode_many(texts.slice(i, 512))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(counts, pa.int64())],
-                                             names=[*batch.schema.names[:-1], out_col])
-
-    rest = [c for c in docs.columns if c not in (text_col, out_col)]
-    schema = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest] + [f"`{out_col}` bigint"]
-    return docs.select(*rest, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, ", ".join(schema))
+        return lambda texts: [pa.array([len(ids) for ids in encoder.encode_many(texts[0])], pa.int64())]
+
+    rest = [c for c in docs.columns if c != text_col]
+    return with_computed(docs, [named(text_col).cast("string")], {out_col: T.LongType()}, make, rest)
 
 
 def signed(changes: DataFrame) -> DataFrame:

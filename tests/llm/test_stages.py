@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from flowscore.llm import langid, packing, simhash
+from flowscore.llm import decontam, langid, packing, quality, rollups, simhash
 
 SF = "/root/testdata/sf0.01"
 STAGES = dict(corpus_pipeline.STAGES)
@@ -67,6 +67,24 @@ def test_columns_of_any_names(spark, kind, value):
     assert langid.in_language(docs).columns == docs.columns
 
 
+@pytest.mark.parametrize("kind,value", [("bigint", 777), ("string", "mine")])
+def test_columns_of_any_names_beside_items_counts_and_priors(spark, kind, value):
+    rows = [(1, "one two three four five six seven", "en", value, (5,), 1, 2, 3, 4, 5),
+            (2, "nothing of the kind", "en", value, (6,), 1, 2, 3, 4, 5)]
+    docs = spark.createDataFrame(rows, CLASH.format(kind))
+    items = spark.createDataFrame([(9, "two three four five six")], "item_id int, text string")
+    found = decontam.Decontamination(docs, items)
+    assert [(r.doc_id, r.item_id) for r in found.pairs().collect()] == [(1, 9)]
+    left = found.clean()
+    assert left.columns == docs.columns and [r["__row"] for r in left.collect()] == [value]
+    counted = rollups.token_counts(docs, out_col="n `x`").collect()
+    assert all(r["n `x`"] > 0 and r["__row"] == value and r["a b"]["x y"] in (5, 6) for r in counted)
+    sites = docs.withColumns({"host": F.lit("h"), "path": F.lit("p"), "path_prior": F.lit("mine"), "h": F.lit(1)})
+    binned = quality.with_features(sites)
+    judged = quality.classify(binned, binned.withColumn("good", F.lit(1)).select("host", "path", "bins", "good")).collect()
+    assert all(r["path_prior"] == "mine" and r["h"] == 1 and r["a b"]["x y"] in (5, 6) and r.quality > 0.5 for r in judged)
+
+
 def test_documents_of_one_term_are_dealt_to_several_parts(spark):
     """A third of all documents are copies: they lie in more than one part, and no document is lost."""
     import numpy as np
