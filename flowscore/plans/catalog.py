@@ -35,7 +35,8 @@ from flowscore.schema import SPIKE_FACTOR, STANDIN_FIELDS, UNKNOWN_LABEL, wire_v
 from flowscore.session import fresh_dir
 from flowscore.sources.files import (first_n, read_csv, read_headerless_csv, read_headerless_lines, read_names,
                                      write_csv)
-from flowscore.sources.tables import for_fit, read_table
+from flowscore.sources.ordered import ordered_stream
+from flowscore.sources.tables import for_fit, read_table, table_path
 from flowscore.streaming.jobs import (live_throughput, live_totals, run_to_end, windowed_counts,
                                       without_repeats)
 from flowscore.streaming.sinks import CommittedSink, latest_per_key
@@ -48,6 +49,7 @@ PAGE = 100
 RETENTION_CAP = 262144           # bytes kept by the retention query
 RETENTION_BATCH_ROWS = 100       # events per stand-in micro-batch
 ALERT_TYPE = "error"             # attack type looked up by by_attack_type
+ORDERED_PARTS = 16               # files of stream_ordered_files
 ONCE_WATERMARK = "36500 days"    # the arrivals of stream_once may lie any time apart
 LOOKUP_PARTITION, LOOKUP_OFFSET = 3, 100   # source position asked for by lookup_offset
 UNSEEN_TYPE = "click"            # category left out of the fit by index_unseen
@@ -724,6 +726,20 @@ def stream_committed(spark, sf_dir):
     return spark.read.parquet(out).drop("batch_id")
 
 
+def stream_ordered_files(spark, sf_dir):
+    """Events as a list of files against the order of their names, the last ones listed only at a restart."""
+    src, out, ckpt = (fresh_dir(spark, f"ordered_{kind}") for kind in ("src", "out", "ckpt"))
+    events = spark.read.schema(SI.EVENTS_SCHEMA).parquet(table_path(sf_dir, "events"))
+    parts = events.withColumn("part", F.pmod("event_id", F.lit(ORDERED_PARTS)))
+    parts.repartition("part").sortWithinPartitions("part", "event_id").write.partitionBy("part").parquet(src)
+    files = sorted(spark.read.parquet(src).inputFiles(), key=lambda f: -int(f.rsplit("part=", 1)[1].split("/")[0]))
+    for listed in (files[:ORDERED_PARTS // 2], files):
+        query = (ordered_stream(spark, listed, SI.EVENTS_SCHEMA).writeStream.format("parquet").option("path", out)
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        query.awaitTermination()
+    return spark.read.parquet(out).select("event_id", "event_type", "file_number", "row_number")
+
+
 QUERIES: dict[str, Query] = {
     # sources / decode / encode
     "stream_append": stream_append,
@@ -740,6 +756,7 @@ QUERIES: dict[str, Query] = {
     "headerless_bad_bytes": headerless_bad_bytes,
     "stream_once": stream_once,
     "stream_committed": stream_committed,
+    "stream_ordered_files": stream_ordered_files,
     # cleaning / conforming
     "fill_missing_zero": fill_missing_zero,
     "cast_rate": cast_rate,

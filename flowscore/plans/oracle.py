@@ -312,3 +312,5 @@ ORACLE["stream_running_total"] = ORACLE["throughput"]
 ORACLE["stream_committed"] = DECODED_V1
 ORACLE["stream_once"] = """select event_id, event_type, 'demo' as topic, (event_id % 6)::int as "partition",
   (event_id // 6)::bigint as "offset" from events"""
+ORACLE["stream_ordered_files"] = """select event_id, event_type, (15 - event_id % 16)::int as file_number,
+  row_number() over (partition by event_id % 16 order by event_id) - 1 as row_number from events"""
