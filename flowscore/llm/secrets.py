@@ -31,8 +31,10 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 LEAST_RANDOM = 20
 CANDIDATE = f"[A-Za-z0-9+/=_-]{{{LEAST_RANDOM},}}"
 #: Parts of a run that fits no alphabet: what stands between '=', then what stands between signs of one alphabet or both.
-BETWEEN_EQUALS = ["[A-Za-z0-9+/_-]+(?:={1,2}$)?"]
-BETWEEN_SIGNS = ["[A-Za-z0-9_-]+(?:={1,2}$)?", "[A-Za-z0-9+/]+(?:={1,2}$)?", "[A-Za-z0-9]+"]
+#: Shorter ones, the '=' that may follow counted, are no candidates.
+_LONG = f"{{{LEAST_RANDOM - 2},}}"
+BETWEEN_EQUALS = [f"[A-Za-z0-9+/_-]{_LONG}(?:={{1,2}}$)?"]
+BETWEEN_SIGNS = [f"[A-Za-z0-9_-]{_LONG}(?:={{1,2}}$)?", f"[A-Za-z0-9+/]{_LONG}(?:={{1,2}}$)?", f"[A-Za-z0-9]{_LONG}"]
 LENGTH_BANDS = [32, 64]
 #: Share of ordinary runs tolerated among those reported.
 FALSE_DISCOVERY = 0.05
@@ -50,6 +52,7 @@ HEX_WORDS = "add bad bed bee beef cab cafe dad dead deaf decade deed facade face
 WORD = "^[A-Za-z][a-z]{2,11}$"
 #: Words of an ordinary run, one length for each band, and words dealt together.
 RUN_WORDS, GROUP_WORDS = [4, 7, 13], 12
+GROUPS_A_TASK = 200
 # Alphabets by inferred encoding, smallest first; the place of a character is its number.
 ALPHABETS = {
     "decimal": "0123456789",
@@ -81,18 +84,56 @@ def _found(text: Column, pattern: str, group: int) -> Column:
     """Matches of a pattern from left to right as (start, end, value of the group)."""
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else whole
-    gaps = F.split(text, pattern, -1)
-    rows = F.arrays_zip(whole.alias("whole"), value.alias("value"),
-                        F.slice(gaps, 1, F.size(whole)).alias("gap"))
+    rows = F.zip_with(F.arrays_zip(whole.alias("whole"), value.alias("value")), F.split(text, pattern, -1), lambda m, gap: F.struct(
+        m["value"].alias("value"), F.length(m["whole"]).alias("size"),
+        (F.length(gap) + F.length(m["whole"])).alias("step")))
+    # The piece after the last match has no match beside it.
+    return _with(F.filter(rows, lambda r: r["size"].isNotNull()), lambda rows: F.zip_with(
+        rows, _running(F.transform(rows, lambda r: r["step"]), lambda a, b: a + b), lambda r, end: F.struct(
+            (end - r["size"]).alias("start"), end.alias("end"), r["value"].alias("value"))))
+
+
+def _parts_of(run: Column, pattern: str) -> Column:
+    """Matches of a pattern in one run as (start, end, value), by a plain fold: at most one match in 18 characters."""
+    found = F.regexp_extract_all(run["value"], F.lit(pattern), F.lit(0))
+    rows = F.arrays_zip(found.alias("value"), F.slice(F.split(run["value"], pattern, -1), 1, F.size(found)).alias("gap"))
     empty = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
 
     def step(state, row):
         start = state["at"] + F.length(row["gap"])
-        end = start + F.length(row["whole"])
+        end = start + F.length(row["value"])
         return F.struct(end.alias("at"), F.array_append(state["out"], F.struct(
             start.alias("start"), end.alias("end"), row["value"].alias("value"))).alias("out"))
 
-    return F.aggregate(rows, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda s: s["out"])
+    return F.aggregate(rows, F.struct(run["start"].alias("at"), empty.alias("out")), step, lambda s: s["out"])
+
+
+def _with(value: Column, f) -> Column:
+    """f of a value that is computed once, also where f uses it in a lambda."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _running(values: Column, f) -> Column:
+    """Running totals of an array of int by ``f``.
+
+    Appending copies an array, so totals are taken in blocks of the root of its size: n^1.5 steps, not n^2."""
+    empty = F.expr("cast(array() as array<int>)")
+    state = lambda last, out: F.struct(last.alias("last"), out.alias("out"))
+    total = lambda last, v: F.when(last.isNull(), v).otherwise(f(last, v))
+
+    def block(begun, part):
+        return F.aggregate(part, state(begun, empty), lambda s, v: _with(total(s["last"], v), lambda t: state(
+            t, F.array_append(s["out"], t))), lambda s: s["out"])
+
+    def blocks(v):
+        parts = F.transform(F.sequence(F.lit(1), v["n"], v["size"]), lambda i: F.slice(v["values"], i, v["size"]))
+        return F.flatten(F.aggregate(
+            parts, state(F.lit(None).cast("int"), F.expr("cast(array() as array<array<int>>)")),
+            lambda s, part: _with(block(s["last"], part), lambda done: state(
+                F.element_at(done, -1), F.array_append(s["out"], done))), lambda s: s["out"]))
+
+    return _with(values, lambda a: F.when(F.size(a) > 0, _with(F.struct(
+        a.alias("values"), F.size(a).alias("n"), F.ceil(F.sqrt(F.size(a))).cast("int").alias("size")), blocks)).otherwise(empty))
 
 
 def _matches(text: Column, kind: str) -> Column:
@@ -136,9 +177,7 @@ def _parted(runs: Column, patterns: list[str]) -> Column:
     """Runs (start, end, value) that fit an alphabet; of the others, all different matches that are long enough."""
 
     def parts(run, pattern):
-        found = F.transform(_found(run["value"], pattern, 0), lambda m: F.struct(
-            (m["start"] + run["start"]).alias("start"), (m["end"] + run["start"]).alias("end"), m["value"].alias("value")))
-        return F.filter(found, lambda m: F.length(m["value"]) >= LEAST_RANDOM)
+        return F.filter(_parts_of(run, pattern), lambda m: F.length(m["value"]) >= LEAST_RANDOM)
 
     return F.flatten(F.transform(runs, lambda r: F.when(encoding(r["value"]).isNotNull(), F.array(r)).otherwise(
         F.array_distinct(F.concat(*[parts(r, p) for p in patterns])))))
@@ -148,50 +187,88 @@ def battery(candidates: Column) -> Column:
     """Candidates (start, end, value) with their encoding and the joint p-value of the three tests.
 
     A run that fits no alphabet as a whole (NAME=key, a path that ends in a key) is tested in parts."""
-    spelled = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
     rows = _parted(_parted(candidates, BETWEEN_EQUALS), BETWEEN_SIGNS)
     rows = _add(rows, "encoding", lambda r: encoding(r["value"]))
-    rows = F.filter(rows, lambda r: r["encoding"].isNotNull() & ~r["encoding"].isin(NEVER))
-    rows = _add(rows, "alphabet", lambda r: spelled[r["encoding"]])
-    rows = _add(rows, "x", lambda r: F.transform(
-        F.filter(F.split(F.rtrim(r["value"], F.lit("=")), "(?!^)"), lambda c: c != ""),
-        lambda c: F.position(c, r["alphabet"]) - 1))
-    rows = _add(rows, "n", lambda r: F.size(r["x"]).cast("double"))
-    rows = _add(rows, "size", lambda r: F.length(r["alphabet"]).cast("double"))
+    rows = F.filter(rows, _testable)
+    for name, f in _tests():
+        rows = _add(rows, name, f)
+    return F.transform(rows, lambda r: F.struct(
+        r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"),
+        _band(r["end"] - r["start"]).alias("band"), _bin(r).alias("bin")))
+
+
+class _Columns:
+    """The columns of a row by name, as the fields of a struct are."""
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(name)
+
+
+def battery_rows(values: DataFrame) -> DataFrame:
+    """The same for runs that fit an alphabet, one a row (column ``value``): their encoding, length band and bin.
+
+    Plain columns, so a step copies no arrays; this is the way for a large number of runs."""
+    rows = values.select("value", encoding(F.col("value")).alias("encoding")).filter(_testable(_Columns()))
+    for name, f in _tests():
+        rows = rows.withColumn(name, f(_Columns()))
+    return rows.select("encoding", _band(F.length("value")).alias("band"), _bin(_Columns()).alias("bin"))
+
+
+def _testable(r) -> Column:
+    return r["encoding"].isNotNull() & ~r["encoding"].isin(NEVER)
+
+
+def _band(length: Column) -> Column:
+    return sum(((length >= b).cast("int") for b in LENGTH_BANDS[1:]), (length >= LENGTH_BANDS[0]).cast("int"))
+
+
+def _bin(r) -> Column:
+    """Fisher's joint p-value of the three tests by steps of its negative logarithm."""
+    p = F.exp(-r["half"]) * (1 + r["half"] + r["half"] * r["half"] / 2)
+    return F.floor(-F.log(F.greatest(p, F.lit(_P_LEAST))) * _P_STEPS).cast("int")
+
+
+def _tests() -> list:
+    """Steps of the battery, each a name and a function of the fields before it (value, encoding first)."""
+    spelled = F.create_map(*[F.lit(x) for pair in ALPHABETS.items() for x in pair])
     weights = F.create_map(*[x for name, a in ALPHABETS.items()
                              for x in (F.lit(name), F.array(*[F.lit(w) for w in class_weights(a)]))])
-    rows = _add(rows, "weights", lambda r: weights[r["encoding"]])
-    rows = _add(rows, "classes", lambda r: F.array(*[
+    steps = []
+    add = lambda name, f: steps.append((name, f))
+    add("alphabet", lambda r: spelled[r["encoding"]])
+    # What all characters are compared with is repeated beside them: in a lambda the optimizer may compute it for each.
+    beside = lambda values, one, f: F.zip_with(values, F.array_repeat(one, F.size(values)), f)
+    add("chars", lambda r: F.filter(F.split(F.rtrim(r["value"], F.lit("=")), "(?!^)"), lambda c: c != ""))
+    add("x", lambda r: beside(r["chars"], r["alphabet"], lambda c, a: F.position(c, a) - 1))
+    add("n", lambda r: F.size(r["x"]).cast("double"))
+    add("size", lambda r: F.length(r["alphabet"]).cast("double"))
+    add("weights", lambda r: weights[r["encoding"]])
+    add("classes", lambda r: F.array(*[
         r["n"] - F.length(F.translate(F.rtrim(r["value"], F.lit("=")), c, "")) for c in CLASSES]))
-    rows = _add(rows, "classes", lambda r: F.concat(r["classes"], F.array(
+    add("classes", lambda r: F.concat(r["classes"], F.array(
         r["n"] - F.aggregate(r["classes"], F.lit(0.0), lambda a, c: a + c))))
-    rows = _add(rows, "chi", lambda r: F.aggregate(F.zip_with(r["classes"], r["weights"], lambda c, w: F.when(
+    add("chi", lambda r: F.aggregate(F.zip_with(r["classes"], r["weights"], lambda c, w: F.when(
         w > 0, F.pow(c - r["n"] * w, 2) / (r["n"] * w)).otherwise(F.lit(0.0))), F.lit(0.0), lambda a, v: a + v))
-    rows = _add(rows, "free", lambda r: F.size(F.filter(r["weights"], lambda w: w > 0)) - 1)
+    add("free", lambda r: F.size(F.filter(r["weights"], lambda w: w > 0)) - 1)
     # Chi-squared as a one-sided normal deviate (Wilson and Hilferty).
-    rows = _add(rows, "p_chi", lambda r: _one_sided((F.pow(r["chi"] / r["free"], 1 / 3) - (1 - 2 / (9 * r["free"])))
-                                                    / F.sqrt(2 / (9 * r["free"]))))
-    rows = _add(rows, "above", lambda r: F.transform(r["x"], lambda v: (v * 2 >= r["size"]).cast("int")))
-    rows = _add(rows, "n1", lambda r: F.aggregate(r["above"], F.lit(0), lambda a, v: a + v).cast("double"))
-    rows = _add(rows, "changes", lambda r: F.aggregate(
+    add("p_chi", lambda r: _one_sided((F.pow(r["chi"] / r["free"], 1 / 3) - (1 - 2 / (9 * r["free"])))
+                                      / F.sqrt(2 / (9 * r["free"]))))
+    add("above", lambda r: beside(r["x"], r["size"], lambda v, size: (v * 2 >= size).cast("int")))
+    add("n1", lambda r: F.aggregate(r["above"], F.lit(0), lambda a, v: a + v).cast("double"))
+    add("changes", lambda r: F.aggregate(
         F.zip_with(F.slice(r["above"], 1, F.size(r["above"]) - 1), F.slice(r["above"], 2, F.size(r["above"])),
                    lambda a, b: F.abs(a - b)), F.lit(0), lambda a, v: a + v).cast("double"))
-    rows = _add(rows, "p_runs", lambda r: _runs(r["n"], r["n1"], r["changes"] + 1))
-    rows = _add(rows, "mean", lambda r: F.aggregate(r["x"], F.lit(0.0), lambda a, v: a + v) / r["n"])
-    rows = _add(rows, "d", lambda r: F.transform(r["x"], lambda v: v - r["mean"]))
-    rows = _add(rows, "var", lambda r: F.aggregate(r["d"], F.lit(0.0), lambda a, v: a + v * v))
-    rows = _add(rows, "cov", lambda r: F.aggregate(
+    add("p_runs", lambda r: _runs(r["n"], r["n1"], r["changes"] + 1))
+    add("mean", lambda r: F.aggregate(r["x"], F.lit(0.0), lambda a, v: a + v) / r["n"])
+    add("d", lambda r: beside(r["x"], r["mean"], lambda v, mean: v - mean))
+    add("var", lambda r: F.aggregate(r["d"], F.lit(0.0), lambda a, v: a + v * v))
+    add("cov", lambda r: F.aggregate(
         F.zip_with(F.slice(r["d"], 1, F.size(r["d"]) - 1), F.slice(r["d"], 2, F.size(r["d"])), lambda a, b: a * b),
         F.lit(0.0), lambda a, v: a + v))
-    rows = _add(rows, "p_serial", lambda r: F.when(r["var"] > 0, _tail(
+    add("p_serial", lambda r: F.when(r["var"] > 0, _tail(
         (r["cov"] / r["var"] + 1 / r["n"]) * F.sqrt(r["n"]))).otherwise(F.lit(_P_LEAST)))
-    rows = _add(rows, "half", lambda r: -F.log(r["p_chi"]) - F.log(r["p_runs"]) - F.log(r["p_serial"]))
-    p = lambda r: F.exp(-r["half"]) * (1 + r["half"] + r["half"] * r["half"] / 2)
-    return F.transform(rows, lambda r: F.struct(
-        r["start"].alias("start"), r["end"].alias("end"), r["encoding"].alias("encoding"),
-        sum(((r["end"] - r["start"] >= b).cast("int") for b in LENGTH_BANDS[1:]),
-            (r["end"] - r["start"] >= LENGTH_BANDS[0]).cast("int")).alias("band"),
-        F.floor(-F.log(F.greatest(p(r), F.lit(_P_LEAST))) * _P_STEPS).cast("int").alias("bin")))
+    add("half", lambda r: -F.log(r["p_chi"]) - F.log(r["p_runs"]) - F.log(r["p_serial"]))
+    return steps
 
 
 def _one_sided(z: Column) -> Column:
@@ -206,40 +283,44 @@ def _runs(n: Column, n1: Column, runs: Column) -> Column:
         F.lit(_P_LEAST))
 
 
-def scan(text: Column) -> dict[str, Column]:
-    """Base spans by kind and tested candidates of a text column (null: empty)."""
-    text = F.coalesce(text.cast("string"), F.lit(""))
+def scan(docs: DataFrame, text_col: str, *columns: Column) -> DataFrame:
+    """``columns`` of the documents, their base spans by kind and their tested candidates (null text: empty)."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     none = F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)")
-    out = {kind: _matches(text, kind) for kind in KINDS[:3]}
-    out["candidates"] = battery(F.when(text.rlike(CANDIDATE), _found(text, CANDIDATE, 0)).otherwise(none))
-    return out
+    runs = F.when(text.rlike(CANDIDATE), _found(text, CANDIDATE, 0)).otherwise(none)
+    return docs.select(*columns, *[_matches(text, kind).alias(kind) for kind in KINDS[:3]], runs.alias("candidates")).withColumn(
+        "candidates", battery(F.col("candidates")))
 
 
 def ordinary(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Ordinary runs with their encoding, length band and bin: a row per word of the corpus, column ``candidates``.
+    """Ordinary runs with their encoding, length band and bin, in column ``candidates``.
 
-    Words that occur at least twice in the corpus, and the fixed ones, are dealt to groups by a hash; each begins one
-    run of every length and style, going on with the words after it in its group."""
+    Words that occur at least twice in the corpus are dealt to groups by a hash; in every length and style the words of a
+    group are joined to runs one after another, so that each is in a run.  Each of the fixed words begins a run of every
+    length and style, which goes on with the words after it: a small corpus has ordinary runs enough, too."""
     spark = docs.sparkSession
-    listed = lambda words: F.explode(F.split(F.lit(" ".join(words.split())), " ")).alias("word")
-    said = docs.select(F.explode(F.split(F.col(text_col).cast("string"), r"[\s\p{Punct}]+")).alias("word")).filter(
-        F.col("word").rlike(WORD)).groupBy(F.lower("word").alias("word")).count().filter("count > 1").select("word")
-    words = keep(said.union(spark.range(1).select(listed(WORDS))).distinct(), "secrets")
+    listed = lambda words: spark.range(1).select(
+        F.explode(F.split(F.lit(" ".join(words.split())), " ")).alias("word")).agg(F.collect_list("word").alias("words"))
+    words = keep(docs.select(F.explode(F.split(F.col(text_col).cast("string"), r"[\s\p{Punct}]+")).alias("word")).filter(
+        F.col("word").rlike(WORD)).groupBy(F.lower("word").alias("word")).count().filter("count > 1").select("word"), "secrets")
     groups = max(words.count() // GROUP_WORDS, 1)
-    grouped = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(groups)).alias("g")).agg(
-        F.sort_array(F.collect_list("word")).alias("words"))
-    hexes = spark.range(1).select(listed(HEX_WORDS)).agg(F.collect_list("word").alias("words"))
-    long = F.filter("made", lambda v: F.length(v) >= LEAST_RANDOM)
-    return _runs_of(grouped, _styles()).union(_runs_of(hexes, _hex_styles())).select(battery(F.transform(
-        long, lambda v: F.struct(F.lit(0).alias("start"), F.length(v).alias("end"), v.alias("value")))).alias("candidates"))
+    # A number of partitions of its own: words are few bytes but much work, and would be merged into one task by size.
+    dealt = words.withColumn("g", F.pmod(F.xxhash64("word"), F.lit(groups))).repartition(groups // GROUPS_A_TASK + 1, "g")
+    grouped = dealt.groupBy("g").agg(F.sort_array(F.collect_list("word")).alias("words"))
+    runs = _runs_of(grouped, _styles()).union(_runs_of(listed(WORDS), _styles(), every=True)).union(
+        _runs_of(listed(HEX_WORDS), _hex_styles(), every=True))
+    return battery_rows(runs.filter(F.length("value") >= LEAST_RANDOM)).select(
+        F.array(F.struct("encoding", "band", "bin")).alias("candidates"))
 
 
-def _runs_of(groups: DataFrame, styles: list) -> DataFrame:
-    """Runs of words made from each group, in all styles: an array ``made`` for each word and length."""
+def _runs_of(groups: DataFrame, styles: list, every: bool = False) -> DataFrame:
+    """Runs of words made from each group, in all styles, as ``value``: one after another, or beginning at every word."""
     ring = F.flatten(F.array_repeat("words", max(RUN_WORDS) + 1))
-    begun = F.transform("words", lambda w, i: F.array(*[F.slice(ring, i + 1, n) for n in RUN_WORDS]))
-    runs = groups.select(F.explode(F.flatten(begun)).alias("run"))
-    return runs.select(F.array(*[style(F.col("run")) for style in styles]).alias("made"))
+    runs_of = lambda n: F.transform(
+        F.sequence(F.lit(1), F.size("words"), F.lit(1 if every else n)), lambda i: F.slice("ring", i, n))
+    begun = F.concat(*[runs_of(n) for n in RUN_WORDS])
+    runs = groups.filter(F.size("words") > 0).withColumn("ring", ring).select(F.explode_outer(begun).alias("run"))
+    return runs.select(F.explode_outer(F.array(*[style(F.col("run")) for style in styles])).alias("value"))
 
 
 def _number(word: Column, salt: int = 0) -> Column:
@@ -293,7 +374,9 @@ def thresholds(tested: DataFrame, plain: DataFrame, level: float = FALSE_DISCOVE
 
 
 def _histograms(tested: DataFrame) -> dict[tuple[str, int], dict[int, int]]:
-    rows = tested.select(F.explode("candidates").alias("c")).groupBy("c.encoding", "c.band", "c.bin").count().collect()
+    # An outer explode: before a plain one the optimizer filters by the array's size, which runs the battery again.
+    rows = tested.select(F.explode_outer("candidates").alias("c")).filter("c is not null").groupBy(
+        "c.encoding", "c.band", "c.bin").count().collect()
     out: dict[tuple[str, int], dict[int, int]] = {}
     for r in rows:
         out.setdefault((r.encoding, r.band), {})[r.bin] = r["count"]
@@ -310,9 +393,10 @@ def spans(scanned: DataFrame, greatest: dict[tuple[str, int], int]) -> Column:
     if limit is None:
         return F.array_sort(base)
     kept = F.filter("candidates", lambda c: c["bin"] <= limit[F.concat_ws(":", c["encoding"], c["band"])])
-    taken = _joined(base)
-    left = F.flatten(F.transform(_joined(kept), lambda c: _without(c, F.filter(
-        taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))))
+    left = F.when(F.size(kept) > 0, _with(_joined(base), lambda taken: F.flatten(F.transform(
+        _joined(kept), lambda c: _without(c, F.filter(
+            taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])))))))
+    left = F.coalesce(left, F.expr("cast(array() as array<struct<start:int,end:int>>)"))
     return F.array_sort(F.concat(base, _ranked(left, 3)))
 
 
@@ -326,16 +410,19 @@ def _without(span: Column, taken: Column) -> Column:
 
 def _joined(found: Column) -> Column:
     """Spans with those that overlap made one: parts of a run may."""
-    empty = F.expr("cast(array() as array<struct<start:int,end:int>>)")
+    rows = F.array_sort(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
 
-    def step(out, s):
-        last = F.try_element_at(out, F.lit(-1))
-        longer = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))
-        return F.when(s["start"] < last["end"], F.concat(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.array(longer))).otherwise(
-            F.array_append(out, s))
+    def join(v):
+        # Places whose span begins where or after all before it have ended, and one place after the last.
+        first = F.filter(F.sequence(F.lit(1), F.size(v["rows"])), lambda i: (i == 1) | (
+            F.element_at(v["rows"], i)["start"] >= F.element_at(v["ends"], F.greatest(i - 1, F.lit(1)))))
+        return _with(F.concat(first, F.array(F.size(v["rows"]) + 1)), lambda at: F.zip_with(
+            F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda a, b: F.struct(
+                F.element_at(v["rows"], a)["start"].alias("start"), F.element_at(v["ends"], b - 1).alias("end"))))
 
-    rows = F.array_sort(F.transform(found, lambda c: F.struct(c["start"].alias("start"), c["end"].alias("end"))))
-    return F.aggregate(rows, empty, step)
+    return _with(rows, lambda r: F.when(F.size(r) > 0, _with(F.struct(r.alias("rows"), _running(
+        F.transform(r, lambda s: s["end"]), F.greatest).alias("ends")), join)).otherwise(
+        F.expr("cast(array() as array<struct<start:int,end:int>>)")))
 
 
 def _ranked(found: Column, rank: int) -> Column:
@@ -355,9 +442,9 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     The battery only adds spans (kind ``random``), beside the base spans.  Null and empty texts have none, and the
     hash of the empty string; null ids and repeated rows stay rows; other columns are not read."""
-    tested = keep(docs.select(F.col(id_col).alias("id"), *[c.alias(n) for n, c in scan(F.col(text_col)).items()])
-                  .withColumns({k: F.transform(k, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end")))
-                                for k in KINDS[:3]}), "secrets")
+    tested = keep(scan(docs, text_col, F.col(id_col).alias("id")).withColumns(
+        {k: F.transform(k, lambda m: F.struct(m["start"].alias("start"), m["end"].alias("end"))) for k in KINDS[:3]}),
+        "secrets")
     found = tested.withColumn("found", spans(tested, thresholds(tested, ordinary(docs, text_col), level)))
     base = F.filter("found", lambda s: s["rank"] < 3)
     return found.select(
@@ -370,11 +457,9 @@ def redact(docs: DataFrame, text_col: str = "text", level: float = FALSE_DISCOVE
     """``docs`` with every span replaced by ``mark`` (overlapping spans by one); a null text stays null.
 
     Thresholds come from all rows; the second pass finds the spans again, so no text is shuffled."""
-    greatest = thresholds(docs.select(scan(F.col(text_col))["candidates"].alias("candidates")),
-                          ordinary(docs, text_col), level)
+    greatest = thresholds(scan(docs, text_col).select("candidates"), ordinary(docs, text_col), level)
     # The documents' own columns are kept in a struct, so theirs may have any names.
-    scanned = docs.select(F.struct(*docs.columns).alias("__row"),
-                          *[c.alias(n) for n, c in scan(F.col(text_col)).items()])
+    scanned = scan(docs, text_col, F.struct(*docs.columns).alias("__row"))
     found = scanned.withColumn("__found", spans(scanned, greatest))
     text = F.col("__row")[text_col]
 
