@@ -444,6 +444,27 @@ def test_nearest_recall(spark):
     assert hits / (20 * len(got)) >= 0.9
 
 
+def test_nearest_recall_of_uneven_lengths_and_tight_groups(spark, tmp_dir):
+    rng = np.random.default_rng(4)
+    even = rng.standard_normal((1500, 24))
+    even *= np.exp(rng.standard_normal(1500))[:, None] / np.linalg.norm(even, axis=1, keepdims=True)
+    tight = rng.standard_normal((2, 24))[rng.integers(0, 2, 900)] + 0.003 * rng.standard_normal((900, 24))
+    for x in (even, tight):
+        x = x.astype(np.float32)
+        folder = f"{tmp_dir}/{len(x)}"
+        spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<float>").write.parquet(
+            f"{folder}/embeddings.parquet")
+        got = {}
+        for r in Q.op10_nearest(spark, folder).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hits = 0
+        for q in range(0, len(x), 20):
+            scores = x.astype(float) @ x[q].astype(float)
+            scores[q] = -np.inf
+            hits += len(got[q] & set(np.argsort(-scores, kind="stable")[:20].tolist()))
+        assert hits / (20 * len(got)) >= 0.9, (len(x), hits / (20 * len(got)))
+
+
 def test_reports_of_a_batch_are_merged_by_node():
     rng = np.random.default_rng(1)
     for n in (0, 1, 500):
