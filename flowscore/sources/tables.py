@@ -23,12 +23,15 @@ def read_with_file_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     return df.withColumn("file_name", F.col("_metadata.file_name"))
 
 
-#: Partitions of a model's training input (a fixed count, so the same data
-#: and seed give the same model on every cluster).
+#: Least partitions of a model's training input, and rows of one beyond that (the count follows from the number of
+#: rows alone, so the same data and seed give the same model on every cluster, and a task's rows are bounded).
 FIT_PARTITIONS = 32
+FIT_ROWS = 1 << 17
 
 
-def for_fit(df: DataFrame, *keys: str, partitions: int = FIT_PARTITIONS) -> DataFrame:
+def for_fit(df: DataFrame, *keys: str, partitions: int | None = None) -> DataFrame:
     """Training rows dealt by a hash of their key and ordered by it, so a fit
     doesn't depend on files, splits or cores."""
+    if partitions is None:
+        partitions = max(FIT_PARTITIONS, -(-df.count() // FIT_ROWS))
     return df.repartition(partitions, *keys).sortWithinPartitions(*keys)

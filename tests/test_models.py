@@ -146,3 +146,10 @@ def test_tree_memory_is_one_fixed_value():
     from flowscore.operators.train import TREE_MEMORY_MB, _tree_exec
     assert _tree_exec({"maxDepth": 6})["maxMemoryInMB"] == TREE_MEMORY_MB
     assert _tree_exec({})["maxMemoryInMB"] == TREE_MEMORY_MB
+
+
+def test_training_rows_of_a_task_are_bounded(spark):
+    from flowscore.sources.tables import FIT_PARTITIONS, FIT_ROWS, for_fit
+    assert for_fit(spark.range(1000), "id").rdd.getNumPartitions() == FIT_PARTITIONS
+    rows = 3 * FIT_PARTITIONS * FIT_ROWS + 1
+    assert for_fit(spark.range(rows), "id").rdd.getNumPartitions() == 3 * FIT_PARTITIONS + 1
