@@ -1,4 +1,5 @@
-"""The corpus pipeline: documents go through five stages, each written as Parquet and read again by the next."""
+"""The corpus pipeline: documents go through five stages, each written as Parquet, read again by the next
+and deleted when that one's are written."""
 
 from __future__ import annotations
 
@@ -6,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowscore.llm import decontam, langid, packing, secrets, simhash
-from flowscore.llm.scratch import keep
+from flowscore.llm.scratch import drop, keep
 from flowscore.sources.tables import read_table
 
 
@@ -51,6 +52,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
+    kept = None
     for name, stage in STAGES[:-1]:
         docs = keep(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if kept is not None:
+            drop(kept)
+        kept = docs
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from flowscore.llm.scratch import keep
 from flowscore.llm import decontam, langid, packing, quality, rollups, simhash
 
 SF = "/root/testdata/sf0.01"
@@ -111,3 +112,20 @@ def test_terms_of():
         ids = np.array([5, 1, 5, 40_000, 1, 5], dtype=kind)
         assert [x.tolist() for x in packing.terms_of(ids)] == [[1, 5, 40_000], [2, 3, 1]]
         assert len(packing.terms_of(ids[:0])[0]) == 0
+
+
+def test_pipeline_keeps_one_stage_of_documents(spark, monkeypatch):
+    import os
+
+    import corpus_pipeline
+    kept = []
+
+    def noting(df, kind):
+        kept.append(keep(df, kind))
+        return kept[-1]
+
+    monkeypatch.setattr(corpus_pipeline, "keep", noting)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(str(i), lambda spark, docs, sf_dir: docs.filter("true")) for i in range(4)])
+    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert [os.path.exists(df._scratch_path) for df in kept] == [False, False, True]
+    assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
