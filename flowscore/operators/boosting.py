@@ -3,7 +3,9 @@
 Features are cut into quantile bins once.  Each level of a round is one pass over the binned rows for all classes: tasks
 sum gradients and hessians by (class, node, feature, bin), the sums are added up by (class, node) in the shuffle, and the
 best split of each node is chosen where its sums meet, so the driver sees one row per class and node.  Sums are fixed-point
-integers: the same rows give the same model whatever their partitions and order.  Margins of the rows are written with
+integers: the same rows give the same model whatever their partitions and order.  Of the two children of a split only the
+one of less hessian is summed over the rows; the other is what it leaves of its parent's sums, which come back from the
+level before.  Sums travel in as few bytes as they need, from at most one task per core.  Margins of the rows are written with
 the binned features every few rounds, which cuts the lineage; between two writes the rounds since are walked again.
 A task holds the sums of one level: open nodes of all classes x features x bins x 16 bytes.
 """
@@ -36,13 +38,16 @@ SKETCH_ACCURACY = 10_000
 ROUNDS_PER_WRITE = 10
 #: Fixed-point unit of gradients and hessians.
 UNIT = 1 << 24
+#: Splits chosen by one task, where there are cores enough.
+FAMILIES = 16
 _ROWS = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("bins", T.BinaryType()),
                       T.StructField("margin", T.BinaryType())])
-_SUMS = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("at", T.BinaryType()),
+_SUMS = T.StructType([T.StructField("family", T.IntegerType()), T.StructField("parent", T.BooleanType()),
                       T.StructField("sums", T.BinaryType())])
 _SPLITS = T.StructType([T.StructField("key", T.IntegerType()), T.StructField("feature", T.IntegerType()),
                         T.StructField("cut", T.IntegerType()),
-                        *[T.StructField(c, T.LongType()) for c in ("g", "h", "g_left", "h_left")]])
+                        *[T.StructField(c, T.LongType()) for c in ("g", "h", "g_left", "h_left")],
+                        T.StructField("sums", T.BinaryType())])
 
 
 @dataclass
@@ -117,16 +122,36 @@ def _state(batch: pa.RecordBatch, features: int, classes: int, since: list[Round
     return batch.column(0).to_numpy(), bins, margin
 
 
+def _packed(sums: np.ndarray) -> bytes:
+    """Whole numbers (gradients, hessians) of the cells that are not 0, in as few bytes as the largest needs; cells are
+    marked by a bit each."""
+    used = sums.any(axis=0)
+    numbers = sums[:, used]
+    most = int(np.abs(numbers).max(initial=0))
+    kind = next(k for k in ("<i2", "<i4", "<i8") if most <= np.iinfo(k).max)
+    return kind[-1:].encode() + np.packbits(used).tobytes() + numbers.astype(kind).tobytes()
+
+
+def _unpacked(data: bytes, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Cells that are not 0 of ``size``, and their gradients and hessians."""
+    marks = -(-size // 8)
+    at = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, marks, 1), count=size))
+    return at, np.frombuffer(data, "<i" + data[:1].decode(), offset=1 + marks).reshape(2, len(at))
+
+
 def _level_splits(table: DataFrame, features: int, classes: int, since: list[Round], tree: Round, level: int,
-                  s: BoostSettings) -> list:
-    """Best split and sums of each (class, node) of a level that has rows; key: class x nodes of the level + node."""
+                  s: BoostSettings, counted: np.ndarray, before: DataFrame | None) -> DataFrame:
+    """Best split and sums of each (class, node) of a level that has rows; key: class x nodes of the level + node.
+
+    ``counted`` are the nodes to sum over the rows, ``before`` the splits and sums of the level before."""
     nodes, first = 1 << level, (1 << level) - 1
     size = features * BINS
-    # Nodes of this level, numbered: those that a split of the level before has made.
-    open_ = np.ones((classes, 1), dtype=bool) if level == 0 else np.repeat(
-        tree.feature[:, first // 2:first] >= 0, 2, axis=1)
+    # Nodes to sum, numbered: of those that a split of the level before has made, one of two.
+    open_ = counted[:, first:first + nodes]
     number = np.where(open_, np.cumsum(open_).reshape(open_.shape) - 1, -1)
     keys = np.flatnonzero(open_).astype(np.int32)
+    # The two children of a split meet.
+    child_of = {key // 2 if level else key: key for key in keys.tolist()}
 
     def sums(batches):
         total = np.zeros((2, len(keys) * size), dtype=np.int64)
@@ -146,29 +171,39 @@ def _level_splits(table: DataFrame, features: int, classes: int, since: list[Rou
                 for i, part in enumerate((q - (label[on] == k), 2 * q * (1 - q))):
                     total[i, low * size:low * size + span] += np.bincount(
                         flat, np.repeat(np.rint(part * UNIT), features), span).astype(np.int64)
-        by_node, at, out, used_keys = total.reshape(2, len(keys), size), [], [], []
-        for i, key in enumerate(keys.tolist()):
-            used = np.flatnonzero(by_node[0, i] | by_node[1, i])
-            if len(used):
-                used_keys.append(key)
-                at.append(used.astype(np.int32).tobytes())
-                out.append(np.ascontiguousarray(by_node[:, i, used]).tobytes())
+        by_node = total.reshape(2, len(keys), size)
+        used = [i for i in range(len(keys)) if by_node[:, i].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(used_keys, pa.int32()), pa.array(at, pa.binary()), pa.array(out, pa.binary())], names=_SUMS.names)
+            [pa.array([int(keys[i]) // 2 if level else int(keys[i]) for i in used], pa.int32()),
+             pa.array([False] * len(used), pa.bool_()), pa.array([_packed(by_node[:, i]) for i in used], pa.binary())],
+            names=_SUMS.names)
 
     def best(batches):
-        by_key: dict[int, np.ndarray] = {}
+        own: dict[int, np.ndarray] = {}
+        parents: dict[int, np.ndarray] = {}
         for batch in batches:
-            for key, at, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.frombuffer(at, dtype=np.int32)
-                both = by_key.setdefault(key, np.zeros((2, size), dtype=np.int64))
-                both[:, at] += np.frombuffer(part, dtype=np.int64).reshape(2, len(at))
-        rows = [(key, *best_split(both.reshape(2, features, BINS), s)) for key, both in sorted(by_key.items())]
+            for family, parent, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at, part = _unpacked(data, size)
+                both = (parents if parent else own).setdefault(family, np.zeros((2, size), dtype=np.int64))
+                if len(at) < size:
+                    both[:, at] += part
+                else:
+                    both += part
+        rows = []
+        for family in sorted(own.keys() | parents.keys()):
+            key, both = child_of[family], own.get(family, np.zeros((2, size), dtype=np.int64))
+            for child, of_child in ((key, both), (key ^ 1, parents[family] - both)) if family in parents else ((key, both),):
+                split = best_split(of_child.reshape(2, features, BINS), s)
+                rows.append((child, *split, _packed(of_child) if split[0] >= 0 and level + 1 < s.depth else None))
         columns = list(zip(*rows, strict=True)) or [[]] * len(_SPLITS)
-        kinds = [pa.int32()] * 3 + [pa.int64()] * 4
+        kinds = [pa.int32()] * 3 + [pa.int64()] * 4 + [pa.binary()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=_SPLITS.names)
 
-    return table.mapInArrow(sums, _SUMS).repartition("key").mapInArrow(best, _SPLITS).collect()
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    found = table.coalesce(cores).mapInArrow(sums, _SUMS)
+    if before is not None:
+        found = found.union(before.filter("sums is not null").select(F.col("key").alias("family"), F.lit(True), "sums"))
+    return found.repartition(min(cores, -(-len(child_of) // FAMILIES)), "family").mapInArrow(best, _SPLITS)
 
 
 def best_split(sums: np.ndarray, s: BoostSettings) -> tuple[int, int, int, int, int, int]:
@@ -189,9 +224,16 @@ def best_split(sums: np.ndarray, s: BoostSettings) -> tuple[int, int, int, int,
 
 def _grow(table, features, classes, since, s) -> Round:
     tree, worth = Round.empty(classes, s.depth), lambda g, h: -s.rate * (g / UNIT) / (h / UNIT + s.l2)
+    counted = np.zeros(tree.feature.shape, dtype=bool)
+    counted[:, 0] = True
+    levels: list[DataFrame] = []
     for level in range(s.depth):
         first, split = (1 << level) - 1, False
-        for row in _level_splits(table, features, classes, since, tree, level, s):
+        found = _level_splits(table, features, classes, since, tree, level, s, counted.copy(),
+                              levels[-1] if levels else None)
+        if level + 1 < s.depth:
+            levels.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+        for row in found.drop("sums").collect():
             k, node = divmod(row.key, 1 << level)
             node += first
             tree.value[k, node] = worth(row.g, row.h)
@@ -200,8 +242,12 @@ def _grow(table, features, classes, since, s) -> Round:
                 tree.feature[k, node], tree.cut[k, node] = row.feature, row.cut
                 tree.value[k, 2 * node + 1] = worth(row.g_left, row.h_left)
                 tree.value[k, 2 * node + 2] = worth(row.g - row.g_left, row.h - row.h_left)
+                if level + 1 < s.depth:
+                    counted[k, 2 * node + (1 if 2 * row.h_left <= row.h else 2)] = True
         if not split:
             break
+    for done in levels:
+        done.unpersist()
     return tree
 
 
@@ -221,10 +267,11 @@ def fit_softmax(rows: DataFrame, classes: int, features: int, settings: BoostSet
 
     def write(df):
         path = fresh_dir(spark, "boosting")
-        df.hint("rebalance").write.parquet(path)  # files of the advisory size, whatever the input's partitions
+        df.write.parquet(path)
         return path, spark.read.schema(_ROWS).parquet(path).persist(StorageLevel.MEMORY_AND_DISK)
 
-    path, table = write(rows.select("label", "x").mapInArrow(to_bins, _ROWS))
+    # Files of the advisory size, whatever the input's partitions; later ones have the rows of those before them.
+    path, table = write(rows.select("label", "x").mapInArrow(to_bins, _ROWS).hint("rebalance"))
     rounds: list[Round] = []
     written = 0
     try:

@@ -74,6 +74,30 @@ def test_a_round_is_that_of_one_machine(spark):
         r.add_to(margin, bins, s.depth)
 
 
+def test_one_child_of_a_split_is_summed_over_the_rows(spark, monkeypatch):
+    """Its sibling comes from the parent: a level of n splits is n sums a task, from no more tasks than cores."""
+    df = rows_of(spark, 600).repartition(40).persist()
+    levels, plain = [], B._level_splits
+
+    def seen(table, features, classes, since, tree, level, s, counted, before):
+        first = (1 << level) - 1
+        split = (tree.feature[:, first // 2:first] >= 0).sum() if level else classes
+        levels.append((split, counted[:, first:2 * first + 1].sum()))
+        out = plain(table, features, classes, since, tree, level, s, counted, before)
+        assert "Coalesce" in out._jdf.queryExecution().toString()
+        return out
+
+    monkeypatch.setattr(B, "_level_splits", seen)
+    B.fit_softmax(df, 4, 3, B.BoostSettings(rounds=2, depth=4))
+    assert len(levels) > 4 and all(split == summed for split, summed in levels)
+    for most in (0, 1, 1 << 20, 1 << 40):
+        sums = np.array([[0, 1, -1, most, 0], [0, -most, 5, 0, 0]])
+        at, numbers = B._unpacked(B._packed(sums), 5)
+        back = np.zeros_like(sums)
+        back[:, at] = numbers
+        assert (back == sums).all()
+
+
 def test_same_model_whatever_the_partitions(spark, monkeypatch):
     monkeypatch.setattr(B, "ROUNDS_PER_WRITE", 2)
     df = rows_of(spark, 600).persist()
