@@ -48,8 +48,7 @@ def valid(embedding) -> object:
 
 def norm_of(embedding):
     """Length of a valid vector, without overflow of its squares."""
-    most = F.array_max(F.transform(embedding, lambda x: F.abs(x.cast("double"))))
-    return most * F.sqrt(F.aggregate(embedding, F.lit(0.0), lambda a, x: a + F.pow(x.cast("double") / most, F.lit(2.0))))
+    return F.aggregate(embedding, F.lit(0.0), lambda a, x: F.hypot(a, x.cast("double")))
 
 
 def _unit(column: pa.Array, dimensions: int) -> np.ndarray:
