@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flowscore.llm.rows import named
+from flowscore.llm.rows import named, text_key, without_texts
 from flowscore.llm.scratch import keep
 
 MIN_MATCH = 5
@@ -112,8 +112,8 @@ def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
     return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, rest: bool) -> DataFrame:
-    """(row, seeds): rows that may share a seed, with those seeds; with ``rest`` the other rows too, without any.
+def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int) -> DataFrame:
+    """(row, seeds): rows that may share a seed, with those seeds.
 
     The documents' own columns are kept in a struct, so theirs may have any names."""
     packed = docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("row"),
@@ -128,7 +128,7 @@ def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int, r
                     seeds = rolling(words(text.as_py() or ""), min_match)
                     hit = seeds[shared.value[(seeds % np.uint64(bits)).astype(np.int64)]]
                     hit = hit[shared.value[(hit >> np.uint64(32) & np.uint64(bits - 1)).astype(np.int64)]]
-                    if len(hit) or rest:
+                    if len(hit):
                         chosen.append(row)
                         hits.append(np.unique(hit).view(np.int64))
                 if chosen:
@@ -144,19 +144,18 @@ class Decontamination:
     ``pairs()`` has a row per document row and item whose tiles cover at least ``coverage`` of the item's words;
     ``clean()`` the documents without such a pair, unchanged.  Items of fewer than ``min_match`` words prove nothing
     and never match; null texts count as empty; a null id stays null in the pairs; repeated rows are each judged;
-    with an empty benchmark all documents are clean.  Columns may have any names.  The texts are tokenized once; without
-    ``rest`` only the rows that may share a seed are kept, which is enough for ``pairs()``."""
+    with an empty benchmark all documents are clean.  Columns may have any names.  The texts are tokenized once, and only
+    the rows that may share a seed are kept; ``clean()`` reads the documents again and leaves out the texts that match."""
 
     def __init__(self, docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                  item_text_col: str = "text", min_match: int = MIN_MATCH, coverage: float = COVERAGE,
-                 filter_bits: int = FILTER_BITS, rest: bool = True):
-        self.docs, self._has_rest = docs, rest
+                 filter_bits: int = FILTER_BITS):
+        self.docs, self._text_col = docs, text_col
         seeds = keep(_seed_rows(benchmark, item_col, item_text_col, min_match), "decontam")
         shared = docs.sparkSession.sparkContext.broadcast(seed_filter(seeds, filter_bits))
         # The row number is fixed once the table is written.
-        self._kept = keep(_tagged(docs, shared, text_col, min_match, filter_bits, rest).withColumn(
+        self._maybe = keep(_tagged(docs, shared, text_col, min_match, filter_bits).withColumn(
             "n", F.monotonically_increasing_id()), "decontam")
-        self._maybe = self._kept.filter(F.size("seeds") > 0)
         # A tile of n words has n - min_match + 1 seeds of the item, so no more than min_match words for each of them: what
         # can't reach the coverage by that count is not tiled.
         met = self._maybe.select("n", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy(
@@ -192,8 +191,6 @@ class Decontamination:
         return self._found.join(ids, "n").select("doc_id", F.col("item").alias("item_id"), "coverage", "tiles")
 
     def clean(self) -> DataFrame:
-        if not self._has_rest:
-            raise ValueError("the rows without a shared seed were not kept (rest=False)")
-        met = self._maybe.join(self._found.select("n").distinct(), "n", "left_anti").select("row")
-        left = self._kept.filter(F.size("seeds") == 0).select("row").union(met)
-        return left.select(*[F.col("row").getField(c).alias(c) for c in self.docs.columns])
+        texts = self._maybe.select("n", text_key(F.col("row").getField(self._text_col)).alias("key"))
+        met = keep(texts.join(self._found.select("n"), "n", "left_semi").select("key").distinct(), "decontam")
+        return without_texts(self.docs, self._text_col, met)

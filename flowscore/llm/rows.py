@@ -1,4 +1,5 @@
-"""A computed column beside whatever columns a table has: the row travels as one struct, so no name can clash."""
+"""A computed column beside whatever columns a table has, and rows left out by their text: the row travels as one struct,
+so no name can clash."""
 
 from __future__ import annotations
 
@@ -18,6 +19,20 @@ def named(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def text_key(text: Column) -> Column:
+    """Stands for a text wherever a verdict hangs on the text alone: its SHA-256, null for none."""
+    return F.unhex(F.sha2(text.cast("string"), 256))
+
+
+def without_texts(docs: DataFrame, text_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the rows whose text's key is in column ``key`` of ``gone``; rows without a text stay.
+
+    No copy of the documents is written; few keys are broadcast."""
+    rows = docs.select(F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc"),
+                       text_key(named(text_col)).alias("key"))
+    return rows.join(gone, "key", "left_anti").select(*[F.col("doc").getField(c).alias(c) for c in docs.columns])
+
+
 def with_computed(df: DataFrame, inputs: list[Column], out: dict[str, T.DataType],
                   make: Callable[[], Callable[[list[pa.Array]], list[pa.Array]]],
                   columns: list[str] | None = None) -> DataFrame:

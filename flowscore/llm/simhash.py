@@ -133,12 +133,13 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Rows that repeat that id within the component leave one row; those in other components are judged there.  Rows
     without an id are not grouped and stay."""
-    # The row number is fixed once the table is written.  Rows travel as a struct, so their columns may have any names.
+    # The row number is fixed once the table is written.  Rows travel as a struct, so their columns may have any names;
+    # the text is read from it.
     known = keep(docs.filter(named(id_col).isNotNull()).select(
-        F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc"), named(id_col).alias("doc_id"),
-        named(text_col).alias("text"), F.monotonically_increasing_id().alias("row")), "simhash")
-    prints, rooted = _rooted(known, "row", "text", **parameters)
-    ids = known.select(F.col("row").alias("id"), "doc_id")
+        F.struct(*[named(c).alias(c) for c in docs.columns]).alias("doc"),
+        F.monotonically_increasing_id().alias("row")), "simhash")
+    prints, rooted = _rooted(known.select("row", F.col("doc").getField(text_col).alias("text")), "row", "text", **parameters)
+    ids = known.select(F.col("row").alias("id"), F.col("doc").getField(id_col).alias("doc_id"))
     first = prints.join(rooted, "fingerprint").join(ids, "id").groupBy("root").agg(
         F.min(F.struct("doc_id", "id"))["id"].alias("row"))
     chosen = known.join(first.select("row"), "row", "left_semi")

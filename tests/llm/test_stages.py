@@ -129,3 +129,29 @@ def test_pipeline_keeps_one_stage_of_documents(spark, monkeypatch):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     assert [os.path.exists(df._scratch_path) for df in kept] == [False, False, True]
     assert rows.count() == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+
+
+@pytest.mark.parametrize("name,copies", [("language_id", 0.3), ("near_duplicates", 1.4), ("decontamination", 0.3)])
+def test_stage_leaves_few_copies_of_the_documents(spark, name, copies):
+    """The tables that a stage has written hold the documents' texts no more often than it needs."""
+    import os
+
+    from flowscore.session import shared_dir
+    docs = keep(spark.read.parquet(f"{SF}/documents.parquet"), "stage-test")
+
+    def size(path):
+        return sum(os.path.getsize(f"{d}/{f}") for d, _, names in os.walk(path) for f in names if f.endswith(".parquet"))
+
+    top = shared_dir(spark, "flowscore").removeprefix("file://")
+    before = size(top)
+    assert STAGES[name](spark, docs, SF).count() > 0.8 * docs.count()
+    assert size(top) - before < copies * size(docs._scratch_path.removeprefix("file://"))
+
+
+def test_texts_that_go_take_their_repeats_along(spark):
+    text = "one two three four five six seven"
+    rows = [(1, text, "a"), (1, text, "a"), (2, text, "b"), (3, None, "c"), (4, text + " eight nine ten", "d"), (5, "other", "e")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string, key string")
+    items = spark.createDataFrame([(9, text)], "item_id int, text string")
+    left = decontam.Decontamination(docs, items).clean()
+    assert left.columns == docs.columns and sorted(map(tuple, left.collect())) == [(3, None, "c"), (5, "other", "e")]
