@@ -43,7 +43,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
         encoder = tokens.encoder(path)
         width = "<u2" if encoder.vocabulary <= 1 << 16 else "<u4"
         frequency = np.zeros(encoder.vocabulary, dtype=np.int64)
-        seen, total, total_tokens = np.zeros(encoder.vocabulary, dtype=bool), 0, 0
+        total, total_tokens = 0, 0
         end, kind = np.array([end_id], dtype=width), None
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -51,10 +51,7 @@ def encode(docs: DataFrame, id_col: str, text_col: str, path: str, end_id: int)
                 part, out = batch.slice(i, 512), []
                 for ids in encoder.encode_many(part.column(1)):
                     ids = np.concatenate([ids.astype(width), end])
-                    seen[ids] = True
-                    here = np.flatnonzero(seen)
-                    frequency[here] += 1
-                    seen[here] = False
+                    frequency[terms_of(ids)[0]] += 1
                     total, total_tokens = total + 1, total_tokens + len(ids)
                     out.append(ids.tobytes())
                 none = pa.nulls(len(out))

@@ -4,16 +4,19 @@ White space ends a token in both vocabularies, so a text is cut at plain single
 encoded once by the tokenizers library and its ids are kept (as bytes) for the next time the piece comes up.  The ids
 are those of the whole text: a single space or line end between two characters that are not white space always starts a
 new pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
-Pieces that are one Latin word, alone or before a comma or full stop, go to the library's merge model directly, and
-only the word is kept.
+A comma or full stop that ends a piece after a letter is a token of its own: pieces are looked up without it.  Pieces
+that are one Latin word go to the library's merge model directly.
 The memo holds two generations of ``memo_size`` pieces at most, so a worker's memory is bounded.
 """
 
 from __future__ import annotations
 
+import codecs
+import gc
 import os
 import re
 from array import array
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +33,7 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 # Byte-level vocabularies spell each byte as a character: printable ones as themselves, the others from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+_SPELLING = "".join(chr(_SPELLED.get(b, b)) for b in range(256))
 # Letters below this code point are the same in every Unicode version.
 _LATIN_END = "\u0250"
 
@@ -39,6 +43,18 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@contextmanager
+def no_collection():
+    """Without Python's search for reference cycles, for work that makes none but many objects."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 class Encoder:
     """Texts to id bytes.  ``path`` is a tokenizers JSON file; special-token strings in a text are ordinary text."""
 
@@ -56,6 +72,9 @@ class Encoder:
         self._newline, self._comma, self._stop = self._encode(["\n", ",", "."])
         self._lower = self._tok.normalizer is not None
         self._space = self._spelled_space()
+        # Signs that are one id of their own at the end of a piece, by their byte.
+        self._signs = {44: self._comma, 46: self._stop} if self._space is not None and \
+            len(self._comma) == len(self._stop) == 4 else {}
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -86,7 +105,7 @@ class Encoder:
             word = word.lower()
             if not word.isalpha():
                 return None
-        return self._merge(space + word.encode().decode("latin-1").translate(_SPELLED))
+        return self._merge(space + codecs.charmap_decode(word.encode(), "strict", _SPELLING)[0])
 
     def _piece(self, piece: str) -> bytes | None:
         """Ids of a piece that is a word, a comma or full stop after it or not; None if it is anything else."""
@@ -115,19 +134,27 @@ class Encoder:
     def _pieces(self, pieces: list[str]) -> list[bytes | None]:
         """Ids of each distinct piece, None for one beside other white space (which is never kept)."""
         memo, older, rest = self._memo, self._older, []
+        space, lower, tokenize = self._space, self._lower, self._model.tokenize
         out = list(map(memo.get, pieces))
-        for i, ids in enumerate(out):
-            if ids is None:
-                piece = pieces[i]
-                if not piece or piece == "\n" or piece[-1].isspace() or piece[piece[0] == "\n"].isspace():
-                    continue
-                ids = older.get(piece)
-                if ids is not None:
-                    memo[piece] = out[i] = ids
-                else:
-                    out[i] = ids = self._piece(piece)
-                    if ids is None:
-                        rest.append(i)
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            piece = pieces[i]
+            ids = older.get(piece)
+            if ids is not None:
+                memo[piece] = out[i] = ids
+            elif space is not None and piece.isascii() and piece.isalpha():  # most of them: ``_piece`` in one go
+                out[i] = ids = array("I", [t.id for t in tokenize(space + (piece.lower() if lower else piece))]).tobytes()
+                if len(piece) <= MEMO_PIECE:
+                    memo[piece] = ids
+            elif space is not None and piece.isalpha():
+                out[i] = ids = self._word(piece, space)
+                if ids is None:
+                    rest.append(i)
+                elif len(piece) <= MEMO_PIECE:
+                    memo[piece] = ids
+            elif piece and piece != "\n" and not piece[-1].isspace() and not piece[piece[0] == "\n"].isspace():
+                out[i] = ids = self._piece(piece)
+                if ids is None:
+                    rest.append(i)
         if rest:
             unseen = [pieces[i] for i in rest]
             for i, piece, ids in zip(rest, unseen, self._encode([p if p[0] == "\n" else " " + p for p in unseen]),
@@ -139,6 +166,35 @@ class Encoder:
             self._memo, self._older = {}, memo
         return out
 
+    def _laid_out(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of the distinct pieces one after another, how many each has, and which are beside other white space."""
+        ended = np.zeros(len(pieces), dtype=bool)
+        if self._signs and pieces.buffers()[2] is not None:
+            stops = np.frombuffer(pieces.buffers()[1], dtype=np.int32)[pieces.offset:pieces.offset + len(pieces) + 1]
+            signed = np.diff(stops) > 1
+            data, last = np.frombuffer(pieces.buffers()[2], dtype=np.uint8), stops[1:][signed] - 1
+            sign, letter = data[last], data[last - 1] | 32
+            ended[signed] = np.isin(sign, list(self._signs)) & (letter >= 97) & (letter <= 122)
+        words = pc.if_else(pa.array(ended), pc.utf8_rtrim(pieces, characters=",."), pieces).dictionary_encode()
+        found = self._pieces(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        odd = np.zeros(len(found), dtype=bool)
+        if None in found:
+            odd[[i for i, x in enumerate(found) if x is None]] = True
+            found = [x or b"" for x in found]
+        sizes = np.array(list(map(len, found)), dtype=np.int32) >> 2
+        # One id more, for the place of a sign after the last word.
+        flat, at = np.frombuffer(b"".join(found) + bytes(4), dtype="<u4"), words.indices.to_numpy()
+        lengths = sizes[at] + ended
+        ends = np.cumsum(lengths, dtype=np.int32)
+        places = (np.cumsum(sizes, dtype=np.int32) - sizes)[at] - (ends - lengths)
+        flat = flat[np.repeat(places, lengths) + np.arange(lengths.sum(), dtype=np.int32)]
+        if ended.any():
+            ids = np.zeros(256, dtype="<u4")
+            for byte, sign_ids in self._signs.items():
+                ids[byte] = np.frombuffer(sign_ids, dtype="<u4")[0]
+            flat[ends[ended] - 1] = ids[sign[ended[signed]]]
+        return flat, lengths, odd[at]
+
     def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array (null: none), a few MB of text at a time."""
         texts = texts.cast(pa.string()).fill_null("")
@@ -150,7 +206,8 @@ class Encoder:
             if ends[to - 1] - done > SLICE:
                 out.append(np.frombuffer(self._plain(texts[at].as_py()), dtype="<u4"))
             else:
-                out += self._slice(texts.slice(at, to - at))
+                with no_collection():
+                    out += self._slice(texts.slice(at, to - at))
             at = to
         return out
 
@@ -161,13 +218,7 @@ class Encoder:
         # The text's own start is a space and a line end, so its first piece is empty.
         firsts = split.offsets.to_numpy() - split.offsets[0].as_py()
         coded = split.flatten().dictionary_encode()
-        found = self._pieces(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        odd = np.zeros(len(found), dtype=bool)
-        if None in found:
-            odd[[i for i, x in enumerate(found) if x is None]] = True
-            found = [x or b"" for x in found]
-        lengths = np.array(list(map(len, found)), dtype=np.int32) >> 2
-        flat = np.frombuffer(b"".join(found), dtype="<u4")
+        flat, lengths, odd = self._laid_out(coded.dictionary)
         index = coded.indices.to_numpy()
         index_odd = odd[index]
         index_odd[firsts[:-1]] = False
