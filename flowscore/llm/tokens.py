@@ -5,7 +5,7 @@ encoded once by the tokenizers library and its ids are kept (as bytes) for the n
 are those of the whole text: a single space or line end between two characters that are not white space always starts a
 new pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
 A comma or full stop that ends a piece after a letter is a token of its own: pieces are looked up without it.  Pieces
-that are one Latin word go to the library's merge model directly.
+that are one Latin word go to the library's merge model directly, and so does the word before other ASCII signs.
 The memo holds two generations of ``memo_size`` pieces at most, so a worker's memory is bounded.
 """
 
@@ -17,6 +17,7 @@ import os
 import re
 from array import array
 from contextlib import contextmanager
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ _CUT = re.compile(r"(?<=\S)(?= \S)")
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _PRINTED)}
 _SPELLING = "".join(chr(_SPELLED.get(b, b)) for b in range(256))
+#: Runs of ASCII signs after words whose ids are kept: so many at most, of so many signs.
+SIGN_RUNS, SIGNS = 1 << 12, 8
 # Letters below this code point are the same in every Unicode version.
 _LATIN_END = "\u0250"
 
@@ -69,6 +72,7 @@ class Encoder:
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._memo_size = memo_size
+        self._after: dict[str, bytes] = {"": b""}  # ids of signs after a word
         self._newline, self._comma, self._stop = self._encode(["\n", ",", "."])
         self._lower = self._tok.normalizer is not None
         self._space = self._spelled_space()
@@ -89,7 +93,8 @@ class Encoder:
         for space in (chr(_SPELLED[32]), ""):
             self._space = space
             if [self._word(p, space) for p in probes] == self._encode([" " + p for p in probes]) and \
-                    self._encode([" the,", " the."]) == [self._word("the", space) + x for x in (self._comma, self._stop)]:
+                    self._encode([" the" + x for x in (",", ".", "&&&")]) == [
+                        self._word("the", space) + x for x in self._encode([",", ".", "&&&"])]:
                 return space
         return None
 
@@ -108,28 +113,28 @@ class Encoder:
         return self._merge(space + codecs.charmap_decode(word.encode(), "strict", _SPELLING)[0])
 
     def _piece(self, piece: str) -> bytes | None:
-        """Ids of a piece that is a word, a comma or full stop after it or not; None if it is anything else."""
-        space, first, last = self._space, piece[0] == "\n", piece[-1]
+        """Ids of a piece that is a word, ASCII signs after it or not; None if it is anything else."""
+        space, first = self._space, piece[0] == "\n"
         if space is None:
             return None
+        word = piece[first:].rstrip(punctuation)
+        signs = piece[first + len(word):]
+        if not word.isalpha() or not word.isascii() and max(word) >= _LATIN_END or len(signs) > SIGNS:
+            return None  # other signs merge with the last one
+        end = self._after.get(signs)
+        if end is None:
+            if len(self._after) > SIGN_RUNS:
+                return None
+            end = self._after[signs] = self._encode([signs])[0]
         if first:
-            end = self._comma if last == "," else self._stop if last == "." else b""
-            ids = self._word(piece[1:-1] if end else piece[1:], "")
+            ids = self._word(word, "")
             return None if ids is None else self._newline + ids + end
-        if last not in ",.":
-            ids = self._word(piece, space)
-            if ids is not None and len(piece) <= MEMO_PIECE:
-                self._memo[piece] = ids
-            return ids
-        word = piece[:-1]
-        if not word.isalpha() or not word.isascii() and max(word) >= _LATIN_END:
-            return None  # other signs merge with the last one
         ids = self._memo.get(word) or self._older.get(word) or self._word(word, space)
         if ids is None:
             return None
         if len(word) <= MEMO_PIECE:
             self._memo[word] = ids
-        return ids + (self._comma if last == "," else self._stop)
+        return ids + end
 
     def _pieces(self, pieces: list[str]) -> list[bytes | None]:
         """Ids of each distinct piece, None for one beside other white space (which is never kept)."""

@@ -7,7 +7,8 @@ from tokenizers import Tokenizer
 from flowscore.llm import tokens
 
 TEXTS = ["one, two. one two, two", "\nOne, one.\nOne. x,", "a,, b., c.. d,. ,", "é, été. élan, (one, one), 3, 3.one, one3.",
-         "one\t, \tone, one,\n\none.  one,   two.", ".", ",", "a.", "one," * 50, "sein. Straße, ΟΔΟΣ. ñandú, é, oné.", "", None]
+         "one\t, \tone, one,\n\none.  one,   two.", ".", ",", "a.", "one," * 50, "one&&& two*** It's, it's&'s don't'' x_y_ a--b-- (a) end.'\nOne###\nUno!!\né&&&",
+         "one#one# " + " ".join("one" + "#" * i for i in range(12)), "sein. Straße, ΟΔΟΣ. ñandú, é, oné.", "", None]
 
 
 @pytest.mark.parametrize("name", [tokens.BYTE_BPE, tokens.WORD_BPE])
