@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowscore.llm.held import let_go, released
 from flowscore.llm.rows import named, text_key, without_texts
 from flowscore.llm.scratch import keep
 
@@ -121,7 +122,8 @@ def _tagged(docs: DataFrame, shared, text_col: str, min_match: int, bits: int) -
     schema = T.StructType([packed.schema["row"], T.StructField("seeds", T.ArrayType(T.LongType()))])
 
     def run(batches):
-        for batch in batches:
+        let_go()
+        for batch in released(batches):
             for k in range(0, batch.num_rows, 512):
                 part, chosen, hits = batch.slice(k, 512), [], []
                 for row, text in enumerate(part.column(1)):

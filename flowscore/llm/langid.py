@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowscore.llm.held import held, released
 from flowscore.llm.rows import named, text_key, with_computed, without_texts
 from flowscore.llm.scratch import drop, keep
 
@@ -136,13 +137,8 @@ class Codebook:
         return out
 
 
-_CODEBOOKS: dict[tuple, Codebook] = {}
-
-
 def codebook(*parameters) -> Codebook:
-    if parameters not in _CODEBOOKS:
-        _CODEBOOKS[parameters] = Codebook(*parameters)
-    return _CODEBOOKS[parameters]
+    return held(("langid", *parameters), lambda: Codebook(*parameters))
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimensions: int = DIMENSIONS,
@@ -154,7 +150,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", dimen
 
     def run(batches):
         book, sums = codebook(dimensions, n, seed), {}
-        for batch in batches:
+        for batch in released(batches):
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 vector = book.bundle(text.as_py() or "")
                 norm = np.linalg.norm(vector) if vector is not None else 0

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowscore.llm import tokens
+from flowscore.llm.held import let_go, released
 from flowscore.llm.scratch import keep
 
 WINDOW = 2048
@@ -114,7 +115,8 @@ def by_content(encoded: DataFrame, shared, vocabulary: int, query_terms: int, me
     def run(batches):
         idf, order = shared.value, np.random.default_rng(SEED).permutation(vocabulary).astype(np.int64)
         spread, term_at = parts.value, np.argsort(order)
-        for batch in batches:
+        let_go()
+        for batch in released(batches):
             keys, deals = [], []
             for data, row in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
                 kinds, counts = terms_of(np.frombuffer(data.as_py(), dtype=width))
@@ -244,6 +246,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
         sequence = TaskContext.get().partitionId() << 40
         shard, known, held, kind = Shard(shared.value, mean, window, query_terms), {}, 0, None
         out: list[tuple] = []
+        let_go()
 
         def put(pieces):
             nonlocal sequence
@@ -263,7 +266,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
         row = 0
-        for batch in batches:
+        for batch in released(batches):
             kind = batch.schema.field(0).type
             for doc, data in zip(batch.column(0), batch.column(1), strict=True):
                 ids = np.frombuffer(data.as_py(), dtype=width)

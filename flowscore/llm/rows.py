@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowscore.llm.held import released
+
 #: Rows computed at once.
 SLICE_ROWS = 512
 
@@ -47,7 +49,7 @@ def with_computed(df: DataFrame, inputs: list[Column], out: dict[str, T.DataType
 
     def run(batches):
         compute = make()
-        for batch in batches:
+        for batch in released(batches):
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(at, SLICE_ROWS)
                 yield pa.RecordBatch.from_arrays([part.column(0), *compute(part.columns[1:])], names=schema.names)

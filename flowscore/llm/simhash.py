@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowscore.llm.components import components
+from flowscore.llm.held import let_go, released
 from flowscore.llm.rows import named
 from flowscore.llm.scratch import drop, keep
 
@@ -55,7 +56,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id, fingerprint) of every row, the fingerprint as a signed long.  A null text counts as empty."""
 
     def run(batches):
-        for batch in batches:
+        let_go()
+        for batch in released(batches):
             texts = batch.column(1).cast(pa.binary())
             prints = np.fromiter((fingerprint(t.as_py() or b"", shingle_words) for t in texts), dtype="<u8",
                                  count=len(texts))

@@ -6,6 +6,7 @@ are those of the whole text: a single space or line end between two characters t
 new pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
 A comma or full stop that ends a piece after a letter is a token of its own: pieces are looked up without it.  Pieces
 that are one Latin word go to the library's merge model directly, and so does the word before other ASCII signs.
+Most distinct pieces of a corpus come once, so a piece is kept from its second time on; a table of the hashes met tells.
 The memo holds two generations of ``memo_size`` pieces at most, so a worker's memory is bounded.
 """
 
@@ -23,10 +24,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from flowscore.llm.held import held
+
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 #: Longer pieces (no spaces for a long stretch) are encoded but not kept.
 MEMO_PIECE = 64
+#: Places for the hashes of pieces met, a power of two (a byte each); half of them taken, they start anew.
+MET_PLACES = 1 << 21
 #: Bytes of text cut into pieces at once; a longer text is encoded in parts of that size.
 SLICE = 2 << 20
 # A single space between two characters that are not white space, as a zero-width cut before it.
@@ -61,7 +66,7 @@ def no_collection():
 class Encoder:
     """Texts to id bytes.  ``path`` is a tokenizers JSON file; special-token strings in a text are ordinary text."""
 
-    def __init__(self, path: str, memo_size: int = 450_000):
+    def __init__(self, path: str, memo_size: int = 200_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
@@ -72,6 +77,7 @@ class Encoder:
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._memo_size = memo_size
+        self._met, self._n_met = bytearray(MET_PLACES), 0
         self._after: dict[str, bytes] = {"": b""}  # ids of signs after a word
         self._newline, self._comma, self._stop = self._encode(["\n", ",", "."])
         self._lower = self._tok.normalizer is not None
@@ -132,14 +138,26 @@ class Encoder:
         ids = self._memo.get(word) or self._older.get(word) or self._word(word, space)
         if ids is None:
             return None
-        if len(word) <= MEMO_PIECE:
-            self._memo[word] = ids
+        self._remember(word, ids)
         return ids + end
 
+    def _remember(self, piece: str, ids: bytes) -> None:
+        """Keep the ids of a piece that came before; of one that did not, only that it has come."""
+        if len(piece) > MEMO_PIECE:
+            return
+        place = hash(piece) & MET_PLACES - 1
+        if self._met[place]:
+            self._memo[piece] = ids
+            return
+        self._met[place] = 1
+        self._n_met += 1
+        if 2 * self._n_met > MET_PLACES:
+            self._met, self._n_met = bytearray(MET_PLACES), 0
+
     def _pieces(self, pieces: list[str]) -> list[bytes | None]:
         """Ids of each distinct piece, None for one beside other white space (which is never kept)."""
         memo, older, rest = self._memo, self._older, []
-        space, lower, tokenize = self._space, self._lower, self._model.tokenize
+        space, lower, tokenize, remember = self._space, self._lower, self._model.tokenize, self._remember
         out = list(map(memo.get, pieces))
         for i in [i for i, ids in enumerate(out) if ids is None]:
             piece = pieces[i]
@@ -148,14 +166,13 @@ class Encoder:
                 memo[piece] = out[i] = ids
             elif space is not None and piece.isascii() and piece.isalpha():  # most of them: ``_piece`` in one go
                 out[i] = ids = array("I", [t.id for t in tokenize(space + (piece.lower() if lower else piece))]).tobytes()
-                if len(piece) <= MEMO_PIECE:
-                    memo[piece] = ids
+                remember(piece, ids)
             elif space is not None and piece.isalpha():
                 out[i] = ids = self._word(piece, space)
                 if ids is None:
                     rest.append(i)
-                elif len(piece) <= MEMO_PIECE:
-                    memo[piece] = ids
+                else:
+                    remember(piece, ids)
             elif piece and piece != "\n" and not piece[-1].isspace() and not piece[piece[0] == "\n"].isspace():
                 out[i] = ids = self._piece(piece)
                 if ids is None:
@@ -165,8 +182,7 @@ class Encoder:
             for i, piece, ids in zip(rest, unseen, self._encode([p if p[0] == "\n" else " " + p for p in unseen]),
                                      strict=True):
                 out[i] = ids
-                if len(piece) <= MEMO_PIECE:
-                    memo[piece] = ids
+                remember(piece, ids)
         if len(memo) > self._memo_size:
             self._memo, self._older = {}, memo
         return out
@@ -213,6 +229,7 @@ class Encoder:
             else:
                 with no_collection():
                     out += self._slice(texts.slice(at, to - at))
+                pa.default_memory_pool().release_unused()  # else Arrow keeps what the slice took for the next one
             at = to
         return out
 
@@ -252,11 +269,6 @@ class Encoder:
         return b"".join(self._encode([*out, text[at:]]))
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a vocabulary file, made once per Python worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return held(("tokens", path), lambda: Encoder(path))
