@@ -4,10 +4,13 @@ White space ends a token in both vocabularies, so a text is cut at plain single
 encoded once by the tokenizers library and its ids are kept (as bytes) for the next time the piece comes up.  The ids
 are those of the whole text: a single space or line end between two characters that are not white space always starts a
 new pre-token, and merges never cross pre-tokens (``tests/llm/test_tokens.py`` compares with whole-text encoding).
-A comma or full stop that ends a piece after a letter is a token of its own: pieces are looked up without it.  Pieces
-that are one Latin word go to the library's merge model directly, and so does the word before other ASCII signs.
-Most distinct pieces of a corpus come once, so a piece is kept from its second time on; a table of the hashes met tells.
-The memo holds two generations of ``memo_size`` pieces at most, so a worker's memory is bounded.
+A comma or full stop that ends a piece after a letter is a token of its own, and ASCII signs after western letters
+are tokens of theirs: pieces are looked up without them.  Pieces that are one Latin word go to the library's merge model
+directly, and so does the word before other signs.
+Most distinct pieces of a corpus come once, so a piece enters the memo with its second time; a table of the hashes met
+tells.  Pieces that came once wait beside it and make room for newer ones.  The memo holds two generations of
+``memo_size`` pieces at most, each in arrays of fixed size, so a worker's memory is bounded.  It is looked up for all
+distinct pieces of a slice of text at once (``memo.py``); only those not found become Python strings.
 """
 
 from __future__ import annotations
@@ -18,20 +21,23 @@ import os
 import re
 from array import array
 from contextlib import contextmanager
-from string import punctuation
+from itertools import chain
+from operator import attrgetter
+from string import ascii_letters, punctuation
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 from flowscore.llm.held import held
+from flowscore.llm.memo import KEY_BYTES, KEY_IDS, Memo, keys_of, spread
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-#: Longer pieces (no spaces for a long stretch) are encoded but not kept.
-MEMO_PIECE = 64
 #: Places for the hashes of pieces met, a power of two (a byte each); half of them taken, they start anew.
 MET_PLACES = 1 << 21
+#: Words merged at once.
+MERGED = 2048
 #: Bytes of text cut into pieces at once; a longer text is encoded in parts of that size.
 SLICE = 2 << 20
 # A single space between two characters that are not white space, as a zero-width cut before it.
@@ -42,6 +48,10 @@ _SPELLED = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in _
 _SPELLING = "".join(chr(_SPELLED.get(b, b)) for b in range(256))
 #: Runs of ASCII signs after words whose ids are kept: so many at most, of so many signs.
 SIGN_RUNS, SIGNS = 1 << 12, 8
+# What a byte of a text is: a letter, an ASCII sign or anything else.
+_LETTER, _SIGN = 1, 2
+_BYTES = np.zeros(256, dtype=np.uint8)
+_BYTES[list(ascii_letters.encode())], _BYTES[list(punctuation.encode())] = _LETTER, _SIGN
 # Letters below this code point are the same in every Unicode version.
 _LATIN_END = "\u0250"
 
@@ -74,17 +84,17 @@ class Encoder:
         self._model = self._tok.model
         self.vocabulary = self._tok.get_vocab_size()
         # Piece -> ids.  A piece is what follows a space (not part of the key) or begins a line ("\n" and the piece).
-        self._memo: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self._memo, self._older = Memo(memo_size, self._kind), Memo(1, self._kind)
+        self._once = Memo(memo_size // 2, self._kind)
         self._memo_size = memo_size
-        self._met, self._n_met = bytearray(MET_PLACES), 0
+        self._met, self._n_met = np.zeros(MET_PLACES, dtype=np.uint8), 0
         self._after: dict[str, bytes] = {"": b""}  # ids of signs after a word
         self._newline, self._comma, self._stop = self._encode(["\n", ",", "."])
         self._lower = self._tok.normalizer is not None
         self._space = self._spelled_space()
-        # Signs that are one id of their own at the end of a piece, by their byte.
-        self._signs = {44: self._comma, 46: self._stop} if self._space is not None and \
-            len(self._comma) == len(self._stop) == 4 else {}
+        # Whether signs at the end of a piece are ids of their own.
+        self._apart = self._space is not None and len(self._comma) == len(self._stop) == 4
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes()
@@ -106,17 +116,22 @@ class Encoder:
 
     def _word(self, word: str, space: str) -> bytes | None:
         """Ids of a Latin word after a space (or none), None if it is not one."""
+        spelled = self._spelled(word, space)
+        return None if spelled is None else self._merge(spelled)
+
+    def _spelled(self, word: str, space: str) -> str | None:
+        """What a Latin word after a space (or none) is to the merge model, None if it is not one."""
         if not word.isalpha():
             return None
         if word.isascii():
-            return self._merge(space + (word.lower() if self._lower else word))
+            return space + (word.lower() if self._lower else word)
         if max(word) >= _LATIN_END:
             return None
         if self._lower:  # composed letters stay what they are when composed and lower-cased
             word = word.lower()
             if not word.isalpha():
                 return None
-        return self._merge(space + codecs.charmap_decode(word.encode(), "strict", _SPELLING)[0])
+        return space + codecs.charmap_decode(word.encode(), "strict", _SPELLING)[0]
 
     def _piece(self, piece: str) -> bytes | None:
         """Ids of a piece that is a word, ASCII signs after it or not; None if it is anything else."""
@@ -127,94 +142,139 @@ class Encoder:
         signs = piece[first + len(word):]
         if not word.isalpha() or not word.isascii() and max(word) >= _LATIN_END or len(signs) > SIGNS:
             return None  # other signs merge with the last one
-        end = self._after.get(signs)
-        if end is None:
-            if len(self._after) > SIGN_RUNS:
-                return None
-            end = self._after[signs] = self._encode([signs])[0]
+        end = self._sign_ids(signs)
         if first:
             ids = self._word(word, "")
             return None if ids is None else self._newline + ids + end
-        ids = self._memo.get(word) or self._older.get(word) or self._word(word, space)
+        ids = self._word(word, space)
+        return None if ids is None else ids + end
+
+    def _sign_ids(self, signs: str) -> bytes:
+        ids = self._after.get(signs)
         if ids is None:
-            return None
-        self._remember(word, ids)
-        return ids + end
+            ids = self._encode([signs])[0]
+            if len(self._after) < SIGN_RUNS:
+                self._after[signs] = ids
+        return ids
 
-    def _remember(self, piece: str, ids: bytes) -> None:
-        """Keep the ids of a piece that came before; of one that did not, only that it has come."""
-        if len(piece) > MEMO_PIECE:
-            return
-        place = hash(piece) & MET_PLACES - 1
-        if self._met[place]:
-            self._memo[piece] = ids
-            return
-        self._met[place] = 1
-        self._n_met += 1
-        if 2 * self._n_met > MET_PLACES:
-            self._met, self._n_met = bytearray(MET_PLACES), 0
+    def _remember(self, keys: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, flat: np.ndarray) -> None:
+        """Keep the ids of pieces: of those that came before in the memo, of the others beside it."""
+        fit = np.flatnonzero((sizes > 0) & (sizes <= KEY_IDS) & (keys[:, -1] >> np.uint64(56) <= KEY_BYTES))
+        places = (hashes[fit] >> np.uint64(40)) % np.uint64(len(self._met))
+        before = self._met[places] > 0
+        first = np.unique(places[~before])
+        self._met[first] = 1
+        self._n_met += len(first)
+        if 2 * self._n_met > len(self._met):
+            self._met, self._n_met = np.zeros(len(self._met), dtype=np.uint8), 0
+        firsts = np.cumsum(sizes, dtype=np.int32) - sizes
+        for memo, put in (self._memo, fit[before]), (self._once, fit[~before]):
+            memo.put(keys[put], hashes[put], sizes[put], flat[spread(firsts[put], sizes[put])])
 
-    def _pieces(self, pieces: list[str]) -> list[bytes | None]:
-        """Ids of each distinct piece, None for one beside other white space (which is never kept)."""
-        memo, older, rest = self._memo, self._older, []
-        space, lower, tokenize, remember = self._space, self._lower, self._model.tokenize, self._remember
-        out = list(map(memo.get, pieces))
-        for i in [i for i, ids in enumerate(out) if ids is None]:
-            piece = pieces[i]
-            ids = older.get(piece)
-            if ids is not None:
-                memo[piece] = out[i] = ids
-            elif space is not None and piece.isascii() and piece.isalpha():  # most of them: ``_piece`` in one go
-                out[i] = ids = array("I", [t.id for t in tokenize(space + (piece.lower() if lower else piece))]).tobytes()
-                remember(piece, ids)
-            elif space is not None and piece.isalpha():
-                out[i] = ids = self._word(piece, space)
-                if ids is None:
-                    rest.append(i)
+    def _looked_up(self, keys: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of pieces: which are kept, how many ids each of those has, and the ids one after another."""
+        if len(self._memo) > self._memo_size:
+            self._memo, self._older = Memo(self._memo_size, self._kind), self._memo
+        places = self._memo.find(keys, hashes)
+        kept, rest = np.flatnonzero(places >= 0), np.flatnonzero(places < 0)
+        out = [(kept, self._memo.sizes(places[kept]), self._memo.ids(places[kept]))]
+        for memo in self._older, self._once:
+            places = memo.find(keys[rest], hashes[rest])
+            hit, rest, places = rest[places >= 0], rest[places < 0], places[places >= 0]
+            sizes = memo.sizes(places)
+            out.append((hit, sizes, memo.ids(places)))
+            # Pieces that differ by the signs after them only are one here.
+            once = np.unique(places, return_index=True)[1]
+            self._memo.put(keys[hit[once]], hashes[hit[once]], sizes[once], memo.ids(places[once]))
+        kept, sizes, ids = map(np.concatenate, zip(*out, strict=True))
+        return kept, sizes, ids
+
+    def _tails(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Bytes at the end of each piece whose ids are laid out beside those of the rest."""
+        if not self._apart:
+            return np.zeros(len(sizes), dtype=np.int32)
+        kinds, stops = _BYTES[data], starts + sizes
+        lead = np.flatnonzero(data[:-1] == 0xC3)  # of the letters from U+00C0 to U+00FF, but for two signs
+        lead = lead[~np.isin(data[lead + 1], (0x97, 0xB7))]
+        kinds[lead] = kinds[lead + 1] = _LETTER
+        ends = np.maximum.accumulate(np.where(kinds == _SIGN, 0, np.arange(1, len(data) + 1, dtype=np.int32)))
+        letters = np.concatenate((np.zeros(1, np.int32), np.cumsum(kinds == _LETTER, dtype=np.int32)))
+        ends, first = ends[stops - 1], starts + (data[starts] == 10)
+        tails = np.where((sizes > 0) & (ends > first) & (ends < stops), stops - ends, 0)
+        word = letters[ends] - letters[np.minimum(first, ends)] == ends - first
+        one = (tails == 1) & (kinds[ends - 1] == _LETTER) & np.isin(data[stops - 1], (44, 46))
+        return np.where((tails <= SIGNS) & word | one, tails, 0).astype(np.int32)
+
+    def _pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """How many ids each distinct piece has, the ids one after another, and which are beside other white space."""
+        space, lower, spelled, words, rest = self._space, self._lower, [], [], {}
+        odd = np.zeros(len(pieces), dtype=bool)
+        for i, piece in enumerate(pieces):
+            if space is not None and piece.isalpha():
+                word = space + (piece.lower() if lower else piece) if piece.isascii() else self._spelled(piece, space)
+                if word is None:
+                    rest[i] = None
                 else:
-                    remember(piece, ids)
+                    spelled.append(word)
+                    words.append(i)
             elif piece and piece != "\n" and not piece[-1].isspace() and not piece[piece[0] == "\n"].isspace():
-                out[i] = ids = self._piece(piece)
-                if ids is None:
-                    rest.append(i)
-        if rest:
-            unseen = [pieces[i] for i in rest]
-            for i, piece, ids in zip(rest, unseen, self._encode([p if p[0] == "\n" else " " + p for p in unseen]),
-                                     strict=True):
-                out[i] = ids
-                remember(piece, ids)
-        if len(memo) > self._memo_size:
-            self._memo, self._older = {}, memo
-        return out
+                rest[i] = self._piece(piece)
+            else:
+                odd[i] = True
+        unseen = [i for i, ids in rest.items() if ids is None]
+        if unseen:
+            rest.update(zip(unseen, self._encode([p if p[0] == "\n" else " " + p for p in map(pieces.__getitem__, unseen)]),
+                            strict=True))
+        sizes, flat = [], []
+        for i in range(0, len(spelled), MERGED):
+            merged = list(map(self._model.tokenize, spelled[i:i + MERGED]))
+            sizes.append(np.fromiter(map(len, merged), dtype=np.int32, count=len(merged)))
+            flat.append(np.fromiter(map(attrgetter("id"), chain.from_iterable(merged)), dtype="<u4"))
+        sizes.append(np.fromiter(map(len, rest.values()), dtype=np.int32, count=len(rest)) >> 2)
+        flat.append(np.frombuffer(b"".join(rest.values()), dtype="<u4"))
+        sizes, flat, where = np.concatenate(sizes), np.concatenate(flat), np.array(words + list(rest), dtype=np.int64)
+        in_order = np.zeros(len(pieces), dtype=np.int32)
+        in_order[where] = sizes
+        firsts = np.zeros(len(pieces), dtype=np.int32)
+        firsts[where] = np.cumsum(sizes, dtype=np.int32) - sizes
+        return in_order, flat[spread(firsts, in_order)], odd
 
     def _laid_out(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of the distinct pieces one after another, how many each has, and which are beside other white space."""
-        ended = np.zeros(len(pieces), dtype=bool)
-        if self._signs and pieces.buffers()[2] is not None:
-            stops = np.frombuffer(pieces.buffers()[1], dtype=np.int32)[pieces.offset:pieces.offset + len(pieces) + 1]
-            signed = np.diff(stops) > 1
-            data, last = np.frombuffer(pieces.buffers()[2], dtype=np.uint8), stops[1:][signed] - 1
-            sign, letter = data[last], data[last - 1] | 32
-            ended[signed] = np.isin(sign, list(self._signs)) & (letter >= 97) & (letter <= 122)
-        words = pc.if_else(pa.array(ended), pc.utf8_rtrim(pieces, characters=",."), pieces).dictionary_encode()
-        found = self._pieces(words.dictionary.to_numpy(zero_copy_only=False).tolist())
-        odd = np.zeros(len(found), dtype=bool)
-        if None in found:
-            odd[[i for i, x in enumerate(found) if x is None]] = True
-            found = [x or b"" for x in found]
-        sizes = np.array(list(map(len, found)), dtype=np.int32) >> 2
-        # One id more, for the place of a sign after the last word.
-        flat, at = np.frombuffer(b"".join(found) + bytes(4), dtype="<u4"), words.indices.to_numpy()
-        lengths = sizes[at] + ended
-        ends = np.cumsum(lengths, dtype=np.int32)
-        places = (np.cumsum(sizes, dtype=np.int32) - sizes)[at] - (ends - lengths)
-        flat = flat[np.repeat(places, lengths) + np.arange(lengths.sum(), dtype=np.int32)]
-        if ended.any():
-            ids = np.zeros(256, dtype="<u4")
-            for byte, sign_ids in self._signs.items():
-                ids[byte] = np.frombuffer(sign_ids, dtype="<u4")[0]
-            flat[ends[ended] - 1] = ids[sign[ended[signed]]]
-        return flat, lengths, odd[at]
+        starts = np.frombuffer(pieces.buffers()[1], dtype=np.int32)[pieces.offset:pieces.offset + len(pieces) + 1]
+        bytes_ = np.diff(starts)
+        text = pieces.buffers()[2]
+        data = np.concatenate((np.frombuffer(text, dtype=np.uint8) if text is not None else np.zeros(0, np.uint8),
+                               np.zeros(KEY_BYTES + 1, dtype=np.uint8)))
+        tails = self._tails(data, starts[:-1], bytes_)
+        keys, hashes = keys_of(data, starts[:-1], bytes_ - tails)
+        kept, kept_sizes, kept_ids = self._looked_up(keys, hashes)
+        new = np.ones(len(pieces), dtype=bool)
+        new[kept] = False
+        new = np.flatnonzero(new)
+        words = pieces.take(pa.array(new))
+        words = pc.if_else(pa.array(tails[new] > 0), pc.utf8_rtrim(words, characters=punctuation),
+                           words).dictionary_encode()
+        found_sizes, found_ids, beside = self._pieces(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        at = words.indices.to_numpy()
+        first = np.zeros(len(found_sizes), dtype=np.int64)
+        first[at[::-1]] = new[::-1]
+        self._remember(keys[first], hashes[first], found_sizes, found_ids)
+        odd = np.zeros(len(pieces), dtype=bool)
+        odd[new] = beside[at]
+        signed = np.flatnonzero(tails)
+        runs, which = np.unique(keys_of(data, starts[1:][signed] - tails[signed], tails[signed])[0][:, 0],
+                                return_inverse=True)
+        runs = [self._sign_ids(int(r).to_bytes(8, "little").rstrip(b"\0").decode()) for r in runs]
+        # The ids of kept words, of new ones and of signs; a piece is a part of the first two and one of the last.
+        sizes = [kept_sizes, found_sizes, np.array(list(map(len, runs)), dtype=np.int32) >> 2]
+        flat = np.concatenate((kept_ids.astype("<u4"), found_ids, np.frombuffer(b"".join(runs), dtype="<u4")))
+        firsts = np.split(np.cumsum(np.concatenate(sizes), dtype=np.int32) - np.concatenate(sizes),
+                          np.cumsum([len(kept), len(found_sizes)]))
+        lengths, places = np.zeros((len(pieces), 2), dtype=np.int32), np.zeros((len(pieces), 2), dtype=np.int32)
+        for rows, part, of, take in (kept, 0, 0, slice(None)), (new, 0, 1, at), (signed, 1, 2, which):
+            lengths[rows, part], places[rows, part] = sizes[of][take], firsts[of][take]
+        return flat[spread(places.reshape(-1), lengths.reshape(-1))], lengths.sum(axis=1, dtype=np.int32), odd
 
     def encode_many(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string array (null: none), a few MB of text at a time."""
@@ -246,8 +306,7 @@ class Encoder:
         index_odd[firsts[:-1]] = False
         sizes = lengths[index]
         stops = np.concatenate((np.zeros(1, np.int32), np.cumsum(sizes, dtype=np.int32)))
-        places = (np.cumsum(lengths, dtype=np.int32) - lengths)[index] - stops[:-1]
-        ids = flat[np.repeat(places, sizes) + np.arange(stops[-1], dtype=np.int32)]
+        ids = flat[spread((np.cumsum(lengths, dtype=np.int32) - lengths)[index], sizes)]
         starts, ends = stops[firsts[:-1]] + (len(self._newline) >> 2), stops[firsts[1:]]
         out = [ids[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
         for i in np.unique(np.searchsorted(firsts, np.flatnonzero(index_odd), side="right") - 1).tolist():
