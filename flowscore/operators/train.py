@@ -16,8 +16,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression, OneVsRest,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest
 from pyspark import StorageLevel
 from pyspark.ml.feature import StringIndexerModel, VectorSizeHint
 from pyspark.sql import DataFrame
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 
 from flowscore.operators.boosting import SoftmaxBoost
 from flowscore.operators.features import assembler_stage, imputer_stage, index_stage
+from flowscore.operators.forest import Forest
 from flowscore.schema import UNKNOWN_LABEL
 from flowscore.session import shared_dir
 
@@ -33,7 +33,8 @@ LABEL_INDEX = "label_index"
 # Reference model settings (random forest).
 RF_PARAMS = dict(numTrees=50, maxDepth=6, maxBins=256, featureSubsetStrategy="sqrt",
                  subsamplingRate=0.7, seed=42)
-# Execution settings (same model): deep trees keep each row's node id
+# Execution settings of Spark's own tree learners (same model; ``Forest``
+# walks the trees in every pass): deep trees keep each row's node id
 # between levels instead of re-walking the trees, the node-id RDD
 # checkpointed to the shared checkpoint folder every 10 iterations.  Shallow
 # trees (boosting) re-walk: a few comparisons per row cost less than
@@ -109,7 +110,7 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict, n_classes: int
         p = {**RF_PARAMS, **params}
         p = {**_tree_exec(p), **p}
         p["maxBins"] = max(p["maxBins"], n_bins)
-        return RandomForestClassifier(featuresCol="features", labelCol=label, **p)
+        return Forest(featuresCol="features", labelCol=label, **p)
     if kind == "lr":
         return LogisticRegression(featuresCol="features", labelCol=label, **params)
     if kind == "gbt":
@@ -129,19 +130,27 @@ def _classifier(kind: str, label: str, n_bins: int, params: dict, n_classes: int
 def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
                    categorical: list[str] = (), kind: str = "rf",
                    index_label: bool = True, params: dict | None = None,
-                   vectors: dict[str, int] | None = None) -> FlowModel:
+                   vectors: dict[str, int] | None = None, key: str | None = None) -> FlowModel:
     """Fit indexers -> imputer -> assembler -> classifier as one pipeline.
 
     ``index_label``: string label indexed by frequency (multi-class); when
     False the label column must already be numeric 0/1 (binary).
     ``vectors``: ML vector columns (name -> size) appended to the assembled
-    features as-is; the size hint lets the assembler keep invalid rows."""
+    features as-is; the size hint lets the assembler keep invalid rows.
+    ``key`` (forest only): column that tells rows apart.  The forest then
+    depends neither on partitions nor on order, so the rows need no dealing,
+    and none are persisted: the input is read once for each of the label's
+    and the categories' vocabulary, means, cuts (twice) and bins."""
     params = dict(params or {})
     categorical = list(categorical)
     # Tree learners checkpoint their node ids every ``checkpointInterval``
     # iterations, but only when a checkpoint folder is set: make sure the
     # shared one is, so a lost executor does not replay the whole fit.
     shared_dir(train.sparkSession)
+    if key is not None:
+        if kind != "rf":
+            raise ValueError(f"a row key is for the forest, not {kind!r}")
+        return _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors, key)
     # Every stage fit and every tree level / boosting round scans the input:
     # materialise it once (spills to disk when it does not fit in memory;
     # lost blocks are recomputed from lineage if an executor dies).
@@ -152,7 +161,7 @@ def fit_classifier(train: DataFrame, label_col: str, numeric: list[str],
         train.unpersist()
 
 
-def _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors):
+def _fit(train, label_col, numeric, categorical, kind, index_label, params, vectors, key=None):
     label_indexer = None
     labels = None
     data = train
@@ -177,6 +186,9 @@ def _fit(train, label_col, numeric, categorical, kind, index_label, params, vect
     for name, size in vectors.items():
         stages.append(VectorSizeHint(inputCol=name, size=int(size), handleInvalid="error"))
     stages.append(assembler_stage(list(numeric) + indexed + list(vectors)))
-    stages.append(_classifier(kind, target, n_bins, params, max(len(labels) - 1, 1) if labels else 2))
+    classifier = _classifier(kind, target, n_bins, params, max(len(labels) - 1, 1) if labels else 2)
+    if key is not None:
+        classifier.row_key = key
+    stages.append(classifier)
     pipe = Pipeline(stages=stages).fit(data)
     return FlowModel(pipe, label_col, labels, label_indexer, list(numeric), categorical)

@@ -531,8 +531,8 @@ def score_conformed(spark, sf_dir):
     key = F.col("l_orderkey") * 8 + F.col("l_linenumber")
     li = li.withColumn("l_returnflag", _band(F.col("l_quantity"), QUANTITY_BANDS, ("A", "N", "R")))
     curated = li.select(*cols).withColumn("_k", key)
-    train = for_fit(curated.where(train_flag(F.col("_k"))), "_k")
-    model = fit_classifier(train, "l_returnflag", feats, ["l_linestatus"], kind="rf")
+    train = curated.where(train_flag(F.col("_k")))
+    model = fit_classifier(train, "l_returnflag", feats, ["l_linestatus"], kind="rf", key="_k")
     raw_test = raw_lineitem(li.where(~train_flag(key)))
     test = C.conform(raw_test, ["l_orderkey", "l_linenumber", *feats, "l_linestatus", "l_returnflag"],
                      LINEITEM_RAW_RENAMES)

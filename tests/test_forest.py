@@ -1,0 +1,139 @@
+"""The forest's own fit: Spark's model from the same rows, with one small row kept for all trees."""
+
+import threading
+import time
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors
+from pyspark.sql import functions as F
+
+from flowscore.operators import features as X
+from flowscore.operators import forest as O
+from flowscore.operators.train import fit_classifier
+from flowscore.sources.tables import for_fit, read_table
+
+SF, MID = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem(spark, sf=SF):
+    return read_table(spark, sf, "lineitem").select(
+        "l_linestatus", "l_returnflag", *FEATS, (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("_k"))
+
+
+@pytest.mark.parametrize(("impurity", "label"), [("gini", "l_returnflag"), ("entropy", "l_returnflag"), ("gini", "late")])
+def test_without_chance_the_trees_are_those_of_spark(spark, impurity, label):
+    """All rows and features in every tree: continuous ones of few values, a categorical one of few categories (all
+    subsets, for more than two classes) and one of 30 (in order), depth, least rows and bins."""
+    d = _lineitem(spark).withColumn("many", (F.col("_k") % 30).cast("string")).withColumn("late", (F.col("_k") % 7 < 3).cast("double"))
+    if label != "late":
+        d = X.index_stage(label, "y").fit(d).transform(d)
+    else:
+        d = d.withColumn("y", F.col("late"))
+    d = X.index_stage(["l_linestatus", "many"], ["a", "b"]).fit(d).transform(d)
+    d = X.assembler_stage(["l_quantity", "l_discount", "l_tax", "a", "b"]).transform(d)
+    kw = dict(labelCol="y", numTrees=2, maxDepth=5, maxBins=64, bootstrap=False, subsamplingRate=1.0, minInstancesPerNode=4,
+              featureSubsetStrategy="all", seed=1, impurity=impurity)
+    theirs, ours = RandomForestClassifier(**kw).fit(d), O.Forest(**kw).fit(d)
+    assert ours.toDebugString.split("\n")[1:] == theirs.toDebugString.split("\n")[1:]
+    assert ours.totalNumNodes > 20 and ours.numClasses == theirs.numClasses and ours.getMaxDepth() == 5
+    both = ours.transform(theirs.transform(d).select("features", F.col("probability").alias("p")))
+    assert both.where(F.col("p") != F.col("probability")).count() == 0
+
+
+def test_fit_keeps_no_copy_of_a_row_for_each_tree(spark):
+    """What Spark stores and what lies in the shared folder while 50 trees are learned stays within a few bytes a row."""
+    train = _lineitem(spark, MID)
+    rows, sc, most, over = train.count(), spark.sparkContext, [0], threading.Event()
+
+    def watch():
+        while not over.is_set():
+            most[0] = max(most[0], sum(x.memSize() + x.diskSize() for x in sc._jsc.sc().getRDDStorageInfo()))
+            time.sleep(0.01)
+
+    held, gone = [], O._delete
+
+    def measured(session, path):
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        held.append(p.getFileSystem(sc._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+        gone(session, path)
+
+    spark.catalog.clearCache()
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    O._delete = measured
+    try:
+        model = fit_classifier(train, "l_returnflag", FEATS, ["l_linestatus"], kind="rf", key="_k")
+    finally:
+        O._delete = gone
+        over.set()
+        watcher.join()
+    assert model.pipeline.stages[-1].getNumTrees == 50
+    assert most[0] <= 24 * rows
+    assert len(held) == 1 and held[0] <= 24 * rows
+
+
+def test_forest_of_keyed_rows_depends_on_no_partition_or_order(spark):
+    train = _lineitem(spark)
+    fits = [fit_classifier(d, "l_returnflag", FEATS, ["l_linestatus"], kind="rf", key="_k",
+                           params={"numTrees": 5, "maxDepth": 4, "maxBins": 16})
+            for d in (train, train.repartition(7).sortWithinPartitions(F.desc("_k")), train.coalesce(1).orderBy("l_tax"))]
+    assert len({m.pipeline.stages[-1].toDebugString.split("\n", 1)[1] for m in fits}) == 1
+
+
+def test_a_key_is_for_the_forest(spark):
+    with pytest.raises(ValueError):
+        fit_classifier(_lineitem(spark), "l_returnflag", FEATS, kind="lr", key="_k")
+
+
+def test_trees_draw_rows_like_a_poisson_and_apart(spark):
+    plan = O.ForestPlan(2, [0], 50, 6, 256, 1, 0.7, True, False, 1, 0.0, 42)
+    table = plan.draws()
+    assert abs(table.mean() - 0.7) < 1e-3 and abs(table.astype(float).var() - 0.7) < 1e-2
+    ids = np.arange(50_000, dtype=np.uint64)
+    drawn = [table[O._mixed(ids, turn, 42).view("<u2").reshape(-1, 4)[:, i]].astype(float) for turn in (0, 1) for i in range(4)]
+    assert all(abs(d.mean() - 0.7) < 0.02 for d in drawn)
+    related = np.corrcoef(drawn) - np.eye(8)
+    assert np.abs(related).max() < 0.03
+    assert O.ForestPlan(2, [0], 50, 6, 256, 1, 0.5, False, False, 1, 0.0, 42).draws().mean() == 0.5
+
+
+def test_quantiles_are_those_of_all_rows(spark):
+    """Values far apart, close together at a large offset, half of them equal, with NaN, and of few values."""
+    rng = np.random.default_rng(0)
+    n = 30_000
+    x = np.stack([rng.lognormal(0, 4, n) * rng.choice([-1, 1], n), 1.6e9 + rng.integers(0, 40_000, n),
+                  np.where(rng.random(n) < 0.5, 0.0, rng.random(n)), np.where(rng.random(n) < 0.1, np.nan, rng.random(n)),
+                  rng.integers(0, 9, n).astype(float)], axis=1)
+    rows = spark.createDataFrame([(r,) for r in x.tolist()], "x array<double>").cache()
+    plan = O.ForestPlan(2, [0] * 5, 1, 3, 64, 5, 1.0, False, False, 1, 0.0, 42)
+    found = O.find_cuts(rows, plan)
+    other = O.find_cuts(rows.repartition(5), plan)
+    rows.unpersist()
+    assert all(np.array_equal(a, b) for a, b in zip(found, other, strict=True))
+    for f in range(4):
+        v = np.sort(x[~np.isnan(x[:, f]), f])
+        here = np.searchsorted(v, found[f], "right")
+        for wanted in -(-len(v) * np.arange(1, 64) // 64):
+            # The edge holds the wanted row, and no value more than it needs beside one row in 10,000.
+            at = int(here[np.searchsorted(here, wanted)])
+            assert at - wanted <= len(v) / O.EXACT or v[wanted - 1] == v[at - 1]
+        assert len(found[f]) <= 63
+    assert found[4].tolist() == [i + 0.5 for i in range(8)]
+
+
+def test_bad_labels_and_no_rows_are_errors(spark):
+    rows = spark.createDataFrame([(0.0, Vectors.dense(1.0)), (0.5, Vectors.dense(2.0))], ["label", "features"])
+    with pytest.raises(Exception, match="whole number"):
+        O.Forest(numTrees=2).fit(rows)
+    with pytest.raises(ValueError, match="no training rows"):
+        O.Forest(numTrees=2).fit(rows.where("label > 9"))
+
+
+def test_rows_without_a_key_are_told_apart_by_place(spark):
+    train = for_fit(_lineitem(spark), "_k")
+    fits = [fit_classifier(train, "l_returnflag", FEATS, kind="rf", params={"numTrees": 3, "maxDepth": 3}) for _ in range(2)]
+    assert len({m.pipeline.stages[-1].toDebugString.split("\n", 1)[1] for m in fits}) == 1
+    assert len({t.toDebugString.split("\n", 1)[1] for t in fits[0].pipeline.stages[-1].trees}) == 3
