@@ -42,6 +42,8 @@ NODES_A_TASK = 64
 FIRST_BITS, MORE_BITS = 20, 6
 #: An edge between bins is known up to one row in this many.
 EXACT = 10_000
+#: Deeper trees are left to Spark's fit: a pass sends every node's place and the way of each of its bins to all tasks.
+DEEPEST = 10
 #: Draws of one row and tree are looked up by 16 random bits.
 DRAWS = 1 << 16
 CONTINUOUS, SUBSETS, ORDERED = range(3)
@@ -57,12 +59,12 @@ _SPLITS = T.StructType([T.StructField("node", T.IntegerType()), T.StructField("f
 
 class Forest(RandomForestClassifier):
     """Estimator of Spark's ``RandomForestClassificationModel``.  ``row_key``: column that tells rows apart; without it a
-    row's id is its place in its partition.  Weighted rows are left to Spark's own fit."""
+    row's id is its place in its partition.  Weighted rows and trees deeper than ``DEEPEST`` are left to Spark's own fit."""
 
     row_key: str | None = None
 
     def _fit(self, dataset: DataFrame) -> RandomForestClassificationModel:
-        if self.isSet("weightCol") or self.getMinWeightFractionPerNode() > 0:
+        if self.isSet("weightCol") or self.getMinWeightFractionPerNode() > 0 or self.getMaxDepth() > DEEPEST:
             return super()._fit(dataset)
         plan = _plan(dataset, self)
         trees = fit_forest(_rows(dataset, self), plan)
@@ -607,10 +609,10 @@ def fit_forest(rows: DataFrame, plan: ForestPlan) -> list[Tree]:
                     if level + 1 < plan.depth and impurity(counts, plan.entropy) > np.finfo(float).eps:
                         open_.append((t, child))
             open_.sort()
+        if not any(0 in tree.stats for tree in trees) and blocks.isEmpty():
+            raise ValueError("no training rows")
     finally:
         _delete(rows.sparkSession, path)
-    if not any(0 in tree.stats for tree in trees):
-        raise ValueError("no training rows")
     return trees
 
 

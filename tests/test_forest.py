@@ -137,3 +137,12 @@ def test_rows_without_a_key_are_told_apart_by_place(spark):
     fits = [fit_classifier(train, "l_returnflag", FEATS, kind="rf", params={"numTrees": 3, "maxDepth": 3}) for _ in range(2)]
     assert len({m.pipeline.stages[-1].toDebugString.split("\n", 1)[1] for m in fits}) == 1
     assert len({t.toDebugString.split("\n", 1)[1] for t in fits[0].pipeline.stages[-1].trees}) == 3
+
+
+def test_one_row_and_what_is_left_to_spark(spark):
+    rows = spark.createDataFrame([(1.0, 2.0, Vectors.dense(1.0))], ["label", "w", "features"])
+    assert O.Forest(numTrees=1, seed=3, subsamplingRate=0.05).fit(rows).totalNumNodes == 1
+    two = rows.union(spark.createDataFrame([(0.0, 1.0, Vectors.dense(5.0))], rows.schema))
+    for kw in ({"weightCol": "w"}, {"maxDepth": O.DEEPEST + 1}):
+        assert O.Forest(numTrees=2, **kw).fit(two).hasSummary
+    assert not O.Forest(numTrees=2).fit(two).hasSummary
